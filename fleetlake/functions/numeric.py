@@ -36,8 +36,17 @@ def percent_text(value: Column, digits: int = 2) -> Column:
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since the epoch; needs the UTC session zone for zone-less input."""
-    return F.unix_micros(ts.cast("timestamp"))
+    """Wall-clock microseconds since 1970, whatever the session zone.
+
+    A zone-less time becomes an instant through the session zone; shifting it back makes the
+    number independent of that zone (the shift is nothing in the UTC session).
+    """
+    return F.unix_micros(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
+
+
+def instant(us: Column) -> Column:
+    """The zone-less time of `micros`."""
+    return F.to_utc_timestamp(F.timestamp_micros(us), F.current_timezone()).cast("timestamp_ntz")
 
 
 def slot_start(us: Column, width_us: int) -> Column:

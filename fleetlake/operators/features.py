@@ -177,10 +177,10 @@ def rolling_features(hourly: DataFrame, hours: int = 24) -> DataFrame:
     regression slope of utilization per hour, null until two hours are present. A GPU contributes
     one row per hour of history, so its partition is bounded by the calendar, not by its readings.
     """
-    seconds = F.unix_seconds(F.col("window_start").cast("timestamp"))
-    frame = Window.partitionBy("gpu_id").orderBy(seconds).rangeBetween(-(hours * 3600 - 1), 0)
+    us = micros(F.col("window_start"))
+    frame = Window.partitionBy("gpu_id").orderBy(us).rangeBetween(-(hours * 3_600_000_000 - 1), 0)
     return hourly.withColumn("error_count_24h", F.sum("error_count_1h").over(frame)).withColumn(
-        "util_trend", F.regr_slope(F.col("avg_utilization"), seconds / 3600).over(frame)
+        "util_trend", F.regr_slope(F.col("avg_utilization"), us / 3_600_000_000).over(frame)
     )
 
 

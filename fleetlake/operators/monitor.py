@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.numeric import interval_us, micros, percent_change, rate, settle, slot_start
+from fleetlake.functions.numeric import instant, interval_us, micros, percent_change, rate, settle, slot_start
 from fleetlake.functions.stats import chi2_pvalue, ks_pvalue
 from fleetlake.operators.aggregates import custom_metrics
 
 
-def instant(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
-
-
 def window_of(start: Column, width_us: Column | int) -> Column:
     return F.struct(instant(start).alias("start"), instant(start + width_us).alias("end")).alias("window")
 

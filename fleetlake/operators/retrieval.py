@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,8 +15,9 @@ from pyspark.ml.feature import (
     RegexTokenizer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.functions.text import preview
 from fleetlake.operators.ranking import top_per_group
@@ -56,6 +56,34 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def _best_per_query(k: int):
+    """Function (unit queries, ids, vectors) -> frame of the k best (q, id, score) per query.
+
+    A closure, so that it travels to the tasks by value.
+    """
+
+    def unit_rows(vectors) -> np.ndarray:
+        matrix = np.stack(list(vectors)).astype(np.float64)
+        length = np.linalg.norm(matrix, axis=1)[:, None]
+        return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
+
+    def best(queries: np.ndarray, ids, vectors) -> pd.DataFrame:
+        scores = queries @ unit_rows(vectors).T
+        ranked = np.where(np.isnan(scores), -np.inf, scores)
+        keep = min(k, ranked.shape[1])
+        # The k-th best score of each query; ties with it all stay for the final order.
+        floor = -np.partition(-ranked, keep - 1, axis=1)[:, keep - 1]
+        at_query, at_row = np.nonzero((ranked >= floor[:, None]) & np.isfinite(ranked))
+        found = pd.DataFrame({"q": at_query, "id": np.asarray(ids)[at_row], "score": scores[at_query, at_row]})
+        return found.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
+
+    def merge(one: pd.DataFrame | None, two: pd.DataFrame) -> pd.DataFrame:
+        both = two if one is None else pd.concat([one, two], ignore_index=True)
+        return both.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
+
+    return unit_rows, best, merge
+
+
 def top_k(
     queries: DataFrame,
     corpus: DataFrame,
@@ -64,71 +92,75 @@ def top_k(
     k: int = 3,
     vector: str = "embedding",
     block: int = 4096,
+    cell: int = 50_000,
 ) -> DataFrame:
     """Exact cosine neighbours: (query_id, corpus_id, score, rank), ties by corpus_id.
 
-    The corpus stays where it is. Each task multiplies its Arrow batches with the query matrix and
-    keeps the k best per query, so a task passes on k rows per query and the shuffle does not grow
-    with the corpus. Queries are sent to the tasks in blocks of bounded size; a query set above
-    `block` makes further passes over the corpus, so none is left out. Vectors without length are
-    never a hit.
+    Up to `block` queries, counted first, are sent to the tasks as one matrix and the corpus stays
+    where it is: each task multiplies its Arrow batches with the matrix and keeps the k best per
+    query, so it passes on k rows per query and the shuffle does not grow with the corpus. A larger
+    query set is cut into blocks and the corpus into cells of about `cell` rows, and every block
+    meets every cell in a task of its own: exact as well, with nothing held by the driver. Vectors
+    without length are never a hit.
     """
-    spark = corpus.sparkSession
-    rows = queries.select(query_id, vector).where(F.col(vector).isNotNull())
-    total = rows.count()
-    # Hashed into blocks with room to spare for uneven hashing, each small enough for the driver.
-    blocks = max(1, -(-2 * total // block)) if total > block else 1
-    numbered = rows.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks)))
-    id_type = corpus.schema[corpus_id].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    schema = f"`{query_id}` {query_type}, `{corpus_id}` {id_type}, score double"
-
-    def one_pass(number: int) -> DataFrame:
-        part = numbered.where(F.col("_block") == number).select(query_id, vector).collect()
-        ids = [r[0] for r in part]
-        matrix = np.array([r[1] for r in part], dtype=np.float64).reshape(len(part), -1)
-        shared = spark.sparkContext.broadcast((ids, matrix))
-
-        def search(frames: Iterator) -> Iterator:
-            names, q = shared.value
-            if not len(names):
-                return
-            length = np.linalg.norm(q, axis=1)
-            unit = np.divide(q, length[:, None], out=np.full_like(q, np.nan), where=length[:, None] > 0)
-            best = None
-            for frame in frames:
-                frame = frame[frame[vector].notna()]
-                if frame.empty:
-                    continue
-                c = np.stack(frame[vector].to_numpy()).astype(np.float64)
-                size = np.linalg.norm(c, axis=1)
-                c = np.divide(c, size[:, None], out=np.full_like(c, np.nan), where=size[:, None] > 0)
-                scores = unit @ c.T
-                keep = min(k, scores.shape[1])
-                ranked = np.where(np.isnan(scores), -np.inf, scores)
-                # The k-th best score of each query; ties with it are all kept for the final order.
-                floor = -np.partition(-ranked, keep - 1, axis=1)[:, keep - 1]
-                at_query, at_row = np.nonzero((ranked >= floor[:, None]) & np.isfinite(ranked))
-                found = pd.DataFrame(
-                    {
-                        "q": at_query,
-                        corpus_id: frame[corpus_id].to_numpy()[at_row],
-                        "score": scores[at_query, at_row],
-                    }
-                )
-                merged = found if best is None else pd.concat([best, found], ignore_index=True)
-                merged = merged.sort_values(["q", "score", corpus_id], ascending=[True, False, True])
-                best = merged.groupby("q").head(k)
-            if best is not None and len(best):
-                ids_out = [names[i] for i in best["q"]]
-                yield pd.DataFrame({query_id: ids_out, corpus_id: best[corpus_id].to_numpy(), "score": best["score"].to_numpy()})
-
-        return corpus.select(corpus_id, vector).mapInPandas(search, schema)
-
-    hits = reduce(DataFrame.unionByName, [one_pass(i) for i in range(blocks)])
+    asked = queries.select(query_id, vector).where(F.col(vector).isNotNull())
+    held = corpus.select(corpus_id, vector).where(F.col(vector).isNotNull())
+    schema = T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(corpus_id, corpus.schema[corpus_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    first = asked.limit(block + 1).collect()
+    search = _scan if len(first) <= block else _grid
+    hits = search(first, asked, held, query_id, corpus_id, k, vector, block, cell, schema)
     return top_per_group(hits, [query_id], k, F.col("score").desc(), F.col(corpus_id).asc())
 
 
+def _scan(first, asked, held, query_id, corpus_id, k, vector, block, cell, schema) -> DataFrame:
+    unit_rows, best, merge = _best_per_query(k)
+    if not first:
+        return held.sparkSession.createDataFrame([], schema)
+    shared = held.sparkSession.sparkContext.broadcast(([r[0] for r in first], unit_rows([r[1] for r in first])))
+
+    def search(frames: Iterator) -> Iterator:
+        names, matrix = shared.value
+        top = None
+        for frame in frames:
+            if len(frame):
+                top = merge(top, best(matrix, frame[corpus_id].to_numpy(), frame[vector]))
+        if top is not None and len(top):
+            yield pd.DataFrame(
+                {query_id: [names[i] for i in top["q"]], corpus_id: top["id"].to_numpy(), "score": top["score"].to_numpy()}
+            )
+
+    return held.mapInPandas(search, schema)
+
+
+def _grid(first, asked, held, query_id, corpus_id, k, vector, block, cell, schema) -> DataFrame:
+    unit_rows, best, _ = _best_per_query(k)
+    # Half full on average, so that uneven hashing stays within the intended sizes.
+    blocks, cells = -(-2 * asked.count() // block), max(1, -(-2 * held.count() // cell))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = asked.withColumn("_block", F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int")).withColumn("_cell", every(cells))
+    right = held.withColumn("_cell", F.pmod(F.xxhash64(corpus_id), F.lit(cells)).cast("int")).withColumn("_block", every(blocks))
+
+    def meet(some: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if some.empty or rows.empty:
+            return pd.DataFrame({query_id: [], corpus_id: [], "score": []})
+        top = best(unit_rows(some[vector]), rows[corpus_id].to_numpy(), rows[vector])
+        return pd.DataFrame(
+            {query_id: some[query_id].to_numpy()[top["q"]], corpus_id: top["id"].to_numpy(), "score": top["score"].to_numpy()}
+        )
+
+    grid = ["_block", "_cell"]
+    return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(meet, schema)
+
+
 def top_k_approx(
     queries: DataFrame,
     corpus: DataFrame,
