@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,20 +95,12 @@ def profile(
             aggregates.append(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(14)).alias(f"{c}__hll"))
     summary = rows.groupBy("_base", *slices).agg(*aggregates)
 
-    def cell(c: str) -> Column:
-        def stat(name):
-            return F.col(f"{c}__{name}") if c in numeric else F.lit(None).cast("double")
-
-        fields = [
-            F.lit(c).alias("column_name"),
-            F.lit(types[c]).alias("data_type"),
-            F.col("_rows").alias("rows"),
-            F.col(f"{c}__n").alias("n"),
-            *[stat(s).alias(s) for s in ("mean", "m2", "min", "max")],
-        ]
-        if distinct == "approx":
-            fields.append(F.col(f"{c}__hll").alias("hll"))
-        return F.struct(*fields)
+    # Spread is merged around one overall mean per column, a scalar taken from the summary itself:
+    # sums of squares around zero would lose the spread of values that lie close together.
+    means = [
+        F.try_divide(F.sum(F.col(f"{c}__n") * F.col(f"{c}__mean")), F.sum(f"{c}__n")).alias(c) for c in numeric
+    ]
+    centre = summary.agg(F.struct(*means).alias("m")).scalar() if numeric else None
 
     grain = F.array(
         *[
@@ -115,28 +108,55 @@ def profile(
             for g, w in widths.items()
         ]
     )
-    group = ["granularity", "width", "start", "slice_key", "slice_value", "column_name"]
-    long = (
+    place = ["granularity", "width", "start", "slice_key", "slice_value"]
+    group = [*place, "column_name"]
+    merges = [F.sum("_rows").alias("_rows")]
+    for c in columns:
+        n = F.col(f"{c}__n")
+        merges.append(F.sum(n).alias(f"{c}__n"))
+        if c in numeric:
+            off = F.col(f"{c}__mean") - centre[c]
+            merges += [
+                F.sum(n * off).alias(f"{c}__off"),
+                F.sum(F.col(f"{c}__m2") + n * off * off).alias(f"{c}__sq"),
+                F.min(f"{c}__min").alias(f"{c}__min"),
+                F.max(f"{c}__max").alias(f"{c}__max"),
+            ]
+        if distinct == "approx":
+            merges.append(F.hll_sketch_estimate(F.hll_union_agg(f"{c}__hll")).alias(f"{c}__distinct"))
+    merged = (
         summary.withColumn("_grain", F.explode(grain))
         .withColumn("_slice", F.explode(_slices(slices)))
-        .withColumn("_cell", F.explode(F.array(*[cell(c) for c in columns])))
-        .select("_grain.*", "_slice.*", "_cell.*")
+        .select("_grain.*", "_slice.*", *[c for c in summary.columns if c not in ("_base", *slices)])
+        .groupBy(*place)
+        .agg(*merges)
     )
-    # Deviations are summed around the merged mean, which a one-pass formula would lose to cancellation.
-    whole = Window.partitionBy(*group)
-    centre = F.try_divide(F.sum(F.col("n") * F.col("mean")).over(whole), F.sum(F.when(F.col("mean").isNotNull(), F.col("n"))).over(whole))
-    merged_aggs = [
-        F.first("data_type").alias("data_type"),
-        F.sum("rows").alias("rows"),
-        F.sum("n").alias("n"),
-        F.first("centre").alias("mean"),
-        F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("m2"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-    ]
-    if distinct == "approx":
-        merged_aggs.append(F.hll_sketch_estimate(F.hll_union_agg("hll")).alias("n_distinct"))
-    merged = long.withColumn("centre", centre).groupBy(*group).agg(*merged_aggs)
+
+    def cell(c: str) -> Column:
+        n, off, squares = F.col(f"{c}__n"), F.col(f"{c}__off"), F.col(f"{c}__sq")
+        absent = F.lit(None).cast("double")
+        stats = {"mean": absent, "stddev": absent, "min": absent, "max": absent}
+        if c in numeric:
+            low, high = F.col(f"{c}__min"), F.col(f"{c}__max")
+            # Equal values have no spread; summation noise must not give them one.
+            m2 = F.when(low == high, 0.0).otherwise(F.greatest(squares - off * F.try_divide(off, n), F.lit(0.0)))
+            stats = {
+                "mean": centre[c] + F.try_divide(off, n),
+                "stddev": F.when(n > 1, F.sqrt(m2 / (n - 1))),
+                "min": low,
+                "max": high,
+            }
+        known = [F.col(f"{c}__distinct").alias("n_distinct")] if distinct == "approx" else []
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(types[c]).alias("data_type"),
+            F.col("_rows").alias("rows"),
+            n.alias("n"),
+            *[v.alias(k) for k, v in stats.items()],
+            *known,
+        )
+
+    merged = merged.select(*place, F.inline(F.array(*[cell(c) for c in columns])))
 
     if distinct == "exact":
 
@@ -172,7 +192,7 @@ def profile(
         (rate(F.col("rows") - F.col("n"), F.col("rows")) * 100).alias("percent_null"),
         (rate(F.col("n_distinct"), F.col("n")) * 100).alias("percent_distinct"),
         "mean",
-        F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("stddev"),
+        "stddev",
         "min",
         "max",
     )
@@ -202,29 +222,55 @@ def change_from_baseline(metrics: DataFrame, baseline: DataFrame, numeric: list[
 
 
 _TEST = ["start", "slice_key", "slice_value", "column_name"]
+_NO_WINDOW = -(2**63)  # start of baseline rows; keys are never null, so no null filter sets one use of a shuffle apart
+
 
+def _with_bins(df: DataFrame, sample: DataFrame, numeric: list[str], bins: int) -> DataFrame:
+    """Add a `_bin_<column>` per numeric column: equal-frequency bins of `sample`'s values.
 
-def _bin_edges(values: DataFrame, bins: int) -> DataFrame:
-    """Approximate quantiles per column: one row per column with bins - 1 edges."""
-    probabilities = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    return values.groupBy("column_name").agg(F.percentile_approx("value", probabilities, 10000).alias("edges"))
+    The cut points come from one approximate-quantile pass; they are `bins` numbers per column.
+    Any cut points give the same statistics, they only decide how evenly the work is divided.
+    """
+    doubles = {f"_num_{c}": F.col(c).cast("double") for c in numeric}
+    valued = df.withColumns(doubles)
+    if bins < 2:
+        return valued.withColumns({f"_bin_{c}": F.lit(0) for c in numeric})
+    cutter = QuantileDiscretizer(
+        inputCols=list(doubles),
+        outputCols=[f"_bin_{c}" for c in numeric],
+        numBucketsArray=[bins] * len(numeric),
+        relativeError=0.2 / bins,
+        handleInvalid="keep",
+    )
+    return cutter.fit(sample.select(*[v.alias(k) for k, v in doubles.items()])).transform(valued)
 
 
-def _in_bins(values: DataFrame, edges: DataFrame) -> DataFrame:
-    """Add the bin of each value. `edges` has one short row per monitored column, so it is broadcast."""
-    bin_number = F.size(F.filter("edges", lambda e: e < F.col("value")))
-    return values.join(F.broadcast(edges), "column_name").withColumn("bin", bin_number).drop("edges")
+def _enough_bins(df: DataFrame, rows_per_bin: int = 2_000_000, most: int = 4096) -> int:
+    """Bins for which even one window with all rows is sorted in pieces of a few million rows."""
+    return max(1, min(most, -(-df.count() // rows_per_bin)))
 
 
-def _long_values(df: DataFrame, ts: str, numeric: list[str], slices: list[str], width: int) -> DataFrame:
-    """(start, slice_key, slice_value, column_name, value), nulls dropped."""
+def _value_counts(df: DataFrame, start: Column, numeric: list[str], slices: list[str]) -> DataFrame:
+    """(test keys, bin, value, n): how often each value occurs; nulls dropped.
+
+    Counting first makes a value that many rows share one row, before anything is sorted.
+    """
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"), F.col(f"_num_{c}").alias("value"), F.coalesce(F.col(f"_bin_{c}").cast("int"), F.lit(-1)).alias("bin")
+            )
+            for c in numeric
+        ]
+    )
     return (
-        df.where(F.col(ts).isNotNull())
-        .withColumn("start", slot_start(micros(F.col(ts)), width))
+        df.withColumn("start", F.coalesce(start, F.lit(_NO_WINDOW)))
         .withColumn("_slice", F.explode(_slices(slices)))
-        .withColumn("_cell", F.explode(_columns(numeric)))
+        .withColumn("_cell", F.explode(cells))
         .select("start", "_slice.*", "_cell.*")
         .where(F.col("value").isNotNull())
+        .groupBy(*_TEST, "bin", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -232,25 +278,20 @@ def _ks_consecutive(df, ts, numeric, slices, width, bins) -> DataFrame:
     """KS statistic of every window against the calendar window before it.
 
     D is the largest gap between the two cumulative shares over all values. A window may hold a
-    large part of all rows, so it is not sorted as one group: values are counted, cut into bins at
-    the column's quantiles, summed up inside each bin, and shifted by the totals of lower bins.
+    large part of all rows, so it is not sorted as one group: counted values are summed up in value
+    order inside each bin and shifted by the totals of the lower bins.
     """
-    raw = _long_values(df, ts, numeric, slices, width)
+    rows = _with_bins(df.where(F.col(ts).isNotNull()), df, numeric, bins)
+    counted = _value_counts(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
+    zero = F.lit(0).cast("bigint")
     sides = F.array(
-        F.struct(F.col("start").alias("start"), F.col("n").alias("cur"), F.lit(0).cast("bigint").alias("ref")),
-        F.struct((F.col("start") + width).alias("start"), F.lit(0).cast("bigint").alias("cur"), F.col("n").alias("ref")),
+        F.struct(F.col("start").alias("start"), F.col("n").alias("cur"), zero.alias("ref")),
+        F.struct((F.col("start") + width).alias("start"), zero.alias("cur"), F.col("n").alias("ref")),
     )
-    counted = raw.groupBy(*_TEST, "value").agg(F.count(F.lit(1)).alias("n"))
-    both = counted.withColumn("_side", F.explode(sides)).select(*_TEST[1:], "value", "_side.*")
-    binned = _in_bins(both, _bin_edges(_long_values(df, ts, numeric, [], width), bins))
-    return _ks_statistic(binned)
-
-
-def _ks_statistic(binned: DataFrame) -> DataFrame:
-    """(test keys, n_ref, n_cur, statistic) from (test keys, bin, value, ref, cur)."""
     cell = [*_TEST, "bin"]
-    points = binned.groupBy(*cell, "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-    totals = binned.groupBy(*cell).agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
+    points = counted.withColumn("_side", F.explode(sides)).select(*cell[1:], "value", "_side.*")
+
+    totals = points.groupBy(*cell).agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
     test = Window.partitionBy(*_TEST)
     lower = test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -260,16 +301,16 @@ def _ks_statistic(binned: DataFrame) -> DataFrame:
         F.sum("_r").over(test).alias("n_ref"),
         F.sum("_c").over(test).alias("n_cur"),
     ).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    inside = Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = points.select(
-        *cell, F.sum("ref").over(inside).alias("ref1"), F.sum("cur").over(inside).alias("cur1")
-    )
-    gap = F.abs(
-        (F.col("ref0") + F.col("ref1")) / F.col("n_ref") - (F.col("cur0") + F.col("cur1")) / F.col("n_cur")
-    )
+    # The frame is by value, so both sides of an equal value are in before the gap is taken.
+    inside = Window.partitionBy(*cell).orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
+    running = points.select(*cell, F.sum("ref").over(inside).alias("ref1"), F.sum("cur").over(inside).alias("cur1"))
+    gap = F.abs((F.col("ref0") + F.col("ref1")) / F.col("n_ref") - (F.col("cur0") + F.col("cur1")) / F.col("n_cur"))
+    return _largest(running.join(offsets, cell), gap)
+
+
+def _largest(points: DataFrame, gap: Column) -> DataFrame:
     return (
-        running.join(offsets, cell)
-        .select(*_TEST, "n_ref", "n_cur", gap.alias("gap"))
+        points.select(*_TEST, "n_ref", "n_cur", gap.alias("gap"))
         .groupBy(*_TEST)
         .agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max("gap").alias("statistic"))
     )
@@ -285,58 +326,50 @@ def _ks_baseline(df, baseline, ts, numeric, slices, width, bins) -> DataFrame:
     """
     scope = ["slice_key", "slice_value", "column_name"]
     cell = [*scope, "bin"]
-    current = _long_values(df, ts, numeric, slices, width).groupBy(*_TEST, "value").agg(F.count(F.lit(1)).alias("cur"))
-    fixed = (
-        baseline.withColumn("_slice", F.explode(_slices(slices)))
-        .withColumn("_cell", F.explode(_columns(numeric)))
-        .select("_slice.*", "_cell.*")
-        .where(F.col("value").isNotNull())
-    )
-    reference = fixed.groupBy(*scope, "value").agg(F.count(F.lit(1)).alias("ref"))
-    edges = _bin_edges(fixed.where(F.col("slice_key") == "").select("column_name", "value"), bins)
-    current, reference = _in_bins(current, edges), _in_bins(reference, edges)
-
-    ref_totals = reference.groupBy(*cell).agg(F.sum("ref").alias("_r"))
-    # Every (scope, bin) that either side uses gets the count of baseline values in lower bins.
-    used = current.select(*cell).distinct().unionByName(reference.select(*cell).distinct()).distinct()
+    rows = _with_bins(df.where(F.col(ts).isNotNull()), baseline, numeric, bins)
+    current = _value_counts(rows, slot_start(micros(F.col(ts)), width), numeric, slices).withColumnRenamed("n", "cur")
+    fixed = _value_counts(_with_bins(baseline, baseline, numeric, bins), F.lit(None).cast("bigint"), numeric, slices)
+    reference = fixed.withColumnRenamed("n", "ref")
+    zero = F.lit(0).cast("bigint")
+    merged = current.withColumn("ref", zero).unionByName(reference.withColumn("cur", zero))
+
+    # Row totals per test and bin; both kinds of offsets come from this small table. Every bin that
+    # either side uses gets the count of baseline values in lower bins. Both sums stay in use in
+    # every branch: the branches then need the same value counts and Spark computes those once.
+    totals = merged.groupBy(*_TEST, "bin").agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
+    used = F.col("_r") + F.col("_c") > 0
     all_bins = Window.partitionBy(*scope)
     lower = all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    ref_offsets = used.join(ref_totals, cell, "left").select(
-        *cell,
-        F.coalesce(F.sum("_r").over(lower), F.lit(0)).alias("ref0"),
-        F.sum("_r").over(all_bins).alias("n_ref"),
-    ).where(F.col("n_ref") > 0)
-
-    cur_totals = current.groupBy(*_TEST, "bin").agg(F.sum("cur").alias("_c"))
+    ref_offsets = (
+        totals.groupBy(*cell)
+        .agg(F.sum("_r").alias("_r"), F.sum("_c").alias("_c"))
+        .where(used)
+        .select(
+            *cell, F.coalesce(F.sum("_r").over(lower), F.lit(0)).alias("ref0"), F.sum("_r").over(all_bins).alias("n_ref")
+        )
+        .where(F.col("n_ref") > 0)
+    )
     test = Window.partitionBy(*_TEST)
-    cur_offsets = cur_totals.select(
-        *_TEST,
-        "bin",
-        F.coalesce(F.sum("_c").over(test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("cur0"),
-        F.sum("_c").over(test).alias("n_cur"),
+    before = test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    cur_offsets = totals.where(used).select(
+        *_TEST, "bin", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("cur0"), F.sum("_c").over(test).alias("n_cur")
     )
 
-    merged = current.withColumn("ref", F.lit(0).cast("bigint")).unionByName(reference, allowMissingColumns=True)
     up_to = Window.partitionBy(*cell).orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
     at_value = Window.partitionBy(*cell, "value")
-    own = Window.partitionBy(*_TEST, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    own = Window.partitionBy(*cell, "start").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     points = (
         merged.withColumn("ref1", F.sum("ref").over(up_to))
         .withColumn("ref_here", F.sum("ref").over(at_value))
-        .where(F.col("start").isNotNull())
+        .where(F.col("start") != _NO_WINDOW)
         .withColumn("cur1", F.sum("cur").over(own))
     )
-    joined = points.join(ref_offsets, cell).join(cur_offsets, [*_TEST, "bin"])
     ref_at = (F.col("ref0") + F.col("ref1")) / F.col("n_ref")
     ref_before = (F.col("ref0") + F.col("ref1") - F.col("ref_here")) / F.col("n_ref")
     cur_at = (F.col("cur0") + F.col("cur1")) / F.col("n_cur")
     cur_before = (F.col("cur0") + F.col("cur1") - F.col("cur")) / F.col("n_cur")
     gap = F.greatest(F.abs(ref_at - cur_at), F.abs(ref_before - cur_before))
-    return (
-        joined.select(*_TEST, "n_ref", "n_cur", gap.alias("gap"))
-        .groupBy(*_TEST)
-        .agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max("gap").alias("statistic"))
-    )
+    return _largest(points.join(ref_offsets, cell).join(cur_offsets, [*_TEST, "bin"]), gap)
 
 
 def _category_counts(df, ts, categorical, slices, width) -> DataFrame:
@@ -393,14 +426,15 @@ def drift(
     granularity: str = "1 day",
     slices: list[str] | None = None,
     baseline: DataFrame | None = None,
-    bins: int = 64,
+    bins: int | None = None,
 ) -> DataFrame:
     """Drift tests per (window, slice, column) against the previous window or a baseline table.
 
     Columns: window, granularity, slice_key, slice_value, column_name, drift_type (CONSECUTIVE or
     BASELINE), n_ref, n_cur, ks_test{statistic,pvalue} for numeric columns and
     chi_squared_test{statistic,pvalue} for categorical ones. A window without a predecessor, or
-    with an empty side, has no row.
+    with an empty side, has no row. `bins` is the number of pieces a window's values are sorted in;
+    by default it follows from the row count, and the result does not depend on it.
     """
     slices, categorical = slices or [], categorical or []
     width = interval_us(granularity)
@@ -408,6 +442,8 @@ def drift(
     empty = F.lit(None).cast("struct<statistic:double,pvalue:double>")
     found = []
     if numeric:
+        if bins is None:
+            bins = _enough_bins(df)
         ks = (
             _ks_consecutive(df, ts, numeric, slices, width, bins)
             if baseline is None

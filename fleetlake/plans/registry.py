@@ -171,10 +171,10 @@ def q16_classify_events(spark, root):
 
 # Function words per language, for documents without a language tag.
 LANGUAGES = {
-    "en": " the | of | and | that ",
-    "fr": " le | la | que | de la ",
-    "de": " der | die | und | ist ",
-    "es": " el | los | una | del ",
+    "en": " (?:the|of|and|that) ",
+    "fr": " (?:le|la|que|de la) ",
+    "de": " (?:der|die|und|ist) ",
+    "es": " (?:el|los|una|del) ",
 }
 
 

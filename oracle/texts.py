@@ -10,10 +10,10 @@ _CAUSES = [
     ("network_issue", "network|link flap|port|infiniband|packet"),
 ]
 _LANGUAGES = [
-    ("en", " the | of | and | that "),
-    ("fr", " le | la | que | de la "),
-    ("de", " der | die | und | ist "),
-    ("es", " el | los | una | del "),
+    ("en", " (?:the|of|and|that) "),
+    ("fr", " (?:le|la|que|de la) "),
+    ("de", " (?:der|die|und|ist) "),
+    ("es", " (?:el|los|una|del) "),
 ]
 
 
