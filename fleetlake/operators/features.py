@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.numeric import interval_us, micros, settle, slot_start
 from fleetlake.functions.timing import hour_of, trailing
-from fleetlake.operators.joins import every_salt, spread
+from fleetlake.operators.joins import divided, hot_groups, repeated
 
 # Metric column -> the short name its aggregates carry.
 METRICS = {
@@ -39,8 +39,8 @@ def label_window_features(
     labels: DataFrame,
     telemetry: DataFrame,
     window: str = "1 hour",
-    salts: int = 4,
     prefilter: bool = True,
+    rows_per_task: int = 10_000_000,
 ) -> DataFrame:
     """13 aggregates of the readings in [window_start, window_start + window) per labelled window.
 
@@ -49,10 +49,11 @@ def label_window_features(
 
     A window of the slot width covers the tail of one slot and the head of the next. Labels enter
     the slots of their machine as marker rows, one at the window start and one at its end. One
-    sorted pass per (machine, slot, salt) keeps running aggregates from both ends; the start marker
-    reads off the tail, the end marker the head. The parts of a window (two per salt) then merge.
-    Cost is linear in readings plus markers, also when one machine, or one slot of it, holds a
-    large share of both.
+    sorted pass per (machine, slot) keeps running aggregates from both ends; the start marker reads
+    off the tail, the end marker the head, and the two parts of a window merge. Cost is linear in
+    readings plus markers, also when one machine holds a large share of both. The readings of a
+    slot with more than `rows_per_task` of them are divided over several tasks, each with all the
+    markers of the slot, and a window then merges two parts per task.
 
     `prefilter` drops readings of slots no label touches before they are shuffled, which pays
     while labels cover a part of the fleet; Spark turns it into a map-side lookup when the distinct
@@ -78,13 +79,15 @@ def label_window_features(
     rows = rows.withColumn("at", micros(F.col("timestamp"))).withColumn("slot", slot_start(F.col("at"), width))
     if prefilter:
         rows = rows.join(markers.select("gpu_id", "slot").distinct(), ["gpu_id", "slot"], "left_semi")
-    rows = rows.withColumn("salt", spread("gpu_id", "at", parts=salts)).withColumn("mark", F.lit(0))
-    stream = rows.drop("timestamp").unionByName(
-        markers.withColumn("salt", every_salt(salts)), allowMissingColumns=True
+    hot = hot_groups(rows.select("gpu_id", "slot"), ["gpu_id", "slot"], rows_per_task)
+    stream = (
+        divided(rows.drop("timestamp"), hot, ["gpu_id", "slot"], "at")
+        .withColumn("mark", F.lit(0))
+        .unionByName(repeated(markers, hot, ["gpu_id", "slot"]), allowMissingColumns=True)
     )
 
     # A reading at the window start belongs to it, one at the window end does not.
-    place = Window.partitionBy("gpu_id", "slot", "salt")
+    place = Window.partitionBy("gpu_id", "slot", "_salt")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     head = place.orderBy(F.col("at").asc(), F.col("mark").desc()).rowsBetween(*so_far)
     tail = place.orderBy(F.col("at").desc(), F.col("mark").asc()).rowsBetween(*so_far)
@@ -119,7 +122,7 @@ def label_window_features(
         F.min("temp_min").alias("temp_min"),
         F.sum("err_sum").alias("err_sum"),
         F.max("err_max").alias("err_max"),
-        merged_spread(F.collect_list(temp_part)).alias("temp"),  # at most 2 * salts parts
+        merged_spread(F.collect_list(temp_part)).alias("temp"),  # two parts per task of the slot
     )
 
     found = grouped.withColumn("_start", micros(F.col("window_start"))).join(merged, ["gpu_id", "_start"], "left")

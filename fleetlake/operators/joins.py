@@ -8,17 +8,32 @@ from pyspark.sql import functions as F
 from fleetlake.functions.numeric import interval_us, micros, slot_start
 
 
-def spread(*columns: str, parts: int) -> Column:
-    """A salt in [0, parts) for splitting a hot key.
+def hot_groups(rows: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
+    """(keys, _parts): groups with more than `rows_per_task` rows and how many tasks they need.
+
+    Counting combines on the map side. At most rows / rows_per_task groups can qualify, a few bytes
+    each, which is what makes the result safe to broadcast.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_task).select(
+        *keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts")
+    )
+
+
+def divided(rows: DataFrame, hot: DataFrame, keys: list[str], *spread: str) -> DataFrame:
+    """Add `_salt`: 0, or a part number for the rows of a hot group.
 
     The input partition takes part in the hash, so identical copies that lie in many files still
     spread out. A rerun of a lost task sees the same partition number and so the same salts.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(parts)).cast("int")
+    part = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.col("_parts")).cast("int")
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.coalesce(part, F.lit(0))).drop("_parts")
 
 
-def every_salt(parts: int) -> Column:
-    return F.explode(F.array(*[F.lit(i) for i in range(parts)]))
+def repeated(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add `_salt`: one copy of the row for every part of its group, a single one if not hot."""
+    parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(parts)).drop("_parts")
 
 
 def range_join(
@@ -30,28 +45,26 @@ def range_join(
     ts: str,
     how: str = "left",
     slot: str = "1 hour",
-    salts: int = 4,
+    rows_per_task: int = 10_000_000,
 ) -> DataFrame:
     """Rows of `right` whose `ts` lies in the left row's [lo, hi), for equal `key`.
 
     Column names must differ but for the key. A plain join on the key alone would bring all
     readings of a busy machine into one task and test each against each window. Here time is cut
     into slots and (key, slot, salt) is the equality key: a left row goes to every slot its window
-    touches and to every salt, a right row to exactly one of each, so every pair meets once. Pick
-    `slot` about as long as the windows. For `how='left'`, left rows without a match follow with
+    touches and to every salt there, a right row to exactly one of each, so every pair meets once.
+    Slots with more than `rows_per_task` right rows have several salts, the others one. Pick `slot`
+    about as long as the windows. For `how='left'`, left rows without a match follow with
     nulls; matching depends only on (key, lo, hi), so repeated left rows are kept as they are.
     """
     width = interval_us(slot)
     first = slot_start(micros(F.col(lo)), width)
     last = slot_start(micros(F.col(hi)) - 1, width)
-    probes = (
-        left.where(F.col(lo) < F.col(hi))
-        .withColumn("_slot", F.explode(F.sequence(first, last, F.lit(width))))
-        .withColumn("_salt", every_salt(salts))
-    )
-    placed = right.withColumn("_slot", slot_start(micros(F.col(ts)), width)).withColumn(
-        "_salt", spread(key, ts, parts=salts)
-    )
+    at = right.withColumn("_slot", slot_start(micros(F.col(ts)), width))
+    hot = hot_groups(at.select(key, "_slot"), [key, "_slot"], rows_per_task)
+    touched = left.where(F.col(lo) < F.col(hi)).withColumn("_slot", F.explode(F.sequence(first, last, F.lit(width))))
+    probes = repeated(touched, hot, [key, "_slot"])
+    placed = divided(at, hot, [key, "_slot"], ts)
 
     def meet(a, b):
         inside = (F.col(f"b.{ts}") >= F.col(f"a.{lo}")) & (F.col(f"b.{ts}") < F.col(f"a.{hi}"))
@@ -79,13 +92,15 @@ def asof_join(
     right_ts: str,
     tolerance: str | None = None,
     slot: str = "1 hour",
+    rows_per_task: int = 10_000_000,
 ) -> DataFrame:
     """Each left row with the newest right row at or before it (point-in-time lookup).
 
     Right instants must be unique per key. Both sides are merged in one sorted stream per
     (key, slot), where the last right row seen so far is the answer. When a slot has none yet, the
     answer is the last right row of an earlier slot, found on one row per (key, slot). So no key is
-    ever sorted as a whole, and no pair of rows is built.
+    ever sorted as a whole, and no pair of rows is built. A slot with more than `rows_per_task` rows
+    is cut into shorter ones; any disjoint slots in time order give the same answer.
     """
     width = interval_us(slot)
     payload = [c for c in right.columns if c != key]
@@ -106,6 +121,14 @@ def asof_join(
         allowMissingColumns=True,
     )
     stream = stream.where(F.col(key).isNotNull()).withColumn("_slot", slot_start(F.col("_at"), width))
+    hot = hot_groups(stream.select(key, "_slot"), [key, "_slot"], rows_per_task)
+    shorter = F.greatest(F.ceil(F.lit(width) / F.col("_parts")), F.lit(1))
+    offset = F.col("_at") - F.col("_slot")
+    stream = (
+        stream.join(F.broadcast(hot), [key, "_slot"], "left")
+        .withColumn("_slot", F.col("_slot") + F.coalesce(offset - F.pmod(offset, shorter), F.lit(0)))
+        .drop("_parts")
+    )
 
     within = (
         Window.partitionBy(key, "_slot").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)

@@ -221,6 +221,17 @@ def change_from_baseline(metrics: DataFrame, baseline: DataFrame, numeric: list[
     )
 
 
+def change_from_previous(metrics: DataFrame) -> DataFrame:
+    """Profile rows plus previous_mean and percent_change from the window before, null in the first.
+
+    A (granularity, slice, column) has one row per window, so its partition follows the calendar.
+    """
+    series = Window.partitionBy("granularity", "slice_key", "slice_value", "column_name").orderBy("window.start")
+    return metrics.withColumn("previous_mean", F.lag("mean").over(series)).withColumn(
+        "percent_change", percent_change(F.col("mean"), F.col("previous_mean"))
+    )
+
+
 _TEST = ["start", "slice_key", "slice_value", "column_name"]
 _NO_WINDOW = -(2**63)  # start of baseline rows; keys are never null, so no null filter sets one use of a shuffle apart
 

@@ -55,11 +55,11 @@ def active_alerts(events: DataFrame, clusters: DataFrame, filters: Filters) -> D
     return _filtered(events.where(urgent), clusters, filters).agg(F.count(F.lit(1)).alias("active_alerts"))
 
 
-def heatmap(telemetry: DataFrame, clusters: DataFrame, filters: Filters) -> DataFrame:
-    """Mean utilization and temperature per cluster and GPU."""
+def heatmap(telemetry: DataFrame, clusters: DataFrame, filters: Filters, *also: str) -> DataFrame:
+    """Mean utilization and temperature per cluster and GPU (and further columns of the GPU)."""
     return (
         _filtered(telemetry, clusters, filters)
-        .groupBy("cluster_name", "gpu_id")
+        .groupBy("cluster_name", "gpu_id", *also)
         .agg(settle(F.avg("utilization_pct"), 1).alias("avg_util"), settle(F.avg("temp_celsius"), 1).alias("avg_temp"))
         .orderBy("cluster_name", "gpu_id")
     )

@@ -147,7 +147,7 @@ def q13_training_set(spark, root):
 
 
 def located_events(spark, root):
-    return A.health_events(spark, root).join(A.gpu_clusters(spark, root), "gpu_id")
+    return A.health_events(spark, root, located=True)
 
 
 @query
@@ -349,10 +349,9 @@ def q31_heatmap(spark, root):
 
 @query
 def q31_heatmap_matrix(spark, root):
-    rows = D.heatmap(A.telemetry(spark, root), A.clusters(spark, root), PERIOD)
-    types = A.gpu_clusters(spark, root).select("gpu_id", "gpu_type")
+    rows = D.heatmap(A.telemetry(spark, root), A.clusters(spark, root), PERIOD, "gpu_type")
     names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    return settled(D.heatmap_matrix(rows.join(types, "gpu_id"), "gpu_type", names))
+    return settled(D.heatmap_matrix(rows, "gpu_type", names))
 
 
 @query
@@ -514,9 +513,9 @@ def upserted_partitions(spark, root):
 
 @query
 def missing_entities(spark, root):
-    """Create-if-absent: customers that have no order yet."""
+    """Create-if-absent: customers without any event yet."""
     wanted = read_table(spark, root, "customer").select("c_custkey")
-    existing = read_table(spark, root, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    existing = read_table(spark, root, "events").select(F.col("user_id").alias("c_custkey"))
     return SK.absent_from(wanted, existing, ["c_custkey"])
 
 
@@ -665,6 +664,13 @@ def q45_profile_change(spark, root):
     ).orderBy(F.col("window_end").desc(), "column_name")
 
 
+@query
+def profile_change_previous(spark, root):
+    metrics = MON.profile(A.predictions(spark, root), "prediction_timestamp", ["avg_temp", "avg_utilization"], [], ("1 day",), ["gpu_type"])
+    rows = flat_window(MON.change_from_previous(metrics))
+    return settled(rows.select("window_start", "slice_key", "slice_value", "column_name", "mean", "previous_mean", "percent_change"))
+
+
 @query
 def q46_cohorts(spark, root):
     snapshot = FE.trailing_snapshot(A.wide_telemetry(spark, root), clock=A.readings(spark, root), window="7 days")

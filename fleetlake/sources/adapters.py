@@ -33,14 +33,6 @@ def readings(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "events").select(*reading_columns())
 
 
-def _gpu_cluster(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, "customer").select(
-        F.col("c_custkey").cast("string").alias("gpu_id"),
-        F.col("c_nationkey").cast("string").alias("cluster_id"),
-        F.col("c_mktsegment").alias("gpu_type"),
-    )
-
-
 def _place(df: DataFrame, spark: SparkSession, root: str) -> DataFrame:
     """Add cluster_id and gpu_type to rows with a user_id.
 
@@ -61,11 +53,6 @@ def telemetry(spark: SparkSession, root: str) -> DataFrame:
     return placed.select(*reading_columns(), "cluster_id", "gpu_type")
 
 
-def gpu_clusters(spark: SparkSession, root: str) -> DataFrame:
-    """One row per GPU: (gpu_id, cluster_id, gpu_type)."""
-    return _gpu_cluster(spark, root)
-
-
 def clusters(spark: SparkSession, root: str) -> DataFrame:
     """Cluster dimension, one row per cluster: id, name and cloud provider."""
     nation = read_table(spark, root, "nation")
@@ -127,11 +114,15 @@ def _event_text() -> Column:
     )
 
 
-def health_events(spark: SparkSession, root: str) -> DataFrame:
-    """gpu_health_events without the cluster, as the events arrive."""
-    return read_table(spark, root, "events").select(
+def health_events(spark: SparkSession, root: str, located: bool = False) -> DataFrame:
+    """gpu_health_events as they arrive, knowing only their GPU; `located` adds cluster_id."""
+    events = read_table(spark, root, "events")
+    if located:
+        events = _place(events, spark, root)
+    return events.select(
         "event_id",
         F.col("user_id").cast("string").alias("gpu_id"),
+        *(["cluster_id"] if located else []),
         "event_type",
         severity().alias("severity"),
         _event_text().alias("description"),

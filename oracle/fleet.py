@@ -184,7 +184,7 @@ FULL JOIN (SELECT s_nationkey AS c_nationkey, count(*) AS n FROM supplier GROUP
     + """SELECT CAST(window_start AS DATE) AS day, count(*) AS n,
        CAST(sum(error_count_1h + CASE WHEN window_start >= TIMESTAMP '2024-01-25' THEN 100 ELSE 0 END) AS BIGINT) AS errors
 FROM hourly GROUP BY 1""",
-    "missing_entities": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "missing_entities": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
     "latest_versions": "SELECT o_orderpriority, CAST(max(o_orderkey) AS INTEGER) AS latest_version FROM orders GROUP BY 1",
     "formatted_rows": """SELECT s_suppkey, 'suppli-' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, len(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS padded_id,
        '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' AS payload,

@@ -122,6 +122,10 @@ rates AS (
   UNION ALL SELECT window_start, window_end, granularity, 'gpu_type', gpu_type, avg(prediction) FROM grains GROUP BY 1, 2, 3, gpu_type)
 SELECT window_start, window_end, granularity, slice_key, slice_value, round(rate, 8) AS anomaly_rate,
   CASE WHEN rate > 0.05 THEN 'ALERT: Anomaly rate exceeds 5%!' ELSE 'OK' END AS alert_status FROM rates""",
+    "profile_change_previous": with_(PREDICTIONS, _profile(["avg_temp", "avg_utilization"], [], ["1 day"], ["gpu_type"]))
+    + """, lagged AS (SELECT *, lag(mean) OVER (PARTITION BY slice_key, slice_value, column_name ORDER BY window_start) AS p FROM profiled)
+SELECT window_start, slice_key, slice_value, column_name, round(mean, 8) AS mean, round(p, 8) AS previous_mean,
+  round((mean - p) * 100 / p, 8) AS percent_change FROM lagged""",
     "q45_profile_change": with_(PREDICTIONS, _WEEK, _profile(["avg_temp", "avg_utilization"], [], ["1 day"], []))
     + """, base AS (SELECT 'avg_temp' AS column_name, avg(avg_temp) AS b FROM week UNION ALL SELECT 'avg_utilization', avg(avg_utilization) FROM week)
 SELECT column_name, window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(round(CAST(round(mean, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS mean_value,

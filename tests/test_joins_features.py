@@ -68,11 +68,12 @@ def edge_frames(spark):
     return spark.createDataFrame(labels, LABEL), spark.createDataFrame(readings, READING)
 
 
-@pytest.mark.parametrize("salts", [1, 4])
+@pytest.mark.parametrize("rows_per_task", [10_000_000, 1])
 @pytest.mark.parametrize("prefilter", [True, False])
-def test_label_windows_equal_the_join(spark, salts, prefilter):
+def test_label_windows_equal_the_join(spark, rows_per_task, prefilter):
     labels, telemetry = edge_frames(spark)
-    assert as_rows(windowed(labels, telemetry, salts=salts, prefilter=prefilter)) == as_rows(naive(labels, telemetry))
+    mine = windowed(labels, telemetry, rows_per_task=rows_per_task, prefilter=prefilter)
+    assert as_rows(mine) == as_rows(naive(labels, telemetry))
 
 
 def test_label_window_edges(spark):
@@ -102,15 +103,16 @@ def test_label_windows_on_a_hot_machine(spark):
         (F.lit(base) + F.make_dt_interval(secs=F.col("id") * 61)).cast("timestamp_ntz").alias("window_start"),
         (F.col("id") % 2).cast("int").alias("is_anomaly"),
     )
-    assert as_rows(windowed(labels, telemetry)) == as_rows(naive(labels, telemetry))
+    for rows_per_task in (10_000_000, 100):
+        assert as_rows(windowed(labels, telemetry, rows_per_task=rows_per_task)) == as_rows(naive(labels, telemetry))
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_range_join_edges(spark, salts):
+@pytest.mark.parametrize("rows_per_task", [10_000_000, 1])
+def test_range_join_edges(spark, rows_per_task):
     labels, telemetry = edge_frames(spark)
     windows = labels.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
     right = telemetry.select("gpu_id", "timestamp", "temp_celsius")
-    rows = J.range_join(windows, right, "gpu_id", "window_start", "window_end", "timestamp", salts=salts).collect()
+    rows = J.range_join(windows, right, "gpu_id", "window_start", "window_end", "timestamp", rows_per_task=rows_per_task).collect()
     hits = sorted((r.gpu_id, r.window_start, r.temp_celsius) for r in rows if r.temp_celsius is not None)
     ten = datetime(2024, 1, 1, 10)
     assert hits == sorted(
@@ -132,6 +134,20 @@ def test_range_join_long_windows_cross_many_slots(spark):
     assert J.range_join(windows, ticks, "gpu_id", "lo", "hi", "ts", how="inner").count() == 49
 
 
+def test_asof_in_shorter_slots(spark):
+    base = datetime(2024, 1, 1)
+
+    def at(n, step):
+        return (F.lit(base) + F.make_dt_interval(secs=n * step)).cast("timestamp_ntz")
+
+    left = spark.range(400).select(F.lit("hot").alias("k"), at(F.col("id"), 23).alias("at"), "id")
+    right = spark.range(100).select(F.lit("hot").alias("k"), at(F.col("id") + 3, 71).alias("since"), F.col("id").alias("v"))
+    whole = as_rows(J.asof_join(left, right, "k", "at", "since"))
+    assert as_rows(J.asof_join(left, right, "k", "at", "since", rows_per_task=7)) == whole
+    want = [(i * 23) // 71 - 3 for i in range(400)]
+    assert {r[2]: r[4] for r in whole} == {i: (min(v, 99) if v >= 0 else None) for i, v in enumerate(want)}
+
+
 def test_asof(spark):
     left = spark.createDataFrame(
         [("a", datetime(2024, 1, 1, 0, 0), 1), ("a", datetime(2024, 1, 2, 5), 2), ("a", datetime(2024, 1, 1, 3), 3),
