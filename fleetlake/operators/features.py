@@ -48,12 +48,13 @@ def label_window_features(
     followed by a group-by, but no (label, reading) pair is ever built:
 
     A window of the slot width covers the tail of one slot and the head of the next. Labels enter
-    the slots of their machine as marker rows, one at the window start and one at its end. One
-    sorted pass per (machine, slot) keeps running aggregates from both ends; the start marker reads
-    off the tail, the end marker the head, and the two parts of a window merge. Cost is linear in
-    readings plus markers, also when one machine holds a large share of both. The readings of a
-    slot with more than `rows_per_task` of them are divided over several tasks, each with all the
-    markers of the slot, and a window then merges two parts per task.
+    the slots of their machine as marker rows, one at the window start and one at its end. The
+    markers cut a slot into segments; one sorted pass tells each reading its segment, readings are
+    aggregated per segment, and running totals over the segments, from both ends, give each start
+    marker its tail and each end marker its head. The two parts of a window then merge. Cost is
+    linear in readings plus markers, also when one machine holds a large share of both. The
+    readings of a slot with more than `rows_per_task` of them are divided over several tasks, each
+    with all the markers of the slot, and a window then merges two parts per task.
 
     `prefilter` drops readings of slots no label touches before they are shuffled, which pays
     while labels cover a part of the fleet; Spark turns it into a map-side lookup when the distinct
@@ -86,33 +87,52 @@ def label_window_features(
         .unionByName(repeated(markers, hot, ["gpu_id", "slot"]), allowMissingColumns=True)
     )
 
-    # A reading at the window start belongs to it, one at the window end does not.
-    place = Window.partitionBy("gpu_id", "slot", "_salt")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    head = place.orderBy(F.col("at").asc(), F.col("mark").desc()).rowsBetween(*so_far)
-    tail = place.orderBy(F.col("at").desc(), F.col("mark").asc()).rowsBetween(*so_far)
-
-    def running(value: Column) -> Column:
-        return F.when(F.col("mark") == 1, value.over(tail)).when(F.col("mark") == 2, value.over(head))
-
-    parts = {"n": F.count(F.when(F.col("mark") == 0, 1))}
+    # Markers come before the readings of their instant: a reading at the window start belongs to
+    # the window, one at its end does not.
+    place = ["gpu_id", "slot", "_salt"]
+    in_time = Window.partitionBy(*place).orderBy(F.col("at"), F.col("mark") == 0)
+    segment = F.count(F.when(F.col("mark") > 0, 1)).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    totals = {"n": F.count(F.when(F.col("mark") == 0, 1))}
     for metric in METRICS:
-        parts[f"{metric}_n"] = F.count(metric)
-        parts[f"{metric}_sum"] = F.sum(metric)
-        parts[f"{metric}_max"] = F.max(metric)
-    parts["temp_min"] = F.min("temp_celsius")
-    parts["temp_mean"] = F.avg("temp_celsius")
-    parts["temp_var"] = F.var_pop("temp_celsius")
-    parts["err_sum"] = F.sum("error_count")
-    parts["err_max"] = F.max("error_count")
-    seen = stream.select(
-        "gpu_id", "_start", "mark", *[running(value).alias(name) for name, value in parts.items()]
-    ).where(F.col("mark") > 0)
+        totals[f"{metric}_n"] = F.count(metric)
+        totals[f"{metric}_sum"] = F.sum(metric)
+        totals[f"{metric}_max"] = F.max(metric)
+    totals["temp_min"] = F.min("temp_celsius")
+    totals["err_sum"] = F.sum("error_count")
+    totals["err_max"] = F.max("error_count")
+    segments = (
+        stream.withColumn("segment", segment)
+        .groupBy(*place, "segment")
+        .agg(
+            F.max("mark").alias("mark"),
+            F.max("_start").alias("_start"),
+            *[total.alias(name) for name, total in totals.items()],
+            F.avg("temp_celsius").alias("temp_mean"),
+            (F.var_pop("temp_celsius") * F.count("temp_celsius")).alias("temp_m2"),
+        )
+    )
 
+    # Squares are summed around the mean of the slot, which keeps the spread of close values.
+    whole = Window.partitionBy(*place)
+    n = F.col("temp_celsius_n")
+    off = F.col("temp_mean") - F.try_divide(F.sum("temp_celsius_sum").over(whole), F.sum(n).over(whole))
+    segments = segments.withColumn("temp_off", n * off).withColumn("temp_sq", F.col("temp_m2") + n * off * off)
+    head = whole.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    tail = whole.orderBy(F.col("segment").desc()).rowsBetween(Window.unboundedPreceding, 0)
+
+    def part(name: str) -> Column:
+        combine = F.max if name.endswith("_max") else F.min if name.endswith("_min") else F.sum
+        over = F.when(F.col("mark") == 1, combine(name).over(tail)).when(F.col("mark") == 2, combine(name).over(head))
+        return over.alias(name)
+
+    seen = segments.select("gpu_id", "_start", "mark", *[part(name) for name in [*totals, "temp_off", "temp_sq"]]).where(
+        F.col("mark") > 0
+    )
+    spread = F.col("temp_sq") - F.col("temp_off") * F.try_divide("temp_off", "temp_celsius_n")
     temp_part = F.struct(
-        F.col("temp_celsius_n").cast("double").alias("n"),
-        F.col("temp_mean").alias("mean"),
-        (F.col("temp_var") * F.col("temp_celsius_n")).alias("m2"),
+        F.coalesce(n, F.lit(0)).cast("double").alias("n"),
+        F.try_divide("temp_celsius_sum", n).alias("mean"),
+        F.when(F.col("temp_min") == F.col("temp_celsius_max"), 0.0).otherwise(F.greatest(spread, F.lit(0.0))).alias("m2"),
     )
     merged = seen.groupBy("gpu_id", "_start").agg(
         F.sum("n").alias("n"),
