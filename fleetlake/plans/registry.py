@@ -106,7 +106,9 @@ def q07_jobs_by_framework(spark, root):
 
 @query
 def q08_costly_jobs(spark, root):
-    return E.costly_jobs(A.jobs(spark, root))
+    # The five jobs are known before their lines are summed.
+    top = R.top_rows(A.job_rows(spark, root), 5, F.col("cost_usd").desc(), "job_id")
+    return E.costly_jobs(A.jobs(spark, root, top))
 
 
 @query
@@ -243,6 +245,20 @@ def q48_routes(spark, root):
     return TX.route_questions(A.questions(spark, root), "text").select("conv_id", "turn", "route")
 
 
+@query
+def fences_stripped(spark, root):
+    turns = read_table(spark, root, "conversations").select("conv_id", "turn", F.concat(F.lit("```sql\n"), "text", F.lit("\n```")).alias("text"))
+    return turns.select("conv_id", "turn", F.md5(X.strip_fences(F.col("text"))).alias("text_md5"))
+
+
+@query
+def answers_in_sql(spark, root):
+    """A model function called from SQL over all user questions."""
+    TX.register_text_functions(spark, lambda prompts: [f"{len(p)} characters" for p in prompts])
+    A.questions(spark, root).createOrReplaceTempView("fleet_questions")
+    return spark.sql("SELECT conv_id, turn, model_query(text) AS answer FROM fleet_questions")
+
+
 # Documents and retrieval ---------------------------------------------------------------------
 
 
@@ -255,6 +271,14 @@ def q24_chunks(spark, root):
     return chunks(spark, root).select("chunk_id", "doc_name", "chunk_index", F.md5("content").alias("content_md5"))
 
 
+@query
+def chunks_by_table_function(spark, root):
+    """The chunker as a SQL table function; the Column form of q24 is the one to use at scale."""
+    CH.register_chunker(spark, "chunk_text")
+    read_table(spark, root, "documents").createOrReplaceTempView("fleet_documents")
+    return spark.sql("SELECT doc_id, c.chunk_index, md5(c.content) AS content_md5 FROM fleet_documents, LATERAL chunk_text(text) c")
+
+
 @query
 def q25_similar_vectors(spark, root):
     vectors = read_table(spark, root, "embeddings")
@@ -758,6 +782,18 @@ def stream_snapshot_features(spark, root):
     return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
 
 
+@query
+def stream_document_index(spark, root):
+    """An index that follows the arriving documents: one embedded row per document."""
+    docs = read_table(spark, root, "documents").select(F.col("text").alias("content"))
+    model = RT.text_embedder(docs, dims=64)
+    stream = read_stream(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
+    base, checkpoint = scratch_dir(spark, "index"), scratch_dir(spark, "index-state")
+    ST.run_available(stream, checkpoint, sink=ST.index_sink(base, model))
+    index = SK.read_version(spark, base)
+    return index.select("chunk_id", "content_hash", F.size("embedding").alias("dims"))
+
+
 @query
 def stream_scored_events(spark, root):
     """Alert flags on the arriving events, appended as they come."""

@@ -153,20 +153,18 @@ def line_events(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def jobs(spark: SparkSession, root: str) -> DataFrame:
+def jobs(spark: SparkSession, root: str, rows: DataFrame | None = None) -> DataFrame:
     """ml_job_runs over orders; gpu_hours is the summed quantity of the order's lines.
 
     The lines are summed per order before the join, so a job with very many lines reaches the
-    join as one row.
+    join as one row. Given a few `rows` of jobs, only their lines are summed.
     """
-    hours = (
-        read_table(spark, root, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("job_id"))
-        .agg(F.sum("l_quantity").alias("gpu_hours"))
-    )
-    return job_rows(spark, root).join(hours, "job_id", "left").withColumn(
-        "gpu_hours", F.coalesce("gpu_hours", F.lit(0.0))
-    )
+    lines = read_table(spark, root, "lineitem").select(F.col("l_orderkey").alias("job_id"), "l_quantity")
+    if rows is not None:
+        lines = lines.join(rows.select("job_id"), "job_id", "left_semi")
+    hours = lines.groupBy("job_id").agg(F.sum("l_quantity").alias("gpu_hours"))
+    runs = job_rows(spark, root) if rows is None else rows
+    return runs.join(hours, "job_id", "left").withColumn("gpu_hours", F.coalesce("gpu_hours", F.lit(0.0)))
 
 
 def job_rows(spark: SparkSession, root: str) -> DataFrame:

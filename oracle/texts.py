@@ -85,6 +85,11 @@ FROM (SELECT *, regexp_matches(lower(text), 'how many|average|count|current|stat
     "q24_chunks": f"""WITH cut AS (SELECT CAST(doc_id AS VARCHAR) AS doc_name, unnest(range(0, len(text), 700)) AS pos, text FROM documents)
 SELECT row_number() OVER (ORDER BY md5(doc_name), doc_name, pos) - 1 AS chunk_id, doc_name, CAST(pos // 700 AS INTEGER) AS chunk_index,
        md5({_STRIP.format("substring(text, pos + 1, 800)")}) AS content_md5 FROM cut""",
+    "chunks_by_table_function": """SELECT doc_id, CAST(pos // 700 AS INTEGER) AS chunk_index, md5(substring(text, pos + 1, 800)) AS content_md5
+FROM (SELECT doc_id, text, unnest(range(0, len(text), 700)) AS pos FROM documents)""",
+    "fences_stripped": f"""SELECT conv_id, turn, md5({_STRIP.format("text")}) AS text_md5 FROM conversations""",
+    "answers_in_sql": "SELECT conv_id, turn, len(text) || ' characters' AS answer FROM conversations WHERE role = 'user'",
+    "stream_document_index": "SELECT doc_id AS chunk_id, sha256(text) AS content_hash, 64 AS dims FROM documents",
     "q25_similar_vectors": with_(_HITS) + "SELECT label, vec_id, round(score, 8) AS score, CAST(rank AS INTEGER) AS rank FROM hits",
     "q25_cited_context": with_(_HITS)
     + """SELECT label, md5(string_agg('[' || vec_id || '] ' || substring(text, 1, 500), chr(10) || chr(10) ORDER BY rank)) AS context_md5,
