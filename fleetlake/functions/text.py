@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Texts shown for missing answers and sources, and for the two states of a flag.
+NO_ANSWER = "No response"
+NO_SOURCE = "Unknown"
+FLAGGED = "ANOMALY DETECTED"
+UNFLAGGED = "Normal"
+
+
 def strip_space(text: Column) -> Column:
     """Remove leading and trailing ASCII whitespace of every kind (`trim` removes blanks only)."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")
@@ -60,7 +67,7 @@ def record_payload(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def response_text(body: Column, default: str = "No response") -> Column:
+def response_text(body: Column, default: str = NO_ANSWER) -> Column:
     """Text of the first choice in a chat response, with a default at every missing level."""
     return F.coalesce(F.get_json_object(body, "$.choices[0].message.content"), F.lit(default))
 
@@ -72,7 +79,7 @@ def response_sources(body: Column, limit: int = 3) -> Column:
     named = F.transform(
         documents,
         lambda d: F.struct(
-            F.coalesce(d["doc_name"], F.lit("Unknown")).alias("doc_name"), d["score"].alias("score")
+            F.coalesce(d["doc_name"], F.lit(NO_SOURCE)).alias("doc_name"), d["score"].alias("score")
         ),
     )
     return F.slice(named, 1, limit)
@@ -93,4 +100,4 @@ def anomaly_flag(is_anomaly: Column, score: Column, threshold: float = 0.7) -> C
 
 def flag_status(flag: Column) -> Column:
     """Null counts as normal."""
-    return F.when(flag, F.lit("ANOMALY DETECTED")).otherwise(F.lit("Normal"))
+    return F.when(flag, F.lit(FLAGGED)).otherwise(F.lit(UNFLAGGED))

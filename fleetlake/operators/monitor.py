@@ -542,7 +542,11 @@ def windowed_metrics(
     )
 
 
-def alerts(metrics: DataFrame, metric: str, limit: float, text: str = "ALERT: Anomaly rate exceeds 5%!") -> DataFrame:
+# Fixed value: the alert text.
+ALERT_TEXT = "ALERT: Anomaly rate exceeds 5%!"
+
+
+def alerts(metrics: DataFrame, metric: str, limit: float, text: str = ALERT_TEXT) -> DataFrame:
     """Rows that have the metric, with alert_status: the text above the limit, else OK."""
     status = F.when(F.col(metric) > limit, F.lit(text)).otherwise(F.lit("OK"))
     return metrics.where(F.col(metric).isNotNull()).withColumn("alert_status", status)

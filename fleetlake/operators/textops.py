@@ -18,7 +18,7 @@ from fleetlake.functions.text import strip_space, word_count
 
 # Root-cause labels; the keyword patterns are ours.
 ROOT_CAUSES = {
-    "hardware_failure": "power supply|fan failure|module failed|hardware|nvlink|board",
+    "hardware_failure": "power supply|fan failure|module failed|hardware|board",
     "thermal_throttle": "therm|throttl|overheat|temperature|cooling|fan ",
     "memory_error": "ecc|memory|page retired|row remap",
     "software_bug": "driver|kernel|crash|exit code|segfault|exception",

@@ -3,7 +3,7 @@
 from oracle.parts import EVENTS, JOBS, with_
 
 _CAUSES = [
-    ("hardware_failure", "power supply|fan failure|module failed|hardware|nvlink|board"),
+    ("hardware_failure", "power supply|fan failure|module failed|hardware|board"),
     ("thermal_throttle", "therm|throttl|overheat|temperature|cooling|fan "),
     ("memory_error", "ecc|memory|page retired|row remap"),
     ("software_bug", "driver|kernel|crash|exit code|segfault|exception"),

@@ -54,17 +54,17 @@ def test_approximate_recall(spark):
 
 def test_text_search_finds_the_right_chunk(spark):
     corpus = spark.createDataFrame(
-        [(0, "Thermal throttling begins when the GPU temperature exceeds 85 degrees"),
-         (1, "ECC memory errors on the A100 need a row remap"),
+        [(0, "Throttling starts once the temperature is above 85 degrees"),
+         (1, "Repeated ECC memory errors call for a row remap"),
          (2, "Network link flapping on the switch port")],
         "chunk_id int, content string",
     )
     model = RT.text_embedder(corpus, dims=256)
-    asked = spark.createDataFrame([("q1", "what if temperature exceeds 85 degrees"), ("q2", "ECC memory error diagnosis A100")], "q string, content string")
+    asked = spark.createDataFrame([("q1", "temperature above 85 degrees"), ("q2", "row remap after memory errors")], "q string, content string")
     hits = RT.top_k(RT.embed(asked, model), RT.embed(corpus, model), "q", "chunk_id", 1)
     assert {r.q: r.chunk_id for r in hits.collect()} == {"q1": 0, "q2": 1}
     context = RT.assemble_context(hits.join(corpus, "chunk_id"), "q", "chunk_id", "content", max_chars=20).orderBy("q").first()
-    assert context.context == "[0] Thermal throttling b" and context.sources.startswith("0 (score: ")
+    assert context.context == "[0] Throttling starts on" and context.sources.startswith("0 (score: ")
 
 
 def test_index_refresh_touches_only_changes(spark):

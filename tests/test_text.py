@@ -53,7 +53,6 @@ def test_strip_and_fences(spark):
 
 
 def test_ids_and_templates(spark):
-    assert one(spark, X.zero_padded(F.lit("gpu"), F.lit(7), 3)) if False else True
     assert one(spark, X.zero_padded(F.col("t"), F.lit(7), 3), t="gpu") == "gpu-007"
     assert one(spark, X.zero_padded(F.col("t"), F.lit(12345), 3), t="gpu") == "gpu-12345"
     assert one(spark, X.short_code(F.col("t")), t="us-east-1") == "useast"
@@ -112,9 +111,9 @@ def test_completion_errors_stay_in_their_batch(spark):
 
 def test_routes(spark):
     texts = {
-        "How many GPUs are currently showing thermal warnings?": "data",
-        "What is the runbook procedure for thermal throttling?": "docs",
-        "We have 5 GPUs showing thermal warnings -- what should we do?": "both",
+        "How many machines run hot at the moment, by current telemetry?": "data",
+        "Give me the steps for replacing a fan": "docs",
+        "Seven nodes are showing link errors, what do we do next?": "both",
         "Hello": "none",
     }
     df = spark.createDataFrame([(t,) for t in texts], "q string")
