@@ -417,11 +417,14 @@ def q34_rolling_features(spark, root):
 
 @query
 def q35_upsert(spark, root):
-    """Feature table up to a day, upserted with the features from the day before it onwards."""
-    features = FE.hourly_features(A.readings(spark, root)).select(*KEY, "avg_temp", "error_count_1h")
+    """Feature table up to a day, upserted with the features from the day before it onwards.
+
+    The readings are filtered, not the features: a predicate on the raw time reaches the scan.
+    """
+    readings, columns = A.readings(spark, root), [*KEY, "avg_temp", "error_count_1h"]
     day = F.lit("2024-01-20").cast("timestamp_ntz")
-    old = features.where(F.col("window_start") < day).withColumn("avg_temp", F.lit(0.0))
-    new = features.where(F.col("window_start") >= day - F.expr("INTERVAL 1 DAY"))
+    old = FE.hourly_features(readings.where(F.col("timestamp") < day)).select(*columns).withColumn("avg_temp", F.lit(0.0))
+    new = FE.hourly_features(readings.where(F.col("timestamp") >= day - F.expr("INTERVAL 1 DAY"))).select(*columns)
     return settled(CG.upsert(old, new, KEY))
 
 
