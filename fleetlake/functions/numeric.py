@@ -16,6 +16,11 @@ def settle(value: Column, digits: int = 8) -> Column:
     return settled if digits >= 8 else F.round(settled, digits)
 
 
+def finite(value: Column) -> Column:
+    """The value, or null if it is NaN or infinite."""
+    return F.when(F.abs(value) <= F.lit(1.7976931348623157e308), value)
+
+
 def rate(part: Column, whole: Column) -> Column:
     """part / whole as a double; null for an empty whole (plain division raises in ANSI mode)."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

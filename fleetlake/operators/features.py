@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.numeric import interval_us, micros, settle, slot_start
+from fleetlake.functions.numeric import finite, interval_us, micros, settle, slot_start
 from fleetlake.functions.timing import hour_of, trailing
 from fleetlake.operators.joins import divided, hot_groups, repeated
 
@@ -112,10 +112,13 @@ def label_window_features(
         )
     )
 
-    # Squares are summed around the mean of the slot, which keeps the spread of close values.
+    # Squares are summed around the mean of the slot, which keeps the spread of close values. A NaN
+    # or infinite reading stays out of that mean, so that it spoils no window but its own.
     whole = Window.partitionBy(*place)
     n = F.col("temp_celsius_n")
-    off = F.col("temp_mean") - F.try_divide(F.sum("temp_celsius_sum").over(whole), F.sum(n).over(whole))
+    usual = finite(F.col("temp_celsius_sum"))
+    centre = F.try_divide(F.sum(usual).over(whole), F.sum(F.when(usual.isNotNull(), n)).over(whole))
+    off = F.col("temp_mean") - F.coalesce(centre, F.lit(0.0))
     segments = segments.withColumn("temp_off", n * off).withColumn("temp_sq", F.col("temp_m2") + n * off * off)
     head = whole.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     tail = whole.orderBy(F.col("segment").desc()).rowsBetween(Window.unboundedPreceding, 0)

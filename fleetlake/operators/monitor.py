@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.functions.numeric import instant, interval_us, micros, percent_change, rate, settle, slot_start
+from fleetlake.functions.numeric import finite, instant, interval_us, micros, percent_change, rate, settle, slot_start
 from fleetlake.functions.stats import chi2_pvalue, ks_pvalue
 from fleetlake.operators.aggregates import custom_metrics
 
@@ -96,10 +96,14 @@ def profile(
     summary = rows.groupBy("_base", *slices).agg(*aggregates)
 
     # Spread is merged around one overall mean per column, a scalar taken from the summary itself:
-    # sums of squares around zero would lose the spread of values that lie close together.
-    means = [
-        F.try_divide(F.sum(F.col(f"{c}__n") * F.col(f"{c}__mean")), F.sum(f"{c}__n")).alias(c) for c in numeric
-    ]
+    # sums of squares around zero would lose the spread of values that lie close together. Groups
+    # with NaN or infinite values stay out of it, so that they spoil no other group.
+    def overall(c: str) -> Column:
+        mean = finite(F.col(f"{c}__mean"))
+        n = F.when(mean.isNotNull(), F.col(f"{c}__n"))
+        return F.coalesce(F.try_divide(F.sum(n * mean), F.sum(n)), F.lit(0.0))
+
+    means = [overall(c).alias(c) for c in numeric]
     centre = summary.agg(F.struct(*means).alias("m")).scalar() if numeric else None
 
     grain = F.array(
@@ -239,21 +243,26 @@ _NO_WINDOW = -(2**63)  # start of baseline rows; keys are never null, so no null
 def _with_bins(df: DataFrame, sample: DataFrame, numeric: list[str], bins: int) -> DataFrame:
     """Add a `_bin_<column>` per numeric column: equal-frequency bins of `sample`'s values.
 
-    The cut points come from one approximate-quantile pass; they are `bins` numbers per column.
+    The cut points come from one approximate-quantile pass over the finite values; they are fewer
+    than `bins` numbers per column.
     Any cut points give the same statistics, they only decide how evenly the work is divided.
     """
     doubles = {f"_num_{c}": F.col(c).cast("double") for c in numeric}
     valued = df.withColumns(doubles)
     if bins < 2:
         return valued.withColumns({f"_bin_{c}": F.lit(0) for c in numeric})
-    cutter = QuantileDiscretizer(
-        inputCols=list(doubles),
-        outputCols=[f"_bin_{c}" for c in numeric],
-        numBucketsArray=[bins] * len(numeric),
-        relativeError=0.2 / bins,
-        handleInvalid="keep",
+    points = sample.select(*[v.alias(k) for k, v in doubles.items()]).approxQuantile(
+        list(doubles), [i / bins for i in range(1, bins)], 0.2 / bins
     )
-    return cutter.fit(sample.select(*[v.alias(k) for k, v in doubles.items()])).transform(valued)
+    for c, found in zip(numeric, points):
+        cuts = sorted(set(found))  # empty for a column without values
+        if cuts:
+            splits = [float("-inf"), *cuts, float("inf")]
+            cutter = Bucketizer(splits=splits, inputCol=f"_num_{c}", outputCol=f"_bin_{c}", handleInvalid="keep")
+            valued = cutter.transform(valued)
+        else:
+            valued = valued.withColumn(f"_bin_{c}", F.lit(0))
+    return valued
 
 
 def _enough_bins(df: DataFrame, rows_per_bin: int = 2_000_000, most: int = 4096) -> int:

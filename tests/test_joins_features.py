@@ -86,6 +86,13 @@ def test_label_window_edges(spark):
     assert (empty.reading_count, empty.avg_temp_celsius, empty.total_error_count) == (0, None, None)
 
 
+def test_a_nan_reading_spoils_only_its_own_windows(spark):
+    telemetry = [reading("a", START + timedelta(minutes=m), t) for m, t in ((0, 70.0), (5, 74.0), (30, float("nan")))]
+    labels = [("a", START - timedelta(minutes=35), 0), ("a", START + timedelta(minutes=6), 0)]
+    frames = spark.createDataFrame(labels, LABEL), spark.createDataFrame(telemetry, READING)
+    assert repr(as_rows(windowed(*frames))) == repr(as_rows(naive(*frames)))
+
+
 def test_label_windows_on_a_hot_machine(spark):
     """Overlapping windows and many readings on one machine, with identical instants."""
     base = datetime(2024, 1, 1)

@@ -89,6 +89,20 @@ def test_profile_constant_column_has_no_spread(spark):
     assert row.stddev == pytest.approx(0.0, abs=1e-12)
 
 
+@pytest.mark.parametrize("bins", [1, 4])
+def test_empty_constant_and_nan_columns(spark, bins):
+    rows = [(DAY + timedelta(days=i % 2), 7.0, None, math.nan if i == 4 else float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, same double, none double, odd double")
+    for baseline in (None, df):
+        found = {r.column_name for r in MON.drift(df, "ts", ["same", "none", "odd"], bins=bins, baseline=baseline).collect()}
+        assert found == {"same", "odd"}
+    means = {
+        (r.window.start.day, r.column_name): r.mean
+        for r in MON.profile(df, "ts", ["same", "none", "odd"], granularities=("1 day",)).collect()
+    }
+    assert math.isnan(means[1, "odd"]) and means[2, "odd"] == 10.0 and means[1, "same"] == 7.0 and means[2, "none"] is None
+
+
 def test_profile_sketch_is_close(spark):
     df = spark.range(5000).select(F.lit(DAY).cast("timestamp_ntz").alias("ts"), (F.col("id") % 1000).cast("double").alias("v"))
     row = MON.profile(df, "ts", ["v"], granularities=("1 day",), distinct="approx").first()
