@@ -793,7 +793,7 @@ def stream_document_index(spark, root):
     stream = read_stream(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
     base, checkpoint = scratch_dir(spark, "index"), scratch_dir(spark, "index-state")
     ST.run_available(stream, checkpoint, sink=ST.index_sink(base, model))
-    index = SK.read_version(spark, base)
+    index = ST.read_merged(spark, base, ["chunk_id"])
     return index.select("chunk_id", "content_hash", F.size("embedding").alias("dims"))
 
 

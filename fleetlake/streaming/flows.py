@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlake.operators.features import hourly_aggregates, snapshot_statistics
-from fleetlake.operators.retrieval import build_index, refresh_index
-from fleetlake.sinks.tables import latest_version, publish, read_version
+from fleetlake.operators.retrieval import build_index
 
 
 def windowed(
@@ -82,29 +82,35 @@ def upsert_sink(base: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_merged(spark: SparkSession, base: str, keys: list[str]) -> DataFrame:
-    """The table of an upsert log: the newest row of every key."""
+def read_merged(spark: SparkSession, base: str, keys: list[str], before: int | None = None) -> DataFrame:
+    """The table of an upsert log: the newest row of every key, optionally before a batch."""
     log = spark.read.parquet(base)
+    if before is not None:
+        log = log.where(F.col("batch") < before)
     rest = [c for c in log.columns if c not in keys and c != "batch"]
     newest = F.max_by(F.struct(*rest), F.col("batch").cast("bigint"))
     return log.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
 def index_sink(base: str, model: PipelineModel, key: str = "chunk_id", text: str = "content") -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: embed the arriving chunks that are new or changed, keep the rest.
+    """foreachBatch function: embed the arriving chunks that are new or changed into an upsert log.
 
-    A batch holds arrivals, not the whole collection, so nothing is deleted here.
+    A chunk whose content hash the index has already is not embedded again. A batch holds arrivals,
+    not the whole collection, so nothing is deleted here. Each batch writes its own folder and
+    looks only at earlier ones, so a replay gives the same rows.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if latest_version(spark, base) is None:
-            publish(build_index(batch, model, key, text), base)
-            return
-        index = read_version(spark, base)
-        arriving = index.join(batch.select(key), key, "left_semi")
-        others = index.join(batch.select(key), key, "left_anti")
-        publish(others.unionByName(refresh_index(arriving, batch, model, key, text)), base)
+        fresh = batch
+        try:
+            known = read_merged(spark, base, [key], before=number).select(key, "content_hash")
+        except AnalysisException:  # no batch has been written yet
+            known = None
+        if known is not None:
+            hashed = batch.withColumn("content_hash", F.sha2(F.col(text), 256))
+            fresh = hashed.join(known, [key, "content_hash"], "left_anti").drop("content_hash")
+        build_index(fresh, model, key, text).write.mode("overwrite").parquet(f"{base}/batch={number}")
 
     return write
 

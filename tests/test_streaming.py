@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from fleetlake.operators import retrieval as RT
 from fleetlake.session import scratch_dir
-from fleetlake.sinks.tables import read_version
 from fleetlake.sources import adapters as A
 from fleetlake.sources.tables import read_stream, read_table
 from fleetlake.streaming import flows as ST
@@ -87,4 +86,10 @@ def test_index_follows_arriving_chunks(spark):
     arrive([(1, "fan failure"), (2, "link down")])
     arrive([(2, "link up"), (3, "driver crash")])
     want = RT.build_index(spark.createDataFrame([(1, "fan failure"), (2, "link up"), (3, "driver crash")], schema), model)
-    assert sorted(map(tuple, read_version(spark, base).collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, ST.read_merged(spark, base, ["chunk_id"]).collect())) == sorted(map(tuple, want.collect()))
+    assert spark.read.parquet(base).where("batch = 1").count() == 2  # the unchanged chunk is not embedded again
+    again = spark.createDataFrame([(2, "link up"), (3, "driver crash")], schema)
+    ST.index_sink(base, model)(again, 1)
+    assert spark.read.parquet(base).where("batch = 1").count() == 2  # a replay writes the same rows
+    ST.index_sink(base, model)(again, 2)
+    assert spark.read.parquet(base).where("batch = 2").count() == 0
