@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, rows: int = 2000, size: int = 4 << 20) -> None:
+def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 1 << 20) -> None:
     """Hand texts to Python in batches of at most `rows` rows and about `size` bytes.
 
     Only Spark's own default (10,000 rows of any length) is replaced; a caller's setting stays.
