@@ -12,9 +12,11 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
    among their first n - ceil(t n) + 2. A shingle that more than `frequent` prefixes hold is indexed
    in pairs, all others singly: a prefix that shares no rare shingle and at most one frequent one
    leaves too few for a link.
-4. Of the classes under one key all are compared with one leader, and links join them to one
-   component. Another leader follows while keys hold several components and it still saves work; then all
-   pairs of one key that lie in different components are compared. Pairs that components already
+   For the first key two linked sets share, what follows it in either set bounds what they share;
+   pairs of a key that this bound rules out are never formed.
+4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
+   component. Other leaders follow, up to `rounds`, until keys that still hold several components have
+   few classes on average; then all pairs of a key that lie in different components are compared. Pairs that components already
    join are never formed, so a large group of near copies costs a multiple of its rows, not its square.
 5. Every compared pair is verified on its whole sets.
 
@@ -157,20 +159,28 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(verify, "a long, b long, linked boolean")
 
 
-def index_keys(prefixes: DataFrame, frequent: int) -> DataFrame:
-    """(key, doc, n): single rare shingles and pairs of frequent ones, for keys of two classes or more."""
-    exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", F.explode("keys").alias("token"))
+def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
+    """(key, doc, n, pos): single rare shingles and pairs of frequent ones, for keys of two classes or more.
+
+    Linked sets differ in size by a factor of 100 / percent at most. A key therefore also holds one of
+    two neighbouring steps of the logarithm of the size, of which two such sets share at least one.
+    `pos` is the place of the key's first shingle in the order of its set.
+    """
+    exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", F.posexplode("keys").alias("pos", "token"))
     counts = exploded.groupBy("token").count().filter("count > 1")
     shared = written(exploded.join(counts, "token"), "prefix-tokens")
-    rare = shared.filter(F.col("count") <= frequent).select(F.col("token").alias("key"), "doc", "n")
+    rare = shared.filter(F.col("count") <= frequent).select(F.col("token").alias("key"), "doc", "n", "pos")
     often = shared.filter(F.col("count") > frequent).groupBy("doc", "n")
-    often = often.agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    often = often.agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("tokens"))
     first = often.select("doc", "n", "tokens", F.posexplode("tokens").alias("i", "x"))
     later = F.slice("tokens", F.col("i") + 2, F.size("tokens"))
     pairs = first.select("doc", "n", "x", F.explode(later).alias("y"))
-    pairs = pairs.select(F.xxhash64("x", "y").alias("key"), "doc", "n")
-    counts = pairs.groupBy("key").count().filter("count > 1").select("key")
-    return rare.unionByName(pairs.join(counts, "key", "left_semi"))
+    pairs = pairs.select(F.xxhash64("x.token", "y.token").alias("key"), "doc", "n", F.col("x.pos").alias("pos"))
+    step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)) if percent < 100 else F.col("n").cast("long")
+    sized = rare.unionByName(pairs).withColumn("step", F.explode(F.array(step, step + 1)))
+    sized = sized.select(F.xxhash64("key", "step").alias("key"), "doc", "n", "pos")
+    counts = sized.groupBy("key").count().filter("count > 1").select("key")
+    return sized.join(counts, "key", "left_semi")
 
 
 def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent: int = 1000, rounds: int = 8):
@@ -187,37 +197,37 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     ids = texts.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id"))
     prefixes = written(_prefixes(docs, levels, width, percent), "prefixes")
     owners = ids.select(F.col("class_id").alias("doc_id"))
-    keys = written(index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent), "index-keys")
+    keys = written(index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent), "index-keys")
     dropped(prefixes)
     wanted = keys.select(F.col("doc").alias("doc_id")).distinct()
     sets = written(_sets(docs.join(wanted, "doc_id", "left_semi"), width), "shingle-sets")
-    sets = sets.dropDuplicates(["doc"])
-
     labels = tested = None
     for turn in range(rounds + 1):
         state = keys.withColumn("comp", F.col("doc"))
         if labels is not None:
             own = labels.select(F.col("node").alias("doc"), "component")
             state = keys.join(own, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-        order = F.struct(F.xxhash64("doc", F.lit(turn)), "doc")
+        order = F.struct((F.col("pos") if turn % 2 == 0 else F.lit(0)).alias("least"), F.xxhash64("doc", F.lit(turn)).alias("mix"), "doc")
         groups = state.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(order, "n", "comp")).alias("lead"), F.count("*").alias("members")
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(order.alias("by"), "n", "pos", "comp")).alias("lead"), F.count("*").alias("members")
         )
         groups = groups.filter("low <> high")
         active = written(state.join(groups, "key"), "active-keys")
-        busy = active.agg(F.count("*"), F.sum("members")).first()
+        apart = F.col("comp") != F.col("lead.comp")
+        busy = active.agg(F.count("*"), F.sum(F.when(apart, F.col("members")))).first()
         if not busy[0]:
             dropped(active)
             break
-        last = turn == rounds or busy[1] <= 3 * busy[0]
+        last = turn == rounds or (turn and busy[1] <= 12 * busy[0])
         if last:
-            x = active.select("key", F.col("doc").alias("a"), F.col("n").alias("m"), F.col("comp").alias("of"))
-            rows = x.join(active.select("key", F.col("doc").alias("b"), "n", "comp"), "key").filter("a < b AND of <> comp")
+            x = active.filter(apart).select("key", F.col("doc").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("comp").alias("of"))
+            rows = x.join(active.select("key", "doc", "n", "pos", "comp"), "key").filter("of <> comp")
         else:
-            leader = F.col("lead.col1.doc")
-            rows = active.select(F.least("doc", leader).alias("a"), F.greatest("doc", leader).alias("b"), F.col("lead.n").alias("m"), "n", F.col("lead.comp").alias("of"), "comp")
-            rows = rows.filter("of <> comp")
-        rows = rows.filter(100 * F.least("m", "n") >= percent * F.greatest("m", "n")).select("a", "b").distinct()
+            lead = [F.col(f"lead.{c}").alias(d) for c, d in (("by.doc", "x"), ("n", "m"), ("pos", "at"), ("comp", "of"))]
+            rows = active.select("doc", "n", "pos", "comp", *lead).filter("of <> comp")
+        most = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
+        rows = rows.filter((100 + percent) * most >= percent * (F.col("n") + F.col("m")))
+        rows = rows.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")).distinct()
         if tested is not None:
             rows = rows.join(tested, ["a", "b"], "left_anti")
         checked = written(_linked(rows, sets, percent), "checked-pairs")
