@@ -117,16 +117,17 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     bound_batches(docs.sparkSession)
     docs = docs.filter(F.col("doc_id").isNotNull())
     found = written(_paths(docs, window, anchor), "paths")
-    again = found.groupBy("anchor").count().filter("count > 1").select("anchor")
+    # Counts are written before they are joined: next to a plain scan Spark can split a hot anchor.
+    again = written(found.groupBy("anchor").count().filter("count > 1").select("anchor"), "repeated-anchors")
     live = written(found.join(again, "anchor", "left_semi"), "repeated-paths")
-    dropped(found)
+    dropped(found, again)
     first = F.min(F.struct("doc_id", "at"))
     paths = written(live.groupBy(*PATH).agg(first.alias("first"), F.count("*").alias("copies")), "path-table")
-    branching = paths.groupBy("anchor").count().filter("count > 1").select("anchor")
+    branching = written(paths.groupBy("anchor").count().filter("count > 1").select("anchor"), "branching-anchors")
     wanted = paths.join(branching, "anchor", "left_semi").select(*PATH, "first.*")
     by_text = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*PATH, "at")).alias("wanted"))
     windows = written(_opened(docs.join(by_text, "doc_id").select("doc_id", "text", "wanted"), window), "windows")
-    origin = windows.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("origin"))
+    origin = written(windows.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("origin")), "origins")
     foreign = windows.join(origin, ["one", "two"]).filter(F.col("origin") != F.struct("doc_id", "start"))
     masks = foreign.groupBy(*PATH).agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
     judged = paths.join(masks, PATH, "left").withColumn("mask", F.coalesce("mask", F.lit(0)))
