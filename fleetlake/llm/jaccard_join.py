@@ -167,7 +167,8 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     `pos` is the place of the key's first shingle in the order of its set.
     """
     exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", F.posexplode("keys").alias("pos", "token"))
-    counts = exploded.groupBy("token").count().filter("count > 1")
+    # Counts are written before they are joined: next to a plain scan Spark can split a hot key.
+    counts = written(exploded.groupBy("token").count().filter("count > 1"), "token-counts")
     shared = written(exploded.join(counts, "token"), "prefix-tokens")
     rare = shared.filter(F.col("count") <= frequent).select(F.col("token").alias("key"), "doc", "n", "pos")
     often = shared.filter(F.col("count") > frequent).groupBy("doc", "n")
@@ -179,7 +180,7 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)) if percent < 100 else F.col("n").cast("long")
     sized = rare.unionByName(pairs).withColumn("step", F.explode(F.array(step, step + 1)))
     sized = sized.select(F.xxhash64("key", "step").alias("key"), "doc", "n", "pos")
-    counts = sized.groupBy("key").count().filter("count > 1").select("key")
+    counts = written(sized.groupBy("key").count().filter("count > 1").select("key"), "key-counts")
     return sized.join(counts, "key", "left_semi")
 
 
@@ -194,13 +195,11 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     profiles = written(_profiles(docs, width), "shingle-profiles")
     levels = spark.sparkContext.broadcast(rarity_levels(profiles))
     texts = profiles.filter("chunk IS NULL AND n > 0")
-    ids = texts.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id"))
+    ids = written(texts.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id")), "classes")
     prefixes = written(_prefixes(docs, levels, width, percent), "prefixes")
     owners = ids.select(F.col("class_id").alias("doc_id"))
     keys = written(index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent), "index-keys")
     dropped(prefixes)
-    wanted = keys.select(F.col("doc").alias("doc_id")).distinct()
-    sets = written(_sets(docs.join(wanted, "doc_id", "left_semi"), width), "shingle-sets")
     labels = tested = None
     for turn in range(rounds + 1):
         state = keys.withColumn("comp", F.col("doc"))
@@ -211,7 +210,7 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         groups = state.groupBy("key").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(order.alias("by"), "n", "pos", "comp")).alias("lead"), F.count("*").alias("members")
         )
-        groups = groups.filter("low <> high")
+        groups = written(groups.filter("low <> high"), "key-groups")
         active = written(state.join(groups, "key"), "active-keys")
         apart = F.col("comp") != F.col("lead.comp")
         busy = active.agg(F.count("*"), F.sum(F.when(apart, F.col("members")))).first()
@@ -230,8 +229,12 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         rows = rows.select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b")).distinct()
         if tested is not None:
             rows = rows.join(tested, ["a", "b"], "left_anti")
+        rows = written(rows, "pairs")
+        dropped(active, groups)
+        wanted = rows.select(F.col("a").alias("doc_id")).union(rows.select("b")).distinct()
+        sets = written(_sets(docs.join(written(wanted, "paired"), "doc_id", "left_semi"), width), "shingle-sets")
         checked = written(_linked(rows, sets, percent), "checked-pairs")
-        dropped(active)
+        dropped(rows, sets)
         pairs = checked.select("a", "b")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = checked.filter("linked").select("a", "b")
