@@ -12,24 +12,22 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component: lowest node reachable) of every node of `edges` (a, b), a node being a long.
 
     Each round every node takes the lowest label among its own and its neighbours', and then the label
-    of the node it is labelled by. Labels are written after each round; rounds stop when none changes,
-    after about the logarithm of the longest path for trees of short links.
+    of the node it is labelled by. Labels are written after each round; rounds stop when none changes.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "graph")
-    labels = both.groupBy("a").agg(F.least("a", F.min("b")).alias("component")).withColumnRenamed("a", "node")
-    labels = written(labels, "labels")
+    pairs = edges.select("a", "b")
+    both = pairs.union(pairs.select("b", "a")).union(pairs.select("a", "a")).union(pairs.select("b", "b"))
+    both = written(both.distinct(), "graph")
+    labels = written(both.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node"), "labels")
+    total = None
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-        least = seen.groupBy("a").agg(F.min("component").alias("near"))
-        joined = labels.join(least.withColumnRenamed("a", "node"), "node")
-        near = joined.select("node", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = near.join(jump, "component", "left")
-        least_seen = F.least("component", F.coalesce("further", "component"))
-        new = written(new.select("node", "was", least_seen.alias("component")), "labels")
-        changed = new.filter("was <> component").limit(1).count()
+        near = seen.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        jump = labels.select(F.col("node").alias("near"), "component")
+        new = written(near.join(jump, "near").select("node", "component"), "labels")
+        # Labels only fall, so an equal sum means that none changed.
+        before, total = total, new.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
         dropped(labels)
-        labels = new.select("node", "component")
-        if not changed:
+        labels = new
+        if total == before:
             dropped(both)
             return labels

@@ -15,10 +15,11 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
    For the first key two linked sets share, what follows it in either set bounds what they share;
    pairs of a key that this bound rules out are never formed.
 4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
-   component. Other leaders follow, up to `rounds`, until keys that still hold several components have
-   few classes on average; then all pairs of a key that lie in different components are compared. Pairs that components already
+   component. Other leaders follow, up to `rounds`, while they still join many classes and the keys
+   that hold several components are large; then all pairs of a key from different components are compared. Pairs that components already
    join are never formed, so a large group of near copies costs a multiple of its rows, not its square.
-5. Every compared pair is verified on its whole sets.
+5. Compared pairs are first held against counts per hash bucket, which bound what two sets can share,
+   and those that remain are verified on their whole sets.
 
 Null and empty texts have no shingles and are their own component. Rows without doc_id are left out
 of the join and come back with a null component. Rows that repeat a doc_id count as one document.
@@ -34,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import BASES, batches, binary_column, bound_batches, dropped, mixed, packed, span_hashes, words_of, written
+from fleetlake.llm.common import BASES, batches, binary_column, bound_batches, dropped, mixed, packed, span_hashes, text_bytes, words_of, written
 from fleetlake.llm.components import components
 
 WIDTH = 3
 CELLS = 1 << 20
 CHUNK = 1 << 14
+BUCKETS, FULL = 256, 65_535
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +113,8 @@ def rarity_levels(profiles: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, keys): the first n - ceil(t n) + 2 shingles, rarest first."""
+    """(doc_id, n, keys, counts): the first n - ceil(t n) + 2 shingles, rarest first, and how many
+    shingles fall into each of BUCKETS hash buckets."""
 
     def cut(it):
         table = levels.value
@@ -125,9 +128,30 @@ def _prefixes(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
             take = order[place < need[doc]]
             ends = np.concatenate([[0], np.cumsum(np.minimum(n, need))])
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys[take].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int32)), lists], names=["doc_id", "n", "keys"])
+            place = doc * BUCKETS + (keys >> np.uint64(56)).astype(np.int64)
+            counts = np.minimum(np.bincount(place, minlength=len(n) * BUCKETS), FULL).astype(np.uint16)
+            counts = binary_column(packed(counts, np.arange(len(n) + 1) * BUCKETS))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int32)), lists, counts], names=["doc_id", "n", "keys", "counts"])
 
-    return docs.mapInArrow(cut, "doc_id long, n int, keys array<long>")
+    return docs.mapInArrow(cut, "doc_id long, n int, keys array<long>, counts binary")
+
+
+def _possible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The `pairs` (a, b) whose sets may link: two sets share at most what their counts per hash bucket share."""
+    left = prefixes.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("of_a"))
+    right = prefixes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("of_b"))
+
+    def bound(it):
+        for batch in batches(it):
+            x, y = (text_bytes(batch.column(i))[0].view(np.uint16).reshape(-1, BUCKETS).astype(np.int64) for i in (4, 5))
+            n = np.asarray(batch.column(2)).astype(np.int64) + np.asarray(batch.column(3))
+            least = np.minimum(x, y)
+            most = np.where((least == FULL).any(axis=1), n, least.sum(axis=1))
+            keep = pa.array((100 + percent) * most >= percent * n)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], names=["a", "b"])
+
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "of_a", "of_b")
+    return rows.mapInArrow(bound, "a long, b long")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -184,6 +208,15 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     return sized.join(counts, "key", "left_semi")
 
 
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(node, component): the lowest node at most two links away, which is one label for each leader's
+    star. Nodes of one label are connected; the reverse need not hold and is settled at the end."""
+    both = links.union(links.select("b", "a"))
+    one = both.groupBy("a").agg(F.least("a", F.min("b")).alias("component"))
+    far = both.join(one.select(F.col("a").alias("b"), "component"), "b")
+    return far.groupBy("a").agg(F.least("a", F.min("component")).alias("component")).withColumnRenamed("a", "node")
+
+
 def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent: int = 1000, rounds: int = 8):
     """(classes: doc_id, n, class_id of every text with a set, labels: node, component of linked classes).
 
@@ -199,8 +232,8 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     prefixes = written(_prefixes(docs, levels, width, percent), "prefixes")
     owners = ids.select(F.col("class_id").alias("doc_id"))
     keys = written(index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent), "index-keys")
-    dropped(prefixes)
-    labels = tested = None
+    labels = tested = links = None
+    earlier = 0
     for turn in range(rounds + 1):
         state = keys.withColumn("comp", F.col("doc"))
         if labels is not None:
@@ -217,7 +250,8 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         if not busy[0]:
             dropped(active)
             break
-        last = turn == rounds or (turn and busy[1] <= 12 * busy[0])
+        last = turn == rounds or (turn and (busy[1] <= 12 * busy[0] or busy[1] > 0.8 * earlier))
+        earlier = busy[1]
         if last:
             x = active.filter(apart).select("key", F.col("doc").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("comp").alias("of"))
             rows = x.join(active.select("key", "doc", "n", "pos", "comp"), "key").filter("of <> comp")
@@ -231,22 +265,21 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
             rows = rows.join(tested, ["a", "b"], "left_anti")
         rows = written(rows, "pairs")
         dropped(active, groups)
-        wanted = rows.select(F.col("a").alias("doc_id")).union(rows.select("b")).distinct()
+        tested = rows if tested is None else tested.unionByName(rows)
+        near = written(_possible(rows, prefixes, percent), "possible-pairs")
+        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
         sets = written(_sets(docs.join(written(wanted, "paired"), "doc_id", "left_semi"), width), "shingle-sets")
-        checked = written(_linked(rows, sets, percent), "checked-pairs")
-        dropped(rows, sets)
-        pairs = checked.select("a", "b")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = checked.filter("linked").select("a", "b")
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = components(links)
+        checked = written(_linked(near, sets, percent), "checked-pairs")
+        dropped(sets)
+        found = checked.filter("linked").select("a", "b")
+        links = found if links is None else links.unionByName(found)
         if last:
             break
+        labels = written(_near_labels(links), "near-labels")
     classes = texts.join(ids, ["n", "one", "two"]).select("doc_id", "n", "class_id")
-    if labels is None:
-        labels = ids.select(F.col("class_id").alias("node"), F.col("class_id").alias("component")).limit(0)
-    return classes, labels
+    if links is None:
+        links = ids.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).limit(0)
+    return classes, components(links)
 
 
 def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent: int = 1000) -> DataFrame:
