@@ -7,6 +7,7 @@ word. A word is a run of bytes outside `[\\x20\\x09-\\x0D]`.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import NamedTuple
@@ -21,6 +22,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: Odd 64-bit bases: one for bytes, one for words, and one more of each for the second hash.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 WHITE = np.zeros(256, bool)
@@ -34,8 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bound_batches(spark: SparkSession, rows: int = 1000, size: int = 1 << 20) -> None:
     """Hand texts to Python in batches of at most `rows` rows and about `size` bytes.
 
-    Only Spark's own default (10,000 rows of any length) is replaced; a caller's setting stays.
+    Only Spark's own default (10,000 rows of any length) is replaced; a caller's setting stays. Python
+    workers are also told where the driver has this package, for nodes that share its folder and do
+    not have it installed.
     """
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, known) if p)
     if spark.conf.get(BATCH_ROWS, "10000") == "10000":
         spark.conf.set(BATCH_ROWS, str(rows))
         spark.conf.set(BATCH_BYTES, str(size))
@@ -76,6 +84,39 @@ def dropped(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Recent(dict):
+    """A cache of two generations of at most `size` entries each; a used entry moves to the younger.
+
+    When the younger is full it becomes the older one, and what nobody asked for since then is
+    forgotten. `made` gives the value of a key that neither has.
+    """
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
+
+    def made(self, key):
+        raise KeyError(key)
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.made(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+    def absent(self, keys) -> list:
+        """Which of `keys` neither generation has, each once."""
+        older = self.older
+        return [k for k in dict.fromkeys(keys) if k not in self and k not in older]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins (one bound more than texts); null is empty."""
     if len(column) == 0:

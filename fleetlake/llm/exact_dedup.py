@@ -139,6 +139,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def digest_groups(marks: DataFrame) -> DataFrame:
     """(digest, low, n) of each distinct digest of rows (doc_id, digest), by two levels of index."""
+    bound_batches(marks.sparkSession)
     schema = "digest binary, low long, n long"
     single = marks.select("digest", F.col("doc_id").alias("low"), F.lit(1).cast("long").alias("n"))
     return single.mapInArrow(_indexed, schema).repartition("digest").mapInArrow(_indexed, schema)

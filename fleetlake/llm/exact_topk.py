@@ -100,7 +100,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         chosen.setdefault(row["dim"], []).append(row["v"])
     pivots = spark.sparkContext.broadcast({d: np.array(v, float) for d, v in chosen.items()})
     corpus = written(_blocks(rows, pivots, BLOCK), "vector-blocks")
-    asked = written(_blocks(integer_vectors(queries, id_col, vector_col, scale).repartition(8), pivots, QUERIES), "query-blocks")
+    wanted = integer_vectors(queries, id_col, vector_col, scale)
+    wanted = wanted.repartition(max(1, -(-wanted.count() // QUERIES)))
+    asked = written(_blocks(wanted, pivots, QUERIES), "query-blocks")
     across, down = max(1, asked.count()), max(1, corpus.count())
     corpus = corpus.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(down)))
     asked = asked.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(across)))

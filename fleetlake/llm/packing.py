@@ -22,43 +22,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches, bound_batches, written
+from fleetlake.llm.common import Recent, batches, bound_batches, written
 
-CACHE = 500_000
+CACHE = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of the tokens of a word (UTF-8), kept for CACHE words.
+class WordIds(Recent):
+    """Little-endian 32-bit ids of the tokens of a word (UTF-8), CACHE words a generation.
 
     Only for tokenizers that drop white space and never join text across it: each word between ASCII
     white space is then encoded by itself. Any other white space stays inside its word.
     """
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(CACHE)
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode_batch_fast
 
-    def add(self, words: list[bytes]) -> None:
-        if len(self) >= CACHE:
-            self.clear()
-        texts = [word.decode() for word in words]
-        for word, found in zip(words, self.encode(texts, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-
     def of(self, text: bytes) -> bytes:
         words = text.split()
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            fresh = list({w for w in words if w not in self})
-            if len(self) + len(fresh) > CACHE:
-                self.clear()
-                fresh = list(set(words))
-            self.add(fresh)
-            return b"".join(map(self.__getitem__, words))
+        fresh = self.absent(words)
+        self.fresh = dict(zip(fresh, self.encoded(fresh), strict=True))
+        return b"".join(map(self.__getitem__, words))
+
+    def encoded(self, words: list[bytes]) -> list[bytes]:
+        found = self.encode([word.decode() for word in words], add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def made(self, word: bytes) -> bytes:
+        ids = self.fresh.get(word)
+        return self.encoded([word])[0] if ids is None else ids
 
 
 @lru_cache(maxsize=2)

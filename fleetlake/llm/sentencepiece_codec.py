@@ -11,8 +11,8 @@ pieces. Such paths score their last length and all others nothing, so the maximu
 itself. Verdicts on pairs are computed once per pair and worker and kept in a sorted table.
 
 Characters without a piece become their UTF-8 bytes under byte fallback, else the unknown id (one for
-a stretch). Units between places no piece spans are encoded once per worker and kept, at most CACHE of
-them. Null and empty texts have no ids; null decodes to null.
+a stretch). Units between places no piece spans are encoded when first met and kept, CACHE of them a
+generation. Null and empty texts have no ids; null decodes to null.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import BASES, batches, bound_batches, mixed, powers
+from fleetlake.llm.common import BASES, Recent, batches, bound_batches, mixed, powers
 from fleetlake.llm.piece_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, load_pieces
 from fleetlake.llm.token_counts import PairMerger
 
-CACHE = 300_000
+CACHE, TEXTS = 250_000, 1000
 PAIRS = 4_000_000
 CELLS = 1 << 18
 
@@ -70,11 +70,11 @@ class PairVerdicts:
         return self.stable[at][place]
 
 
-class Codec(dict):
+class Codec(Recent):
     """Ids of units as little-endian 32-bit numbers, by unit."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(CACHE)
         model = self.model = load_pieces(path)
         self.unknown, self.bytes = model.unknown_id(), model.byte_ids()
         normal = [i for i, t in enumerate(model.types) if t == NORMAL]
@@ -167,7 +167,7 @@ class Codec(dict):
                 ends = np.cumsum(4 * (ids >= 0).sum(axis=1)).tolist()
                 begin = 0
                 for i, (unit, end) in enumerate(zip(part, ends, strict=True)):
-                    self[unit] = self._spelled(codes[i], ids[i], spots[i]) if strange[i] else flat[begin:end]
+                    self.keep(unit, self._spelled(codes[i], ids[i], spots[i]) if strange[i] else flat[begin:end])
                     begin = end
 
     def _spelled(self, codes, ids, spots) -> bytes:
@@ -179,16 +179,19 @@ class Codec(dict):
                 out.append(piece)
         return np.array(out, "<i4").tobytes()
 
+    def made(self, unit: str) -> bytes:
+        self._learn([unit])
+        return self[unit]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         prefix = " " if self.model.dummy_prefix else ""
         split = [self.units.findall(prefix + t.replace(SPACE, " ")) if t else [] for t in texts]
-        fresh = {u for units in split for u in units if u not in self}
-        if len(self) + len(fresh) > CACHE:
-            self.clear()
-            fresh = {u for units in split for u in units}
-        self._learn(list(fresh))
-        found = [b"".join(map(self.__getitem__, units)) for units in split]
+        found = []
+        for at in range(0, len(split), TEXTS):
+            part = split[at : at + TEXTS]
+            self._learn(self.absent(u for units in part for u in units))
+            found += [b"".join(map(self.__getitem__, units)) for units in part]
         return found if self.bytes else [self._fused(raw) for raw in found]
 
     def _fused(self, raw: bytes) -> bytes:

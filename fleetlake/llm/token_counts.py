@@ -7,7 +7,7 @@ its UTF-8 bytes under byte fallback, else as one.
 
 No piece spans from a character to a space after it or across a line break that no piece holds, so
 the units between such places are merged one by one and their counts are kept per Python worker, in a
-table of at most CACHE units that is emptied when full. Null and empty texts have no tokens.
+cache of CACHE units per generation. Null and empty texts have no tokens.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches, bound_batches
+from fleetlake.llm.common import Recent, batches, bound_batches
 from fleetlake.llm.piece_model import BPE, NORMAL, SPACE, load_pieces
 
-CACHE = 400_000
+CACHE = 300_000
 
 
 class PairMerger:
@@ -82,18 +82,15 @@ class PairMerger:
         return len(unit) - merges + extra
 
 
-class UnitCounts(dict):
+class UnitCounts(Recent):
     """Counts by unit, merged when first asked for."""
 
     def __init__(self, merger: PairMerger):
-        super().__init__()
+        super().__init__(CACHE)
         self.merger = merger
 
-    def __missing__(self, unit: str) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        count = self[unit] = self.merger.count(unit.replace(" ", SPACE))
-        return count
+    def made(self, unit: str) -> int:
+        return self.merger.count(unit.replace(" ", SPACE))
 
     def of(self, text: str) -> int:
         if not text:
