@@ -13,6 +13,9 @@ cut, into pieces of `capacity`; the last may be shorter.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -25,9 +28,34 @@ from pyspark.sql import functions as F
 from fleetlake.llm.common import Recent, batches, bound_batches, written
 
 CACHE = 300_000
+
+# How the word-level tokenizer file normalises and splits text.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The same pattern for words of printable ASCII and composed Latin letters, which NFC leaves alone.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-įı-ſ]+").fullmatch
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+").findall
+# Byte-level tokenizers write bytes without a visible Latin-1 character as the letters from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(Recent):
     """Little-endian 32-bit ids of the tokens of a word (UTF-8), CACHE words a generation.
 
@@ -39,7 +67,12 @@ class WordIds(Recent):
         super().__init__(CACHE)
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        parts = json.loads(self.tokenizer.to_str())
+        self.plain = parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == SPLITTER
+        self.parts: Recent = Recent(CACHE)
+        self.parts.made = self._part
 
     def of(self, text: bytes) -> bytes:
         words = text.split()
@@ -48,8 +81,18 @@ class WordIds(Recent):
         return b"".join(map(self.__getitem__, words))
 
     def encoded(self, words: list[bytes]) -> list[bytes]:
-        found = self.encode([word.decode() for word in words], add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        """Ids of words. Simple ones (Latin letters, digits, ASCII marks, no special token) are cut by the
+        tokenizer's own pattern here, so that only its merge table has to be asked, once per part."""
+        texts = [word.decode() for word in words]
+        hard = [t for t in texts if not (self.plain and SIMPLE(t)) or "<|" in t]
+        found = self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)
+        slow = {t: pack_ids(f.ids) for t, f in zip(hard, found, strict=True)}
+        parts = self.parts
+        return [slow[t] if t in slow else b"".join([parts[p] for p in PARTS(t.lower())]) for t in texts]
+
+    def _part(self, part: str) -> bytes:
+        mapped = part.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return pack_ids([t.id for t in self.model.tokenize(mapped)])
 
     def made(self, word: bytes) -> bytes:
         ids = self.fresh.get(word)
