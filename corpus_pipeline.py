@@ -19,8 +19,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     It learns from the labelled rows of this stage's input outside the held-out fold.
     """
-    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels")))
-    return quality.scored(docs, model, docs.columns).filter("predicted = 1").select(*docs.columns)
+    known = quality.measured(docs, ["doc_id"])
+    model = quality.fit(quality.training_rows(known, table(spark, sf_dir, "labels")))
+    return quality.scored(docs, model, docs.columns, "text").filter("predicted = 1").select(*docs.columns)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,15 +133,34 @@ def solved(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], shrink: flo
     return Discriminant(prior, centre, scale, np.array(means), np.array(factors), np.array(logdets))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", shrink: float = 0.1, flatten: float = 0.3) -> Discriminant:
-    """Fit on rows (text, label). One row of moments per class and task is added up by Spark."""
+def measured(docs: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """`columns` of every row with `statistics`, the numbers of its text: what training joins labels to."""
+    bound_batches(docs.sparkSession)
+    schema = docs.select(*columns).schema.add("statistics", T.ArrayType(T.DoubleType()))
+    names = schema.names
+
+    def measure(it):
+        for batch in batches(it):
+            x = statistics(batch.column(batch.num_columns - 1))
+            bounds = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(bounds, pa.array(x.ravel()))], names=names)
+
+    return docs.select(*columns, F.col(text_col).cast("string").alias("__text")).mapInArrow(measure, schema)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(-1, len(STATISTICS))
+
+
+def fit(labelled: DataFrame, label_col: str = "quality", shrink: float = 0.1, flatten: float = 0.3) -> Discriminant:
+    """Fit on rows (statistics, label). One row of moments per class and task is added up by Spark."""
     bound_batches(labelled.sparkSession)
     d = len(STATISTICS)
 
     def moments(it):
         total: dict[int, list] = {}
         for batch in batches(it):
-            x, y = statistics(batch.column(0)), np.asarray(batch.column(1))
+            x, y = _matrix(batch.column(0)), np.asarray(batch.column(1))
             for label in (0, 1):
                 own = x[y == label]
                 if len(own):
@@ -152,7 +171,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
         values = [float(x) for v in total.values() for x in v]
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(places, pa.int32()), pa.array(values, pa.float64())], names=["label", "place", "value"])
 
-    rows = labelled.select(F.col(text_col).cast("string"), F.col(label_col).cast("int").alias("label"))
+    rows = labelled.select("statistics", F.col(label_col).cast("int").alias("label"))
     sums = rows.filter("label in (0, 1)").mapInArrow(moments, "label int, place int, value double")
     found: dict[int, np.ndarray] = {}
     for row in sums.groupBy("label", "place").agg(F.sum("value").alias("value")).collect():
@@ -160,25 +179,27 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     return solved({k: (v[0], v[1 : d + 1], v[d + 1 :].reshape(d, d)) for k, v in found.items()}, shrink, flatten)
 
 
-def scored(docs: DataFrame, model: Discriminant, columns: list[str], text_col: str = "text") -> DataFrame:
-    """`columns` of every row with `score` and `predicted` (1 from a score of 0.5 on)."""
-    bound_batches(docs.sparkSession)
-    kept = docs.select(*columns)
-    schema = kept.schema.add("score", T.DoubleType()).add("predicted", T.IntegerType())
+def scored(rows: DataFrame, model: Discriminant, columns: list[str], text_col: str | None = None) -> DataFrame:
+    """`columns` of every row with `score` and `predicted` (1 from a score of 0.5 on), from its text
+    where `text_col` is named, else from its `statistics`."""
+    bound_batches(rows.sparkSession)
+    schema = rows.select(*columns).schema.add("score", T.DoubleType()).add("predicted", T.IntegerType())
     names = schema.names
 
     def score(it):
         for batch in batches(it):
-            values = model.scores(statistics(batch.column(batch.num_columns - 1)))
+            last = batch.column(batch.num_columns - 1)
+            values = model.scores(statistics(last) if text_col else _matrix(last))
             arrays = [*batch.columns[:-1], pa.array(values), pa.array((values >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    rows = docs.select(*columns, F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(score, schema)
+    basis = F.col(text_col).cast("string") if text_col else F.col("statistics")
+    return rows.select(*columns, basis.alias("__basis")).mapInArrow(score, schema)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
-    """(text, quality) of labelled documents outside the held-out fold, by crc32 of the id as text."""
+def training_rows(known: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
+    """(statistics, quality) of labelled rows (doc_id, statistics) outside the held-out fold, by crc32 of
+    the id as text. Texts do not move: labels meet the statistics only."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
-    known = labels.filter(F.col("quality").isNotNull()).filter(fold != held).select("doc_id", "quality")
-    return docs.select("doc_id", "text").join(known, "doc_id").select("text", "quality")
+    rated = labels.filter(F.col("quality").isNotNull()).filter(fold != held).select("doc_id", "quality")
+    return known.select("doc_id", "statistics").join(rated, "doc_id").select("statistics", "quality")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.llm import exact_dedup, exact_topk, jaccard_join, language, packing, quality
 from fleetlake.llm import sentencepiece_codec, substring_dedup, token_counts, url_filter
-from fleetlake.llm.common import table
+from fleetlake.llm.common import table, written
 
 PIECE_MODEL, WORD_TOKENIZER = "piece_bpe_32k.model", "word_bpe_49k.json"
 SITE_RULES = [
@@ -65,10 +65,10 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality.fit(quality.training_rows(docs, table(spark, sf_dir, "labels")))
-    rows = docs.select("doc_id", "text", (fold(3) == 1).alias("held_out"))
-    return quality.scored(rows, model, ["doc_id", "held_out"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(3) == 1).alias("held_out"))
+    known = written(quality.measured(docs, ["doc_id", "held_out"]), "statistics")
+    model = quality.fit(quality.training_rows(known, table(spark, sf_dir, "labels")))
+    return quality.scored(known, model, ["doc_id", "held_out"])
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,20 +60,20 @@ def test_quality_of_odd_texts_and_labels(spark):
     docs = frame(spark, texts).withColumn("__x", F.lit(1))
     good = [(f"word{i} and other{i} things {i}", 1) for i in range(30)]
     bad = [(f"AA{i}!!! BB!!! AA{i}!!!", 0) for i in range(20)] + [("a", None), (None, 0), ("b", 7)]
-    model = quality.fit(spark.createDataFrame(good + bad, "text string, quality int"))
-    found = quality.scored(docs, model, ["doc_id", "lang"]).collect()
+    fitted = lambda rows: quality.fit(quality.measured(spark.createDataFrame(rows, "text string, quality int"), ["quality"]))
+    model = fitted(good + bad)
+    found = quality.scored(docs, model, ["doc_id", "lang"], "text").collect()
     assert len(found) == len(texts) and all(0 <= r["score"] <= 1 for r in found)
     probe = frame(spark, ["words and other plain things 7", "CC!!! DD!!! CC!!!"])
-    assert {r["doc_id"]: r["predicted"] for r in quality.scored(probe, model, ["doc_id"]).collect()} == {0: 1, 1: 0}
-    one = quality.fit(spark.createDataFrame(good, "text string, quality int"))
-    assert {r["score"] for r in quality.scored(docs, one, ["doc_id"]).collect()} == {1.0}
-    none = quality.fit(spark.createDataFrame([], "text string, quality int"))
-    assert {r["score"] for r in quality.scored(docs, none, ["doc_id"]).collect()} == {0.5}
+    assert {r["doc_id"]: r["predicted"] for r in quality.scored(probe, model, ["doc_id"], "text").collect()} == {0: 1, 1: 0}
+    assert {r["score"] for r in quality.scored(docs, fitted(good), ["doc_id"], "text").collect()} == {1.0}
+    assert {r["score"] for r in quality.scored(docs, fitted([]), ["doc_id"], "text").collect()} == {0.5}
 
 
 def test_repeated_runs_score_alike(spark):
     docs = frame(spark, ["plain words here", "AA!!! BB!!!"] * 20).withColumn("quality", (F.col("doc_id") % 2 == 0).cast("int"))
-    runs = [sorted(quality.scored(docs, quality.fit(docs.repartition(n)), ["doc_id"]).collect()) for n in (2, 5)]
+    known = quality.measured(docs, ["doc_id", "quality"])
+    runs = [sorted(quality.scored(known, quality.fit(known.repartition(n)), ["doc_id"]).collect()) for n in (2, 5)]
     assert all(abs(a["score"] - b["score"]) < 1e-9 for a, b in zip(*runs, strict=True))
 
 
