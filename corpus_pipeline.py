@@ -21,7 +21,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     known = quality.measured(docs, ["doc_id"])
     model = quality.fit(quality.training_rows(known, table(spark, sf_dir, "labels")))
-    return quality.scored(docs, model, docs.columns, "text").filter("predicted = 1").select(*docs.columns)
+    plain = [f"column{i}" for i in range(len(docs.columns))]  # a column may be called score
+    rows = quality.scored(docs.toDF(*plain), model, plain, plain[docs.columns.index("text")])
+    return rows.filter("predicted = 1").select(*plain).toDF(*docs.columns)
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +40,15 @@ def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur earlier; those of which nothing is left go."""
-    rows = substring_dedup.without_repeats(docs).filter("n_removed = 0 OR n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    fixed = ("doc_id", "text", "n_chars")
+    plain = [c if c in fixed else f"column{i}" for i, c in enumerate(docs.columns)]  # or n_words
+    rows = substring_dedup.without_repeats(docs.toDF(*plain)).filter("n_removed = 0 OR n_removed < n_words")
+    cut = F.col("n_removed") > 0
+    rows = rows.withColumn("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        size = F.when(cut, F.length("text")).otherwise(F.col("n_chars"))
         rows = rows.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*plain).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -152,13 +152,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """`docs` (doc_id, text) with n_words, n_removed and kept_text.
 
     kept_text is the kept words joined by one space where words were removed, else the text as it is.
+    Columns of `docs` with one of the three names are replaced.
     """
     hits = repeated_windows(docs.select("doc_id", "text"), window, anchor)
-    marks = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits")).alias("marks"))
+    marks = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits")).alias("__marks"))
     rows = docs.join(marks, "doc_id", "left")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    kept = rows.select("doc_id", *others, "text", "marks")
-    schema = kept.drop("marks").schema.add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_text", T.StringType())
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept_text")]
+    kept = rows.select("doc_id", *others, "text", "__marks")
+    schema = kept.drop("__marks").schema.add("n_words", T.LongType()).add("n_removed", T.LongType()).add("kept_text", T.StringType())
     names = schema.names
 
     def cut(it):

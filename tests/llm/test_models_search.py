@@ -151,6 +151,19 @@ def test_top_k_of_nothing_and_of_mixed_lengths(spark):
     assert found == {(0, 1, 1, 256 * 256 * 5), (50, 1, 2, 256 * 256 * 2)}
 
 
+def test_pipeline_stages_take_odd_rows(spark, small):
+    """Nulls in any column, repeated rows, empty texts and columns called like the stages' own."""
+    names = ["score", "predicted", "n_words", "kept_text", "marks", "component_id", "low", "length"]
+    docs = frame(spark, [(1, "a plain text"), (1, "a plain text"), (None, "x y"), (3, None), (4, ""), (5, LONG)])
+    docs = docs.withColumns({n: F.lit(n) for n in names}).withColumn("lang", F.lit(None).cast("string")).withColumn("n_chars", F.lit(None).cast("long"))
+    for rows in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, small)
+            assert out.columns == docs.columns
+            assert {r["score"] for r in out.collect()} <= {"score"}
+        assert corpus_pipeline.STAGES[-1][1](spark, rows, small).count() >= rows.count()
+
+
 def test_pipeline_stages_against_brute_force(spark, small):
     """Each stage on what its predecessor kept, the classifier taken as given."""
     docs = spark.read.parquet(f"{small}/documents.parquet")
