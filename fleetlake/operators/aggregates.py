@@ -29,15 +29,26 @@ def text_set(column: str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(column)), ",")
 
 
-def pivot_mean(df: DataFrame, index: str, columns: str, value: str, names: list) -> DataFrame:
+def pivot_mean(df: DataFrame, index: str, columns: str, value: str, names: list | None = None) -> DataFrame:
     """Mean of `value` per index row and pivoted column; absent cells are null.
 
-    `names` lists the columns: the schema is then known before the query runs and no extra job
-    collects distinct values. For an unbounded number of columns use the long form.
+    Without `names` every value found becomes a column: Spark looks the distinct values up first and
+    refuses more than spark.sql.pivotMaxValues of them. Given `names`, only those become columns and
+    no extra job runs. For more columns than a row can hold use `pivot_map`.
     """
     return df.groupBy(index).pivot(columns, names).agg(F.avg(value))
 
 
+def pivot_map(df: DataFrame, index: str, columns: str, value: str) -> DataFrame:
+    """(index, cells): the mean of `value` per pivoted value as one map, for columns known only by the data.
+
+    Means are taken per (index, column) first, so a row holds one entry per distinct value.
+    """
+    means = df.groupBy(index, columns).agg(F.avg(value).alias("_mean")).where(F.col(columns).isNotNull())
+    entries = F.array_sort(F.collect_list(F.struct(columns, "_mean")))
+    return means.groupBy(index).agg(F.map_from_entries(entries).alias("cells"))
+
+
 def slice_rows(df: DataFrame, slices: list[str], keys: list[str], *aggregates: Column) -> DataFrame:
     """Aggregates over the whole table and over each slice column alone, per `keys`.
 

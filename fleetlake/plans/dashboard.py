@@ -65,7 +65,7 @@ def heatmap(telemetry: DataFrame, clusters: DataFrame, filters: Filters, *also:
     )
 
 
-def heatmap_matrix(rows: DataFrame, columns: str, names: list) -> DataFrame:
+def heatmap_matrix(rows: DataFrame, columns: str, names: list | None = None) -> DataFrame:
     """Clusters down, `columns` across, mean of the heatmap's avg_util in the cells."""
     return pivot_mean(rows, "cluster_name", columns, "avg_util", names)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.session import scratch_dir
 
@@ -45,18 +46,21 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*keys, *[pick(c) for c in rest])
 
 
-def upsert_partitions(path: str, source: DataFrame, keys: list[str], partition: str, most: int = 10_000) -> None:
+def upsert_partitions(path: str, source: DataFrame, keys: list[str], partition: str) -> None:
     """Upsert into a table partitioned by `partition`, rewriting only the partitions `source` touches.
 
-    `partition` must follow from the key, such as the date of window_start. Partition values are
-    few by design and checked against `most`. The new partitions are staged first, so the job that
-    replaces them does not read what it overwrites, and a failed replace can be rerun.
+    `partition` must follow from the key, such as the date of window_start; null is a partition like
+    any other. It is read with the source's type, since folder names alone do not tell a text from a
+    number. The new partitions are staged first, so the job that replaces them does not read what it
+    overwrites, and a failed replace can be rerun.
     """
     spark = source.sparkSession
-    touched = [r[0] for r in source.select(partition).distinct().limit(most + 1).collect()]
-    if len(touched) > most:
-        raise ValueError(f"the source touches more than {most} partitions")
-    target = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    kind = source.schema[partition].dataType
+    stored = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, kind if f.name == partition else f.dataType) for f in stored])
+    touched = source.select(F.col(partition).alias("_touched")).distinct()
+    table = spark.read.schema(schema).parquet(path)
+    target = table.join(touched, table[partition].eqNullSafe(touched["_touched"]), "left_semi")
     staged = scratch_dir(spark, "upsert")
     upsert(target, source, keys).write.parquet(staged)
     (

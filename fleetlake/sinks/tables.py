@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -62,12 +63,13 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest published version below `base`, or None before the first."""
-    try:
-        versions = spark.read.parquet(base).select("version")
-    except AnalysisException:
+    """Highest version folder below `base`, or None before the first. A version may hold no rows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
         return None
-    return versions.agg(F.max(F.col("version").cast("int"))).first()[0]
+    names = [entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory()]
+    return max((int(n[8:]) for n in names if re.fullmatch(r"version=\d+", n)), default=None)
 
 
 def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
@@ -88,7 +90,7 @@ def publish(df: DataFrame, base: str) -> int:
 
 def latest_numeric_version(versions: DataFrame, name: str, version: str) -> DataFrame:
     """Newest version per name where versions are text: '10' is newer than '9'."""
-    return versions.groupBy(name).agg(F.max(F.col(version).cast("int")).alias("latest_version"))
+    return versions.groupBy(name).agg(F.max(F.col(version).cast("bigint")).alias("latest_version"))
 
 
 def absent_from(wanted: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

@@ -73,6 +73,26 @@ def test_counted_write_versions_and_evolution(spark):
     assert wide.columns == ["k", "v", "w"] and wide.count() == 3
 
 
+def test_versions_without_rows_and_beyond_an_int(spark):
+    base = scratch_dir(spark, "v")
+    df = spark.createDataFrame([(1, "a")], KV)
+    assert [SK.publish(df, base), SK.publish(df.limit(0), base)] == [1, 2]
+    assert SK.latest_version(spark, base) == 2 and SK.read_version(spark, base).count() == 0
+    assert SK.publish(df, base) == 3
+    versions = spark.createDataFrame([("m", "3000000000"), ("m", "9")], "name string, version string")
+    assert SK.latest_numeric_version(versions, "name", "version").first().latest_version == 3_000_000_000
+
+
+def test_partition_upsert_keeps_null_and_text_partitions(spark):
+    path = scratch_dir(spark, "parts")
+    target = [(1, "a", "01"), (2, "b", None), (3, "c", None), (4, "d", "02")]
+    shape = "k int, v string, p string"
+    spark.createDataFrame(target, shape).write.partitionBy("p").parquet(path)
+    CG.upsert_partitions(path, spark.createDataFrame([(2, "B", None), (1, "A", "01"), (5, "e", "03")], shape), ["k"], "p")
+    found = spark.read.schema(shape).parquet(path)
+    assert rows(found) == sorted([(1, "A", "01"), (2, "B", None), (3, "c", None), (4, "d", "02"), (5, "e", "03")], key=repr)
+
+
 def test_conform_gives_the_declared_feature_table(spark):
     want = schemas.table_schemas()["gpu_health_features"]
     df = spark.createDataFrame([("g", 1)], "gpu_id string, error_count_1h int")
