@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -240,8 +242,8 @@ _TEST = ["start", "slice_key", "slice_value", "column_name"]
 _NO_WINDOW = -(2**63)  # start of baseline rows; keys are never null, so no null filter sets one use of a shuffle apart
 
 
-def _with_bins(df: DataFrame, sample: DataFrame, numeric: list[str], bins: int) -> DataFrame:
-    """Add a `_bin_<column>` per numeric column: equal-frequency bins of `sample`'s values.
+def _with_bins(df: DataFrame, samples: list[DataFrame], numeric: list[str], bins: int) -> DataFrame:
+    """Add a `_bin_<column>` per numeric column: equal-frequency bins of the values of all `samples`.
 
     The cut points come from one approximate-quantile pass over the finite values; they are fewer
     than `bins` numbers per column.
@@ -251,7 +253,8 @@ def _with_bins(df: DataFrame, sample: DataFrame, numeric: list[str], bins: int)
     valued = df.withColumns(doubles)
     if bins < 2:
         return valued.withColumns({f"_bin_{c}": F.lit(0) for c in numeric})
-    points = sample.select(*[v.alias(k) for k, v in doubles.items()]).approxQuantile(
+    values = [sample.select(*[v.alias(k) for k, v in doubles.items()]) for sample in samples]
+    points = reduce(DataFrame.unionByName, values).approxQuantile(
         list(doubles), [i / bins for i in range(1, bins)], 0.2 / bins
     )
     for c, found in zip(numeric, points):
@@ -265,16 +268,8 @@ def _with_bins(df: DataFrame, sample: DataFrame, numeric: list[str], bins: int)
     return valued
 
 
-def _enough_bins(df: DataFrame, rows_per_bin: int = 2_000_000, most: int = 4096) -> int:
-    """Bins for which even one window with all rows is sorted in pieces of a few million rows."""
-    return max(1, min(most, -(-df.count() // rows_per_bin)))
-
-
-def _value_counts(df: DataFrame, start: Column, numeric: list[str], slices: list[str]) -> DataFrame:
-    """(test keys, bin, value, n): how often each value occurs; nulls dropped.
-
-    Counting first makes a value that many rows share one row, before anything is sorted.
-    """
+def _cells(df: DataFrame, start: Column, numeric: list[str], slices: list[str]) -> DataFrame:
+    """(test keys, bin, value) of every row, slice and numeric column; nulls dropped."""
     cells = F.array(
         *[
             F.struct(
@@ -289,48 +284,76 @@ def _value_counts(df: DataFrame, start: Column, numeric: list[str], slices: list
         .withColumn("_cell", F.explode(cells))
         .select("start", "_slice.*", "_cell.*")
         .where(F.col("value").isNotNull())
-        .groupBy(*_TEST, "bin", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def _bin_counts(cells: DataFrame) -> DataFrame:
+    """(test keys, bin, n): combines to tests times bins rows before the shuffle."""
+    return cells.groupBy(*_TEST, "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bounded(counts: DataFrame) -> DataFrame:
+    """Per test and bin (counts ref, cur): what lies below, the gap at the best bin edge, and a bound
+    on the gap inside the bin.
+
+    With gap g below a bin that holds shares r and c, the gap inside it is at most the larger of
+    |g + r| and |g - c|, since both running shares only grow.
+    """
+    test = Window.partitionBy(*_TEST)
+    lower = test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    known = counts.select(
+        *_TEST, "bin", "ref", "cur",
+        F.coalesce(F.sum("ref").over(lower), F.lit(0)).alias("ref0"),
+        F.coalesce(F.sum("cur").over(lower), F.lit(0)).alias("cur0"),
+        F.sum("ref").over(test).alias("n_ref"),
+        F.sum("cur").over(test).alias("n_cur"),
+    ).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    below = F.col("ref0") / F.col("n_ref") - F.col("cur0") / F.col("n_cur")
+    above = (F.col("ref0") + F.col("ref")) / F.col("n_ref") - (F.col("cur0") + F.col("cur")) / F.col("n_cur")
+    bound = F.greatest(F.abs(below + F.col("ref") / F.col("n_ref")), F.abs(below - F.col("cur") / F.col("n_cur")))
+    gaps = known.withColumn("above", F.abs(above)).withColumn("bound", bound)
+    return gaps.withColumn("edge", F.max("above").over(test))
+
+
+def _wanted(bounded: DataFrame) -> DataFrame:
+    """The bins that can still beat the best edge; all others are decided by their counts."""
+    return bounded.where(F.col("bound") > F.col("edge")).select(*_TEST, "bin", "ref0", "cur0", "n_ref", "n_cur")
+
+
 def _ks_consecutive(df, ts, numeric, slices, width, bins) -> DataFrame:
     """KS statistic of every window against the calendar window before it.
 
-    D is the largest gap between the two cumulative shares over all values. A window may hold a
-    large part of all rows, so it is not sorted as one group: counted values are summed up in value
-    order inside each bin and shifted by the totals of the lower bins.
+    D is the largest gap between the two cumulative shares over all values. At bin edges it follows
+    from counts; only bins that may hold a larger one are read again by value, summed up in value
+    order and shifted by what lies below.
     """
-    rows = _with_bins(df.where(F.col(ts).isNotNull()), df, numeric, bins)
-    counted = _value_counts(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
-    zero = F.lit(0).cast("bigint")
-    sides = F.array(
-        F.struct(F.col("start").alias("start"), F.col("n").alias("cur"), zero.alias("ref")),
-        F.struct((F.col("start") + width).alias("start"), zero.alias("cur"), F.col("n").alias("ref")),
-    )
-    cell = [*_TEST, "bin"]
-    points = counted.withColumn("_side", F.explode(sides)).select(*cell[1:], "value", "_side.*")
+    rows = _with_bins(df.where(F.col(ts).isNotNull()), [df], numeric, bins)
+    cells = _cells(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
+    zero, cell = F.lit(0).cast("bigint"), [*_TEST, "bin"]
+
+    def sides(counted):
+        n = F.col("n")
+        both = F.array(
+            F.struct(F.col("start").alias("start"), n.alias("cur"), zero.alias("ref")),
+            F.struct((F.col("start") + width).alias("start"), zero.alias("cur"), n.alias("ref")),
+        )
+        return counted.withColumn("_side", F.explode(both)).drop("start", "n").select("*", "_side.*").drop("_side")
 
-    totals = points.groupBy(*cell).agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
-    test = Window.partitionBy(*_TEST)
-    lower = test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *cell,
-        F.coalesce(F.sum("_r").over(lower), F.lit(0)).alias("ref0"),
-        F.coalesce(F.sum("_c").over(lower), F.lit(0)).alias("cur0"),
-        F.sum("_r").over(test).alias("n_ref"),
-        F.sum("_c").over(test).alias("n_cur"),
-    ).where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
-    # The frame is by value, so both sides of an equal value are in before the gap is taken.
-    inside = Window.partitionBy(*cell).orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
-    running = points.select(*cell, F.sum("ref").over(inside).alias("ref1"), F.sum("cur").over(inside).alias("cur1"))
-    gap = F.abs((F.col("ref0") + F.col("ref1")) / F.col("n_ref") - (F.col("cur0") + F.col("cur1")) / F.col("n_cur"))
-    return _largest(running.join(offsets, cell), gap)
-
-
-def _largest(points: DataFrame, gap: Column) -> DataFrame:
+    sums = [F.sum("ref").alias("ref"), F.sum("cur").alias("cur")]
+    bounded = _bounded(sides(_bin_counts(cells)).groupBy(*cell).agg(*sums))
+    places = ["ref0", "cur0", "n_ref", "n_cur"]
+    inside = sides(cells.withColumn("n", F.lit(1).cast("bigint"))).join(_wanted(bounded), cell)
+    points = inside.groupBy(*cell, "value").agg(*sums, *[F.first(c).alias(c) for c in places])
+    up_to = Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ref, cur = F.col("ref0") + F.sum("ref").over(up_to), F.col("cur0") + F.sum("cur").over(up_to)
+    gap = F.abs(ref / F.col("n_ref") - cur / F.col("n_cur"))
+    return _largest(bounded, points.select(*_TEST, "n_ref", "n_cur", gap.alias("gap")))
+
+
+def _largest(bounded: DataFrame, points: DataFrame) -> DataFrame:
+    edges = bounded.select(*_TEST, "n_ref", "n_cur", F.col("above").alias("gap"))
     return (
-        points.select(*_TEST, "n_ref", "n_cur", gap.alias("gap"))
+        edges.unionByName(points)
         .groupBy(*_TEST)
         .agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max("gap").alias("statistic"))
     )
@@ -339,57 +362,45 @@ def _largest(points: DataFrame, gap: Column) -> DataFrame:
 def _ks_baseline(df, baseline, ts, numeric, slices, width, bins) -> DataFrame:
     """KS statistic of every window against one fixed baseline sample of the same slice.
 
-    The baseline is not repeated per window. All windows' values and the baseline's are merged in
-    value order per (slice, column, bin): the running baseline count at a value is then known to
-    every window. Between two values of a window its own share is constant and the baseline's
-    only grows, so the largest gap lies at a value, just before one, or beyond the last.
+    Bins are cut on both samples together, so values outside the baseline's range are spread over
+    bins as well. Bins that counts do not decide are read by value: all windows' values and the
+    baseline's are merged in value order per (slice, column, bin), and the running baseline count at
+    a value is then known to every window. Between two values of a window its own share is constant
+    and the baseline's only grows, so the largest gap lies at a value, just before one, or at an edge.
     """
     scope = ["slice_key", "slice_value", "column_name"]
     cell = [*scope, "bin"]
-    rows = _with_bins(df.where(F.col(ts).isNotNull()), baseline, numeric, bins)
-    current = _value_counts(rows, slot_start(micros(F.col(ts)), width), numeric, slices).withColumnRenamed("n", "cur")
-    fixed = _value_counts(_with_bins(baseline, baseline, numeric, bins), F.lit(None).cast("bigint"), numeric, slices)
-    reference = fixed.withColumnRenamed("n", "ref")
+    samples = [df, baseline]
+    rows = _with_bins(df.where(F.col(ts).isNotNull()), samples, numeric, bins)
+    current = _cells(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
+    fixed = _cells(_with_bins(baseline, samples, numeric, bins), F.lit(None).cast("bigint"), numeric, slices)
     zero = F.lit(0).cast("bigint")
-    merged = current.withColumn("ref", zero).unionByName(reference.withColumn("cur", zero))
-
-    # Row totals per test and bin; both kinds of offsets come from this small table. Every bin that
-    # either side uses gets the count of baseline values in lower bins. Both sums stay in use in
-    # every branch: the branches then need the same value counts and Spark computes those once.
-    totals = merged.groupBy(*_TEST, "bin").agg(F.sum("ref").alias("_r"), F.sum("cur").alias("_c"))
-    used = F.col("_r") + F.col("_c") > 0
-    all_bins = Window.partitionBy(*scope)
-    lower = all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    ref_offsets = (
-        totals.groupBy(*cell)
-        .agg(F.sum("_r").alias("_r"), F.sum("_c").alias("_c"))
-        .where(used)
-        .select(
-            *cell, F.coalesce(F.sum("_r").over(lower), F.lit(0)).alias("ref0"), F.sum("_r").over(all_bins).alias("n_ref")
-        )
-        .where(F.col("n_ref") > 0)
-    )
-    test = Window.partitionBy(*_TEST)
-    before = test.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    cur_offsets = totals.where(used).select(
-        *_TEST, "bin", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("cur0"), F.sum("_c").over(test).alias("n_cur")
-    )
-
+    own = _bin_counts(current).withColumnRenamed("n", "cur").withColumn("ref", zero)
+    tests = own.select(*_TEST).distinct()
+    reference = tests.join(_bin_counts(fixed).drop("start"), scope).select(*_TEST, "bin", zero.alias("cur"), F.col("n").alias("ref"))
+    bounded = _bounded(own.unionByName(reference).groupBy(*_TEST, "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
+    wanted = _wanted(bounded)
+
+    place = [*_TEST, "bin"]
+    places = ["ref0", "cur0", "n_ref", "n_cur"]
+    chosen = current.join(wanted, place).groupBy(*place, "value").agg(F.count(F.lit(1)).alias("cur"), *[F.first(c).alias(c) for c in places])
+    against = fixed.join(wanted.select(*cell).distinct(), cell, "left_semi").groupBy(*place, "value").agg(F.count(F.lit(1)).alias("ref"))
+    merged = chosen.unionByName(against, allowMissingColumns=True).na.fill(0, ["ref", "cur"])
     up_to = Window.partitionBy(*cell).orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
     at_value = Window.partitionBy(*cell, "value")
-    own = Window.partitionBy(*cell, "start").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    mine = Window.partitionBy(*cell, "start").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     points = (
         merged.withColumn("ref1", F.sum("ref").over(up_to))
         .withColumn("ref_here", F.sum("ref").over(at_value))
         .where(F.col("start") != _NO_WINDOW)
-        .withColumn("cur1", F.sum("cur").over(own))
+        .withColumn("cur1", F.sum("cur").over(mine))
     )
     ref_at = (F.col("ref0") + F.col("ref1")) / F.col("n_ref")
     ref_before = (F.col("ref0") + F.col("ref1") - F.col("ref_here")) / F.col("n_ref")
     cur_at = (F.col("cur0") + F.col("cur1")) / F.col("n_cur")
     cur_before = (F.col("cur0") + F.col("cur1") - F.col("cur")) / F.col("n_cur")
     gap = F.greatest(F.abs(ref_at - cur_at), F.abs(ref_before - cur_before))
-    return _largest(points.join(ref_offsets, cell).join(cur_offsets, [*_TEST, "bin"]), gap)
+    return _largest(bounded, points.select(*_TEST, "n_ref", "n_cur", gap.alias("gap")))
 
 
 def _category_counts(df, ts, categorical, slices, width) -> DataFrame:
@@ -446,15 +457,15 @@ def drift(
     granularity: str = "1 day",
     slices: list[str] | None = None,
     baseline: DataFrame | None = None,
-    bins: int | None = None,
+    bins: int = 256,
 ) -> DataFrame:
     """Drift tests per (window, slice, column) against the previous window or a baseline table.
 
     Columns: window, granularity, slice_key, slice_value, column_name, drift_type (CONSECUTIVE or
     BASELINE), n_ref, n_cur, ks_test{statistic,pvalue} for numeric columns and
     chi_squared_test{statistic,pvalue} for categorical ones. A window without a predecessor, or
-    with an empty side, has no row. `bins` is the number of pieces a window's values are sorted in;
-    by default it follows from the row count, and the result does not depend on it.
+    with an empty side, has no row. `bins` is how many pieces the values of a window are cut into; the
+    result does not depend on it, but the largest group that is sorted does.
     """
     slices, categorical = slices or [], categorical or []
     width = interval_us(granularity)
@@ -462,8 +473,6 @@ def drift(
     empty = F.lit(None).cast("struct<statistic:double,pvalue:double>")
     found = []
     if numeric:
-        if bins is None:
-            bins = _enough_bins(df)
         ks = (
             _ks_consecutive(df, ts, numeric, slices, width, bins)
             if baseline is None

@@ -79,13 +79,13 @@ def _drift(slices: list[str], baseline: bool) -> str:
     )
     parts.append(
         """chi AS (SELECT day, slice_key, slice_value, column_name, n_ref, n_cur,
-  sum(pow(r - er, 2) / er + pow(c - ec, 2) / ec) AS chi2_stat FROM (
+  sum(pow(r - er, 2) / er + pow(c - ec, 2) / ec) AS chi2_stat, count(*) - 1 AS degrees FROM (
   SELECT *, (r + c) * n_ref / (n_ref + n_cur)::DOUBLE AS er, (r + c) * n_cur / (n_ref + n_cur)::DOUBLE AS ec FROM cat_all) GROUP BY ALL)"""
     )
     parts.append(
         """tests AS (SELECT day, slice_key, slice_value, column_name, n_ref, n_cur, ks_stat, NULL::DOUBLE AS chi2_stat,
-  sqrt(n_ref * n_cur / (n_ref + n_cur)::DOUBLE) AS root FROM ks
-  UNION ALL SELECT day, slice_key, slice_value, column_name, n_ref, n_cur, NULL, chi2_stat, NULL FROM chi),
+  NULL::BIGINT AS degrees, sqrt(n_ref * n_cur / (n_ref + n_cur)::DOUBLE) AS root FROM ks
+  UNION ALL SELECT day, slice_key, slice_value, column_name, n_ref, n_cur, NULL, chi2_stat, degrees, NULL FROM chi),
 lams AS (SELECT *, (root + 0.12 + 0.11 / root) * ks_stat AS lam FROM tests),
 tails AS (SELECT *, CASE WHEN lam IS NULL THEN NULL WHEN lam < 0.2 THEN 1.0::DOUBLE ELSE
   least(greatest(2 * list_sum(list_transform(range(1, 101), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * j * j * lam * lam))), 0), 1) END AS ks_pvalue
@@ -94,6 +94,13 @@ tails AS (SELECT *, CASE WHEN lam IS NULL THEN NULL WHEN lam < 0.2 THEN 1.0::DOU
     return ",\n".join(parts)
 
 
+# Upper chi-squared tail for whole degrees: a finite sum, for odd ones plus erfc by the series of erf.
+_CHI2_TAIL = """CASE WHEN chi2_stat IS NULL OR degrees < 1 THEN NULL WHEN chi2_stat <= 0 THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE,
+  CASE WHEN degrees % 2 = 0 THEN 0 ELSE 1 - 2 / sqrt(pi()) * exp(-chi2_stat / 2) * list_sum(list_transform(range(0, 400), lambda n:
+    exp((n + 0.5::DOUBLE) * ln(chi2_stat / 2) + 2 * n * ln(2) + lgamma(n + 1.0::DOUBLE) - lgamma(2 * n + 2.0::DOUBLE)))) END
+  + coalesce(list_sum(list_transform(range(0, degrees // 2), lambda j: exp((j + degrees % 2 * 0.5::DOUBLE) * ln(chi2_stat / 2)
+    - chi2_stat / 2 - lgamma(j + 1 + degrees % 2 * 0.5::DOUBLE)))), 0)) END"""
+
 _WEEK = """week AS (SELECT * FROM predictions WHERE prediction_timestamp < (SELECT min(ts) FROM events) + INTERVAL 7 DAYS)"""
 _TEST_COLUMNS = """SELECT day AS window_start, slice_key, slice_value, column_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
   round(ks_stat, 8) AS ks_stat, round(ks_pvalue, 8) AS ks_pvalue, round(chi2_stat, 8) AS chi2_stat FROM tails"""
@@ -108,6 +115,10 @@ MONITORING = {
 ORDER BY window_start DESC, column_name, granularity, slice_key NULLS FIRST, slice_value NULLS FIRST LIMIT 20""",
     "drift_consecutive": with_(PREDICTIONS, _drift(_SLICES, False)) + _TEST_COLUMNS,
     "drift_from_baseline": with_(PREDICTIONS, _WEEK, _drift(["gpu_type"], True)) + _TEST_COLUMNS,
+    "q39_drift_report": with_(PREDICTIONS, _drift(_SLICES, False))
+    + f"""SELECT day AS window_start, day + INTERVAL 1 DAY AS window_end, slice_key, slice_value, column_name, round(chi2_stat, 8) AS chi2_stat,
+  round({_CHI2_TAIL}, 8) AS chi2_pvalue, round(ks_stat, 8) AS ks_stat, round(ks_pvalue, 8) AS ks_pvalue FROM tails
+ORDER BY day DESC, column_name, slice_key NULLS FIRST, slice_value NULLS FIRST LIMIT 20""",
     "retrain_triggers": with_(PREDICTIONS, _drift(_SLICES, False))
     + """SELECT day AS window_start, slice_key, slice_value, column_name,
   round(coalesce(ks_stat, sqrt(chi2_stat / (n_ref + n_cur))), 8) AS drift_score,

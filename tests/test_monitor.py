@@ -45,6 +45,16 @@ def test_ks_hot_value(spark):
     assert ks(df)[DAY + timedelta(days=1)].statistic == pytest.approx(0.5 - 1 / 501)
 
 
+def test_shifted_rows_spread_over_bins(spark):
+    """Values beyond the baseline's range must not fall into one bin, nor change the statistic."""
+    base = spark.range(2000).select(F.lit(DAY).cast("timestamp_ntz").alias("ts"), (F.col("id") / 2000).alias("x"))
+    moved = spark.range(20_000).select(F.lit(DAY).cast("timestamp_ntz").alias("ts"), (F.col("id") / 1000 + 0.5).alias("x"))
+    binned = MON._with_bins(moved, [moved, base], ["x"], 64).groupBy("_bin_x").count().collect()
+    assert max(r["count"] for r in binned) < 3 * 20_000 / 64
+    row = MON.drift(moved, "ts", ["x"], baseline=base).first()
+    assert row.ks_test.statistic == pytest.approx(0.975, abs=0.002)
+
+
 def test_chi_squared(spark):
     df = sample(spark, {0: [1] * 30 + [9] * 10, 1: [1] * 20 + [9] * 20})
     row = MON.drift(df, "ts", [], ["c"]).first()
@@ -145,4 +155,7 @@ def test_share_and_pivot(spark):
     assert shares == {"a": 66.67, "b": 33.33}
     wide = {r.i: (r.a, r.b) for r in AG.pivot_mean(df, "i", "c", "v", ["a", "b"]).collect()}
     assert wide == {"r": (1.0, 3.0), "s": (5.0, None)}
+    more = df.union(spark.createDataFrame([("s", "new", 9.0)], df.schema))
+    assert AG.pivot_mean(more, "i", "c", "v").columns == ["i", "a", "b", "new"]
+    assert {r.i: r.cells for r in AG.pivot_map(more, "i", "c", "v").collect()} == {"r": {"a": 1.0, "b": 3.0}, "s": {"a": 5.0, "new": 9.0}}
     assert AG.positive_rate(df.withColumn("y", (F.col("v") > 2).cast("int")), "y").first().positive_rate == pytest.approx(2 / 3)
