@@ -68,7 +68,8 @@ def _best_per_query(k: int):
         return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
 
     def best(queries: np.ndarray, ids, vectors) -> pd.DataFrame:
-        scores = queries @ unit_rows(vectors).T
+        # Rounded, so that equal vectors tie whatever their place in a product.
+        scores = np.round(queries @ unit_rows(vectors).T, 10)
         ranked = np.where(np.isnan(scores), -np.inf, scores)
         keep = min(k, ranked.shape[1])
         # The k-th best score of each query; ties with it all stay for the final order.
@@ -128,8 +129,9 @@ def _scan(first, asked, held, query_id, corpus_id, k, vector, block, cell, schem
         names, matrix = shared.value
         top = None
         for frame in frames:
-            if len(frame):
-                top = merge(top, best(matrix, frame[corpus_id].to_numpy(), frame[vector]))
+            for at in range(0, len(frame), 1000):
+                rows = frame.iloc[at : at + 1000]
+                top = merge(top, best(matrix, rows[corpus_id].to_numpy(), rows[vector]))
         if top is not None and len(top):
             yield pd.DataFrame(
                 {query_id: [names[i] for i in top["q"]], corpus_id: top["id"].to_numpy(), "score": top["score"].to_numpy()}
@@ -198,6 +200,36 @@ def top_k_approx(
     return top_per_group(scored, [query_id], k, F.col("score").desc(), F.col(corpus_id).asc())
 
 
+def token_weights(df: DataFrame, row_id: str, text: str, idf: DataFrame | None = None) -> DataFrame:
+    """(row_id, token, weight): TF-IDF weights scaled to unit length per row, one row per distinct token.
+
+    Without `idf` (token, idf) the weights are plain counts, not scaled.
+    """
+    tokens = F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")).alias("token")
+    counts = df.select(row_id, tokens).where(F.col("token") != "").groupBy(row_id, "token").agg(F.count(F.lit(1)).alias("weight"))
+    if idf is None:
+        return counts
+    weighed = counts.join(idf, "token").select(row_id, "token", (F.col("weight") * F.col("idf")).alias("weight"))
+    length = weighed.groupBy(row_id).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"))
+    return weighed.join(length, row_id).select(row_id, "token", F.try_divide("weight", "_length").alias("weight"))
+
+
+def text_top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, text: str = "content", k: int = 3) -> DataFrame:
+    """(query_id, corpus_id, score, rank): the k texts of highest TF-IDF cosine, ties by corpus_id.
+
+    Only shared tokens meet, in a plain equi-join that adaptive execution splits where a token is
+    common; nothing dense is built. idf is ln((rows + 1) / (rows with the token + 1)) of the corpus,
+    so a token that every text has adds nothing and is left out of the join.
+    """
+    found = token_weights(corpus, corpus_id, text).groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    rows = corpus.agg(F.count(F.lit(1))).scalar()
+    idf = found.select("token", F.log((rows + 1) / (F.col("_n") + 1)).alias("idf")).where(F.col("idf") > 0)
+    left = token_weights(queries, query_id, text, idf).withColumnRenamed("weight", "_q")
+    both = left.join(token_weights(corpus, corpus_id, text, idf), "token")
+    scores = both.groupBy(query_id, corpus_id).agg(F.round(F.sum(F.col("_q") * F.col("weight")), 8).alias("score"))
+    return top_per_group(scores, [query_id], k, F.col("score").desc(), F.col(corpus_id).asc())
+
+
 def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """Mean vector per group: one typical query per class of a vector table.
 

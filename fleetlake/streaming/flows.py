@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +58,16 @@ def snapshot_stream(
     return windowed(wide, "timestamp", list(keys), window, [*snapshot_statistics(), *bounds], slide, watermark)
 
 
+def late_rows(batch: DataFrame, ts: str, newest: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """The rows of a batch that a watermark would drop, for a side table: (`newest`: one row, `seen`,
+    the highest event time of the earlier batches)."""
+    bound = newest.select((F.col("seen") - F.expr(f"INTERVAL {watermark}")).alias("_bound"))
+    return batch.where(F.col(ts) < bound.agg(F.max("_bound")).scalar())
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows dropped for being later than the watermark, over all batches so far."""
+    """Rows dropped for being later than the watermark, over the batches whose progress Spark still
+    keeps (spark.sql.streaming.numRecentProgressUpdates); use `late_rows` for a complete side table."""
     return sum(
         op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
         for progress in query.recentProgress
@@ -97,24 +104,40 @@ def index_sink(base: str, model: PipelineModel, key: str = "chunk_id", text: str
 
     A chunk whose content hash the index has already is not embedded again. A batch holds arrivals,
     not the whole collection, so nothing is deleted here. Each batch writes its own folder and
-    looks only at earlier ones, so a replay gives the same rows.
+    looks only at earlier ones, so a replay gives the same rows. Of several versions of a chunk
+    inside one batch the one of the highest content hash counts. Of the index only keys, hashes and
+    batch numbers are read, and only for the keys of the batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch
-        try:
-            known = read_merged(spark, base, [key], before=number).select(key, "content_hash")
-        except AnalysisException:  # no batch has been written yet
-            known = None
-        if known is not None:
-            hashed = batch.withColumn("content_hash", F.sha2(F.col(text), 256))
+        content = F.sha2(F.col(text), 256)
+        newest = F.max_by(F.struct(*[c for c in batch.columns if c != key]), content).alias("_row")
+        fresh = batch.groupBy(key).agg(newest).select(key, "_row.*")
+        if _exists(spark, base):
+            log = spark.read.parquet(base).where(F.col("batch") < number).select(key, "content_hash", F.col("batch").cast("bigint"))
+            own = log.join(fresh.select(key), key, "left_semi")
+            known = own.groupBy(key).agg(F.max_by("content_hash", "batch").alias("content_hash"))
+            hashed = fresh.withColumn("content_hash", content)
             fresh = hashed.join(known, [key, "content_hash"], "left_anti").drop("content_hash")
         build_index(fresh, model, key, text).write.mode("overwrite").parquet(f"{base}/batch={number}")
 
     return write
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def compacted(spark: SparkSession, base: str, keys: list[str], to: str) -> None:
+    """Write the newest row of every key of an upsert log as batch -1 of a new log at `to`.
+
+    A sink that goes on writes its numbered batches there; the old log can go once no reader needs it.
+    """
+    read_merged(spark, base, keys).write.mode("overwrite").parquet(f"{to}/batch=-1")
+
+
 def run_available(
     stream: DataFrame,
     checkpoint: str,

@@ -27,6 +27,30 @@ def test_top_k_equals_brute_force(spark, block):
     assert len(hits) == 63 and {r.rank for r in hits} == {1, 2, 3}
 
 
+def test_text_search_equals_a_dense_product(spark):
+    import math
+    import re
+
+    texts = ["Fan failure on board", "fan fan FAN", "link down: fan ok", "nothing shared", "", None, "fan"]
+    asked = ["fan failure", "link", "absent words"]
+    corpus = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    queries = spark.createDataFrame(list(enumerate(asked)), "q long, content string")
+    split = lambda t: [w for w in re.split(r"[^a-z0-9]+", (t or "").lower()) if w]
+    vocabulary = {w for t in texts for w in split(t)}
+    idf = {w: math.log((len(texts) + 1) / (sum(w in split(t) for t in texts) + 1)) for w in vocabulary}
+
+    def unit(text):
+        weights = {w: split(text).count(w) * idf[w] for w in split(text) if w in idf}
+        length = math.sqrt(sum(x * x for x in weights.values()))
+        return {w: x / length for w, x in weights.items()}
+
+    want = set()
+    for q, text in enumerate(asked):
+        scores = [(-round(sum(x * unit(t).get(w, 0) for w, x in unit(text).items()), 8), i) for i, t in enumerate(texts)]
+        want |= {(q, i, -s, r + 1) for r, (s, i) in enumerate(sorted(x for x in scores if x[0] < 0)[:3])}
+    assert {tuple(r) for r in RT.text_top_k(queries, corpus, "q", "id").collect()} == want
+
+
 def test_top_k_ties_and_empty_vectors(spark):
     corpus = spark.createDataFrame(
         [(5, [1.0, 0.0]), (2, [2.0, 0.0]), (9, [3.0, 0.0]), (1, [0.0, 1.0]), (7, [0.0, 0.0]), (8, None)], "id int, embedding array<float>"

@@ -93,3 +93,18 @@ def test_index_follows_arriving_chunks(spark):
     assert spark.read.parquet(base).where("batch = 1").count() == 2  # a replay writes the same rows
     ST.index_sink(base, model)(again, 2)
     assert spark.read.parquet(base).where("batch = 2").count() == 0
+    twice = spark.createDataFrame([(4, "one version"), (4, "another version")], schema)
+    ST.index_sink(base, model)(twice, 3)
+    assert spark.read.parquet(base).where("batch = 3").count() == 1
+    to = scratch_dir(spark, "compacted")
+    ST.compacted(spark, base, ["chunk_id"], to)
+    assert sorted(map(tuple, ST.read_merged(spark, to, ["chunk_id"]).collect())) == sorted(map(tuple, ST.read_merged(spark, base, ["chunk_id"]).collect()))
+    ST.index_sink(to, model)(spark.createDataFrame([(1, "fan failure"), (9, "new")], schema), 0)
+    assert spark.read.parquet(to).where("batch = 0").count() == 1
+
+
+def test_late_rows_for_a_side_table(spark):
+    rows = spark.createDataFrame([(T0, 1), (T0 + timedelta(hours=3), 2)], "ts timestamp, k int")
+    seen = spark.createDataFrame([(T0 + timedelta(hours=2),)], "seen timestamp")
+    assert [r.k for r in ST.late_rows(rows, "ts", seen).collect()] == [1]
+    assert ST.late_rows(rows, "ts", seen.limit(0)).count() == 0
