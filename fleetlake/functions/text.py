@@ -18,6 +18,7 @@ def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+# The two fence patterns below.
 def strip_fences(text: Column) -> Column:
     """Remove a leading ``` or ```sql fence and a trailing fence from generated text."""
     opened = F.regexp_replace(strip_space(text), r"^```(?:sql)?\s*", "")

@@ -22,6 +22,12 @@ def chunk_count(length: Column, step: int) -> Column:
 def chunk_column(text: Column, size: int = 800, overlap: int = 100) -> Column:
     """Array of raw chunks; offsets count code points. Null or empty text gives an empty array."""
     step = _check(size, overlap)
+    if overlap <= step:
+        # Cut once into pieces of one step; a chunk is a piece and the start of the next.
+        pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+        following = F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1)))
+        chunks = F.zip_with(pieces, following, lambda p, q: F.concat(p, F.substring(F.coalesce(q, F.lit("")), 1, overlap)))
+        return F.coalesce(chunks, F.array().cast("array<string>"))
     length = F.coalesce(F.length(text), F.lit(0))
     cut = F.transform(F.sequence(F.lit(0), length - 1, F.lit(step)), lambda at: F.substring(text, at + 1, F.lit(size)))
     return F.when(length > 0, cut).otherwise(F.array().cast("array<string>"))

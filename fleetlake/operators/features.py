@@ -9,13 +9,8 @@ from fleetlake.functions.numeric import finite, interval_us, micros, settle, slo
 from fleetlake.functions.timing import hour_of, trailing
 from fleetlake.operators.joins import divided, hot_groups, repeated
 
-# Metric column -> the short name its aggregates carry.
-METRICS = {
-    "temp_celsius": "temp_celsius",
-    "utilization_pct": "utilization_pct",
-    "memory_used_gb": "memory_used_gb",
-    "power_watts": "power_watts",
-}
+# The metric columns of a reading.
+METRICS = ("temp_celsius", "utilization_pct", "memory_used_gb", "power_watts")
 
 
 def merged_spread(parts: Column) -> Column:

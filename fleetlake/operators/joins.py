@@ -12,7 +12,7 @@ def hot_groups(rows: DataFrame, keys: list[str], rows_per_task: int) -> DataFram
     """(keys, _parts): groups with more than `rows_per_task` rows and how many tasks they need.
 
     Counting combines on the map side. At most rows / rows_per_task groups can qualify, a few bytes
-    each, which is what makes the result safe to broadcast.
+    each; Spark broadcasts them while they are few.
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > rows_per_task).select(
@@ -27,13 +27,13 @@ def divided(rows: DataFrame, hot: DataFrame, keys: list[str], *spread: str) -> D
     spread out. A rerun of a lost task sees the same partition number and so the same salts.
     """
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.col("_parts")).cast("int")
-    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.coalesce(part, F.lit(0))).drop("_parts")
+    return rows.join(hot, keys, "left").withColumn("_salt", F.coalesce(part, F.lit(0))).drop("_parts")
 
 
 def repeated(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """Add `_salt`: one copy of the row for every part of its group, a single one if not hot."""
     parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(parts)).drop("_parts")
+    return rows.join(hot, keys, "left").withColumn("_salt", F.explode(parts)).drop("_parts")
 
 
 def range_join(
@@ -125,7 +125,7 @@ def asof_join(
     shorter = F.greatest(F.ceil(F.lit(width) / F.col("_parts")), F.lit(1))
     offset = F.col("_at") - F.col("_slot")
     stream = (
-        stream.join(F.broadcast(hot), [key, "_slot"], "left")
+        stream.join(hot, [key, "_slot"], "left")
         .withColumn("_slot", F.col("_slot") + F.coalesce(offset - F.pmod(offset, shorter), F.lit(0)))
         .drop("_parts")
     )

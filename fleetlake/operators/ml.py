@@ -45,7 +45,7 @@ def stratified_split(df: DataFrame, label: str, key: list[str], test: float = 0.
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     ranked = ranked_by_hash(df, key, [label], rank="_rank")
     # One row per class.
-    return ranked.join(F.broadcast(sizes), label).select(
+    return ranked.join(sizes, label).select(
         *df.columns, (F.col("_rank") <= F.round(F.col("_size") * test)).alias("is_test")
     )
 
@@ -103,7 +103,7 @@ def train(
     if weighted:
         base = rows if held_out is None else rows.where(~F.col(held_out))
         weights = balanced_weights(base, label).select(label, F.col("weight").alias("_weight"))
-        rows = rows.join(F.broadcast(weights), label)
+        rows = rows.join(weights, label)
         options["weightCol"] = "_weight"
     if held_out is not None:
         options["validationIndicatorCol"] = held_out

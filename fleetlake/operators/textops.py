@@ -18,11 +18,11 @@ from fleetlake.functions.text import strip_space, word_count
 
 # Root-cause labels; the keyword patterns are ours.
 ROOT_CAUSES = {
-    "hardware_failure": "power supply|fan failure|module failed|hardware|board",
-    "thermal_throttle": "therm|throttl|overheat|temperature|cooling|fan ",
-    "memory_error": "ecc|memory|page retired|row remap",
-    "software_bug": "driver|kernel|crash|exit code|segfault|exception",
-    "network_issue": "network|link flap|port|infiniband|packet",
+    "hardware_failure": r"\b(?:power supply|fan failure|module failed|hardware|boards?)\b",
+    "thermal_throttle": r"\b(?:thermal\w*|throttl\w*|overheat\w*|temperatures?|cooling|fans?)\b",
+    "memory_error": r"\b(?:ecc|memory|pages? retired|row remap\w*)\b",
+    "software_bug": r"\b(?:drivers?|kernel|crash\w*|exit codes?|segfaults?|exceptions?)\b",
+    "network_issue": r"\b(?:networks?|link flap\w*|ports?|infiniband|packets?)\b",
 }
 
 # Field patterns of a job description; the first capture group is the value.
@@ -43,23 +43,14 @@ PAGE_FIELDS = {
 
 # Routing rules: what asks for data, what asks for a procedure.
 ROUTES = {
-    "data": "how many|average|count|current|status|metric|telemetry|utilization|which|show me|showing|top [0-9]+",
-    "docs": "procedure|runbook|troubleshoot|how to|what should|what do|steps|maintenance|guide|sla",
+    "data": r"\b(?:how many|averages?|counts?|current|status|metrics?|telemetry|utilization|which|show me|showing|top [0-9]+)\b",
+    "docs": r"\b(?:procedures?|runbooks?|troubleshoot\w*|how to|what should|what do|steps|maintenance|guides?|slas?)\b",
 }
 
-PROMPT = (
-    "You look after a GPU cluster. For the critical event below give\n"
-    "1. the likely root cause in two or three sentences\n"
-    "2. the action to take now\n"
-    "3. a measure that prevents it\n\n"
-    "Event: {description}\nSeverity: {severity}\nGPU ID: {gpu_id}\nCluster ID: {cluster_id}"
-)
-
-
 def classify(text: Column, lexicon: dict[str, str] | None = None) -> Column:
     """One label per text: the label whose pattern occurs most often; the first label on a tie.
 
-    Null text gives null. The whole text is read, once per label.
+    Null text and text in which no pattern occurs give null. The whole text is read, once per label.
     """
     lexicon = ROOT_CAUSES if lexicon is None else lexicon
     lowered = F.lower(text)
@@ -67,7 +58,25 @@ def classify(text: Column, lexicon: dict[str, str] | None = None) -> Column:
         F.struct(F.regexp_count(lowered, F.lit(pattern)).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
         for i, (label, pattern) in enumerate(lexicon.items())
     ]
-    return F.when(text.isNotNull(), F.array_max(F.array(*scored))["label"])
+    best = F.array_max(F.array(*scored))
+    return F.when(best["hits"] > 0, best["label"])
+
+
+def classify_words(df: DataFrame, text: str, lexicon: dict[str, list[str]], output: str = "label") -> DataFrame:
+    """Add the label whose words occur most often in `text`, the first on a tie, null without any.
+
+    Words are what stands between white space, lower-cased; the text is split once for all labels.
+    """
+    def hits(own: list[str]) -> Column:
+        return F.size(F.filter("_words", lambda word: word.isin(own)))
+
+    split = df.withColumn("_words", F.split(F.lower(text), r"\s+"))
+    scored = [
+        F.struct(hits(own).alias("hits"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
+        for i, (label, own) in enumerate(lexicon.items())
+    ]
+    best = split.withColumn("_best", F.array_max(F.array(*scored)))
+    return best.withColumn(output, F.when(F.col("_best.hits") > 0, F.col("_best.label"))).drop("_words", "_best")
 
 
 def extract(text: Column, patterns: dict[str, str]) -> Column:

@@ -26,7 +26,7 @@ from fleetlake.session import scratch_dir
 from fleetlake.sinks import changes as CG
 from fleetlake.sinks import tables as SK
 from fleetlake.sources import adapters as A
-from fleetlake.sources.tables import list_files, read_stream, read_table
+from fleetlake.sources.tables import read_stream, read_table
 from fleetlake.streaming import flows as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,17 +173,25 @@ def q16_classify_events(spark, root):
 
 # Function words per language, for documents without a language tag.
 LANGUAGES = {
-    "en": " (?:the|of|and|that) ",
-    "fr": " (?:le|la|que|de la) ",
-    "de": " (?:der|die|und|ist) ",
-    "es": " (?:el|los|una|del) ",
+    "en": ["the", "of", "and", "that"],
+    "fr": ["le", "les", "que", "des"],
+    "de": ["der", "die", "und", "ist"],
+    "es": ["el", "los", "una", "del"],
 }
 
+# What asks for a number and what for a procedure in the conversations of the data folder.
+QUESTION_RULES = {
+    "data": r"\b(?:of|and|que|der)\b",
+    "docs": r"\b(?:that|with|los|mit|avec)\b",
+}
+
+CAUSE_PROMPT = "{severity} event on {gpu_id} of cluster {cluster_id}: {description}. Name its cause, the repair and a safeguard."
+
 
 @query
 def q16_classify_documents(spark, root):
     docs = read_table(spark, root, "documents")
-    return docs.select("doc_id", TX.classify(F.col("text"), LANGUAGES).alias("label"))
+    return TX.classify_words(docs.select("doc_id", "text"), "text", LANGUAGES).select("doc_id", "label")
 
 
 @query
@@ -224,7 +232,7 @@ def q18_cluster_event_log(spark, root):
 def critical_prompts(spark, root):
     critical = located_events(spark, root).where(F.col("severity") == "critical")
     columns = {c: F.col(c) for c in ("description", "severity", "gpu_id", "cluster_id")}
-    return critical.select("event_id", "cluster_id", "gpu_id", X.fill_template(TX.PROMPT, **columns).alias("prompt"))
+    return critical.select("event_id", "cluster_id", "gpu_id", X.fill_template(CAUSE_PROMPT, **columns).alias("prompt"))
 
 
 @query
@@ -242,15 +250,38 @@ def q19_completions(spark, root):
 
 @query
 def q48_routes(spark, root):
-    return TX.route_questions(A.questions(spark, root), "text").select("conv_id", "turn", "route")
+    return TX.route_questions(A.questions(spark, root), "text", QUESTION_RULES).select("conv_id", "turn", "route")
 
 
 @query
 def fences_stripped(spark, root):
-    turns = read_table(spark, root, "conversations").select("conv_id", "turn", F.concat(F.lit("```sql\n"), "text", F.lit("\n```")).alias("text"))
+    """Texts of which every third comes with an SQL fence and every third with a plain one."""
+    turns = read_table(spark, root, "conversations")
+    fence = F.element_at(F.array(F.lit(""), F.lit("```sql\n"), F.lit("```\n")), (F.col("conv_id") % 3 + 1).cast("int"))
+    turns = turns.withColumn("text", F.concat(fence, "text", F.when(fence != "", "\n```").otherwise("")))
     return turns.select("conv_id", "turn", F.md5(X.strip_fences(F.col("text"))).alias("text_md5"))
 
 
+@query
+def unpacked_responses(spark, root):
+    """Answer, first source and first query picked from JSON responses that lack a level in some rows."""
+    turns = read_table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    sources = F.array(F.struct("role", F.lit(0.5).alias("score")))
+    cited = F.struct(F.struct(F.transform(sources, lambda d: F.struct(d["role"].alias("doc_name"), d["score"].alias("score"))).alias("documents")).alias("context"), F.col("text").alias("content"))
+    full = F.to_json(F.struct(F.array(F.struct(cited.alias("message"))).alias("choices"), F.array(F.struct(F.struct(F.col("text").alias("query")).alias("query"))).alias("attachments")))
+    bare = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("content")).alias("message"))).alias("choices")))
+    kind = F.col("conv_id") % 4
+    body = F.when(kind == 0, full).when(kind == 1, bare).when(kind == 2, F.lit('{"choices": []}'))
+    rows = turns.withColumn("body", body)
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.md5(X.response_text(F.col("body"))).alias("answer_md5"),
+        F.try_element_at(X.response_sources(F.col("body")), F.lit(1))["doc_name"].alias("first_source"),
+        F.md5(X.first_query(F.col("body"))).alias("query_md5"),
+    )
+
+
 @query
 def answers_in_sql(spark, root):
     """A model function called from SQL over all user questions."""
@@ -297,8 +328,17 @@ def q25_cited_context(spark, root):
 
 @query
 def q26_text_search(spark, root):
+    """The three documents nearest to each benchmark item by TF-IDF cosine."""
+    corpus = read_table(spark, root, "documents").select("doc_id", F.col("text").alias("content"))
+    asked = read_table(spark, root, "benchmark").select("item_id", F.col("text").alias("content"))
+    return settled(RT.text_top_k(asked, corpus, "item_id", "doc_id", k=3))
+
+
+@query
+def q26_vector_search(spark, root):
+    """The same question over hashed vectors of the chunks."""
     corpus = chunks(spark, root)
-    model = RT.text_embedder(corpus)
+    model = RT.text_embedder(corpus, dims=256)
     asked = read_table(spark, root, "benchmark").select("item_id", F.col("text").alias("content"))
     hits = RT.top_k(RT.embed(asked, model), RT.embed(corpus, model), "item_id", "chunk_id", k=3)
     return settled(hits)
@@ -315,11 +355,13 @@ def similar_vectors_approx(spark, root):
 
 @query
 def index_changes(spark, root):
-    """An index built from the documents of known quality, refreshed with all of them, trimmed."""
+    """An index of the rated documents and the benchmark items, refreshed with all documents, trimmed."""
     docs = read_table(spark, root, "documents")
     rated = docs.join(read_table(spark, root, "labels").select("doc_id"), "doc_id", "left_semi")
+    items = read_table(spark, root, "benchmark").select((F.col("item_id") + 1_000_000_000).alias("doc_id"), "text")
+    rated = rated.select("doc_id", "text").unionByName(items)
     indexed = rated.select("doc_id", F.sha2(F.col("text"), 256).alias("content_hash"))
-    trimmed = docs.select("doc_id", X.strip_space(F.col("text")).alias("text")).where(F.length("text") >= 200)
+    trimmed = docs.select("doc_id", X.strip_space(F.col("text")).alias("text"))
     return RT.index_changes(indexed, trimmed, "doc_id", "text").select("doc_id", "_change")
 
 
@@ -374,8 +416,17 @@ def q31_heatmap(spark, root):
 @query
 def q31_heatmap_matrix(spark, root):
     rows = D.heatmap(A.telemetry(spark, root), A.clusters(spark, root), PERIOD, "gpu_type")
-    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    return settled(D.heatmap_matrix(rows, "gpu_type", names))
+    kinds = read_table(spark, root, "customer").select("c_mktsegment").distinct().orderBy("c_mktsegment")
+    return settled(D.heatmap_matrix(rows, "gpu_type", [r[0] for r in kinds.collect()]))
+
+
+@query
+def q31_gpu_matrix(spark, root):
+    """Readings per cluster and GPU as one map per cluster, here folded to sizes for comparison."""
+    readings = A.telemetry(spark, root).withColumn("hot", (F.col("temp_celsius") > 90).cast("double"))
+    cells = AG.pivot_map(readings, "cluster_id", "gpu_id", "hot")
+    hot = F.filter(F.map_values("cells"), lambda x: x > 0.5)
+    return cells.select("cluster_id", F.size("cells").alias("gpus"), F.size(hot).alias("mostly_hot"))
 
 
 @query
@@ -415,6 +466,12 @@ def q34_rolling_features(spark, root):
     return settled(rolling(spark, root).select(*KEY, "error_count_24h", "util_trend"))
 
 
+@query
+def q34_feature_table(spark, root):
+    """The feature table with all declared columns, in the declared order and types."""
+    return settled(SK.conform(rolling(spark, root), table_schemas()["gpu_health_features"]))
+
+
 @query
 def q35_upsert(spark, root):
     """Feature table up to a day, upserted with the features from the day before it onwards.
@@ -439,6 +496,14 @@ def q41_snapshot_features(spark, root):
     return FE.trailing_snapshot(A.wide_telemetry(spark, root), clock=A.readings(spark, root), window="6 hours")
 
 
+@query
+def q41_recent_snapshot(spark, root):
+    """The last 15 minutes of readings per machine, stamped with the instant the run stands for."""
+    readings = A.readings(spark, root)
+    now = readings.agg(F.max("timestamp")).scalar()
+    return FE.stamped(FE.trailing_snapshot(A.wide_telemetry(spark, root), clock=readings, window="15 minutes"), now)
+
+
 @query
 def q42_cluster_snapshot(spark, root):
     snapshot = FE.trailing_snapshot(A.wide_telemetry(spark, root), clock=A.readings(spark, root), window="7 days")
@@ -495,9 +560,13 @@ def applied_changes(spark, root):
 def table_contract(spark, root):
     """Violations when events are checked as a table keyed by (gpu_id, event type)."""
     events = A.health_events(spark, root).withColumn("description", F.nullif("description", F.lit("Network link flapping on port 0")))
-    return check_contract(events, table_schemas()["gpu_health_events"], ["gpu_id", "event_type"]).where(
-        F.col("rule") != "type_mismatch"
-    )
+    return check_contract(events, table_schemas()["gpu_health_events"], ["gpu_id", "event_type"])
+
+
+@query
+def declared_jobs(spark, root):
+    """The job table with all declared columns and types."""
+    return SK.conform(A.jobs(spark, root), table_schemas()["ml_job_runs"])
 
 
 @query
@@ -552,11 +621,6 @@ def latest_versions(spark, root):
     return SK.latest_numeric_version(versions, "o_orderpriority", "version")
 
 
-@query
-def folder_listing(spark, root):
-    return list_files(spark, root, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
 @query
 def formatted_rows(spark, root):
     """Ids, codes, record payloads and percentages as text."""

@@ -120,7 +120,7 @@ def health_events(spark: SparkSession, root: str, located: bool = False) -> Data
     if located:
         events = _place(events, spark, root)
     return events.select(
-        "event_id",
+        F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("gpu_id"),
         *(["cluster_id"] if located else []),
         "event_type",
@@ -159,7 +159,7 @@ def jobs(spark: SparkSession, root: str, rows: DataFrame | None = None) -> DataF
     The lines are summed per order before the join, so a job with very many lines reaches the
     join as one row. Given a few `rows` of jobs, only their lines are summed.
     """
-    lines = read_table(spark, root, "lineitem").select(F.col("l_orderkey").alias("job_id"), "l_quantity")
+    lines = read_table(spark, root, "lineitem").select(F.col("l_orderkey").cast("string").alias("job_id"), "l_quantity")
     if rows is not None:
         lines = lines.join(rows.select("job_id"), "job_id", "left_semi")
     hours = lines.groupBy("job_id").agg(F.sum("l_quantity").alias("gpu_hours"))
@@ -178,8 +178,9 @@ def job_rows(spark: SparkSession, root: str) -> DataFrame:
     objective = F.element_at(
         F.array(F.lit("classification"), F.lit("ranking"), F.lit("generation")), (order % 3 + 1).cast("int")
     )
+    hours = F.make_interval(hours=(order % 72 + 1).cast("int"))
     return read_table(spark, root, "orders").select(
-        order.alias("job_id"),
+        order.cast("string").alias("job_id"),
         customer.cast("string").alias("cluster_id"),
         framework.alias("framework"),
         model.alias("model_type"),
@@ -196,6 +197,7 @@ def job_rows(spark: SparkSession, root: str) -> DataFrame:
             objective,
         ).alias("description"),
         F.col("o_orderdate").alias("start_time"),
+        F.when(status != "running", F.col("o_orderdate") + hours).alias("end_time"),
         status.alias("status"),
         F.col("o_totalprice").alias("cost_usd"),
     )

@@ -113,6 +113,9 @@ SELECT cluster_name, round(avg(avg_util) FILTER (gpu_type = 'AUTOMOBILE'), 8) AS
        round(avg(avg_util) FILTER (gpu_type = 'HOUSEHOLD'), 8) AS "HOUSEHOLD",
        round(avg(avg_util) FILTER (gpu_type = 'MACHINERY'), 8) AS "MACHINERY"
 FROM heat GROUP BY 1""",
+    "q31_gpu_matrix": with_(TELEMETRY)
+    + """, means AS (SELECT cluster_id, gpu_id, avg((temp_celsius > 90)::DOUBLE) AS hot FROM telemetry GROUP BY 1, 2)
+SELECT cluster_id, CAST(count(*) AS INTEGER) AS gpus, CAST(count(*) FILTER (hot > 0.5) AS INTEGER) AS mostly_hot FROM means GROUP BY 1""",
     "q32_temperature_series": with_(TELEMETRY, CLUSTERS)
     + f"""SELECT date_trunc('hour', "timestamp") AS time_bucket, cluster_name,
        CAST(round(CAST(round(avg(temp_celsius), 8) AS DECIMAL(38, 8)), 1) AS DOUBLE) AS avg_temp, CAST(round(CAST(round(max(temp_celsius), 8) AS DECIMAL(38, 8)), 1) AS DOUBLE) AS max_temp
@@ -135,6 +138,16 @@ FROM telemetry WHERE cluster_id = '3' AND temp_celsius > 90""",
   regr_slope(avg_utilization, epoch(window_start) / 3600) OVER f AS slope
   FROM hourly WINDOW f AS (PARTITION BY gpu_id ORDER BY window_start RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW))
 SELECT gpu_id, window_start, error_count_24h, CASE WHEN isnan(slope) THEN NULL ELSE round(slope, 8) END AS util_trend FROM framed""",
+    "q34_feature_table": with_(READINGS, hourly())
+    + f""", framed AS (SELECT gpu_id, window_start, CAST(sum(error_count_1h) OVER f AS BIGINT) AS error_count_24h,
+  regr_slope(avg_utilization, epoch(window_start) / 3600) OVER f AS slope
+  FROM hourly WINDOW f AS (PARTITION BY gpu_id ORDER BY window_start RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW))
+SELECT {_HOURLY}, error_count_24h, CASE WHEN isnan(slope) THEN NULL ELSE round(slope, 8) END AS util_trend
+FROM hourly JOIN framed USING (gpu_id, window_start)""",
+    "declared_jobs": with_(JOBS)
+    + """SELECT job_id, cluster_id, framework, model_type, description, start_time, end_time, gpu_hours, status, cost_usd FROM jobs""",
+    "q41_recent_snapshot": with_(WIDE, snapshot("15 MINUTES"))
+    + "SELECT *, (SELECT max(ts) FROM events) AS computed_at FROM snapshot",
     "q35_upsert": with_(READINGS, hourly())
     + """SELECT gpu_id, window_start,
        CASE WHEN window_start < TIMESTAMP '2024-01-19' THEN 0.0::DOUBLE ELSE round(avg_temp, 8) END AS avg_temp, error_count_1h
@@ -185,7 +198,7 @@ FULL JOIN (SELECT s_nationkey AS c_nationkey, count(*) AS n FROM supplier GROUP
        CAST(sum(error_count_1h + CASE WHEN window_start >= TIMESTAMP '2024-01-25' THEN 100 ELSE 0 END) AS BIGINT) AS errors
 FROM hourly GROUP BY 1""",
     "missing_entities": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
-    "latest_versions": "SELECT o_orderpriority, CAST(max(o_orderkey) AS INTEGER) AS latest_version FROM orders GROUP BY 1",
+    "latest_versions": "SELECT o_orderpriority, max(o_orderkey) AS latest_version FROM orders GROUP BY 1",
     "formatted_rows": """SELECT s_suppkey, 'suppli-' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, len(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS padded_id,
        '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' AS payload,
        format('{:,.2f}%', round(s_suppkey / 1000 * 100, 2)) AS share

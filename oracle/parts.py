@@ -32,7 +32,7 @@ INVENTORY = """inventory AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 EVENTS = """health AS (
-  SELECT event_id, CAST(user_id AS VARCHAR) AS gpu_id, CAST(c_nationkey AS VARCHAR) AS cluster_id, event_type,
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS gpu_id, CAST(c_nationkey AS VARCHAR) AS cluster_id, event_type,
          CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'error'
               WHEN 'signup' THEN 'warning' ELSE 'info' END AS severity,
          CASE event_type
@@ -46,12 +46,13 @@ EVENTS = """health AS (
   JOIN customer ON c_custkey = user_id)"""
 
 JOBS = """jobs AS (
-  SELECT o_orderkey AS job_id, CAST(o_custkey AS VARCHAR) AS cluster_id, o_orderpriority AS framework,
+  SELECT CAST(o_orderkey AS VARCHAR) AS job_id, CAST(o_custkey AS VARCHAR) AS cluster_id, o_orderpriority AS framework,
          'm' || o_custkey % 7 AS model_type,
          'Fine-tuning a ' || (o_custkey % 70 + 1) || 'B m' || o_custkey % 7 || ' model with ' || o_orderpriority
            || ' on dataset set-' || o_orderkey % 12 || ' for '
            || CASE o_orderkey % 3 WHEN 0 THEN 'classification' WHEN 1 THEN 'ranking' ELSE 'generation' END AS description,
          o_orderdate AS start_time,
+         CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_hours(CAST(o_orderkey % 72 + 1 AS INTEGER)) END AS end_time,
          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
          o_totalprice AS cost_usd,
          coalesce((SELECT sum(l_quantity) FROM lineitem WHERE l_orderkey = o_orderkey), 0) AS gpu_hours

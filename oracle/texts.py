@@ -3,26 +3,30 @@
 from oracle.parts import EVENTS, JOBS, with_
 
 _CAUSES = [
-    ("hardware_failure", "power supply|fan failure|module failed|hardware|board"),
-    ("thermal_throttle", "therm|throttl|overheat|temperature|cooling|fan "),
-    ("memory_error", "ecc|memory|page retired|row remap"),
-    ("software_bug", "driver|kernel|crash|exit code|segfault|exception"),
-    ("network_issue", "network|link flap|port|infiniband|packet"),
+    ("hardware_failure", r"\b(?:power supply|fan failure|module failed|hardware|boards?)\b"),
+    ("thermal_throttle", r"\b(?:thermal\w*|throttl\w*|overheat\w*|temperatures?|cooling|fans?)\b"),
+    ("memory_error", r"\b(?:ecc|memory|pages? retired|row remap\w*)\b"),
+    ("software_bug", r"\b(?:drivers?|kernel|crash\w*|exit codes?|segfaults?|exceptions?)\b"),
+    ("network_issue", r"\b(?:networks?|link flap\w*|ports?|infiniband|packets?)\b"),
 ]
 _LANGUAGES = [
-    ("en", " (?:the|of|and|that) "),
-    ("fr", " (?:le|la|que|de la) "),
-    ("de", " (?:der|die|und|ist) "),
-    ("es", " (?:el|los|una|del) "),
+    ("en", "'the', 'of', 'and', 'that'"),
+    ("fr", "'le', 'les', 'que', 'des'"),
+    ("de", "'der', 'die', 'und', 'ist'"),
+    ("es", "'el', 'los', 'una', 'del'"),
 ]
 
 
 def _best(text: str, rules: list[tuple[str, str]]) -> str:
-    scores = ", ".join(
-        f"{{'hits': len(regexp_extract_all(lower({text}), '{pattern}')), 'rank': -{i}, 'label': '{label}'}}"
-        for i, (label, pattern) in enumerate(rules)
-    )
-    return f"list_max([{scores}]).label"
+    return _top([(label, f"len(regexp_extract_all(lower({text}), '{pattern}'))") for label, pattern in rules])
+
+
+def _top(hits: list[tuple[str, str]]) -> str:
+    scores = ", ".join(f"{{'hits': {count}, 'rank': -{i}, 'label': '{label}'}}" for i, (label, count) in enumerate(hits))
+    return f"CASE WHEN list_max([{scores}]).hits > 0 THEN list_max([{scores}]).label END"
+
+
+_SAID = _top([(label, f"len(list_filter(w, lambda x: x IN ({words})))") for label, words in _LANGUAGES])
 
 
 def _summary(source: str, key: str, text: str) -> str:
@@ -37,10 +41,8 @@ told AS (SELECT {key}, string_agg(sentence, ' | ' ORDER BY r) AS summary FROM ke
 totals AS (SELECT {key}, count(*) AS event_count FROM {source} GROUP BY 1)"""
 
 
-_PROMPT = """'You look after a GPU cluster. For the critical event below give' || chr(10)
-  || '1. the likely root cause in two or three sentences' || chr(10) || '2. the action to take now' || chr(10)
-  || '3. a measure that prevents it' || chr(10) || chr(10) || 'Event: ' || description || chr(10) || 'Severity: ' || severity
-  || chr(10) || 'GPU ID: ' || gpu_id || chr(10) || 'Cluster ID: ' || cluster_id"""
+_PROMPT = """severity || ' event on ' || gpu_id || ' of cluster ' || cluster_id || ': ' || description
+  || '. Name its cause, the repair and a safeguard.'"""
 
 _HITS = """cells AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS p FROM embeddings),
 means AS (SELECT label, p, avg(x) AS x FROM cells GROUP BY 1, 2),
@@ -55,7 +57,8 @@ _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 TEXTS = {
     "q16_classify_events": with_(EVENTS)
     + f"SELECT event_id, gpu_id, severity, description, {_best('description', _CAUSES)} AS root_cause FROM health",
-    "q16_classify_documents": f"SELECT doc_id, {_best('text', _LANGUAGES)} AS label FROM documents",
+    "q16_classify_documents": rf"""SELECT doc_id, {_SAID} AS label
+FROM (SELECT doc_id, regexp_split_to_array(lower(text), '\s+') AS w FROM documents)""",
     "q17_extract_jobs": with_(JOBS)
     + r"""SELECT job_id, nullif(regexp_extract(description, 'with (.+?) on dataset', 1), '') AS framework,
        nullif(regexp_extract(description, '([0-9]+B) ', 1), '') AS model_size,
@@ -79,8 +82,7 @@ FROM placed GROUP BY 1, 2""",
     + f"""SELECT event_id, cluster_id, gpu_id, len({_PROMPT}) || ' characters' AS response, CAST(NULL AS VARCHAR) AS error
 FROM health WHERE severity = 'critical'""",
     "q48_routes": """SELECT conv_id, turn, CASE WHEN d AND p THEN 'both' WHEN d THEN 'data' WHEN p THEN 'docs' ELSE 'none' END AS route
-FROM (SELECT *, regexp_matches(lower(text), 'how many|average|count|current|status|metric|telemetry|utilization|which|show me|showing|top [0-9]+') AS d,
-  regexp_matches(lower(text), 'procedure|runbook|troubleshoot|how to|what should|what do|steps|maintenance|guide|sla') AS p
+FROM (SELECT *, regexp_matches(lower(text), '\\b(?:of|and|que|der)\\b') AS d, regexp_matches(lower(text), '\\b(?:that|with|los|mit|avec)\\b') AS p
   FROM conversations WHERE role = 'user')""",
     "q24_chunks": f"""WITH cut AS (SELECT CAST(doc_id AS VARCHAR) AS doc_name, unnest(range(0, len(text), 700)) AS pos, text FROM documents)
 SELECT row_number() OVER (ORDER BY md5(doc_name), doc_name, pos) - 1 AS chunk_id, doc_name, CAST(pos // 700 AS INTEGER) AS chunk_index,
@@ -88,15 +90,29 @@ SELECT row_number() OVER (ORDER BY md5(doc_name), doc_name, pos) - 1 AS chunk_id
     "chunks_by_table_function": """SELECT doc_id, CAST(pos // 700 AS INTEGER) AS chunk_index, md5(substring(text, pos + 1, 800)) AS content_md5
 FROM (SELECT doc_id, text, unnest(range(0, len(text), 700)) AS pos FROM documents)""",
     "fences_stripped": f"""SELECT conv_id, turn, md5({_STRIP.format("text")}) AS text_md5 FROM conversations""",
+    "unpacked_responses": """SELECT conv_id, turn, md5(CASE WHEN k < 2 THEN text ELSE 'No response' END) AS answer_md5,
+       CASE WHEN k = 0 THEN role END AS first_source, CASE WHEN k = 0 THEN md5(text) END AS query_md5
+FROM (SELECT *, conv_id % 4 AS k FROM conversations)""",
     "answers_in_sql": "SELECT conv_id, turn, len(text) || ' characters' AS answer FROM conversations WHERE role = 'user'",
     "stream_document_index": "SELECT doc_id AS chunk_id, sha256(text) AS content_hash, 64 AS dims FROM documents",
     "q25_similar_vectors": with_(_HITS) + "SELECT label, vec_id, round(score, 8) AS score, CAST(rank AS INTEGER) AS rank FROM hits",
+    "q26_text_search": r"""WITH d AS (SELECT doc_id, token, count(*) AS tf FROM (
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2),
+q AS (SELECT item_id, token, count(*) AS tf FROM (
+  SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS token FROM benchmark) WHERE token <> '' GROUP BY 1, 2),
+w AS (SELECT token, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)::DOUBLE) AS idf FROM d GROUP BY 1 HAVING idf > 0),
+dw AS (SELECT doc_id, token, tf * idf AS x FROM d JOIN w USING (token)), qw AS (SELECT item_id, token, tf * idf AS x FROM q JOIN w USING (token)),
+dn AS (SELECT doc_id, sqrt(sum(x * x)) AS n FROM dw GROUP BY 1), qn AS (SELECT item_id, sqrt(sum(x * x)) AS n FROM qw GROUP BY 1),
+s AS (SELECT item_id, doc_id, round(sum(qw.x / qn.n * (dw.x / dn.n)), 8) AS score
+  FROM qw JOIN qn USING (item_id) JOIN dw USING (token) JOIN dn USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 3""",
     "q25_cited_context": with_(_HITS)
     + """SELECT label, md5(string_agg('[' || vec_id || '] ' || substring(text, 1, 500), chr(10) || chr(10) ORDER BY rank)) AS context_md5,
        string_agg(vec_id || ' (score: ' || format('{:.4f}', score) || ')', ', ' ORDER BY rank) AS sources
 FROM hits JOIN documents ON doc_id = vec_id GROUP BY 1""",
-    "index_changes": f"""WITH old_i AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
-new_i AS (SELECT doc_id, sha256(t) AS h FROM (SELECT doc_id, {_STRIP.format("text")} AS t FROM documents) WHERE len(t) >= 200)
+    "index_changes": f"""WITH old_i AS (SELECT doc_id, sha256(text) AS h FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+  UNION ALL SELECT item_id + 1000000000, sha256(text) FROM benchmark),
+new_i AS (SELECT doc_id, sha256({_STRIP.format("text")}) AS h FROM documents)
 SELECT doc_id, CASE WHEN o.h IS NULL THEN 'insert' WHEN n.h IS NULL THEN 'delete' ELSE 'update' END AS _change
 FROM old_i o FULL JOIN new_i n USING (doc_id) WHERE o.h IS DISTINCT FROM n.h""",
 }

@@ -64,11 +64,23 @@ def test_classify(spark):
     rules = {"first": "aa", "second": "bb"}
     assert one(spark, TX.classify(F.col("t"), rules), t="bb aa bb") == "second"
     assert one(spark, TX.classify(F.col("t"), rules), t="AA bb") == "first"
-    assert one(spark, TX.classify(F.col("t"), rules), t="none") == "first"
+    assert one(spark, TX.classify(F.col("t"), rules), t="none") is None
     assert one(spark, TX.classify(F.col("t"), rules), t=None) is None
     assert one(spark, TX.classify(F.col("t")), t="Driver crash, exit code 3") == "software_bug"
 
 
+def test_patterns_need_whole_words(spark):
+    assert one(spark, TX.classify(F.col("t")), t="A report on the dashboard and its exported keyboards") is None
+    df = spark.createDataFrame([("translate the account",), ("how many, and which guide?",), ("Current SLA",), (None,)], "t string")
+    assert [r.route for r in TX.route_questions(df, "t").collect()] == ["none", "both", "both", "none"]
+
+
+def test_classify_words(spark):
+    rules = {"en": ["the", "of"], "de": ["der", "die"]}
+    df = spark.createDataFrame([("The of der",), ("der\nDIE the",), ("the der",), ("theder",), ("",), (None,)], "t string")
+    assert [r.label for r in TX.classify_words(df, "t", rules).collect()] == ["en", "de", "en", None, None, None]
+
+
 def test_extract(spark):
     got = one(spark, TX.extract(F.col("t"), {"size": r"([0-9]+B) ", "other": "zzz(.)"}), t="a 70B model")
     assert (got.size, got.other) == ("70B", None)
