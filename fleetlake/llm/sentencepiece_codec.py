@@ -29,7 +29,7 @@ from fleetlake.llm.common import BASES, Recent, batches, bound_batches, mixed, p
 from fleetlake.llm.piece_model import BPE, BYTE, CONTROL, NORMAL, SPACE, UNKNOWN, load_pieces
 from fleetlake.llm.token_counts import PairMerger
 
-CACHE, TEXTS = 250_000, 1000
+CACHE, TEXTS, GROUP = 250_000, 4000, 6 << 20
 PAIRS = 4_000_000
 CELLS = 1 << 18
 
@@ -210,13 +210,27 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def _groups(it):
+    """Batches taken together up to about GROUP bytes: a lattice step costs the same for few words."""
+    held, size = [], 0
+    for batch in it:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GROUP:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids and round_trip (decoding the ids gives the text back, `▁` read as a space)."""
     bound_batches(docs.sparkSession)
 
     def encode(it):
         coder = codec(model)
-        for batch in batches(it):
+        for group in _groups(batches(it)):
+            batch = pa.Table.from_batches(group).combine_chunks().to_batches()[0]
             texts = batch.column(1).to_pylist()
             raw = coder.encode(texts)
             values = np.frombuffer(b"".join(raw), "<i4")
