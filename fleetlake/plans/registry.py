@@ -181,8 +181,8 @@ LANGUAGES = {
 
 # What asks for a number and what for a procedure in the conversations of the data folder.
 QUESTION_RULES = {
-    "data": r"\b(?:of|and|que|der)\b",
-    "docs": r"\b(?:that|with|los|mit|avec)\b",
+    "data": "(?:^| )(?:of|and|que|der)(?: |$)",
+    "docs": "(?:^| )(?:that|with|los|mit|avec)(?: |$)",
 }
 
 CAUSE_PROMPT = "{severity} event on {gpu_id} of cluster {cluster_id}: {description}. Name its cause, the repair and a safeguard."

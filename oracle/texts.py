@@ -82,7 +82,7 @@ FROM placed GROUP BY 1, 2""",
     + f"""SELECT event_id, cluster_id, gpu_id, len({_PROMPT}) || ' characters' AS response, CAST(NULL AS VARCHAR) AS error
 FROM health WHERE severity = 'critical'""",
     "q48_routes": """SELECT conv_id, turn, CASE WHEN d AND p THEN 'both' WHEN d THEN 'data' WHEN p THEN 'docs' ELSE 'none' END AS route
-FROM (SELECT *, regexp_matches(lower(text), '\\b(?:of|and|que|der)\\b') AS d, regexp_matches(lower(text), '\\b(?:that|with|los|mit|avec)\\b') AS p
+FROM (SELECT *, regexp_matches(lower(text), '(?:^| )(?:of|and|que|der)(?: |$)') AS d, regexp_matches(lower(text), '(?:^| )(?:that|with|los|mit|avec)(?: |$)') AS p
   FROM conversations WHERE role = 'user')""",
     "q24_chunks": f"""WITH cut AS (SELECT CAST(doc_id AS VARCHAR) AS doc_name, unnest(range(0, len(text), 700)) AS pos, text FROM documents)
 SELECT row_number() OVER (ORDER BY md5(doc_name), doc_name, pos) - 1 AS chunk_id, doc_name, CAST(pos // 700 AS INTEGER) AS chunk_index,
