@@ -164,6 +164,19 @@ def test_pipeline_stages_take_odd_rows(spark, small):
         assert corpus_pipeline.STAGES[-1][1](spark, rows, small).count() >= rows.count()
 
 
+def test_pipeline_drops_near_copies_by_five_words(spark, small):
+    """A copy with 4 of 200 words changed has 176 of 216 5-word shingles, but 186 of 210 3-word ones."""
+    base = [f"b{i}" for i in range(200)]
+    scattered = [f"n{i}" if i in (30, 80, 120, 170) else w for i, w in enumerate(base)]
+    longer, shorter = [*base, *(f"e{i}" for i in range(30))], base[:170]
+    other = [f"n{i}" if i % 25 == 5 else w for i, w in enumerate(base)]  # 8 words: 156 of 236
+    texts = [" ".join(t) for t in (base, scattered, longer, shorter, other)]
+    assert set(linked(list(enumerate(texts[:4]))).values()) == {0, 1, 2, 3}
+    expected = linked(list(enumerate(texts)), percent=80, width=5)
+    kept = dict(corpus_pipeline.STAGES)["jaccard_dedup"](spark, frame(spark, texts), small)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, c in expected.items() if i == c} == {0, 4}
+
+
 def test_pipeline_stages_against_brute_force(spark, small):
     """Each stage on what its predecessor kept, the classifier taken as given."""
     docs = spark.read.parquet(f"{small}/documents.parquet")
