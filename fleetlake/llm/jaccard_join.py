@@ -12,8 +12,8 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
    among their first n - ceil(t n) + 2. A shingle that more than `frequent` prefixes hold is indexed
    in pairs, all others singly: a prefix that shares no rare shingle and at most one frequent one
    leaves too few for a link.
-   For the first key two linked sets share, what follows it in either set bounds what they share;
-   pairs of a key that this bound rules out are never formed.
+   For the first key two linked sets share, what follows it in either set, and one frequent shingle
+   that precedes a single key, bound what they share; pairs of a key that this rules out are never formed.
 4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
    component. Other leaders follow, up to `rounds`, while they still join many classes and the keys
    that hold several components are large; then all pairs of a key from different components are compared. Pairs that components already
@@ -188,15 +188,19 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
 
     Linked sets differ in size by a factor of 100 / percent at most. A key therefore also holds one of
     two neighbouring steps of the logarithm of the size, of which two such sets share at least one.
-    `pos` is the place of the key's first shingle in the order of its set.
+    `pos` is how many shingles of a set cannot be shared if the key is the first that two sets share:
+    those before the key's first shingle, but for one if a frequent one, which has no key alone, is among them.
     """
     exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", F.posexplode("keys").alias("pos", "token"))
     # Counts are written before they are joined: next to a plain scan Spark can split a hot key.
     counts = written(exploded.groupBy("token").count().filter("count > 1"), "token-counts")
     shared = written(exploded.join(counts, "token"), "prefix-tokens")
-    rare = shared.filter(F.col("count") <= frequent).select(F.col("token").alias("key"), "doc", "n", "pos")
+    rare = shared.filter(F.col("count") <= frequent)
     often = shared.filter(F.col("count") > frequent).groupBy("doc", "n")
     often = often.agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("tokens"))
+    heads = often.select("doc", F.col("tokens")[0]["pos"].alias("head"))
+    behind = F.coalesce(F.col("head") < F.col("pos"), F.lit(False)).cast("int")
+    rare = rare.join(heads, "doc", "left").select(F.col("token").alias("key"), "doc", "n", (F.col("pos") - behind).alias("pos"))
     first = often.select("doc", "n", "tokens", F.posexplode("tokens").alias("i", "x"))
     later = F.slice("tokens", F.col("i") + 2, F.size("tokens"))
     pairs = first.select("doc", "n", "x", F.explode(later).alias("y"))

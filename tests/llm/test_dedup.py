@@ -138,6 +138,20 @@ def test_links_of_a_chain_and_of_a_large_family(spark):
         assert found == expected
 
 
+def test_links_behind_one_frequent_shingle(spark):
+    """Variants of a template's last word share the shingle of most prefixes, then only rarer ones."""
+    for seed in range(3):
+        base = [f"t{seed}x{i}" for i in range(22)]
+        inner = [[*base[:p], f"in{seed}x{k}", *base[p + 1 :]] for k in range(100) for p in [3 + k % 16]]
+        last = [[*base[:-1], f"end{seed}x{k}"] for k in range(8)]
+        texts = [" ".join(t) for t in inner + last]
+        docs = frame(spark, texts).select("doc_id", "text")
+        expected = linked(list(enumerate(texts)))
+        assert {expected[i] for i in range(100, 108)} == {100}
+        found = {r["doc_id"]: r["component_id"] for r in jaccard_join.linked_components(docs, frequent=50).collect()}
+        assert found == expected
+
+
 def test_links_null_and_repeated_ids(spark):
     docs = frame(spark, [(None, "a b c d"), (2, "a b c d"), (2, "a b c d"), (3, "A b c d")]).select("doc_id", "text")
     found = sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard_join.linked_components(docs).collect())
