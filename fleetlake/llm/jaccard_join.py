@@ -11,7 +11,7 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
 3. With this order, linked sets of n shingles share one among their first n - ceil(t n) + 1, and two
    among their first n - ceil(t n) + 2. A shingle that more than `frequent` prefixes hold is indexed
    in pairs, all others singly: a prefix that shares no rare shingle and at most one frequent one
-   leaves too few for a link.
+   leaves too few for a link. Sets so small that one shared shingle links them are indexed singly too.
    For the first key two linked sets share, what follows it in either set, and one frequent shingle
    that precedes a single key, bound what they share; pairs of a key that this rules out are never formed.
 4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
@@ -195,7 +195,7 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     # Counts are written before they are joined: next to a plain scan Spark can split a hot key.
     counts = written(exploded.groupBy("token").count().filter("count > 1"), "token-counts")
     shared = written(exploded.join(counts, "token"), "prefix-tokens")
-    rare = shared.filter(F.col("count") <= frequent)
+    rare = shared.filter((F.col("count") <= frequent) | (F.col("n") * percent <= 100))
     often = shared.filter(F.col("count") > frequent).groupBy("doc", "n")
     often = often.agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("tokens"))
     heads = often.select("doc", F.col("tokens")[0]["pos"].alias("head"))

@@ -152,6 +152,15 @@ def test_links_behind_one_frequent_shingle(spark):
         assert found == expected
 
 
+def test_links_by_one_frequent_shingle(spark):
+    texts = ["a b c", *(f"a b c d{i}" for i in range(6)), *(f"a b c d{i} e" for i in range(3)), "x y z"]
+    docs = frame(spark, texts).select("doc_id", "text")
+    for percent in (50, 30):
+        expected = linked(list(enumerate(texts)), percent=percent)
+        found = jaccard_join.linked_components(docs, percent=percent, frequent=2).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == expected
+
+
 def test_links_null_and_repeated_ids(spark):
     docs = frame(spark, [(None, "a b c d"), (2, "a b c d"), (2, "a b c d"), (3, "A b c d")]).select("doc_id", "text")
     found = sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard_join.linked_components(docs).collect())
