@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fleetlake.operators import ml as ML
 from fleetlake.operators import ranking as R
 from fleetlake.operators import retrieval as RT
+from fleetlake.plans import registry
 
 
 def vectors(spark, n, dims, seed):
@@ -91,6 +92,14 @@ def test_text_search_finds_the_right_chunk(spark):
     assert context.context == "[0] Throttling starts on" and context.sources.startswith("0 (score: ")
 
 
+def test_registered_vector_search_near_the_exact_one(spark, small):
+    """Of the 120 exact neighbours 1,024 dimensions give 25 and 256 give 17."""
+    asked = spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", F.col("text").alias("content"))
+    exact = RT.text_top_k(asked, registry.chunks(spark, small), "item_id", "chunk_id", k=3).select("item_id", "chunk_id")
+    found = registry.q26_vector_search(spark, small).select("item_id", "chunk_id")
+    assert found.join(exact, ["item_id", "chunk_id"]).count() > 20
+
+
 def test_index_refresh_touches_only_changes(spark):
     chunks = spark.createDataFrame([(i, f"text number {i}") for i in range(6)], "chunk_id int, content string")
     model = RT.text_embedder(chunks, dims=64)
