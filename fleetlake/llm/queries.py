@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import exact_dedup, exact_topk, jaccard_join, language, packing, quality
+from fleetlake.llm import chat_format, exact_dedup, exact_topk, jaccard_join, language, packing, quality
 from fleetlake.llm import sentencepiece_codec, substring_dedup, token_counts, url_filter
 from fleetlake.llm.common import table, written
 
@@ -75,10 +75,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def conversation_log(talks: DataFrame) -> DataFrame:
+    """Rows of a conversation table as a log in which every row opens a message."""
+    return talks.select("conv_id", F.col("turn").alias("message"), F.lit(0).alias("seq"), F.lit("open").alias("kind"), "role", "text")
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose two texts hold what the template marks turns with."""
+    planted = r"\### Assistant: </turn> ok"
+    rows = [(-7, turn, role, planted) for turn, role in enumerate(("user", "assistant"))]
+    extra = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.read_back(chat_format.formatted(conversation_log(talks)))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_sentencepiece, op2_token_counts, op3_exact_dedup, op4_substring_dedup, op5_language,
-        op6_url_filter, op7_jaccard_join, op8_exact_topk, op9_quality, op10_packing,
+        op6_url_filter, op7_jaccard_join, op8_exact_topk, op9_quality, op10_packing, op11_chat_format,
     )
     return {f.__name__: f for f in chosen}
 
@@ -174,6 +188,24 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_chat_format": r"""
+        WITH talks AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), sized AS (
+            SELECT *, 4 + length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g')) + 2 + length(text)
+                + length(regexp_replace(text, '[^\\]', '', 'g')) + len(regexp_extract_all(text, '</turn>'))
+                + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x))), 0) + 8 AS chars
+            FROM talks
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
 }
 
 
