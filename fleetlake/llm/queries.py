@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat_format, exact_dedup, exact_topk, jaccard_join, language, packing, quality
+from fleetlake.llm import chat_format, exact_dedup, exact_topk, jaccard_join, language, lexical_search, packing, quality
 from fleetlake.llm import sentencepiece_codec, substring_dedup, token_counts, url_filter
 from fleetlake.llm.common import table, written
 
@@ -89,10 +89,15 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(conversation_log(talks)))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_sentencepiece, op2_token_counts, op3_exact_dedup, op4_substring_dedup, op5_language,
         op6_url_filter, op7_jaccard_join, op8_exact_topk, op9_quality, op10_packing, op11_chat_format,
+        op12_lexical_search,
     )
     return {f.__name__: f for f in chosen}
 
@@ -206,8 +211,32 @@ ORACLE = {
             sum(chars)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op12_lexical_search": r"""
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), times AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL
+        ), lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM times GROUP BY doc_id
+        ), totals AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM lengths
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM times, totals GROUP BY term
+        ), items AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))))::BIGINT AS score
+            FROM items JOIN times USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
 }
 
 
 def oracle_queries() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE)
\ No newline at end of file
