@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm import chat_format, exact_dedup, exact_topk, jaccard_join, language, lexical_search, packing, quality
+from fleetlake.llm import chat_format, exact_dedup, exact_topk, jaccard_join, language, lexical_search, packing, prefix_trie, quality
 from fleetlake.llm import sentencepiece_codec, substring_dedup, token_counts, url_filter
 from fleetlake.llm.common import table, written
 
@@ -93,11 +93,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_sentencepiece, op2_token_counts, op3_exact_dedup, op4_substring_dedup, op5_language,
         op6_url_filter, op7_jaccard_join, op8_exact_topk, op9_quality, op10_packing, op11_chat_format,
-        op12_lexical_search,
+        op12_lexical_search, op13_prefix_trie,
     )
     return {f.__name__: f for f in chosen}
 
@@ -235,6 +239,44 @@ ORACLE = {
         )
         SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
     """,
+    "op13_prefix_trie": r"""
+        WITH talks AS (
+            SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+                length(coalesce(text, '')) AS chars, turn
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), placed AS (
+            SELECT conv_id, said, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos FROM talks
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+            ), 4294967295) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM talks)
+        ), parts AS (
+            SELECT c.conv_id, 0 AS own, p.pos, said, chars FROM convs AS c JOIN placed AS p ON p.conv_id = c.base AND p.pos <= c.h
+            UNION ALL SELECT c.conv_id, 1, p.pos, said, chars FROM convs AS c JOIN placed AS p USING (conv_id) WHERE p.pos > c.h
+        ), steps AS (
+            SELECT conv_id, row_number() OVER w AS depth, sha256(string_agg(said, '') OVER w) AS node, chars FROM parts
+            WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING)
+        ), rows AS (
+            SELECT conv_id, depth, node, chars FROM steps UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+        ), ends AS (SELECT conv_id, arg_max(node, depth) AS node FROM rows GROUP BY conv_id
+        ), nodes AS (
+            SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(chars) AS chars FROM rows GROUP BY node
+        ), links AS (
+            SELECT DISTINCT x.node AS node, y.node AS parent FROM rows AS x JOIN rows AS y ON x.conv_id = y.conv_id AND x.depth = y.depth + 1
+        ), kids AS (SELECT parent AS node, count(*) AS n FROM links GROUP BY parent
+        ), below AS (
+            SELECT DISTINCT x.node AS node, y.node AS low FROM rows AS x JOIN rows AS y ON x.conv_id = y.conv_id AND x.depth <= y.depth
+        ), totals AS (
+            SELECT b.node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum((m.n_convs - 1) * m.chars)::BIGINT AS saved_tokens
+            FROM below AS b JOIN nodes AS m ON m.node = b.low LEFT JOIN kids AS k ON k.node = b.low GROUP BY b.node
+        ), closed AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM ends GROUP BY node)
+        SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, coalesce(k.n, 0) AS n_children, n_leaves, saved_tokens,
+            sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes AS m JOIN totals USING (node) LEFT JOIN kids AS k USING (node) LEFT JOIN closed USING (node)
+        LEFT JOIN links AS l USING (node) LEFT JOIN nodes AS p ON p.node = l.parent
+    """,
 }
 
 
