@@ -7,7 +7,9 @@ its UTF-8 bytes under byte fallback, else as one.
 
 No piece spans from a character to a space after it or across a line break that no piece holds, so
 the units between such places are merged one by one and their counts are kept per Python worker, in a
-cache of CACHE units per generation. Null and empty texts have no tokens.
+cache of CACHE units per generation. Null and empty texts have no tokens. Rows
+are counted one by one: null ids, repeated rows and repeated ids come back as they are, an empty table
+gives no rows, and other columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations

@@ -1,11 +1,13 @@
 """Tokens against the tokenizer libraries, packings against their rules."""
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from tokenizers import Tokenizer
 
 from fleetlake.llm import packing, sentencepiece_codec, token_counts
 from fleetlake.llm.packing import planned
-from fleetlake.llm.piece_model import UNIGRAM, load_pieces
+from fleetlake.llm.piece_model import NORMAL, UNIGRAM, load_pieces
 from tests.llm.helpers import LONG, frame
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -61,6 +63,61 @@ def test_encoding_is_the_library_s(spark, library, small):
         assert r["text"] == (texts[r["doc_id"]] or "").replace("▁", " ")
 
 
+def test_a_small_cache_encodes_nothing_twice(library, small, monkeypatch):
+    """Units that the cache forgets within a batch are not encoded again, one by one."""
+    monkeypatch.setattr(sentencepiece_codec, "CACHE", 50)
+    codec = sentencepiece_codec.Codec(PIECES)
+    lattices, real = [], codec._learned
+    monkeypatch.setattr(codec, "_learned", lambda units: lattices.append(len(units)) or real(units))
+    texts = [r["text"] for r in pq.read_table(f"{small}/documents.parquet", columns=["text"]).to_pylist()] * 2
+    assert [np.frombuffer(raw, "<i4").tolist() for raw in codec.encode(texts)] == [library.encode(t) for t in texts]
+    assert len(lattices) == 1 and lattices[0] > 1000 and len(codec) + len(codec.older) <= 100
+
+
+@pytest.mark.parametrize("long", [1, 1024])
+def test_long_units_and_what_the_cache_keeps(library, monkeypatch, long):
+    """Texts without white space, of any length, also against the batched lattice; none of them is kept."""
+    monkeypatch.setattr(sentencepiece_codec, "LONG", long)
+    codec = sentencepiece_codec.Codec(PIECES)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcXYZ019+/é漢") for _ in range(n)) for n in (70, 500, 3000)] + ["ab" * 700, "-" * 999, "plain words here"]
+    assert [np.frombuffer(raw, "<i4").tolist() for raw in codec.encode(texts)] == [library.encode(t) for t in texts]
+    assert max(map(len, codec)) <= sentencepiece_codec.KEPT
+
+
+def test_a_megabyte_without_white_space(library):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/") for _ in range(1 << 20))
+    began = time.process_time()
+    (raw,) = sentencepiece_codec.codec(PIECES).encode([text])
+    assert time.process_time() - began < 120
+    assert np.frombuffer(raw, "<i4").tolist() == library.encode(text)
+
+
+def test_verdicts_are_those_of_merging():
+    verdicts = sentencepiece_codec.PairVerdicts(PIECES)
+    rng, pieces = random.Random(6), verdicts.pieces
+    normal = [i for i, t in enumerate(verdicts.merger.model.types) if t == NORMAL]
+    number = {pieces[i]: i for i in normal}
+    pairs = [(rng.choice(normal), rng.choice(normal)) for _ in range(2000)]
+    for text in rng.sample(sorted(number), 2000):  # pairs that could merge
+        cut = rng.randint(1, max(1, len(text) - 1))
+        if text[:cut] in number and text[cut:] in number:
+            pairs.append((number[text[:cut]], number[text[cut:]]))
+    for one, two in pairs:
+        symbols = [s for s in verdicts.merger.merged(pieces[one] + pieces[two])[0] if s]
+        assert verdicts.judged(one * verdicts.width + two) == (symbols == [pieces[one], pieces[two]])
+
+
+@pytest.mark.parametrize("encode", [sentencepiece_codec.encoded, token_counts.token_counts])
+def test_tokens_of_odd_tables(spark, encode):
+    """Null and repeated ids, repeated rows, no rows, columns called like the results."""
+    rows = frame(spark, [(1, "a b"), (1, "a b"), (None, "x"), (2, None)]).withColumns({c: F.lit("z") for c in ("ids", "round_trip", "n_tokens", "over_limit", "n_bytes")})
+    found = encode(rows, PIECES).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in found) == [(False, 1), (False, 1), (False, 2), (True, 0)]
+    assert encode(rows.limit(0), PIECES).count() == 0
+
+
 def test_decoding_odd_lists(spark, library):
     lists = [[], None, [259, 3, 200, 31999, None, 1], [0], [230, 150, 160]]
     rows = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>")
