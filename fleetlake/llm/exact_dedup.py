@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import batches, bound_batches, written
+from fleetlake.llm.common import batches, bound_batches, dropped, written
 
 SLOTS = 4
 KICKS = 200
@@ -160,11 +160,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with their own columns and whole texts."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
-    marks = docs.withColumn("__own_sha", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")) & (F.col("__own_sha") == F.col("__kept_sha"))
-    return marks.join(kept, same, "left_semi").drop("__own_sha")
+    """The rows of `docs` that stay, with their own columns and whole texts.
+
+    The list of the (id, digest) that go is written first, so its size is known: while it is small Spark
+    sends it to the texts, and they are not shuffled.
+    """
+    bound_batches(docs.sparkSession)
+    marks = written(digests(docs, id_col, text_col), "digests")
+    gone = marks.join(digest_groups(marks), "digest").filter(~F.col("doc_id").eqNullSafe(F.col("low")))
+    gone = written(gone.select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest")).distinct(), "gone")
+    dropped(marks)
+    rows = docs.withColumn("__own_digest", F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id")) & (F.col("__own_digest") == F.col("__gone_digest"))
+    return rows.join(gone, same, "left_anti").drop("__own_digest")
 
 
 def updated_index(index: DataFrame, inserts: DataFrame, deletes: DataFrame) -> DataFrame:

@@ -125,7 +125,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     paths = written(live.groupBy(*PATH).agg(first.alias("first"), F.count("*").alias("copies")), "path-table")
     branching = written(paths.groupBy("anchor").count().filter("count > 1").select("anchor"), "branching-anchors")
     wanted = paths.join(branching, "anchor", "left_semi").select(*PATH, "first.*")
-    by_text = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*PATH, "at")).alias("wanted"))
+    # Written, so that its size is known: while it is small it goes to the texts, not they to it.
+    by_text = written(wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*PATH, "at")).alias("wanted")), "wanted-windows")
     windows = written(_opened(docs.join(by_text, "doc_id").select("doc_id", "text", "wanted"), window), "windows")
     origin = written(windows.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("origin")), "origins")
     foreign = windows.join(origin, ["one", "two"]).filter(F.col("origin") != F.struct("doc_id", "start"))
@@ -155,7 +156,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     Columns of `docs` with one of the three names are replaced.
     """
     hits = repeated_windows(docs.select("doc_id", "text"), window, anchor)
-    marks = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits")).alias("__marks"))
+    marks = written(hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits")).alias("__marks")), "marks")
     rows = docs.join(marks, "doc_id", "left")
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept_text")]
     kept = rows.select("doc_id", *others, "text", "__marks")

@@ -196,7 +196,7 @@ def test_pipeline_stages_against_brute_force(spark, small):
     distinct = by_name["exact_dedup"](spark, good, small).cache()
     assert {r["doc_id"]: r["text"] for r in distinct.collect()} == plain
 
-    parts = linked(list(plain.items()))
+    parts = linked(list(plain.items()), percent=80, width=5)
     near = by_name["jaccard_dedup"](spark, distinct, small).cache()
     kept = {i: t for i, t in plain.items() if parts[i] == i}
     assert near.columns == docs.columns and {r["doc_id"]: r["text"] for r in near.collect()} == kept
