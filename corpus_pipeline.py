@@ -37,7 +37,8 @@ def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Near means 80 % of the 5-word shingles; 3 words and 90 % are the contract of op 7 alone.
     """
     parts = jaccard_join.linked_components(docs.select("doc_id", "text"), width=5, percent=80)
-    gone = parts.filter("component_id <> doc_id").select("doc_id").distinct()
+    # Written, so that its size is known: while it is small the texts need no shuffle.
+    gone = written(parts.filter("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
