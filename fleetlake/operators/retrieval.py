@@ -6,44 +6,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    IDF,
-    BucketedRandomProjectionLSH,
-    HashingTF,
-    Normalizer,
-    RegexTokenizer,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.text import preview
+from fleetlake.operators.latent import TextModel, embed_column, fit_text_model
 from fleetlake.operators.ranking import top_per_group
 from fleetlake.sinks.changes import diff_snapshots
 
 
-def text_embedder(corpus: DataFrame, text: str = "content", dims: int = 1024) -> PipelineModel:
-    """Fit hashed TF-IDF vectors of unit length on a corpus.
+def text_embedder(corpus: DataFrame, text: str = "content", dims: int = 256) -> TextModel:
+    """Fit text vectors of `dims` numbers on a corpus (see `latent`).
 
-    Hashing keeps the model at `dims` numbers however large the vocabulary gets, and the fit is one
-    tree-aggregated pass. It stands where a hosted embedding model would; any other model that
-    fills the same `embedding` column fits the operators below.
+    It stands where a hosted embedding model would; any other model that fills the same `embedding`
+    column fits the operators below.
     """
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dims),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_unit"),
-    ]
-    return Pipeline(stages=stages).fit(corpus.select(text))
+    return fit_text_model(corpus, text, dims)
 
 
-def embed(df: DataFrame, model: PipelineModel) -> DataFrame:
+def embed(df: DataFrame, model: TextModel, text: str = "content") -> DataFrame:
     """Add `embedding` as array<float>."""
-    vectors = model.transform(df)
-    return vectors.withColumn("embedding", vector_to_array("_unit", "float32")).select(*df.columns, "embedding")
+    return df.withColumn("embedding", embed_column(model, text))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -163,73 +147,6 @@ def _grid(first, asked, held, query_id, corpus_id, k, vector, block, cell, schem
     return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInPandas(meet, schema)
 
 
-def top_k_approx(
-    queries: DataFrame,
-    corpus: DataFrame,
-    query_id: str,
-    corpus_id: str,
-    k: int = 3,
-    vector: str = "embedding",
-    tables: int = 8,
-    bucket_length: float = 0.6,
-    radius: float = 1.4142135623730951,
-    seed: int = 42,
-) -> DataFrame:
-    """Approximate neighbours by random-projection hashing: same columns as `top_k`.
-
-    Only corpus rows that share a bucket with a query in one of `tables` tables are scored. More
-    tables or wider buckets raise recall and cost. Vectors must have unit length: then Euclidean
-    distance d gives the cosine 1 - d*d/2. `radius` bounds the distance, the default keeps every
-    candidate with a non-negative cosine.
-    """
-
-    def hashed(df, name):
-        return df.select(F.col(name).alias("id"), array_to_vector(vector).alias("vec")).where(F.col("vec").isNotNull())
-
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="vec", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    left, right = hashed(queries, query_id), hashed(corpus, corpus_id)
-    model = lsh.fit(left)
-    near = model.approxSimilarityJoin(left, right, radius, distCol="distance")
-    scored = near.select(
-        F.col("datasetA.id").alias(query_id),
-        F.col("datasetB.id").alias(corpus_id),
-        (1 - F.col("distance") * F.col("distance") / 2).alias("score"),
-    )
-    return top_per_group(scored, [query_id], k, F.col("score").desc(), F.col(corpus_id).asc())
-
-
-def token_weights(df: DataFrame, row_id: str, text: str, idf: DataFrame | None = None) -> DataFrame:
-    """(row_id, token, weight): TF-IDF weights scaled to unit length per row, one row per distinct token.
-
-    Without `idf` (token, idf) the weights are plain counts, not scaled.
-    """
-    tokens = F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")).alias("token")
-    counts = df.select(row_id, tokens).where(F.col("token") != "").groupBy(row_id, "token").agg(F.count(F.lit(1)).alias("weight"))
-    if idf is None:
-        return counts
-    weighed = counts.join(idf, "token").select(row_id, "token", (F.col("weight") * F.col("idf")).alias("weight"))
-    length = weighed.groupBy(row_id).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"))
-    return weighed.join(length, row_id).select(row_id, "token", F.try_divide("weight", "_length").alias("weight"))
-
-
-def text_top_k(queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, text: str = "content", k: int = 3) -> DataFrame:
-    """(query_id, corpus_id, score, rank): the k texts of highest TF-IDF cosine, ties by corpus_id.
-
-    Only shared tokens meet, in a plain equi-join that adaptive execution splits where a token is
-    common; nothing dense is built. idf is ln((rows + 1) / (rows with the token + 1)) of the corpus,
-    so a token that every text has adds nothing and is left out of the join.
-    """
-    found = token_weights(corpus, corpus_id, text).groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-    rows = corpus.agg(F.count(F.lit(1))).scalar()
-    idf = found.select("token", F.log((rows + 1) / (F.col("_n") + 1)).alias("idf")).where(F.col("idf") > 0)
-    left = token_weights(queries, query_id, text, idf).withColumnRenamed("weight", "_q")
-    both = left.join(token_weights(corpus, corpus_id, text, idf), "token")
-    scores = both.groupBy(query_id, corpus_id).agg(F.round(F.sum(F.col("_q") * F.col("weight")), 8).alias("score"))
-    return top_per_group(scores, [query_id], k, F.col("score").desc(), F.col(corpus_id).asc())
-
-
 def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """Mean vector per group: one typical query per class of a vector table.
 
@@ -252,20 +169,19 @@ def index_changes(indexed: DataFrame, chunks: DataFrame, key: str = "chunk_id",
 
 
 def refresh_index(
-    index: DataFrame, chunks: DataFrame, model: PipelineModel, key: str = "chunk_id", text: str = "content"
+    index: DataFrame, chunks: DataFrame, model: TextModel, key: str = "chunk_id", text: str = "content"
 ) -> DataFrame:
     """New state of the index (key, content_hash, embedding): only inserts and updates are embedded."""
     changes = index_changes(index, chunks, key, text)
     fresh = changes.where(F.col("_change") != "delete").select(key, "content_hash")
-    embedded = embed(chunks.select(key, text).join(fresh, key), model).select(key, "content_hash", "embedding")
+    embedded = embed(chunks.select(key, text).join(fresh, key), model, text).select(key, "content_hash", "embedding")
     kept = index.join(changes.select(key), key, "left_anti").select(key, "content_hash", "embedding")
     return kept.unionByName(embedded)
 
 
-def build_index(chunks: DataFrame, model: PipelineModel, key: str = "chunk_id", text: str = "content") -> DataFrame:
-    return embed(chunks.select(key, text, F.sha2(F.col(text), 256).alias("content_hash")), model).select(
-        key, "content_hash", "embedding"
-    )
+def build_index(chunks: DataFrame, model: TextModel, key: str = "chunk_id", text: str = "content") -> DataFrame:
+    hashed = chunks.select(key, text, F.sha2(F.col(text), 256).alias("content_hash"))
+    return embed(hashed, model, text).select(key, "content_hash", "embedding")
 
 
 def assemble_context(

@@ -13,11 +13,13 @@ from fleetlake.functions.timing import hour_of
 from fleetlake.operators import aggregates as AG
 from fleetlake.operators import chunking as CH
 from fleetlake.operators import features as FE
+from fleetlake.operators import ivfpq as IV
 from fleetlake.operators import joins as J
 from fleetlake.operators import ml as ML
 from fleetlake.operators import monitor as MON
 from fleetlake.operators import ranking as R
 from fleetlake.operators import retrieval as RT
+from fleetlake.operators import textindex as TI
 from fleetlake.operators import textops as TX
 from fleetlake.plans import dashboard as D
 from fleetlake.plans import explore as E
@@ -331,26 +333,24 @@ def q26_text_search(spark, root):
     """The three documents nearest to each benchmark item by TF-IDF cosine."""
     corpus = read_table(spark, root, "documents").select("doc_id", F.col("text").alias("content"))
     asked = read_table(spark, root, "benchmark").select("item_id", F.col("text").alias("content"))
-    return settled(RT.text_top_k(asked, corpus, "item_id", "doc_id", k=3))
+    return settled(TI.text_top_k(asked, corpus, "item_id", "doc_id", k=3))
 
 
 @query
 def q26_vector_search(spark, root):
-    """The same question over hashed vectors of the chunks."""
-    corpus = chunks(spark, root)
+    """The same question over the chunks: the 50 nearest by learned vectors, ranked again by TF-IDF cosine."""
+    corpus = SK.save_scratch(chunks(spark, root), "chunks")
     model = RT.text_embedder(corpus)
     asked = read_table(spark, root, "benchmark").select("item_id", F.col("text").alias("content"))
-    hits = RT.top_k(RT.embed(asked, model), RT.embed(corpus, model), "item_id", "chunk_id", k=3)
-    return settled(hits)
+    near = RT.top_k(RT.embed(asked, model), RT.embed(corpus, model), "item_id", "chunk_id", k=50)
+    return settled(TI.reranked(asked, corpus, near, "item_id", "chunk_id", k=3))
 
 
 @query
 def similar_vectors_approx(spark, root):
+    """The neighbours of q25_similar_vectors by inverted lists and quantised residuals."""
     vectors = read_table(spark, root, "embeddings")
-    queries = RT.centroids(vectors, "label")
-    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x))
-    unit = queries.withColumn("embedding", F.transform("embedding", lambda x: x / length))
-    return settled(RT.top_k_approx(unit, vectors, "label", "vec_id", k=3))
+    return settled(IV.top_k_approx(RT.centroids(vectors, "label"), vectors, "label", "vec_id", k=3))
 
 
 @query
@@ -852,13 +852,16 @@ def stream_snapshot_features(spark, root):
 @query
 def stream_document_index(spark, root):
     """An index that follows the arriving documents: one embedded row per document."""
-    docs = read_table(spark, root, "documents").select(F.col("text").alias("content"))
+    docs = read_table(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
     model = RT.text_embedder(docs, dims=64)
     stream = read_stream(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
     base, checkpoint = scratch_dir(spark, "index"), scratch_dir(spark, "index-state")
     ST.run_available(stream, checkpoint, sink=ST.index_sink(base, model))
     index = ST.read_merged(spark, base, ["chunk_id"])
-    return index.select("chunk_id", "content_hash", F.size("embedding").alias("dims"))
+    whole = RT.build_index(docs, model).select("chunk_id", F.col("embedding").alias("_whole"))
+    both = index.join(whole, "chunk_id")
+    same = F.col("embedding").eqNullSafe(F.col("_whole")).alias("as_in_batch")
+    return both.select("chunk_id", "content_hash", F.size("embedding").alias("dims"), same)
 
 
 @query

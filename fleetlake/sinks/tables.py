@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlake.session import scratch_dir
+
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Full refresh; running it twice leaves the same table. The new schema replaces the old."""
@@ -58,6 +60,13 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def save_scratch(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the scratch folder and read back, for a plan that uses it several times."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

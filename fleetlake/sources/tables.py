@@ -15,16 +15,21 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, root: str, name: str, ts: str | None = None, **options) -> DataFrame:
-    """The same table as a file stream.
+    """The same table as a file stream: the parts of its folder as they arrive, or its one file.
 
     `ts` is turned into the zoned type, because event-time watermarks do not take the zone-less
     one; this is the only place where that cast happens.
     """
-    schema = read_table(spark, root, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(read_table(spark, root, name).schema)
     for key, value in options.items():
         reader = reader.option(key, value)
-    stream = reader.parquet(root)
+    if files.getFileStatus(place).isDirectory():
+        stream = reader.parquet(path)
+    else:
+        stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
     return stream.withColumn(ts, F.col(ts).cast("timestamp")) if ts else stream
 
 

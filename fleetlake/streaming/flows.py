@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlake.operators.features import hourly_aggregates, snapshot_statistics
+from fleetlake.operators.latent import TextModel
 from fleetlake.operators.retrieval import build_index
 
 
@@ -99,7 +99,7 @@ def read_merged(spark: SparkSession, base: str, keys: list[str], before: int | N
     return log.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
 
-def index_sink(base: str, model: PipelineModel, key: str = "chunk_id", text: str = "content") -> Callable[[DataFrame, int], None]:
+def index_sink(base: str, model: TextModel, key: str = "chunk_id", text: str = "content") -> Callable[[DataFrame, int], None]:
     """foreachBatch function: embed the arriving chunks that are new or changed into an upsert log.
 
     A chunk whose content hash the index has already is not embedded again. A batch holds arrivals,

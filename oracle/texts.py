@@ -94,7 +94,7 @@ FROM (SELECT doc_id, text, unnest(range(0, len(text), 700)) AS pos FROM document
        CASE WHEN k = 0 THEN role END AS first_source, CASE WHEN k = 0 THEN md5(text) END AS query_md5
 FROM (SELECT *, conv_id % 4 AS k FROM conversations)""",
     "answers_in_sql": "SELECT conv_id, turn, len(text) || ' characters' AS answer FROM conversations WHERE role = 'user'",
-    "stream_document_index": "SELECT doc_id AS chunk_id, sha256(text) AS content_hash, 64 AS dims FROM documents",
+    "stream_document_index": "SELECT doc_id AS chunk_id, sha256(text) AS content_hash, 64 AS dims, true AS as_in_batch FROM documents",
     "q25_similar_vectors": with_(_HITS) + "SELECT label, vec_id, round(score, 8) AS score, CAST(rank AS INTEGER) AS rank FROM hits",
     "q26_text_search": r"""WITH d AS (SELECT doc_id, token, count(*) AS tf FROM (
   SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2),
