@@ -11,7 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm import exact_dedup, jaccard_join, packing, quality, substring_dedup
-from fleetlake.llm.common import table, written
+from fleetlake.llm.common import BATCH_BYTES, BATCH_ROWS, bound_batches, table, written
+
+#: What the allocators of Python workers are told: large arrays go back to the system when they are freed.
+#: Workers live through all stages beside a JVM that never shrinks, so what they keep adds up.
+LEAN = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Texts go to Python a quarter of a megabyte at a time, and workers give freed memory back.
+
+    A caller's own batch settings stay; so do the caller's settings for the allocators.
+    """
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+        spark.conf.set(BATCH_BYTES, str(1 << 18))
+    bound_batches(spark)
+    for name, value in LEAN.items():
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +36,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     It learns from the labelled rows of this stage's input outside the held-out fold.
     """
+    lean_workers(spark)
     known = quality.measured(docs, ["doc_id"])
     model = quality.fit(quality.training_rows(known, table(spark, sf_dir, "labels")))
     plain = [f"column{i}" for i in range(len(docs.columns))]  # a column may be called score
@@ -28,6 +46,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id."""
+    lean_workers(spark)
     return exact_dedup.exact_dedup(docs)
 
 
@@ -36,6 +55,7 @@ def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Near means 80 % of the 5-word shingles; 3 words and 90 % are the contract of op 7 alone.
     """
+    lean_workers(spark)
     parts = jaccard_join.linked_components(docs.select("doc_id", "text"), width=5, percent=80)
     # Written, so that its size is known: while it is small the texts need no shuffle.
     gone = written(parts.filter("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
@@ -44,6 +64,7 @@ def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur earlier; those of which nothing is left go."""
+    lean_workers(spark)
     fixed = ("doc_id", "text", "n_chars")
     plain = [c if c in fixed else f"column{i}" for i, c in enumerate(docs.columns)]  # or n_words
     rows = substring_dedup.without_repeats(docs.toDF(*plain)).filter("n_removed = 0 OR n_removed < n_words")
@@ -57,6 +78,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining text in sequences of at most 4,096 tokens."""
+    lean_workers(spark)
     return packing.packed_sequences(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
