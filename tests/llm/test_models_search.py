@@ -144,6 +144,43 @@ def test_top_k_against_brute_force(spark, n, dim):
     assert {tuple(r) for r in found} == brute_top(vectors, {i for i in vectors if i % 50 == 0}, 5) and len(found) == len(set(found))
 
 
+def test_clustered_vectors_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "BLOCK", 100)
+    monkeypatch.setattr(exact_topk, "QUERIES", 40)
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(60, 8)) * 4
+    rows = [(i, (centres[i % 60] + rng.normal(size=8) * 0.1).astype(np.float32).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(6)
+    found = {tuple(r) for r in exact_topk.top_k(df, df.filter("vec_id % 50 = 0")).collect()}
+    assert found == brute_top(dict(rows), set(range(0, 3000, 50)), 5)
+
+
+def test_a_floor_leaves_out_what_cannot_reach_it():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 50
+    x = np.concatenate([centres[i] + rng.normal(size=(50, 16)) for i in range(40)]).round()
+    pivots, ids = x[rng.integers(0, 2000, 48)], np.arange(2000)
+    table, norms = exact_topk._distances(x, pivots), (x**2).sum(1)
+    scored = 0
+    for q in range(0, 2000, 100):
+        args = (x[q], q, norms[q], table[q], x, ids, norms, table, 5)
+        everything = np.sort(np.delete(x @ x[q], q))[::-1][:5]
+        scores, _, first = exact_topk.best_in_block(*args, seeds=16)
+        best, _, n = exact_topk.best_in_block(*args, floor=scores[-1])
+        assert (best == everything).all()
+        assert len(exact_topk.best_in_block(*args, floor=everything[0] + 1e6)[0]) == 0
+        scored += first + n
+    assert scored < 0.1 * 20 * 2000
+
+
+def test_repeated_rows_and_clashing_columns_of_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0]), (2, [1.0, 1.0]), (50, [1.0, 0.0]), (50, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit(1) for c in ("id", "v", "dim", "score", "rank", "query_id")})
+    found = [tuple(r) for r in exact_topk.top_k(df, df.filter("vec_id % 50 = 0"), k=3).collect()]
+    unit = 256 * 256
+    assert sorted(found) == [(0, 1, 2, 3 * unit), (0, 2, 1, 2 * unit), (0, 3, 2, unit), (50, 1, 2, 3 * unit), (50, 2, 1, 2 * unit), (50, 3, 0, unit)]
+
+
 def test_top_k_of_nothing_and_of_mixed_lengths(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [1.0]), (50, [2.0])], "vec_id long, embedding array<float>")
     assert exact_topk.top_k(df.limit(0), df.limit(0)).count() == 0
