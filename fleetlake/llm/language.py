@@ -7,10 +7,13 @@ of its texts. The language of a text is the one whose prototype has the highest
 A letter is a character of Unicode category L, lower-cased; n-grams do not span other characters but
 one blank, which stands for any stretch of them and counts as a letter.
 
-Learning adds up integer n-gram counts per language on the executors, so prototypes do not depend on
-the order of rows; what comes to the driver is bounded by languages times distinct n-grams of the BUCKETS letter
-classes (letters beyond the class table share classes by code point). Null texts and texts without a letter are `und` with
-score 0; so is every text when nothing was learned. Ties go to the first language in order.
+Learning bundles on the executors: sums of +1 and -1 are integers, so prototypes do not depend on the order of
+rows, and DIMENSIONS numbers per language reach the driver. Letters beyond the class table share classes by code point.
+
+Null texts and texts without a letter are `und` with score 0; so is every text when nothing was learned. Ties go
+to the first language in order. Repeated rows count as often as they are there, in learning, and come back as
+often; whole texts count, whatever their length; an empty table gives no rows; `columns` may be called
+anything but `lang_pred` and `score`, which are added.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 
 from fleetlake.llm.common import batches, bound_batches
 
-DIMENSIONS, GRAM, SEED = 1024, 3, 20
+DIMENSIONS, GRAM, SEED, PART = 1024, 3, 20, 2048
 BUCKETS, LATIN, BLANK, CODES = 96, 60, 0, 0x32400
 
 
@@ -80,7 +83,8 @@ def text_gram_lists(texts: list[str | None]):
     """Grams, counts and bounds of many texts."""
     found = [text_grams(t) for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(g) for g, _ in found])]).astype(np.int64)
-    return np.concatenate([g for g, _ in found]), np.concatenate([c for _, c in found]), bounds
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *[g for g, _ in found]]), np.concatenate([none, *[c for _, c in found]]), bounds
 
 
 class Prototypes(NamedTuple):
@@ -109,27 +113,34 @@ def learned(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """Prototypes from rows (text, lang); rows without either are left out."""
     bound_batches(labelled.sparkSession)
 
-    def count(it):
+    def bundle(it):
         sums: dict[str, np.ndarray] = {}
         for batch in batches(it):
-            for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                grams, counts = text_grams(text.as_py())
-                if lang not in sums:
-                    sums[lang] = np.zeros(BUCKETS**GRAM, np.int64)
-                sums[lang][grams] += counts
+            grams, counts, bounds = text_gram_lists(batch.column(0).to_pylist())
+            spoken = batch.column(1).to_pylist()
+            text = np.repeat(np.arange(len(spoken)), np.diff(bounds))
+            names = sorted(set(spoken))
+            speech = np.array([names.index(s) for s in spoken])[text]
+            cells, place = np.unique(speech * BUCKETS**GRAM + grams, return_inverse=True)
+            total = np.bincount(place, counts, len(cells))
+            for at in range(0, len(cells), PART):
+                own, vectors = cells[at : at + PART], gram_vectors(cells[at : at + PART] % BUCKETS**GRAM)
+                for i in np.unique(own // BUCKETS**GRAM):
+                    of = own // BUCKETS**GRAM == i
+                    known = sums.setdefault(names[i], np.zeros(DIMENSIONS, np.int64))
+                    known += (total[at : at + PART][of] @ vectors[of].astype(float)).astype(np.int64)
         for lang, total in sums.items():
-            grams = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(total[grams])], names=["lang", "gram", "n"])
+            columns = [pa.array([lang] * DIMENSIONS, pa.string()), pa.array(np.arange(DIMENSIONS)), pa.array(total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "place", "n"])
 
     rows = labelled.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string").alias("lang")).na.drop()
-    sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(sums["lang"].unique())
-    vectors = []
-    for lang in languages:
-        own = sums[sums["lang"] == lang]
-        bundle = own["n"].to_numpy(float) @ gram_vectors(own["gram"].to_numpy())
-        vectors.append(bundle / max(np.linalg.norm(bundle), 1e-9))
-    return Prototypes(languages, np.array(vectors, np.float32).reshape(len(languages), DIMENSIONS))
+    sums = rows.mapInArrow(bundle, "lang string, place long, n long").groupBy("lang", "place").agg(F.sum("n").alias("n"))
+    found: dict[str, np.ndarray] = {}
+    for row in sums.toLocalIterator():
+        found.setdefault(row["lang"], np.zeros(DIMENSIONS))[row["place"]] = row["n"]
+    found = {lang: found[lang] for lang in sorted(found) if found[lang].any()}
+    vectors = [v / np.linalg.norm(v) for v in found.values()]
+    return Prototypes(list(found), np.array(vectors, np.float32).reshape(len(found), DIMENSIONS))
 
 
 def identified(docs: DataFrame, model: Prototypes, columns: list[str], text_col: str = "text") -> DataFrame:

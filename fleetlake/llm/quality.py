@@ -9,7 +9,9 @@ Mahalanobis distances) plus the log prior odds.
 
 Null and empty texts are scored like any other text, from zero counts. With no labelled row of one
 class the model cannot tell them apart: every score is then the share of class 1 (0.5 without any).
-Labels other than 0 and 1 and null labels are ignored; of repeated labels each counts.
+Labels other than 0 and 1 and null labels are ignored; of repeated labels each counts, as does each of
+repeated documents, and each comes back with a score. An empty table of documents gives no rows. Whole texts
+count, whatever their length. `columns` may be called anything but `score` and `predicted`, which are added.
 """
 
 from __future__ import annotations

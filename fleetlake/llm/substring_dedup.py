@@ -11,6 +11,9 @@ anchor form a path; about one row per seven words leaves the texts. Then, by Spa
 * paths whose anchor occurs once in the corpus cannot repeat and go;
 * equal paths (anchor and content hash, 128 bits from two independent hashes) become one path with its
   first source coordinate and its occurrences, so that thousands of copies cost one row each;
+* a path that one path alone follows in all its copies, and that alone comes before it, is joined to it;
+  pointer doubling gives every path the head of its chain and its place in it, so a repeated passage of
+  any length is one row a copy;
 * an anchor with one path does not branch: all windows of the path are first at its first source;
 * where several paths share an anchor, one text per path is read again at its source coordinates and
   its windows are compared one by one, again by two hashes.
@@ -109,8 +112,42 @@ def _opened(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(read, schema)
 
 
+def chains(places: DataFrame) -> DataFrame:
+    """(id, head, offset, total) of the paths in chains of two and more, from occurrences (id, copies, edges,
+    doc_id, at): the chain's first path, the windows of the chain before this path and in all.
+
+    Two paths are joined where the second follows the first in every copy of either. A path whose head is
+    not known yet takes its predecessor's predecessor, so rounds are logarithmic in the longest chain.
+    """
+    one = places.select(F.col("id").alias("before"), "copies", "doc_id", (F.col("at") + F.col("edges")).alias("at"), F.col("edges").alias("offset"))
+    two = places.select("id", "copies", "doc_id", "at")
+    pairs = one.join(two, ["doc_id", "at", "copies"]).groupBy("id", "before", "copies", "offset").agg(F.count("*").alias("n"))
+    links = written(pairs.filter("n = copies").select("id", "before", "offset"), "chain-links")
+    heads = links.select(F.col("before").alias("id")).join(links.select("id"), "id", "left_anti").distinct()
+    found = heads.select("id", F.col("id").alias("head"), F.lit(0).cast("long").alias("offset"))
+    found, open_links = written(found, "chain-heads"), links.select("id", "before", F.col("offset").cast("long").alias("offset"))
+    while True:
+        known = found.select(F.col("id").alias("before"), "head", F.col("offset").alias("more"))
+        met = open_links.join(known, "before", "left")
+        more = open_links.select(F.col("id").alias("before"), F.col("before").alias("up"), F.col("offset").alias("far"))
+        step = met.join(more, "before", "left").select(
+            "id", "head", F.coalesce("up", "before").alias("before"), (F.col("offset") + F.when(F.col("head").isNull(), F.col("far")).otherwise(F.col("more"))).alias("offset")
+        )
+        step = written(step, "chain-step")
+        closed = written(found.unionByName(step.filter("head IS NOT NULL").select("id", "head", "offset")), "chain-heads")
+        dropped(found)
+        found, open_links = closed, step.filter("head IS NULL").select("id", "before", "offset")
+        if open_links.isEmpty():
+            break
+    sizes = places.groupBy("id").agg(F.max("edges").alias("edges"))
+    long = found.join(sizes, "id")
+    totals = long.groupBy("head").agg(F.max(F.col("offset") + F.col("edges")).alias("total"))
+    return long.join(totals, "head").select("id", "head", "offset", "total")
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Rows (doc_id, at, bits): bit i says that the window from word at + i occurs earlier too.
+    """Rows (doc_id, at, bits, run): bit i says that the window from word at + i occurs earlier too; where
+    `run` is not null, all of so many windows from `at` on do.
 
     `docs` has doc_id and text; `window` must be at most `anchor` + 31.
     """
@@ -122,7 +159,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     live = written(found.join(again, "anchor", "left_semi"), "repeated-paths")
     dropped(found, again)
     first = F.min(F.struct("doc_id", "at"))
-    paths = written(live.groupBy(*PATH).agg(first.alias("first"), F.count("*").alias("copies")), "path-table")
+    paths = live.groupBy(*PATH).agg(first.alias("first"), F.count("*").alias("copies"))
+    paths = written(paths.withColumn("id", F.monotonically_increasing_id()), "path-table")
     branching = written(paths.groupBy("anchor").count().filter("count > 1").select("anchor"), "branching-anchors")
     wanted = paths.join(branching, "anchor", "left_semi").select(*PATH, "first.*")
     # Written, so that its size is known: while it is small it goes to the texts, not they to it.
@@ -132,20 +170,29 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     foreign = windows.join(origin, ["one", "two"]).filter(F.col("origin") != F.struct("doc_id", "start"))
     masks = foreign.groupBy(*PATH).agg(F.bit_or(F.expr("shiftleft(1, place)")).alias("mask"))
     judged = paths.join(masks, PATH, "left").withColumn("mask", F.coalesce("mask", F.lit(0)))
-    judged = written(judged.filter("copies > 1 OR mask <> 0").select(*PATH, "first", "mask"), "judged-paths")
-    whole = F.expr("shiftleft(1, edges) - 1")
+    judged = written(judged.filter("copies > 1 OR mask <> 0").select(*PATH, "id", "copies", "first", "mask"), "judged-paths")
+    places = written(live.join(judged, PATH).select("id", "copies", "edges", "doc_id", "at", "first", "mask"), "judged-places")
+    dropped(live, branching, by_text, windows, origin)
+    spans = written(chains(places.filter("copies > 1")), "chains")
+    marks = places.join(spans, "id", "left")
     is_first = F.struct("doc_id", "at") == F.col("first")
-    bits = F.when(is_first, F.col("mask")).otherwise(whole)
-    return live.join(judged, PATH).select("doc_id", "at", bits.alias("bits")).filter("bits <> 0")
+    # What follows the head of a chain is part of the head's run, but for the first copy, which has masks.
+    marks = marks.filter(is_first | F.col("head").isNull() | (F.col("head") == F.col("id")))
+    bits = F.when(is_first, F.col("mask")).when(F.col("head").isNull(), F.expr("shiftleft(1, edges) - 1")).otherwise(0)
+    run = F.when(~is_first & F.col("head").isNotNull(), F.col("total"))
+    return marks.select("doc_id", "at", bits.alias("bits"), run.alias("run")).filter("bits <> 0 OR run IS NOT NULL")
 
 
-def covered(at: np.ndarray, bits: np.ndarray, n: int, window: int) -> np.ndarray:
-    """Which of n words are covered by the windows that (at, bits) mark."""
+def covered(at: np.ndarray, bits: np.ndarray, run: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Which of n words are covered by the windows that (at, bits, run) mark; run is 0 where bits count."""
     edge = np.zeros(n + 1, np.int64)
     for place in range(int(bits.max()).bit_length() if len(bits) else 0):
         begin = np.minimum(at[(bits >> place) & 1 == 1] + place, n)
         np.add.at(edge, begin, 1)
         np.add.at(edge, np.minimum(begin + window, n), -1)
+    long = run > 0
+    np.add.at(edge, np.minimum(at[long], n), 1)
+    np.add.at(edge, np.minimum(at[long] + run[long] - 1 + window, n), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -156,7 +203,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     Columns of `docs` with one of the three names are replaced.
     """
     hits = repeated_windows(docs.select("doc_id", "text"), window, anchor)
-    marks = written(hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits")).alias("__marks")), "marks")
+    marks = written(hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "bits", F.coalesce("run", F.lit(0)).alias("run"))).alias("__marks")), "marks")
     rows = docs.join(marks, "doc_id", "left")
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept_text")]
     kept = rows.select("doc_id", *others, "text", "__marks")
@@ -172,8 +219,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                 words = raw.split()
                 gone = np.zeros(0, bool)
                 if mark.is_valid:
-                    at, bits = (np.asarray(mark.values.field(i)) for i in (0, 1))
-                    gone = covered(at, bits, len(words), window)
+                    at, bits, run = (np.asarray(mark.values.field(i)) for i in (0, 1, 2))
+                    gone = covered(at, bits, run, len(words), window)
                     raw = b" ".join(compress(words, (~gone).tolist()))
                 sizes.append(len(words))
                 removed.append(int(gone.sum()))

@@ -103,6 +103,35 @@ def test_passages_against_brute_force(spark, seed):
         assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
+def test_a_long_repeat_is_one_chain(spark, monkeypatch):
+    """2,000 words in five texts, three of them copies: one chain but for the paths at its ends."""
+    passage = " ".join(f"p{i}" for i in range(2000))
+    texts = [f"a b c {passage} d e", f"x {passage} y", f"x {passage} y", f"{passage}", f"{passage} q {passage}", " ".join(f"z{i}" for i in range(300))]
+    seen, real = [], substring_dedup.chains
+    monkeypatch.setattr(substring_dedup, "chains", lambda places: seen.append(real(places)) or seen[-1])
+    docs = frame(spark, texts)
+    marks = substring_dedup.repeated_windows(docs.select("doc_id", "text")).collect()
+    totals = {(r["head"], r["total"]) for r in seen[0].collect()}
+    assert len([t for _, t in totals if t >= 1900]) == 1 and len(totals) <= 4
+    assert len([r for r in marks if r["run"] and r["run"] >= 1900]) == 5  # one row for each copy after the first
+    assert len(marks) < 60
+    expected = passages(list(enumerate(texts)))
+    for r in substring_dedup.kept_digests(docs).collect():
+        assert r["n_removed"] == sum(expected[r["doc_id"]][1])
+
+
+def test_chains_of_paths(spark):
+    """Chains end where copies differ in number, where another path follows, and at the end of a text."""
+    rows = [(doc, i) for doc in (1, 2, 3) for i in range(40)] + [(4, i) for i in range(10, 20)] + [(5, i) for i in range(30, 40)] + [(5, 60)]
+    copies = {i: sum(j == i for _, j in rows) for _, i in rows}
+    places = spark.createDataFrame([(i, copies[i], 2 + i % 3, doc, sum(2 + j % 3 for d, j in rows if d == doc and j < i)) for doc, i in rows], "id long, copies long, edges int, doc_id long, at int")
+    found = {r["id"]: (r["head"], r["offset"], r["total"]) for r in substring_dedup.chains(places).collect()}
+    size = lambda a, b: sum(2 + j % 3 for j in range(a, b))
+    want = {i: (a, size(a, i), size(a, b)) for a, b in ((0, 10), (10, 20), (20, 30), (30, 40)) for i in range(a, b)}
+    assert found == want
+    assert substring_dedup.chains(places.limit(0)).count() == 0
+
+
 def test_passages_whole_rows(spark):
     passage = " ".join(f"p{i}" for i in range(55))
     docs = frame(spark, [(1, f"x  y\n{passage}"), (2, f"{passage} tail"), (4, "as  it\tis"), (None, passage), (6, None), (7, LONG)])

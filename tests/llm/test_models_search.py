@@ -1,5 +1,6 @@
 """Classifiers by held-out accuracy, URL rules and vector search against brute force, the pipeline."""
 
+import math
 import random
 import re
 import zlib
@@ -38,6 +39,53 @@ def test_language_of_odd_texts(spark):
     assert {r["lang_pred"] for r in language.identified(rows, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def plain_language(training, texts):
+    """Bundles and cosines letter by letter, in plain Python over lists of +1 and -1."""
+    letters, classes = [list(map(int, v)) for v in language.letter_vectors()], language.letter_classes()
+    size = language.DIMENSIONS
+
+    def bundle(text):
+        codes, total = [], [0] * size
+        for c in f" {text} ":
+            code = int(classes[ord(c)]) if ord(c) < language.CODES else 0
+            if code or not codes or codes[-1]:
+                codes.append(code)
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            x, y, z = letters[a], letters[b], letters[c]
+            for d in range(size):
+                total[d] += x[d - 2] * y[d - 1] * z[d]
+        return total
+
+    sums = {}
+    for text, lang in training:
+        own = sums.setdefault(lang, [0] * size)
+        for d, x in enumerate(bundle(text)):
+            own[d] += x
+    out = {}
+    for i, text in texts:
+        own = bundle(text or "")
+        norm = sum(x * x for x in own) ** 0.5
+        if not norm or not any(c.isalpha() for c in text):
+            out[i] = ("und", 0.0)
+            continue
+        cosines = {lang: sum(p * q for p, q in zip(own, v)) / norm / sum(p * p for p in v) ** 0.5 for lang, v in sums.items()}
+        best = max(sorted(cosines), key=lambda lang: cosines[lang])
+        out[i] = (best, min(1.0, max(0.0, (1 + cosines[best]) / 2)))
+    return out
+
+
+def test_language_equals_a_plain_bundle(spark):
+    training = [("the cat sat on the mat", "en"), ("a dog and a cat", "en"), ("der hund und die katze", "de"), ("el perro y el gato", "es"), ("12", "xx"), ("la niña", "es"), ("la niña", "es")]
+    texts = list(enumerate(["the dog", "die katze sass", "el gato negro", "x", "niña!", "", None, "77", "der the el", "漢字 katze", "the dog"]))
+    rows = spark.createDataFrame(training, "text string, lang string").repartition(3)
+    model = language.learned(rows)
+    assert model.languages == ["de", "en", "es"]
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identified(frame(spark, texts), model, ["doc_id"]).collect()}
+    for i, (lang, score) in plain_language([t for t in training if t[1] != "xx"], texts).items():
+        assert found[i][0] == lang and found[i][1] == pytest.approx(score, abs=1e-5)
+    assert language.identified(frame(spark, texts).limit(0), model, ["doc_id"]).count() == 0
+
+
 def test_gram_vectors_are_bound_and_permuted():
     letters = language.letter_vectors()
     gram = np.array([5 * language.BUCKETS**2 + 7 * language.BUCKETS + 9])
@@ -55,6 +103,56 @@ def test_quality_held_out(spark):
     assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_statistics(text):
+    """The numbers of one text, byte by byte and word by word."""
+    raw = (text or "").encode()
+    kind = lambda b: next((k for k, own in KINDS.items() if b in own), "high" if b >= 128 else "other")
+    kinds, size = [kind(b) for b in raw], len(raw)
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", raw) if w]
+    lines = [x for x in re.split(rb"[\x0A-\x0D]+", raw) if x]
+    n, share = len(words), lambda part, whole: (part + 0.02) / (whole + 1.0)
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / max(n, 1)
+    spread = math.sqrt(max(sum(x * x for x in lengths) / max(n, 1) - mean**2, 0))
+    triples = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    return [math.log(x + 1e-3) for x in (
+        n + 1, *(share(kinds.count(k), size) for k in ("upper", "digit", "break", "stop", "mark", "high")), mean + 1, spread + 1,
+        share(sum(kind(w[0]) == "upper" and kind(w[min(1, len(w) - 1)]) == "upper" for w in words), n),
+        share(sum(kind(w[-1]) == "mark" for w in words), n), share(sum(kind(w[0]) == kind(w[-1]) == "mark" for w in words), n),
+        (len(set(words)) + 1) / (n + 1), share(sum(a == b for a, b in zip(words, words[1:])), n),
+        share(len(triples) - len(set(triples)), len(triples)), share(len(lines) - len(set(lines)), len(lines)), size / max(len(lines), 1) + 1,
+    )]
+
+
+KINDS = {"lower": range(97, 123), "upper": range(65, 91), "digit": range(48, 58), "space": b"\t ", "break": b"\n\x0b\x0c\r", "stop": b".,;:?'\"()-", "mark": b"!#$%&*|=<>_~^@+/\\"}
+
+
+def test_quality_equals_log_densities_from_raw_rows(spark):
+    """Statistics, moments and scores against plain Python and matrix inverses; repeated rows, no rows."""
+    rng = random.Random(11)
+    word = lambda: rng.choice(["Plain", "word", "AB", "x1", "é漢", "##", "it's", "end!", "a"])
+    texts = [" ".join(word() for _ in range(rng.randint(0, 40))).replace("a ", rng.choice(["a\n", "a "])) for _ in range(150)] + ["", None, "\n\n", LONG]
+    rows = [(i, t, i % 2 if i % 7 else None) for i, t in enumerate(texts)] + [(0, texts[0], 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    model = quality.fit(quality.measured(df, ["quality"]))
+    x = np.array([plain_statistics(t) for _, t, _ in rows])
+    own = {k: x[[q == k for _, _, q in rows]] for k in (0, 1)}
+    known = np.concatenate(list(own.values()))
+    centre, scale, d = known.mean(0), np.sqrt(np.maximum(known.var(0), 1e-6)), x.shape[1]
+    density = []
+    for k in (0, 1):
+        z, n = (own[k] - centre) / scale, len(own[k])
+        cov, w = np.cov(z.T, bias=True), min(1.0, 0.1 + d / (n + d))
+        cov = 0.7 * ((1 - w) * cov + w * np.diag(np.diag(cov))) + 0.3 * np.eye(d)
+        off = (x - centre) / scale - z.mean(0)
+        density.append(-0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off) - 0.5 * np.linalg.slogdet(cov)[1])
+    odds = density[1] - density[0] + math.log(len(own[1]) / len(own[0]))
+    want = {i: 1 / (1 + math.exp(-max(-30, min(30, o)))) for (i, _, _), o in zip(rows, odds, strict=True)}
+    found = quality.scored(df, model, ["doc_id"], "text").collect()
+    assert len(found) == len(rows) and all(r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-6) for r in found)
+    assert quality.scored(df.limit(0), model, ["doc_id"], "text").count() == 0
+
+
 def test_quality_of_odd_texts_and_labels(spark):
     texts = ["", None, " ", "x", "!!! ***", LONG, "\n\n\n", "ok then"]
     docs = frame(spark, texts).withColumn("__x", F.lit(1))
@@ -117,6 +215,23 @@ def test_globs_against_fnmatch():
             assert found[i, k] == (fnmatchcase(host, h) and fnmatchcase(path, p)), (sides[i], globs[k])
 
 
+def test_thousands_of_globs(spark):
+    """A rule list of real size as an argument: 3,000 host globs at once, a very long and a repeated url."""
+    rng = random.Random(9)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9)))
+    globs = [("block", (rng.choice([f"*.{name()}.com", f"*{name()}*", f"{name()}.org", f"ads?.{name()}.net"]), rng.choice(["*", f"/{name()}/*", "*.js"]))) for _ in range(3000)]
+    hosts = [rng.choice([f"www.{name()}.com", f"x{name()}y.net", f"{name()}.org", f"ads1.{name()}.net"]) for _ in range(300)]
+    hosts += [g[0].replace("*", "q").replace("?", "7") for _, g in globs[:100]]
+    urls = [f"http://{h}{rng.choice(['/', '/a.js', f'/{name()}/x', '/deep/path'])}" for h in hosts] + ["http://long.org/" + "p" * 100_000 + ".js"] * 2
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, verdict string").repartition(3)
+    found = {r["page_id"]: r for r in url_filter.url_verdicts(pages, [], globs).collect()}
+    assert len(found) == len(urls)
+    for i, url in enumerate(urls):
+        host, _, path = url[7:].partition("/")
+        want = any(fnmatchcase("." + host, h) and fnmatchcase("/" + path, p) for _, (h, p) in globs)
+        assert found[i]["verdict"] == ("block" if want else "allow"), url[:80]
+
+
 def test_url_tables_without_rows_or_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert [tuple(r) for r in url_filter.url_verdicts(pages, [], []).collect()] == [(1, "a.net", "/", None, "allow")]
