@@ -1,7 +1,13 @@
 """A training corpus from `documents`: quality, exact and near copies, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's documents. All but the last return the columns of their input.
+again as the next stage's documents. All but the last return the columns of their input, whatever they are
+called, also where nulls are in any of them; an empty table of documents stays empty.
+
+Null and empty texts are judged like any other by the classifier; they equal one another, have no shingles
+and no passages, and are one end token each. Repeated rows are equal texts of one id and stay together: a
+decision on an id and text holds for each of them. Of equal or near texts the smallest id stays, so ties
+do not depend on order.
 """
 
 from __future__ import annotations
@@ -79,7 +85,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining text in sequences of at most 4,096 tokens."""
     lean_workers(spark)
-    return packing.packed_sequences(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), cache=50_000)
 
 
 STAGES = [
