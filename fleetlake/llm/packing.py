@@ -57,21 +57,21 @@ def pack_ids(ids: list[int]) -> bytes:
 
 
 class WordIds(Recent):
-    """Little-endian 32-bit ids of the tokens of a word (UTF-8), CACHE words a generation.
+    """Little-endian 32-bit ids of the tokens of a word (UTF-8), `size` words a generation.
 
     Only for tokenizers that drop white space and never join text across it: each word between ASCII
     white space is then encoded by itself. Any other white space stays inside its word.
     """
 
-    def __init__(self, path: str):
-        super().__init__(CACHE)
+    def __init__(self, path: str, size: int = CACHE):
+        super().__init__(size)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         parts = json.loads(self.tokenizer.to_str())
         self.plain = parts["normalizer"] == NORMALIZER and parts["pre_tokenizer"] == SPLITTER
-        self.parts: Recent = Recent(CACHE)
+        self.parts: Recent = Recent(size)
         self.parts.made = self._part
 
     def of(self, text: bytes) -> bytes:
@@ -100,17 +100,17 @@ class WordIds(Recent):
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, size: int = CACHE) -> WordIds:
+    return WordIds(path, size)
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str, cache: int = CACHE) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32) of every text."""
     bound_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(it):
-        ids = word_ids(tokenizer)
+        ids = word_ids(tokenizer, cache)
         for batch in batches(it):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -223,13 +223,18 @@ def packed_sequences(
     id_col: str = "doc_id",
     text_col: str = "text",
     blocks: int = 64,
+    cache: int = CACHE,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every text.
 
     `tokenizer` names a tokenizer file that every node has. `blocks` is how many tasks may number the
-    pieces of one length at once; raise it with the corpus.
+    pieces of one length at once; raise it with the corpus. `cache` is how many words a Python worker
+    remembers; fewer cost time, not results.
+
+    Null ids and repeated rows are packed like any others, each row's pieces by themselves; an empty table
+    gives no rows; columns other than the two named are not read.
     """
-    pieces = written(tokenised_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    pieces = written(tokenised_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, cache), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs = sorted(planned(counts, capacity))
     plan = docs.sparkSession.sparkContext.broadcast(np.array(runs, np.int64).reshape(-1, 5))
