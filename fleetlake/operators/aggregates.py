@@ -39,14 +39,18 @@ def pivot_mean(df: DataFrame, index: str, columns: str, value: str, names: list
     return df.groupBy(index).pivot(columns, names).agg(F.avg(value))
 
 
-def pivot_map(df: DataFrame, index: str, columns: str, value: str) -> DataFrame:
-    """(index, cells): the mean of `value` per pivoted value as one map, for columns known only by the data.
+def pivot_map(df: DataFrame, index: str, columns: str, value: str, size: int = 10_000) -> DataFrame:
+    """(index, part, cells): the mean of `value` per pivoted value as maps, for columns known only by the data.
 
-    Means are taken per (index, column) first, so a row holds one entry per distinct value.
+    Means are taken per (index, column) first. An index with many columns has several parts, dealt by a
+    hash of the column, so that a map holds about half of `size` entries.
     """
     means = df.groupBy(index, columns).agg(F.avg(value).alias("_mean")).where(F.col(columns).isNotNull())
+    parts = means.groupBy(index).agg((F.floor(2 * F.count(F.lit(1)) / size) + 1).alias("_parts"))
+    dealt = means.join(parts, means[index].eqNullSafe(parts[index])).drop(parts[index])
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64(columns), F.col("_parts")))
     entries = F.array_sort(F.collect_list(F.struct(columns, "_mean")))
-    return means.groupBy(index).agg(F.map_from_entries(entries).alias("cells"))
+    return dealt.groupBy(index, "part").agg(F.map_from_entries(entries).alias("cells"))
 
 
 def slice_rows(df: DataFrame, slices: list[str], keys: list[str], *aggregates: Column) -> DataFrame:

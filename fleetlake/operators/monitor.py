@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlake.functions.numeric import finite, instant, interval_us, micros, percent_change, rate, settle, slot_start
 from fleetlake.functions.stats import chi2_pvalue, ks_pvalue
 from fleetlake.operators.aggregates import custom_metrics
+from fleetlake.operators.summaries import quantiles, value_cell, value_summary
+from fleetlake.sinks.tables import save_scratch
 
 
 def window_of(start: Column, width_us: Column | int) -> Column:
@@ -242,54 +241,34 @@ _TEST = ["start", "slice_key", "slice_value", "column_name"]
 _NO_WINDOW = -(2**63)  # start of baseline rows; keys are never null, so no null filter sets one use of a shuffle apart
 
 
-def _with_bins(df: DataFrame, samples: list[DataFrame], numeric: list[str], bins: int) -> DataFrame:
-    """Add a `_bin_<column>` per numeric column: equal-frequency bins of the values of all `samples`.
+def _bits(bins: int) -> int:
+    """Cells of a width that cuts values of one binary order into about `bins`; 0 for a single one."""
+    return max(bins, 1).bit_length() - 1
 
-    The cut points come from one approximate-quantile pass over the finite values; they are fewer
-    than `bins` numbers per column.
-    Any cut points give the same statistics, they only decide how evenly the work is divided.
-    """
-    doubles = {f"_num_{c}": F.col(c).cast("double") for c in numeric}
-    valued = df.withColumns(doubles)
-    if bins < 2:
-        return valued.withColumns({f"_bin_{c}": F.lit(0) for c in numeric})
-    values = [sample.select(*[v.alias(k) for k, v in doubles.items()]) for sample in samples]
-    points = reduce(DataFrame.unionByName, values).approxQuantile(
-        list(doubles), [i / bins for i in range(1, bins)], 0.2 / bins
-    )
-    for c, found in zip(numeric, points):
-        cuts = sorted(set(found))  # empty for a column without values
-        if cuts:
-            splits = [float("-inf"), *cuts, float("inf")]
-            cutter = Bucketizer(splits=splits, inputCol=f"_num_{c}", outputCol=f"_bin_{c}", handleInvalid="keep")
-            valued = cutter.transform(valued)
-        else:
-            valued = valued.withColumn(f"_bin_{c}", F.lit(0))
-    return valued
+
+def _projected(df: DataFrame, start: Column, numeric: list[str], slices: list[str], bins: int) -> DataFrame:
+    """(start, slice columns, numbers as doubles), written once: counts and undecided cells both read it."""
+    names = {c: f"_num_{c}" for c in numeric}
+    rows = df.select(F.coalesce(start, F.lit(_NO_WINDOW)).alias("start"), *[F.col(c) for c in slices if c not in numeric], *[F.col(c).cast("double").alias(n) for c, n in names.items()])
+    return save_scratch(rows.withColumns({c: F.col(f"_num_{c}").cast("string") for c in slices if c in numeric}), "projected")
 
 
-def _cells(df: DataFrame, start: Column, numeric: list[str], slices: list[str]) -> DataFrame:
+def _summary(rows: DataFrame, numeric: list[str], slices: list[str], bins: int) -> DataFrame:
+    named = rows.select("start", *slices, *[F.col(f"_num_{c}").alias(f"_num_{c}") for c in numeric])
+    counts = value_summary(named, ["start"], _slices(slices), slices, [f"_num_{c}" for c in numeric], _bits(bins))
+    return counts.withColumn("column_name", F.substring("column_name", 6, 2**31 - 1))
+
+
+def _cells(rows: DataFrame, numeric: list[str], slices: list[str], bins: int) -> DataFrame:
     """(test keys, bin, value) of every row, slice and numeric column; nulls dropped."""
     cells = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("column_name"), F.col(f"_num_{c}").alias("value"), F.coalesce(F.col(f"_bin_{c}").cast("int"), F.lit(-1)).alias("bin")
-            )
+            F.struct(F.lit(c).alias("column_name"), F.col(f"_num_{c}").alias("value"), value_cell(F.col(f"_num_{c}"), _bits(bins)).alias("bin"))
             for c in numeric
         ]
     )
-    return (
-        df.withColumn("start", F.coalesce(start, F.lit(_NO_WINDOW)))
-        .withColumn("_slice", F.explode(_slices(slices)))
-        .withColumn("_cell", F.explode(cells))
-        .select("start", "_slice.*", "_cell.*")
-        .where(F.col("value").isNotNull())
-    )
-
-
-def _bin_counts(cells: DataFrame) -> DataFrame:
-    """(test keys, bin, n): combines to tests times bins rows before the shuffle."""
-    return cells.groupBy(*_TEST, "bin").agg(F.count(F.lit(1)).alias("n"))
+    wide = rows.withColumn("_slice", F.explode(_slices(slices))).withColumn("_cell", F.explode(cells))
+    return wide.select("start", "_slice.*", "_cell.*").where(F.col("value").isNotNull())
 
 
 def _bounded(counts: DataFrame) -> DataFrame:
@@ -327,8 +306,8 @@ def _ks_consecutive(df, ts, numeric, slices, width, bins) -> DataFrame:
     from counts; only bins that may hold a larger one are read again by value, summed up in value
     order and shifted by what lies below.
     """
-    rows = _with_bins(df.where(F.col(ts).isNotNull()), [df], numeric, bins)
-    cells = _cells(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
+    rows = _projected(df.where(F.col(ts).isNotNull()), slot_start(micros(F.col(ts)), width), numeric, slices, bins)
+    cells = _cells(rows, numeric, slices, bins)
     zero, cell = F.lit(0).cast("bigint"), [*_TEST, "bin"]
 
     def sides(counted):
@@ -340,7 +319,7 @@ def _ks_consecutive(df, ts, numeric, slices, width, bins) -> DataFrame:
         return counted.withColumn("_side", F.explode(both)).drop("start", "n").select("*", "_side.*").drop("_side")
 
     sums = [F.sum("ref").alias("ref"), F.sum("cur").alias("cur")]
-    bounded = _bounded(sides(_bin_counts(cells)).groupBy(*cell).agg(*sums))
+    bounded = save_scratch(_bounded(sides(_summary(rows, numeric, slices, bins)).groupBy(*cell).agg(*sums)), "bounds")
     places = ["ref0", "cur0", "n_ref", "n_cur"]
     inside = sides(cells.withColumn("n", F.lit(1).cast("bigint"))).join(_wanted(bounded), cell)
     points = inside.groupBy(*cell, "value").agg(*sums, *[F.first(c).alias(c) for c in places])
@@ -362,23 +341,23 @@ def _largest(bounded: DataFrame, points: DataFrame) -> DataFrame:
 def _ks_baseline(df, baseline, ts, numeric, slices, width, bins) -> DataFrame:
     """KS statistic of every window against one fixed baseline sample of the same slice.
 
-    Bins are cut on both samples together, so values outside the baseline's range are spread over
-    bins as well. Bins that counts do not decide are read by value: all windows' values and the
+    Bins are fixed cells of the number line, so both summaries cut values alike. Bins that counts do not decide are read by value: all windows' values and the
     baseline's are merged in value order per (slice, column, bin), and the running baseline count at
     a value is then known to every window. Between two values of a window its own share is constant
     and the baseline's only grows, so the largest gap lies at a value, just before one, or at an edge.
     """
     scope = ["slice_key", "slice_value", "column_name"]
     cell = [*scope, "bin"]
-    samples = [df, baseline]
-    rows = _with_bins(df.where(F.col(ts).isNotNull()), samples, numeric, bins)
-    current = _cells(rows, slot_start(micros(F.col(ts)), width), numeric, slices)
-    fixed = _cells(_with_bins(baseline, samples, numeric, bins), F.lit(None).cast("bigint"), numeric, slices)
+    rows = _projected(df.where(F.col(ts).isNotNull()), slot_start(micros(F.col(ts)), width), numeric, slices, bins)
+    base = _projected(baseline, F.lit(None).cast("bigint"), numeric, slices, bins)
+    current, fixed = (_cells(r, numeric, slices, bins) for r in (rows, base))
     zero = F.lit(0).cast("bigint")
-    own = _bin_counts(current).withColumnRenamed("n", "cur").withColumn("ref", zero)
+    own = save_scratch(_summary(rows, numeric, slices, bins), "summary").withColumnRenamed("n", "cur").withColumn("ref", zero)
     tests = own.select(*_TEST).distinct()
-    reference = tests.join(_bin_counts(fixed).drop("start"), scope).select(*_TEST, "bin", zero.alias("cur"), F.col("n").alias("ref"))
+    known = _summary(base, numeric, slices, bins).drop("start")
+    reference = tests.join(known, scope).select(*_TEST, "bin", zero.alias("cur"), F.col("n").alias("ref"))
     bounded = _bounded(own.unionByName(reference).groupBy(*_TEST, "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
+    bounded = save_scratch(bounded, "bounds")
     wanted = _wanted(bounded)
 
     place = [*_TEST, "bin"]
@@ -464,8 +443,10 @@ def drift(
     Columns: window, granularity, slice_key, slice_value, column_name, drift_type (CONSECUTIVE or
     BASELINE), n_ref, n_cur, ks_test{statistic,pvalue} for numeric columns and
     chi_squared_test{statistic,pvalue} for categorical ones. A window without a predecessor, or
-    with an empty side, has no row. `bins` is how many pieces the values of a window are cut into; the
-    result does not depend on it, but the largest group that is sorted does.
+    with an empty side, has no row. Values are cut into fixed cells,
+    about `bins` for each power of two; the result does not depend on it, but the largest group that is
+    sorted does. The projected rows are written once and read twice: for their summary, and for the cells
+    that the summary leaves open.
     """
     slices, categorical = slices or [], categorical or []
     width = interval_us(granularity)
@@ -539,6 +520,15 @@ def retrain_triggers(metrics: DataFrame, limit: float = 0.15) -> DataFrame:
     return metrics.withColumn("drift_score", score).withColumn("retrain", F.col("drift_score") > limit)
 
 
+def value_quantiles(df: DataFrame, ts: str, numeric: list[str], shares: dict[str, float], granularity: str = "1 day", slices: list[str] | None = None, bits: int = 8) -> DataFrame:
+    """Quantiles per (window, slice, column) from summaries: each is within 2**-bits of a value of that rank."""
+    width = interval_us(granularity)
+    rows = df.where(F.col(ts).isNotNull()).withColumn("start", slot_start(micros(F.col(ts)), width))
+    summary = value_summary(rows, ["start"], _slices(slices or []), slices or [], numeric, bits)
+    found = quantiles(summary, shares, bits)
+    return found.select(window_of(F.col("start"), width), *_shown(), "column_name", "n", *shares)
+
+
 def windowed_metrics(
     df: DataFrame, ts: str, slices: list[str], definitions: dict[str, str], granularities: tuple[str, ...] = ("1 hour", "1 day")
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlake.functions.text import strip_space, word_count
+from fleetlake.sinks.tables import save_scratch
 
 # Root-cause labels; the keyword patterns are ours.
 ROOT_CAUSES = {
@@ -91,23 +92,22 @@ def first_words(text: Column, words: int) -> Column:
     return F.array_join(F.slice(F.split(clean, r"\s+"), 1, words), " ")
 
 
-def summarize_groups(
-    df: DataFrame, keys: list[str], text: str, max_words: int = 80, separator: str = " | "
-) -> DataFrame:
-    """(keys, event_count, summary): what a group says most often, in at most `max_words` words.
-
-    Every text of the group is split into sentences and counted; sentences enter by falling count
-    (then alphabetically) while they fit. Counting combines on the map side, and a sentence has at
-    least one word, so only the first `max_words` sentences of a group can ever enter: each task
-    passes on no more than that, and a group with a third of all rows reaches its final task as
-    `max_words` rows. A first sentence above the cap is cut to it.
-    """
+def counted_sentences(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, sentence, hits) of every distinct sentence of a group; counting combines on the map side."""
     sentences = df.select(
         *keys, F.explode(F.split(F.col(text), r"[.!?]\s+|[.!?]$|\n")).alias("sentence")
     ).select(*keys, strip_space(F.col("sentence")).alias("sentence")).where(F.col("sentence") != "")
-    counted = sentences.groupBy(*keys, "sentence").agg(F.count(F.lit(1)).alias("hits"))
-    order = [F.col("hits").desc(), F.col("sentence").asc()]
-    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(
+    return sentences.groupBy(*keys, "sentence").agg(F.count(F.lit(1)).alias("hits"))
+
+
+def _fitted(df: DataFrame, sentences: DataFrame, keys: list[str], order: list[Column], max_words: int, separator: str) -> DataFrame:
+    """(keys, event_count, summary): the first sentences of `order` that fit into `max_words` words.
+
+    A sentence has at least one word, so only the first `max_words` sentences of a group can ever enter:
+    each task passes on no more than that, and a group with a third of all rows reaches its final
+    task as `max_words` rows. A first sentence above the cap is cut to it.
+    """
+    ranked = sentences.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(
         F.col("rank") <= max_words
     )
     so_far = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
@@ -122,6 +122,55 @@ def summarize_groups(
     return totals.join(chosen, keys, "left").select(*keys, "event_count", joined.alias("summary"))
 
 
+def summarize_groups(
+    df: DataFrame, keys: list[str], text: str, max_words: int = 80, separator: str = " | "
+) -> DataFrame:
+    """(keys, event_count, summary): what a group says most often, in at most `max_words` words.
+
+    Every text of the group is split into sentences and counted; sentences enter by falling count
+    (then alphabetically) while they fit.
+    """
+    order = [F.col("hits").desc(), F.col("sentence").asc()]
+    return _fitted(df, counted_sentences(df, keys, text), keys, order, max_words, separator)
+
+
+def ranked_sentences(sentences: DataFrame, keys: list[str], rounds: int = 4, damping: float = 0.85) -> DataFrame:
+    """(keys, sentence, hits, score): a random walk between the sentences of a group that share words.
+
+    A step goes from a sentence to one of its words, each alike, and from there to one of the sentences
+    with that word, each alike; with 1 - damping it starts anew at a sentence by how often it is said.
+    The walk runs over (sentence, word) pairs, so no two sentences are ever paired: `rounds` times two joins
+    and two sums, linear in the text, and sums over a word or sentence combine before the shuffle.
+    Sentences and words are named by 128-bit digests of the group and themselves.
+    """
+    group = F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys])
+    named = save_scratch(sentences.withColumn("_s", F.md5(F.concat(group, F.lit("\x03"), "sentence"))), "sentences")
+    words = F.explode(F.array_distinct(F.filter(F.split(F.lower("sentence"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))).alias("_word")
+    pairs = named.select("_s", group.alias("_group"), words).select("_s", F.md5(F.concat("_group", F.lit("\x03"), "_word")).alias("_w"))
+    sizes = [pairs.groupBy(c).agg(F.count(F.lit(1)).alias(n)) for c, n in (("_s", "_words"), ("_w", "_sentences"))]
+    edges = save_scratch(pairs.join(sizes[0], "_s").join(sizes[1], "_w"), "edges")
+    base = named.select("_s", F.col("hits").cast("double").alias("_base"))
+    score = base.select("_s", F.col("_base").alias("_x"))
+    for _ in range(rounds):
+        mass = edges.join(score, "_s").groupBy("_w").agg(F.sum(F.col("_x") / F.col("_words")).alias("_m"))
+        back = edges.join(mass, "_w").groupBy("_s").agg(F.sum(F.col("_m") / F.col("_sentences")).alias("_in"))
+        new = (1 - damping) * F.col("_base") + damping * F.coalesce("_in", F.lit(0.0))
+        score = save_scratch(base.join(back, "_s", "left").select("_s", new.alias("_x")), "scores")
+    return named.join(score, "_s").select(*keys, "sentence", "hits", F.col("_x").alias("score"))
+
+
+def summarize_by_rank(
+    df: DataFrame, keys: list[str], text: str, max_words: int = 80, separator: str = " | ", rounds: int = 4
+) -> DataFrame:
+    """(keys, event_count, summary): the sentences most connected to the rest of their group by shared words.
+
+    Scores are compared at 6 digits, equal ones by the sentence; the cap is that of `summarize_groups`.
+    """
+    ranked = ranked_sentences(counted_sentences(df, keys, text), keys, rounds)
+    order = [F.round("score", 6).desc(), F.col("sentence").asc()]
+    return _fitted(df, ranked, keys, order, max_words, separator)
+
+
 def complete(
     df: DataFrame,
     prompt: str,

@@ -11,6 +11,7 @@ from fleetlake.functions import text as X
 from fleetlake.functions.numeric import percent_text, settle
 from fleetlake.functions.timing import hour_of
 from fleetlake.operators import aggregates as AG
+from fleetlake.operators import bayes as BY
 from fleetlake.operators import chunking as CH
 from fleetlake.operators import features as FE
 from fleetlake.operators import ivfpq as IV
@@ -21,14 +22,17 @@ from fleetlake.operators import ranking as R
 from fleetlake.operators import retrieval as RT
 from fleetlake.operators import textindex as TI
 from fleetlake.operators import textops as TX
+from fleetlake.operators import wrappers as WR
 from fleetlake.plans import dashboard as D
 from fleetlake.plans import explore as E
 from fleetlake.schemas import check_contract, table_schemas
 from fleetlake.session import scratch_dir
 from fleetlake.sinks import changes as CG
+from fleetlake.sinks import feed as FEED
 from fleetlake.sinks import tables as SK
 from fleetlake.sources import adapters as A
 from fleetlake.sources.tables import read_stream, read_table
+from fleetlake.streaming import corrected as CR
 from fleetlake.streaming import flows as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +200,18 @@ def q16_classify_documents(spark, root):
     return TX.classify_words(docs.select("doc_id", "text"), "text", LANGUAGES).select("doc_id", "label")
 
 
+#: Three words that abuse begins with; what else it uses is learned.
+ABUSE_SEEDS = {"toxic": ["idiot", "stupid", "moron"]}
+
+
+@query
+def q16_learned_labels(spark, root):
+    """Abusive documents, learned from three seed words over all documents."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    model = BY.learn_labels(docs, "doc_id", "text", ABUSE_SEEDS, "clean")
+    return BY.labelled(model, docs, "doc_id", "text").select("doc_id", "label")
+
+
 @query
 def q17_extract_jobs(spark, root):
     jobs = A.job_rows(spark, root)
@@ -208,6 +224,24 @@ def q17_extract_pages(spark, root):
     return pages.select("page_id", TX.extract(F.col("html"), TX.PAGE_FIELDS).alias("m")).select("page_id", "m.*")
 
 
+@query
+def q17_induced_pages(spark, root):
+    """The fields of all pages by induced wrappers; every tenth page, by a hash, is an example."""
+    pages = read_table(spark, root, "pages")
+    shown = pages.where(F.crc32(F.col("page_id").cast("string").cast("binary")) % 10 == 0)
+    values = shown.select(F.col("page_id").alias("page"), TX.extract(F.col("html"), TX.PAGE_FIELDS).alias("m")).select("page", "m.*")
+    examples = values.unpivot("page", list(TX.PAGE_FIELDS), "field", "value").where("value IS NOT NULL")
+    return WR.induce_and_extract(pages, "page_id", "url", "html", examples, list(TX.PAGE_FIELDS))
+
+
+@query
+def page_path_support(spark, root):
+    """How many pages of a site have each head path exactly once."""
+    paths = WR.page_paths(read_table(spark, root, "pages"), "page_id", "url", "html")
+    rows = WR.path_support(paths).where(F.col("path").isin(["html@lang", "html/head/title#", "html/head/meta@charset"]))
+    return rows.select("host", "path", "pages", "once", settle(F.col("support")).alias("support"))
+
+
 @query
 def q18_cluster_summaries(spark, root):
     summaries = TX.summarize_groups(located_events(spark, root), ["cluster_id"], "description", 80)
@@ -219,6 +253,12 @@ def q18_conversation_summaries(spark, root):
     return TX.summarize_groups(read_table(spark, root, "conversations"), ["conv_id"], "text", 80)
 
 
+@query
+def q18_ranked_summaries(spark, root):
+    """The sentences that hold a conversation together, by a walk over shared words."""
+    return TX.summarize_by_rank(read_table(spark, root, "conversations"), ["conv_id"], "text", 80)
+
+
 @query
 def q18_cluster_event_log(spark, root):
     return AG.ordered_concat(
@@ -422,11 +462,12 @@ def q31_heatmap_matrix(spark, root):
 
 @query
 def q31_gpu_matrix(spark, root):
-    """Readings per cluster and GPU as one map per cluster, here folded to sizes for comparison."""
+    """Readings per cluster and GPU as maps per cluster, here folded to sizes for comparison."""
     readings = A.telemetry(spark, root).withColumn("hot", (F.col("temp_celsius") > 90).cast("double"))
     cells = AG.pivot_map(readings, "cluster_id", "gpu_id", "hot")
-    hot = F.filter(F.map_values("cells"), lambda x: x > 0.5)
-    return cells.select("cluster_id", F.size("cells").alias("gpus"), F.size(hot).alias("mostly_hot"))
+    hot = F.size(F.filter(F.map_values("cells"), lambda x: x > 0.5))
+    sizes = [F.sum(F.size("cells")).cast("int").alias("gpus"), F.sum(hot).cast("int").alias("mostly_hot")]
+    return cells.groupBy("cluster_id").agg(*sizes)
 
 
 @query
@@ -739,20 +780,26 @@ def q40_anomaly_alerts(spark, root):
     return settled(flat_window(MON.alerts(metrics, "anomaly_rate", 0.05)))
 
 
+@query
+def profile_quantiles(spark, root):
+    """Daily quantiles of the predictions' numbers, read off mergeable summaries."""
+    shares = {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    return flat_window(MON.value_quantiles(A.predictions(spark, root), "prediction_timestamp", NUMERIC, shares, "1 day", SLICES))
+
+
 @query
 def q45_profile_change(spark, root):
-    metrics = MON.profile(A.predictions(spark, root), "prediction_timestamp", ["avg_temp", "avg_utilization"], [], ("1 day",), [])
-    changed = MON.change_from_baseline(metrics, first_week(spark, root), ["avg_temp", "avg_utilization"])
-    return flat_window(changed).select(
-        "column_name",
-        "window_start",
-        "window_end",
-        settle(F.col("mean"), 2).alias("mean_value"),
-        settle(F.col("stddev"), 2).alias("stddev_value"),
-        settle(F.col("min"), 2).alias("min_value"),
-        settle(F.col("max"), 2).alias("max_value"),
-        settle(F.col("percent_change"), 2).alias("pct_change_from_baseline"),
-    ).orderBy(F.col("window_end").desc(), "column_name")
+    """Newest daily profiles of the 15-minute feature table, their means against its first week's."""
+    columns = ["avg_temperature", "max_temperature", "avg_utilization", "avg_power_draw"]
+    span = F.window(F.col("timestamp").cast("timestamp"), "15 minutes")
+    wide = A.wide_telemetry(spark, root).groupBy("gpu_id", span.alias("_window")).agg(*FE.snapshot_statistics())
+    features = SK.save_scratch(wide.select("gpu_id", F.col("_window.start").cast("timestamp_ntz").alias("window_start"), *columns), "snapshots")
+    week = features.agg(F.min("window_start") + F.expr("INTERVAL 7 DAYS")).scalar()
+    metrics = MON.profile(features, "window_start", columns, [], ("1 day",), [])
+    changed = MON.change_from_baseline(metrics, features.where(F.col("window_start") < week), columns)
+    named = {"mean": "mean_value", "stddev": "stddev_value", "min": "min_value", "max": "max_value", "percent_change": "pct_change_from_baseline"}
+    rows = flat_window(changed).select("column_name", "window_start", "window_end", *[settle(F.col(c), 2).alias(n) for c, n in named.items()])
+    return R.top_rows(rows, 20, F.col("window_end").desc(), "column_name")
 
 
 @query
@@ -871,3 +918,59 @@ def stream_scored_events(spark, root):
     path, checkpoint = scratch_dir(spark, "scored"), scratch_dir(spark, "scored-state")
     ST.run_available(ML.with_flag(stream), checkpoint, path=path)
     return settled(spark.read.parquet(path))
+
+
+@query
+def stream_model_scores(spark, root):
+    """The trained classifier scoring feature rows as they arrive; whether each score is the batch score."""
+    path, arriving, out, checkpoint = (scratch_dir(spark, n) for n in ("training", "arriving", "scores", "scores-state"))
+    split = ML.stratified_split(training_rows(spark, root), "is_anomaly", KEY)
+    SK.overwrite(split, path)
+    rows = spark.read.parquet(path)
+    model = ML.train(rows, maxIter=20)
+    SK.overwrite(rows.select(*KEY, *ML.FEATURES), arriving)
+    stream = spark.readStream.schema(spark.read.parquet(arriving).schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    ST.run_available(ML.score(model, stream), checkpoint, path=out)
+    whole = ML.score(model, rows).select(*KEY, F.col("score").alias("_whole"), F.col("status").alias("_status"))
+    both = spark.read.parquet(out).join(whole, KEY)
+    same = (F.abs(F.col("score") - F.col("_whole")) < 1e-12) & (F.col("status") == F.col("_status"))
+    return both.select(*KEY, same.alias("as_in_batch"))
+
+
+def corrected(spark, root, measures, window, columns):
+    """Moments of the event stream; a row counts whatever its delay."""
+    base, checkpoint = scratch_dir(spark, "moments"), scratch_dir(spark, "moments-state")
+    stream = read_stream(spark, root, "events", ts="ts").select(*columns)
+    ST.run_available(stream, checkpoint, sink=CR.correcting_sink(base, measures, window=window))
+    return CR.corrected_windows(spark, base, measures)
+
+
+@query
+def stream_hourly_corrected(spark, root):
+    """Hourly features of the event stream without a watermark, equal to the batch table in any order."""
+    table = CR.hourly_table(corrected(spark, root, CR.HOURLY, "1 hour", A.reading_columns()))
+    return settled(table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
+
+
+@query
+def stream_snapshot_corrected(spark, root):
+    """Fifteen-minute features of the event stream without a watermark."""
+    table = CR.snapshot_table(corrected(spark, root, CR.SNAPSHOT, "15 minutes", A.wide_columns()))
+    stamps = ["window_start", "window_end", "first_reading", "last_reading"]
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+
+
+@query
+def stream_change_feed(spark, root):
+    """The changes of two versions of a document table, recorded as they were written and streamed to a
+    consumer: rated documents and benchmark items first, then all documents, trimmed."""
+    docs = read_table(spark, root, "documents").select("doc_id", "text")
+    rated = docs.join(read_table(spark, root, "labels").select("doc_id"), "doc_id", "left_semi")
+    items = read_table(spark, root, "benchmark").select((F.col("item_id") + 1_000_000_000).alias("doc_id"), "text")
+    base, out, checkpoint = (scratch_dir(spark, n) for n in ("versions", "consumed", "consumer"))
+    FEED.publish_recorded(rated.unionByName(items), base, ["doc_id"])
+    ST.run_available(FEED.stream_changes(spark, base), checkpoint, sink=ST.upsert_sink(out))
+    FEED.publish_recorded(docs.select("doc_id", X.strip_space(F.col("text")).alias("text")), base, ["doc_id"])
+    ST.run_available(FEED.stream_changes(spark, base), checkpoint, sink=ST.upsert_sink(out))
+    seen = spark.read.parquet(out)
+    return seen.select("doc_id", "_version", "_change", F.sha2("text", 256).alias("content_hash"))

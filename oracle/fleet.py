@@ -247,4 +247,8 @@ SELECT model, tp, fp, fn, round("precision", 8) AS "precision", round(recall, 8)
 FROM wide GROUP BY 1, 2, 3""",
     "stream_scored_events": """SELECT event_id, round(value / 500, 8) AS score, value / 500 > 0.7 AS is_anomaly_predicted,
        CASE WHEN value / 500 > 0.7 THEN 'ANOMALY DETECTED' ELSE 'Normal' END AS status FROM events""",
+    "stream_model_scores": with_(READINGS, hourly(), HOUR_LABELS) + """SELECT f.gpu_id, f.window_start, true AS as_in_batch
+FROM hourly f JOIN hour_labels l USING (gpu_id, window_start)""",
 }
+for _name in ("hourly", "snapshot"):
+    FLEET[f"stream_{_name}_corrected"] = FLEET[f"stream_{_name}_features"]

@@ -1,6 +1,6 @@
 """Profile, drift and alert queries."""
 
-from oracle.parts import PREDICTIONS, with_
+from oracle.parts import PREDICTIONS, STATISTICS, WIDE, with_
 
 _UNIT = {"1 hour": "hour", "1 day": "day"}
 
@@ -35,6 +35,13 @@ _PROFILE_COLUMNS = """window_start, window_start + (CASE granularity WHEN '1 hou
   granularity, slice_key, slice_value, column_name, data_type, count, num_nulls, round(percent_null, 8) AS percent_null,
   round(percent_distinct, 8) AS percent_distinct, round(mean, 8) AS mean, round(stddev, 8) AS stddev, round(min, 8) AS min, round(max, 8) AS max"""
 
+_DRIFTING = ["avg_temperature", "max_temperature", "avg_utilization", "avg_power_draw"]
+
+
+def _cent(x: str) -> str:
+    return f"CAST(round(CAST(round({x}, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE)"
+
+
 _NUMERIC = ["avg_temp", "avg_utilization", "prediction"]
 _SLICES = ["cluster_id", "gpu_type"]
 
@@ -105,7 +112,28 @@ _WEEK = """week AS (SELECT * FROM predictions WHERE prediction_timestamp < (SELE
 _TEST_COLUMNS = """SELECT day AS window_start, slice_key, slice_value, column_name, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
   round(ks_stat, 8) AS ks_stat, round(ks_pvalue, 8) AS ks_pvalue, round(chi2_stat, 8) AS chi2_stat FROM tails"""
 
+def _quantiles(numeric: list[str], slices: list[str]) -> str:
+    """Edges of cells of 2**-8: exponent and eight more bits of the value of each rank."""
+    parts = [
+        f"""SELECT date_trunc('day', prediction_timestamp) AS day, {"NULL::VARCHAR" if s is None else f"'{s}'"} AS slice_key,
+  {"NULL::VARCHAR" if s is None else f"CAST({s} AS VARCHAR)"} AS slice_value, '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM predictions WHERE {c} IS NOT NULL"""
+        for c in numeric
+        for s in [None, *slices]
+    ]
+    return (
+        "longs AS (" + " UNION ALL ".join(parts) + """), edged AS (SELECT *, CASE WHEN x = 0 THEN 0 ELSE
+  sign(x) * floor(abs(x) * pow(2.0::DOUBLE, 8 - floor(log2(abs(x))))) * pow(2.0::DOUBLE, floor(log2(abs(x))) - 8) END AS edge FROM longs),
+placed AS (SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY day, slice_key, slice_value, column_name) AS n FROM edged
+  WINDOW w AS (PARTITION BY day, slice_key, slice_value, column_name ORDER BY x))"""
+    )
+
+
+_RANKS = ", ".join(f"max(edge) FILTER (r = ceil({p}::DOUBLE * n)) AS {name}" for name, p in [("p05", 0.05), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p95", 0.95)])
+
 MONITORING = {
+    "profile_quantiles": with_(PREDICTIONS, _quantiles(_NUMERIC, _SLICES))
+    + f"""SELECT day AS window_start, day + INTERVAL 1 DAY AS window_end, slice_key, slice_value, column_name, any_value(n) AS n, {_RANKS}
+FROM placed GROUP BY day, slice_key, slice_value, column_name""",
     "profile_metrics": with_(PREDICTIONS, _profile(_NUMERIC, ["gpu_type"], ["1 day"], _SLICES))
     + f"SELECT {_PROFILE_COLUMNS} FROM profiled",
     "profile_metrics_hourly": with_(PREDICTIONS, _profile(_NUMERIC, [], ["1 hour", "1 day"], _SLICES))
@@ -137,10 +165,11 @@ SELECT window_start, window_end, granularity, slice_key, slice_value, round(rate
     + """, lagged AS (SELECT *, lag(mean) OVER (PARTITION BY slice_key, slice_value, column_name ORDER BY window_start) AS p FROM profiled)
 SELECT window_start, slice_key, slice_value, column_name, round(mean, 8) AS mean, round(p, 8) AS previous_mean,
   round((mean - p) * 100 / p, 8) AS percent_change FROM lagged""",
-    "q45_profile_change": with_(PREDICTIONS, _WEEK, _profile(["avg_temp", "avg_utilization"], [], ["1 day"], []))
-    + """, base AS (SELECT 'avg_temp' AS column_name, avg(avg_temp) AS b FROM week UNION ALL SELECT 'avg_utilization', avg(avg_utilization) FROM week)
-SELECT column_name, window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(round(CAST(round(mean, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS mean_value,
-  CAST(round(CAST(round(stddev, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS stddev_value, CAST(round(CAST(round(min, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS min_value, CAST(round(CAST(round(max, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS max_value,
-  CAST(round(CAST(round((mean - b) / b * 100, 8) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS pct_change_from_baseline
-FROM profiled JOIN base USING (column_name)""",
+    "q45_profile_change": with_(WIDE)
+    + f""", features AS (SELECT gpu_id, time_bucket(INTERVAL 15 MINUTES, "timestamp") AS window_start, {STATISTICS} FROM wide GROUP BY 1, 2),
+profiled AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, date_trunc('day', window_start) AS day, avg({c}) AS mean, stddev_samp({c}) AS stddev, min({c}) AS low, max({c}) AS high FROM features GROUP BY 2" for c in _DRIFTING)}),
+base AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, avg({c}) AS b FROM features WHERE window_start < (SELECT min(window_start) FROM features) + INTERVAL 7 DAYS" for c in _DRIFTING)})
+SELECT column_name, day AS window_start, day + INTERVAL 1 DAY AS window_end, {_cent("mean")} AS mean_value, {_cent("stddev")} AS stddev_value,
+  {_cent("low")} AS min_value, {_cent("high")} AS max_value, {_cent("(mean - b) / b * 100")} AS pct_change_from_baseline
+FROM profiled JOIN base USING (column_name) ORDER BY window_end DESC, column_name LIMIT 20""",
 }

@@ -41,6 +41,25 @@ told AS (SELECT {key}, string_agg(sentence, ' | ' ORDER BY r) AS summary FROM ke
 totals AS (SELECT {key}, count(*) AS event_count FROM {source} GROUP BY 1)"""
 
 
+def _ranked(source: str, key: str, text: str, rounds: int = 4) -> str:
+    """The walk of the summaries by rank, its rounds written out one by one."""
+    steps = ["x0 AS (SELECT s, hits::DOUBLE AS x FROM named)"]
+    for i in range(rounds):
+        steps.append(f"m{i} AS (SELECT w, sum(x / words) AS m FROM edges JOIN x{i} USING (s) GROUP BY 1)")
+        steps.append(f"b{i} AS (SELECT s, sum(m / sentences) AS y FROM edges JOIN m{i} USING (w) GROUP BY 1)")
+        steps.append(f"x{i + 1} AS (SELECT s, (1 - 0.85::DOUBLE) * hits + 0.85::DOUBLE * coalesce(y, 0) AS x FROM named LEFT JOIN b{i} USING (s))")
+    plain = _summary(source, key, text).replace(
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY hits DESC, sentence) AS r FROM counted)",
+        rf"""named AS (SELECT *, row_number() OVER () AS s FROM counted),
+pairs AS (SELECT DISTINCT {key}, s, unnest(regexp_split_to_array(lower(sentence), '[^\p{{L}}\p{{N}}]+')) AS word FROM named),
+kept_pairs AS (SELECT s, {key} || ' ' || word AS w FROM pairs WHERE word <> ''),
+edges AS (SELECT s, w, count(*) OVER (PARTITION BY s) AS words, count(*) OVER (PARTITION BY w) AS sentences FROM kept_pairs),
+{", ".join(steps)},
+ranked AS (SELECT {key}, sentence, row_number() OVER (PARTITION BY {key} ORDER BY round(x, 6) DESC, sentence) AS r FROM named JOIN x{rounds} USING (s))""",
+    )
+    return plain
+
+
 _PROMPT = """severity || ' event on ' || gpu_id || ' of cluster ' || cluster_id || ': ' || description
   || '. Name its cause, the repair and a safeguard.'"""
 
@@ -72,6 +91,8 @@ FROM (SELECT doc_id, regexp_split_to_array(lower(text), '\s+') AS w FROM documen
     + "SELECT cluster_id, event_count, summary FROM totals LEFT JOIN told USING (cluster_id) ORDER BY event_count DESC, cluster_id LIMIT 10",
     "q18_conversation_summaries": with_(_summary("conversations", "conv_id", "text"))
     + "SELECT conv_id, event_count, summary FROM totals LEFT JOIN told USING (conv_id)",
+    "q18_ranked_summaries": with_(_ranked("conversations", "conv_id", "text"))
+    + "SELECT conv_id, event_count, summary FROM totals LEFT JOIN told USING (conv_id)",
     "q18_cluster_event_log": with_(EVENTS)
     + """, placed AS (SELECT *, (row_number() OVER (PARTITION BY cluster_id ORDER BY "timestamp", event_id) - 1) // 500 AS part FROM health)
 SELECT cluster_id, part, string_agg(description, ' | ' ORDER BY "timestamp", event_id) AS combined, count(*) AS texts
@@ -115,4 +136,20 @@ FROM hits JOIN documents ON doc_id = vec_id GROUP BY 1""",
 new_i AS (SELECT doc_id, sha256({_STRIP.format("text")}) AS h FROM documents)
 SELECT doc_id, CASE WHEN o.h IS NULL THEN 'insert' WHEN n.h IS NULL THEN 'delete' ELSE 'update' END AS _change
 FROM old_i o FULL JOIN new_i n USING (doc_id) WHERE o.h IS DISTINCT FROM n.h""",
+    "stream_change_feed": f"""WITH old_i AS (SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+  UNION ALL SELECT item_id + 1000000000, text FROM benchmark),
+new_i AS (SELECT doc_id, {_STRIP.format("text")} AS text FROM documents)
+SELECT doc_id, 1::BIGINT AS _version, 'insert' AS _change, sha256(text) AS content_hash FROM old_i
+UNION ALL SELECT doc_id, 2, CASE WHEN o.text IS NULL THEN 'insert' WHEN n.text IS NULL THEN 'delete' ELSE 'update' END, sha256(coalesce(n.text, o.text))
+FROM old_i o FULL JOIN new_i n USING (doc_id) WHERE o.text IS DISTINCT FROM n.text""",
+    "page_path_support": """WITH hosts AS (
+  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[^:]*://([^/?#]*)', 1)) AS host, html FROM pages WHERE html IS NOT NULL),
+found AS (
+  SELECT page_id, host, 'html@lang' AS path, len(regexp_extract_all(html, '<html[^>]* lang=')) AS times FROM hosts
+  UNION ALL SELECT page_id, host, 'html/head/title#', len(regexp_extract_all(html, '<title>')) FROM hosts
+  UNION ALL SELECT page_id, host, 'html/head/meta@charset', len(regexp_extract_all(html, '<meta charset=')) FROM hosts),
+sites AS (SELECT host, count(*) AS pages FROM hosts GROUP BY 1)
+SELECT host, path, any_value(pages) AS pages, count(*) AS once, round(count(*) / any_value(pages)::DOUBLE, 8) AS support
+FROM found JOIN sites USING (host) WHERE times = 1 GROUP BY 1, 2""",
 }
+TEXTS["q17_induced_pages"] = TEXTS["q17_extract_pages"]
