@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.llm.common import BASES, batches, bound_batches, dropped, mixed, span_hashes, words_of, written
+from fleetlake.llm.common import BASES, batches, dropped, lean_workers, mixed, span_hashes, words_of, written
 
 WINDOW, ANCHOR = 20, 8
 PATH = ["anchor", "path", "lead", "edges"]
@@ -151,7 +151,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 
     `docs` has doc_id and text; `window` must be at most `anchor` + 31.
     """
-    bound_batches(docs.sparkSession)
+    lean_workers(docs.sparkSession)
     docs = docs.filter(F.col("doc_id").isNotNull())
     found = written(_paths(docs, window, anchor), "paths")
     # Counts are written before they are joined: next to a plain scan Spark can split a hot anchor.
