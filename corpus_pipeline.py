@@ -17,24 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.llm import exact_dedup, jaccard_join, packing, quality, substring_dedup
-from fleetlake.llm.common import BATCH_BYTES, BATCH_ROWS, bound_batches, table, written
-
-#: What the allocators of Python workers are told: large arrays go back to the system when they are freed.
-#: Workers live through all stages beside a JVM that never shrinks, so what they keep adds up.
-LEAN = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
-
-
-def lean_workers(spark: SparkSession) -> None:
-    """Texts go to Python a quarter of a megabyte at a time, and workers give freed memory back.
-
-    A caller's own batch settings stay; so do the caller's settings for the allocators.
-    """
-    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
-        spark.conf.set(BATCH_ROWS, "1000")
-        spark.conf.set(BATCH_BYTES, str(1 << 18))
-    bound_batches(spark)
-    for name, value in LEAN.items():
-        spark.sparkContext.environment.setdefault(name, value)
+from fleetlake.llm.common import lean_workers, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
