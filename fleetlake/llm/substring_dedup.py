@@ -124,19 +124,17 @@ def chains(places: DataFrame) -> DataFrame:
     pairs = one.join(two, ["doc_id", "at", "copies"]).groupBy("id", "before", "copies", "offset").agg(F.count("*").alias("n"))
     links = written(pairs.filter("n = copies").select("id", "before", "offset"), "chain-links")
     heads = links.select(F.col("before").alias("id")).join(links.select("id"), "id", "left_anti").distinct()
-    found = heads.select("id", F.col("id").alias("head"), F.lit(0).cast("long").alias("offset"))
-    found, open_links = written(found, "chain-heads"), links.select("id", "before", F.col("offset").cast("long").alias("offset"))
+    found = written(heads.select("id", F.col("id").alias("head"), F.lit(0).cast("long").alias("offset")), "chain-heads")
+    open_links = links.select("id", "before", F.col("offset").cast("long").alias("offset"))
     while True:
         known = found.select(F.col("id").alias("before"), "head", F.col("offset").alias("more"))
-        met = open_links.join(known, "before", "left")
         more = open_links.select(F.col("id").alias("before"), F.col("before").alias("up"), F.col("offset").alias("far"))
-        step = met.join(more, "before", "left").select(
-            "id", "head", F.coalesce("up", "before").alias("before"), (F.col("offset") + F.when(F.col("head").isNull(), F.col("far")).otherwise(F.col("more"))).alias("offset")
-        )
+        met = open_links.join(known.unionByName(more, allowMissingColumns=True), "before")
+        far = F.when(F.col("head").isNull(), F.col("far")).otherwise(F.col("more"))
+        step = met.select("id", "head", F.coalesce("up", "before").alias("before"), (F.col("offset") + far).alias("offset"))
         step = written(step, "chain-step")
-        closed = written(found.unionByName(step.filter("head IS NOT NULL").select("id", "head", "offset")), "chain-heads")
-        dropped(found)
-        found, open_links = closed, step.filter("head IS NULL").select("id", "before", "offset")
+        found = found.unionByName(step.filter("head IS NOT NULL").select("id", "head", "offset"))
+        open_links = step.filter("head IS NULL").select("id", "before", "offset")
         if open_links.isEmpty():
             break
     sizes = places.groupBy("id").agg(F.max("edges").alias("edges"))
