@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.session import scratch_dir
 
-BINS, UNIT, BLOCK_ROWS, REWRITE = 256, float(1 << 24), 65_536, 20
+BINS, UNIT, BLOCK_ROWS, REWRITE, FEW = 256, float(1 << 24), 65_536, 20, 8
 BLOCKS = "n long, bins binary, label binary, weight binary, held binary, score binary"
 HELD_OUT = -1
 
@@ -132,7 +132,7 @@ def _advanced(columns, score, trees) -> np.ndarray:
     return score
 
 
-def histograms(blocks: DataFrame, recent: list, shape: Tree, nodes: list[int], features: int) -> tuple[dict, float | None]:
+def histograms(blocks: DataFrame, recent: list, shape: Tree, nodes: list[int], features: int, few: bool = False) -> tuple[dict, float | None]:
     """(features, BINS, 3) sums of every one of `nodes` over the rows not held out, and the mean loss of the
     held-out rows before this tree."""
     slots = {node: i for i, node in enumerate(nodes)}
@@ -164,14 +164,17 @@ def histograms(blocks: DataFrame, recent: list, shape: Tree, nodes: list[int], f
             sums = [np.append(totals[0][used], loss), np.append(totals[1][used], 0), np.append(totals[2][used], held_rows)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cells, *sums)], names=["cell", "g", "h", "n"])
 
-    rows = blocks.mapInArrow(add, "cell long, g long, h long, n long").groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).toArrow()
-    cells, *sums = (np.asarray(c.combine_chunks()) for c in rows.columns)
+    rows = blocks.mapInArrow(add, "cell long, g long, h long, n long")
+    if not few:  # the sums of a few tasks need no shuffle before they are added here
+        rows = rows.groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n"))
+    cells, *sums = (np.asarray(c.combine_chunks()) for c in rows.toArrow().columns)
     shared.unpersist()
     held, real = cells == HELD_OUT, cells != HELD_OUT
     table = np.zeros((len(slots) * features * BINS, 3), np.int64)
-    table[cells[real]] = np.stack([s[real] for s in sums], axis=1)
+    np.add.at(table, cells[real], np.stack([s[real] for s in sums], axis=1))
     table = table.reshape(len(slots), features, BINS, 3)
-    loss = float(sums[0][held][0] / sums[2][held][0] / UNIT) if held.any() and sums[2][held][0] else None
+    loss, _, rows_held = (int(s[held].sum()) for s in sums)
+    loss = loss / rows_held / UNIT if rows_held else None
     return {node: table[slot] for node, slot in slots.items()}, loss
 
 
@@ -237,13 +240,13 @@ class Growth:
         return taken
 
 
-def grown(blocks: DataFrame, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float) -> tuple[Tree, float | None]:
+def grown(blocks: DataFrame, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float, few: bool = False) -> tuple[Tree, float | None]:
     """The next tree and the held-out loss before it."""
     growth, loss, wanted = Growth(cuts, depth, min_rows, penalty), None, [0]
     pairs: list[tuple[int, int, int]] = []
     while wanted:
         shape, place = growth.shape()
-        sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts))
+        sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts), few)
         loss = now if loss is None else loss
         found = {n: sums[place[n]] for n in wanted}
         for parent, small, large in pairs:
@@ -295,8 +298,9 @@ def fit(
     cuts = cut_points(base, features)
     blocks = _rewritten(blocks_of(named, features, "_y", "_w", "_held", cuts, start), [])
     made, recent, losses = [], [], []
+    few = blocks.rdd.getNumPartitions() <= FEW
     while len(made) < trees:
-        tree, loss = grown(blocks, recent, cuts, leaves, depth, rate, min_rows, penalty)
+        tree, loss = grown(blocks, recent, cuts, leaves, depth, rate, min_rows, penalty, few)
         losses += [] if loss is None else [loss]
         if len(tree.feature) == 1 or losses and len(losses) - 1 - int(np.argmin(losses)) >= patience:
             break
@@ -309,6 +313,6 @@ def fit(
             blocks, recent = newer, []
     if losses and len(losses) == len(made):
         root = Growth(cuts, 0, min_rows, penalty).shape()[0]
-        losses.append(histograms(blocks, recent, root, [0], len(features))[1])
+        losses.append(histograms(blocks, recent, root, [0], len(features), few)[1])
     blocks.unpersist()
     return Model(features, start, made[: int(np.argmin(losses))] if losses else made, losses)

@@ -71,8 +71,10 @@ def paths(tree, node=0, path=()):
     return paths(tree, tree.left[node], (*path, (*step, 0))) | paths(tree, tree.right[node], (*path, (*step, 1)))
 
 
-def test_equals_a_plain_version_tree_by_tree(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 8])
+def test_equals_a_plain_version_tree_by_tree(spark, monkeypatch, few):
     monkeypatch.setattr(B, "REWRITE", 3)
+    monkeypatch.setattr(B, "FEW", few)
     x, y, held = data(2000, 3)
     df = frame(spark, x, y, held).repartition(3)
     setting = dict(depth=5, leaves=12, rate=0.2, min_rows=15, penalty=1e-3)

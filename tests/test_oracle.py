@@ -12,15 +12,13 @@ from check_oracle import compare, duck  # noqa: E402
 from fleetlake.plans.registry import all_queries  # noqa: E402
 from oracle import oracle_queries  # noqa: E402
 
-SLOW = {"q49_trained_scores"}
-
 
 @pytest.fixture(scope="module")
 def connection(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", [n for n in all_queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, small, connection, name):
     status, _, detail = compare(spark, connection, small, name, all_queries()[name], oracle_queries().get(name))
     assert status in ("ok", "rows"), detail
