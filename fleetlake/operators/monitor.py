@@ -295,8 +295,13 @@ def _bounded(counts: DataFrame) -> DataFrame:
 
 
 def _wanted(bounded: DataFrame) -> DataFrame:
-    """The bins that can still beat the best edge; all others are decided by their counts."""
-    return bounded.where(F.col("bound") > F.col("edge")).select(*_TEST, "bin", "ref0", "cur0", "n_ref", "n_cur")
+    """The bins that can still beat the best edge; all others are decided by their counts.
+
+    There are up to tests x bins of them, far more in memory than the size of their file tells, so they
+    are merged and never sent through the driver as one table.
+    """
+    wanted = bounded.where(F.col("bound") > F.col("edge")).select(*_TEST, "bin", "ref0", "cur0", "n_ref", "n_cur")
+    return wanted.hint("merge")
 
 
 def _ks_consecutive(df, ts, numeric, slices, width, bins) -> DataFrame:
@@ -355,7 +360,7 @@ def _ks_baseline(df, baseline, ts, numeric, slices, width, bins) -> DataFrame:
     own = save_scratch(_summary(rows, numeric, slices, bins), "summary").withColumnRenamed("n", "cur").withColumn("ref", zero)
     tests = own.select(*_TEST).distinct()
     known = _summary(base, numeric, slices, bins).drop("start")
-    reference = tests.join(known, scope).select(*_TEST, "bin", zero.alias("cur"), F.col("n").alias("ref"))
+    reference = tests.join(known.hint("merge"), scope).select(*_TEST, "bin", zero.alias("cur"), F.col("n").alias("ref"))
     bounded = _bounded(own.unionByName(reference).groupBy(*_TEST, "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
     bounded = save_scratch(bounded, "bounds")
     wanted = _wanted(bounded)
@@ -363,7 +368,7 @@ def _ks_baseline(df, baseline, ts, numeric, slices, width, bins) -> DataFrame:
     place = [*_TEST, "bin"]
     places = ["ref0", "cur0", "n_ref", "n_cur"]
     chosen = current.join(wanted, place).groupBy(*place, "value").agg(F.count(F.lit(1)).alias("cur"), *[F.first(c).alias(c) for c in places])
-    against = fixed.join(wanted.select(*cell).distinct(), cell, "left_semi").groupBy(*place, "value").agg(F.count(F.lit(1)).alias("ref"))
+    against = fixed.join(wanted.select(*cell).distinct().hint("merge"), cell, "left_semi").groupBy(*place, "value").agg(F.count(F.lit(1)).alias("ref"))
     merged = chosen.unionByName(against, allowMissingColumns=True).na.fill(0, ["ref", "cur"])
     up_to = Window.partitionBy(*cell).orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
     at_value = Window.partitionBy(*cell, "value")

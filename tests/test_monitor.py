@@ -160,3 +160,15 @@ def test_share_and_pivot(spark):
     assert AG.pivot_mean(more, "i", "c", "v").columns == ["i", "a", "b", "new"]
     assert {r.i: r.cells for r in AG.pivot_map(more, "i", "c", "v").collect()} == {"r": {"a": 1.0, "b": 3.0}, "s": {"a": 5.0, "new": 9.0}}
     assert AG.positive_rate(df.withColumn("y", (F.col("v") > 2).cast("int")), "y").first().positive_rate == pytest.approx(2 / 3)
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_bins_left_open_are_merged_not_broadcast(spark):
+    """Their file is small, their table in memory is not: it must not be built in the driver."""
+    rows = spark.range(400).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 72 as int)) AS ts", "id % 3 AS s", "sqrt(id * 37 % 101) AS x")
+    day = MON.interval_us("1 day")
+    for found in (MON._ks_consecutive(rows, "ts", ["x"], ["s"], day, 256), MON._ks_baseline(rows, rows, "ts", ["x"], ["s"], day, 256)):
+        assert found.count() > 0
+        assert "SortMergeJoin" in plan_of(found) and "BroadcastHashJoin" not in plan_of(found)
