@@ -3,7 +3,8 @@
 Features are cut into at most 255 bins at approximate quantiles. For a tree, each pass over the rows adds
 gradients, curvatures and counts up per (node, feature, bin) on the executors; only the smaller child of a
 split is counted, its sibling is what is left of the parent. A pass covers the children of every split
-found so far, so a tree takes as many passes as it may be deep. The tree itself is then grown from the known
+found so far, so a tree takes as many passes as it may be deep: the sums of the last leaves stand in their
+parents'. The tree itself is then grown from the known
 splits best gain first up to the leaf cap. Gradients are integers (multiples of 2**-24), so sums, and with
 them trees, depend neither on partitions nor on order.
 
@@ -20,6 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,9 +116,12 @@ def blocks_of(rows: DataFrame, features: list[str], label: str, weight: str, hel
 def unpacked(batch: pa.RecordBatch):
     """(bins by feature, label, weight, held, score) of each block."""
     for row in batch.to_pylist():
-        bins = np.frombuffer(row["bins"], np.uint8).reshape(row["n"], -1)
-        y, w, score = (np.frombuffer(row[c]) for c in ("label", "weight", "score"))
-        yield np.ascontiguousarray(bins.T), y, w, np.frombuffer(row["held"], bool), score
+        yield unpacked_block(*row.values())
+
+
+def unpacked_block(n, bins, label, weight, held, score) -> tuple:
+    columns = np.ascontiguousarray(np.frombuffer(bins, np.uint8).reshape(n, -1).T)
+    return columns, np.frombuffer(label), np.frombuffer(weight), np.frombuffer(held, bool), np.frombuffer(score)
 
 
 def gradients(y, w, score) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,43 +137,55 @@ def _advanced(columns, score, trees) -> np.ndarray:
     return score
 
 
-def histograms(blocks: DataFrame, recent: list, shape: Tree, nodes: list[int], features: int, few: bool = False) -> tuple[dict, float | None]:
+def _added(parts, trees: list, tree: Tree, wanted: dict) -> list:
+    """[cells, gradients, curvatures, rows] of unpacked blocks, empty without any; the loss goes by HELD_OUT."""
+    table = np.full(len(tree.feature), -1)
+    for node, slot in wanted.items():
+        table[node] = slot
+    totals, loss, held_rows = None, 0, 0
+    for columns, y, w, held, score in parts:
+        if totals is None:
+            totals = np.zeros((3, len(wanted) * len(columns) * BINS), np.int64)
+        score = _advanced(columns, score, trees)
+        g, h, losses = gradients(y, w, score)
+        loss += int(losses[held].sum())
+        held_rows += int(held.sum())
+        slot = np.where(held, -1, table[tree.places(columns, tree.cut)])
+        own = np.flatnonzero(slot >= 0)
+        for f, bins in enumerate(columns):
+            cell = (slot[own] * len(columns) + f) * BINS + bins[own]
+            for j, values in enumerate((g[own], h[own], None)):
+                totals[j] += np.bincount(cell, values, totals.shape[1]).astype(np.int64)
+    if totals is None:
+        return []
+    used = np.flatnonzero(totals[2])
+    sums = [np.append(totals[0][used], loss), np.append(totals[1][used], 0), np.append(totals[2][used], held_rows)]
+    return [np.append(used, HELD_OUT), *sums]
+
+
+def histograms(blocks: DataFrame | RDD, recent: list, shape: Tree, nodes: list[int], features: int) -> tuple[dict, float | None]:
     """(features, BINS, 3) sums of every one of `nodes` over the rows not held out, and the mean loss of the
-    held-out rows before this tree."""
+    held-out rows before this tree.
+
+    Blocks of many tasks are summed by a shuffle. Those of a few tasks come as an RDD: the sums of each are
+    added here, and a pass has no plan to make and no table to broadcast.
+    """
     slots = {node: i for i, node in enumerate(nodes)}
-    shared = blocks.sparkSession.sparkContext.broadcast((recent, shape, slots))
-
-    def add(it):
-        trees, tree, wanted = shared.value
-        table = np.full(len(tree.feature), -1)
-        for node, slot in wanted.items():
-            table[node] = slot
-        totals, loss, held_rows = None, 0, 0
-        for batch in it:
-            for columns, y, w, held, score in unpacked(batch):
-                if totals is None:
-                    totals = np.zeros((3, len(wanted) * len(columns) * BINS), np.int64)
-                score = _advanced(columns, score, trees)
-                g, h, losses = gradients(y, w, score)
-                loss += int(losses[held].sum())
-                held_rows += int(held.sum())
-                slot = np.where(held, -1, table[tree.places(columns, tree.cut)])
-                own = np.flatnonzero(slot >= 0)
-                for f, bins in enumerate(columns):
-                    cell = (slot[own] * len(columns) + f) * BINS + bins[own]
-                    for j, values in enumerate((g[own], h[own], None)):
-                        totals[j] += np.bincount(cell, values, totals.shape[1]).astype(np.int64)
-        if totals is not None:
-            used = np.flatnonzero(totals[2])
-            cells = np.append(used, HELD_OUT)
-            sums = [np.append(totals[0][used], loss), np.append(totals[1][used], 0), np.append(totals[2][used], held_rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (cells, *sums)], names=["cell", "g", "h", "n"])
-
-    rows = blocks.mapInArrow(add, "cell long, g long, h long, n long")
-    if not few:  # the sums of a few tasks need no shuffle before they are added here
+    if isinstance(blocks, RDD):
+        found = [x for x in blocks.mapPartitions(lambda it: [_added((unpacked_block(*b) for b in it), recent, shape, slots)]).collect() if x]
+        cells, *sums = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64) for _ in range(4))
+    else:
+        shared = blocks.sparkSession.sparkContext.broadcast((recent, shape, slots))
+
+        def add(it):
+            found = _added((part for batch in it for part in unpacked(batch)), *shared.value)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["cell", "g", "h", "n"])
+
+        rows = blocks.mapInArrow(add, "cell long, g long, h long, n long")
         rows = rows.groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n"))
-    cells, *sums = (np.asarray(c.combine_chunks()) for c in rows.toArrow().columns)
-    shared.unpersist()
+        cells, *sums = (np.asarray(c.combine_chunks()) for c in rows.toArrow().columns)
+        shared.unpersist()
     held, real = cells == HELD_OUT, cells != HELD_OUT
     table = np.zeros((len(slots) * features * BINS, 3), np.int64)
     np.add.at(table, cells[real], np.stack([s[real] for s in sums], axis=1))
@@ -240,13 +257,13 @@ class Growth:
         return taken
 
 
-def grown(blocks: DataFrame, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float, few: bool = False) -> tuple[Tree, float | None]:
+def grown(blocks: DataFrame | RDD, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float) -> tuple[Tree, float | None]:
     """The next tree and the held-out loss before it."""
     growth, loss, wanted = Growth(cuts, depth, min_rows, penalty), None, [0]
     pairs: list[tuple[int, int, int]] = []
     while wanted:
         shape, place = growth.shape()
-        sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts), few)
+        sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts))
         loss = now if loss is None else loss
         found = {n: sums[place[n]] for n in wanted}
         for parent, small, large in pairs:
@@ -257,6 +274,10 @@ def grown(blocks: DataFrame, recent: list, cuts: list[np.ndarray], leaves: int,
         pairs, wanted = [], []
         for parent in sorted(set(growth.split) - before):
             cut, (left, right) = growth.split[parent], growth.children[parent]
+            if growth.levels[left] == depth:  # leaves for certain: their sums stand in the parent's
+                below, whole = growth.sums[parent][cut.feature, : cut.bin + 1].sum(axis=0), growth.sums[parent][cut.feature].sum(axis=0)
+                growth.sums[left], growth.sums[right] = below[None, None], (whole - below)[None, None]
+                continue
             n = growth.sums[parent][cut.feature, : cut.bin + 1, 2].sum()
             small, large = (left, right) if 2 * n <= growth.sums[parent][0, :, 2].sum() else (right, left)
             pairs.append((parent, small, large))
@@ -279,6 +300,12 @@ def _rewritten(blocks: DataFrame, recent: list) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path).cache()
 
 
+def _source(blocks: DataFrame) -> DataFrame | RDD:
+    """What the passes read: the blocks, or their rows as a cached RDD where few tasks hold them."""
+    rows = blocks.rdd
+    return rows.map(tuple).cache() if rows.getNumPartitions() <= FEW else blocks
+
+
 def fit(
     rows: DataFrame, features: list[str], label: str, weight: str | None = None, held_out: str | None = None, trees: int = 200, depth: int = 6,
     leaves: int = 31, rate: float = 0.05, patience: int = 20, min_rows: int = 20, penalty: float = 1e-3,
@@ -298,9 +325,9 @@ def fit(
     cuts = cut_points(base, features)
     blocks = _rewritten(blocks_of(named, features, "_y", "_w", "_held", cuts, start), [])
     made, recent, losses = [], [], []
-    few = blocks.rdd.getNumPartitions() <= FEW
+    source = _source(blocks)
     while len(made) < trees:
-        tree, loss = grown(blocks, recent, cuts, leaves, depth, rate, min_rows, penalty, few)
+        tree, loss = grown(source, recent, cuts, leaves, depth, rate, min_rows, penalty)
         losses += [] if loss is None else [loss]
         if len(tree.feature) == 1 or losses and len(losses) - 1 - int(np.argmin(losses)) >= patience:
             break
@@ -309,10 +336,12 @@ def fit(
         if len(recent) == REWRITE:
             newer = _rewritten(blocks, recent)
             newer.count()
+            source.unpersist()
             blocks.unpersist()
-            blocks, recent = newer, []
+            blocks, source, recent = newer, _source(newer), []
     if losses and len(losses) == len(made):
         root = Growth(cuts, 0, min_rows, penalty).shape()[0]
-        losses.append(histograms(blocks, recent, root, [0], len(features), few)[1])
+        losses.append(histograms(source, recent, root, [0], len(features))[1])
+    source.unpersist()
     blocks.unpersist()
     return Model(features, start, made[: int(np.argmin(losses))] if losses else made, losses)

@@ -115,3 +115,13 @@ def test_partitions_do_not_matter_and_odd_tables(spark):
     assert p == odd.na.fill(0.0).withColumn("b", F.lit(0.0)).select(one.probability()).first()[0] and 0 < p < 1
     assert B.fit(df.limit(0), NAMES, "y").trees == [] and B.fit(df.where("y = 1"), NAMES, "y").probability() is not None
     assert df.limit(1).select(B.fit(df.where("y = 1"), NAMES, "y").probability()).first()[0] == 1.0
+
+
+def test_the_last_leaves_take_no_pass(spark, monkeypatch):
+    """Their sums stand in their parents': a tree of depth 2 is two passes over the rows."""
+    rows = spark.range(400).selectExpr("cast(id % 20 as double) AS a", "cast(id % 7 as double) AS b", "cast(id % 20 > 11 and id % 7 > 2 as int) AS y")
+    passes = []
+    plain = B.histograms
+    monkeypatch.setattr(B, "histograms", lambda *a, **k: passes.append(1) or plain(*a, **k))
+    model = B.fit(rows, ["a", "b"], "y", trees=3, depth=2, leaves=4)
+    assert len(model.trees) == 3 and len(passes) == 6
