@@ -9,6 +9,7 @@ sites. No pattern is written by hand, and values are read off the path as they s
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -63,13 +64,20 @@ class TagPaths(HTMLParser):
         if self.texts:
             self.texts[-1].append(data)
 
+    def _reference(self, text: str) -> None:
+        """A reference as it stands in the page, with its semicolon or without."""
+        line, offset = self.getpos()
+        ended = self.html.startswith(";", self.lines[line - 1] + offset + len(text))
+        self.handle_data(text + ";" if ended else text)
+
     def handle_entityref(self, name):
-        self.handle_data(f"&{name};")
+        self._reference(f"&{name}")
 
     def handle_charref(self, name):
-        self.handle_data(f"&#{name};")
+        self._reference(f"&#{name}")
 
     def paths(self, html: str) -> dict[str, list]:
+        self.html, self.lines = html, [0, *(m.end() for m in re.finditer("\n", html))]
         self.feed(html)
         self.close()
         while self.open:

@@ -109,3 +109,10 @@ def test_ranked_sentences_equal_a_plain_walk(spark):
         assert found == pytest.approx(x)
     told = {r["g"]: r for r in TX.summarize_by_rank(df, ["g"], "t", 10).collect()}
     assert told[7]["summary"] is None and told[9]["event_count"] == 1 and all(len(r["summary"].replace("|", "").split()) <= 10 for r in told.values() if r["summary"])
+
+
+@pytest.mark.parametrize("text", ["a &amp; b", "cut&amp", "cut&am", "&#65;&#65 x", "\n\ntwo &lt;&lt\nlines &gt", "&#x41 &copy;"])
+def test_references_stay_as_they_stand_in_the_page(text):
+    page = f"<html>\n<head><title>{text}</title></head><body><h1>{text}</h1></body></html>"
+    found = WR.TagPaths().paths(page)
+    assert found["html/head/title#"] == [1, text] and found["html/body/h1#"] == [1, text]
