@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,19 +137,83 @@ def summarize_groups(
     return _fitted(df, counted_sentences(df, keys, text), keys, order, max_words, separator)
 
 
-def ranked_sentences(sentences: DataFrame, keys: list[str], rounds: int = 4, damping: float = 0.85) -> DataFrame:
+#: Characters of a group that one task walks over by itself; larger groups are walked by joins.
+TASK_CHARS = 1 << 20
+
+
+def ranked_sentences(sentences: DataFrame, keys: list[str], rounds: int = 4, damping: float = 0.85, task_chars: int = TASK_CHARS) -> DataFrame:
     """(keys, sentence, hits, score): a random walk between the sentences of a group that share words.
 
     A step goes from a sentence to one of its words, each alike, and from there to one of the sentences
     with that word, each alike; with 1 - damping it starts anew at a sentence by how often it is said.
-    The walk runs over (sentence, word) pairs, so no two sentences are ever paired: `rounds` times two joins
-    and two sums, linear in the text, and sums over a word or sentence combine before the shuffle.
-    Sentences and words are named by 128-bit digests of the group and themselves.
+    The walk runs over (sentence, word) pairs, so no two sentences are ever paired. Sentences travel once
+    to the task of their group, which does all rounds there. Groups of more than `task_chars` characters
+    spread over all tasks instead: `rounds` times two joins and two sums, linear in the text.
     """
     group = F.concat_ws("\x01", *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys])
-    named = save_scratch(sentences.withColumn("_s", F.md5(F.concat(group, F.lit("\x03"), "sentence"))), "sentences")
-    words = F.explode(F.array_distinct(F.filter(F.split(F.lower("sentence"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))).alias("_word")
-    pairs = named.select("_s", group.alias("_group"), words).select("_s", F.md5(F.concat("_group", F.lit("\x03"), "_word")).alias("_w"))
+    rows = save_scratch(sentences.select(*keys, "sentence", "hits", group.alias("_group")), "sentences")
+    sizes = rows.groupBy("_group").agg(F.sum(F.length("sentence") + 1).alias("_chars"))
+    large = save_scratch(sizes.where(F.col("_chars") > task_chars).select("_group"), "large-groups")
+    if large.isEmpty():
+        return _walked_in_tasks(rows, keys, rounds, damping)
+    near = _walked_in_tasks(rows.join(large, "_group", "left_anti"), keys, rounds, damping)
+    return near.unionByName(_walked_by_joins(rows.join(large, "_group", "left_semi"), keys, rounds, damping))
+
+
+def _distinct_words() -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower("sentence"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def _walked_in_tasks(rows: DataFrame, keys: list[str], rounds: int, damping: float) -> DataFrame:
+    """The walk where a group is whole in one task; a task holds a batch and the group that it ends in."""
+
+    def scores(table: pa.Table) -> np.ndarray:
+        words = table["_words"].combine_chunks()
+        sentence = np.repeat(np.arange(table.num_rows), np.asarray(pc.list_value_length(words)))
+        terms = words.flatten().dictionary_encode()
+        groups = np.asarray(table["_group"].combine_chunks().dictionary_encode().indices).astype(np.int64)
+        _, word = np.unique(groups[sentence] * (len(terms.dictionary) + 1) + np.asarray(terms.indices), return_inverse=True)
+        base = np.asarray(table["hits"]).astype(float)
+        x, own, holders = base, np.bincount(sentence, minlength=len(base)), np.bincount(word)
+        for _ in range(rounds):
+            mass = np.bincount(word, (x / np.maximum(own, 1))[sentence], len(holders)) / holders
+            x = (1 - damping) * base + damping * np.bincount(sentence, mass[word], len(base))
+        return x
+
+    def finished(table: pa.Table) -> list[pa.RecordBatch]:
+        return table.drop_columns(["_group", "_words"]).append_column("score", pa.array(scores(table))).to_batches()
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = pc.index(held["_group"], held["_group"][-1]).as_py()  # sorted: all before are whole
+            if last:
+                yield from finished(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None:
+            yield from finished(held)
+
+    columns = [*keys, "sentence", "hits"]
+    schema = rows.select(*columns).schema.add("score", T.DoubleType())
+    dealt = rows.select(*columns, "_group").repartition("_group").sortWithinPartitions("_group")
+    return dealt.withColumn("_words", _distinct_words()).mapInArrow(walk, schema)
+
+
+def _walked_by_joins(rows: DataFrame, keys: list[str], rounds: int, damping: float) -> DataFrame:
+    """The walk as joins over (sentence, word) pairs; sums over a word or sentence combine before the shuffle.
+
+    Sentences and words are named by 128-bit digests of the group and themselves.
+    """
+
+    def name(what: str) -> Column:
+        return F.unhex(F.md5(F.concat("_group", F.lit("\x03"), what)))
+
+    named = save_scratch(rows.withColumn("_s", name("sentence")), "named")
+    pairs = named.select("_s", "_group", F.explode(_distinct_words()).alias("_word")).select("_s", name("_word").alias("_w"))
     sizes = [pairs.groupBy(c).agg(F.count(F.lit(1)).alias(n)) for c, n in (("_s", "_words"), ("_w", "_sentences"))]
     edges = save_scratch(pairs.join(sizes[0], "_s").join(sizes[1], "_w"), "edges")
     base = named.select("_s", F.col("hits").cast("double").alias("_base"))

@@ -111,6 +111,25 @@ def test_ranked_sentences_equal_a_plain_walk(spark):
     assert told[7]["summary"] is None and told[9]["event_count"] == 1 and all(len(r["summary"].replace("|", "").split()) <= 10 for r in told.values() if r["summary"])
 
 
+def test_large_groups_alone_are_walked_by_joins(spark, monkeypatch):
+    """Small groups need no table of (sentence, word) pairs; either way gives the same scores, in batches of three rows too."""
+    rng = random.Random(4)
+    texts = [(i % 5 if i % 9 else None, ". ".join(" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(5)) + ".") for i in range(60)] + [(7, None), (8, "... !!!"), (9, "-. --.")]
+    texts += [(6, ". ".join(" ".join(rng.choice("klmnopq") for _ in range(5)) for _ in range(60)))]
+    sentences = TX.counted_sentences(spark.createDataFrame(texts, "g int, t string"), ["g"], "t")
+    saved, save = [], TX.save_scratch
+    monkeypatch.setattr(TX, "save_scratch", lambda df, label: saved.append((label, save(df, label))) or saved[-1][1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = [{(r["g"], r["sentence"]): r["score"] for r in TX.ranked_sentences(sentences, ["g"], **size).collect()} for size in ({}, {"task_chars": 500}, {"task_chars": 0})]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    edges = [df for label, df in saved if label == "edges"]
+    assert len(edges) == 2 and 0 < edges[0].count() < edges[1].count()  # none for the first of three
+    assert len(found[0]) == sentences.count() and found[0] == pytest.approx(found[2]) and found[1] == pytest.approx(found[2])
+
+
 @pytest.mark.parametrize("text", ["a &amp; b", "cut&amp", "cut&am", "&#65;&#65 x", "\n\ntwo &lt;&lt\nlines &gt", "&#x41 &copy;"])
 def test_references_stay_as_they_stand_in_the_page(text):
     page = f"<html>\n<head><title>{text}</title></head><body><h1>{text}</h1></body></html>"
