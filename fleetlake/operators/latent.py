@@ -13,8 +13,8 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +29,11 @@ class TextModel(NamedTuple):
     idf: np.ndarray
     basis: np.ndarray
 
-    def row(self, tokens) -> tuple[np.ndarray, np.ndarray]:
-        return weighed(tokens, self.idf)
-
-    def vectors(self, rows) -> list:
+    def vectors(self, rows: pa.Array) -> pa.Array:
         """One vector per list of hashed tokens; zero for a text without known tokens, null for null."""
-        out = []
-        for tokens in rows:
-            at, w = self.row(tokens) if tokens is not None else (None, None)
-            out.append(None if at is None else (w @ self.basis[at]).astype(np.float32))
-        return out
+        flat = pa.array(_Rows.of(rows, self.idf).times(self.basis).ravel())
+        ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * self.basis.shape[1])
+        return pa.ListArray.from_arrays(ends, flat, mask=pc.is_null(rows))
 
 
 def weighed(tokens, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,11 +77,41 @@ def _summed(rows: DataFrame, add, height: int, width: int) -> np.ndarray:
     return out
 
 
-def _token_rows(column: pa.Array):
-    flat, offsets = np.asarray(column.flatten()), np.asarray(column.offsets)
-    first = offsets[0]
-    for a, b in zip(offsets[:-1] - first, offsets[1:] - first, strict=True):
-        yield flat[a:b]
+class _Rows(NamedTuple):
+    """The weighed rows of a batch: row, column and weight of each entry, by row, and where the rows begin."""
+
+    row: np.ndarray
+    at: np.ndarray
+    weight: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, tokens: pa.Array, idf: np.ndarray) -> _Rows:
+        n = len(tokens)
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0))
+        keys = np.repeat(np.arange(n) * FEATURES, sizes) + np.asarray(tokens.flatten())
+        keys, counts = np.unique(keys, return_counts=True)
+        row, at = keys // FEATURES, keys % FEATURES
+        w = counts * idf[at]
+        length = np.sqrt(np.bincount(row, w * w, n))
+        w = (w / np.where(length > 0, length, 1.0)[row]).astype(np.float32)
+        return cls(row, at, w, np.searchsorted(row, np.arange(n + 1)))
+
+    def times(self, block: np.ndarray) -> np.ndarray:
+        """Rows times a block, each row alone, so that its result does not depend on the batch."""
+        out = np.zeros((len(self.bounds) - 1, block.shape[1]), np.float32)
+        for i, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
+            out[i] = self.weight[a:b] @ block[self.at[a:b]]
+        return out
+
+    def add_back(self, products: np.ndarray, total: np.ndarray) -> None:
+        """Add the transposed rows times `products`; entries are taken column by column."""
+        order = np.argsort(self.at, kind="stable")
+        row, weight = self.row[order], self.weight[order]
+        columns, first = np.unique(self.at[order], return_index=True)
+        ends = np.append(first, len(order)).tolist()
+        for column, a, b in zip(columns.tolist(), ends, ends[1:], strict=False):
+            total[column] += weight[a:b] @ products[row[a:b]]
 
 
 def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, rounds: int = 3, seed: int = 42) -> TextModel:
@@ -105,10 +130,8 @@ def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, ro
         shared = spark.sparkContext.broadcast(basis.astype(np.float32))
 
         def back(column, total):
-            block = shared.value  # noqa: B023
-            for row in _token_rows(column):
-                at, w = weighed(row, idf)
-                total[at] += np.outer(w, w @ block[at])
+            rows = _Rows.of(column, idf)
+            rows.add_back(rows.times(shared.value), total)  # noqa: B023
 
         product = _summed(rows, back, FEATURES, width)
         basis, _ = np.linalg.qr(product + np.finfo(np.float32).tiny)
@@ -116,11 +139,8 @@ def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, ro
     shared = spark.sparkContext.broadcast(basis.astype(np.float32))
 
     def gram(column, total):
-        block = shared.value
-        for row in _token_rows(column):
-            at, w = weighed(row, idf)
-            y = w @ block[at]
-            total += np.outer(y, y)
+        products = _Rows.of(column, idf).times(shared.value)
+        total += products.T @ products
 
     strength, turn = np.linalg.eigh(_summed(rows, gram, width, width))
     order = np.argsort(-strength)[:dims]
@@ -131,8 +151,8 @@ def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, ro
 def embed_column(model: TextModel, text: str | Column) -> Column:
     """The vector of a text as array<float>; works on a batch and on a stream."""
 
-    @F.pandas_udf("array<float>")
-    def vectors(tokens: pd.Series) -> pd.Series:
-        return pd.Series(model.vectors(tokens))
+    @F.arrow_udf("array<float>")
+    def vectors(tokens: pa.Array) -> pa.Array:
+        return model.vectors(tokens)
 
     return vectors(hashed_tokens(text))

@@ -41,7 +41,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _best_per_query(k: int):
-    """Function (unit queries, ids, vectors) -> frame of the k best (q, id, score) per query.
+    """Function (unit queries, ids, vectors) -> frame of the k best (q, id, score) per query, without those
+    below a floor per query.
 
     A closure, so that it travels to the tasks by value.
     """
@@ -51,13 +52,13 @@ def _best_per_query(k: int):
         length = np.linalg.norm(matrix, axis=1)[:, None]
         return np.divide(matrix, length, out=np.full_like(matrix, np.nan), where=length > 0)
 
-    def best(queries: np.ndarray, ids, vectors) -> pd.DataFrame:
+    def best(queries: np.ndarray, ids, vectors, least: np.ndarray | float = -np.inf) -> pd.DataFrame:
         # Rounded, so that equal vectors tie whatever their place in a product.
         scores = np.round(queries @ unit_rows(vectors).T, 10)
         ranked = np.where(np.isnan(scores), -np.inf, scores)
         keep = min(k, ranked.shape[1])
         # The k-th best score of each query; ties with it all stay for the final order.
-        floor = -np.partition(-ranked, keep - 1, axis=1)[:, keep - 1]
+        floor = np.maximum(-np.partition(-ranked, keep - 1, axis=1)[:, keep - 1], least)
         at_query, at_row = np.nonzero((ranked >= floor[:, None]) & np.isfinite(ranked))
         found = pd.DataFrame({"q": at_query, "id": np.asarray(ids)[at_row], "score": scores[at_query, at_row]})
         return found.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
@@ -66,7 +67,14 @@ def _best_per_query(k: int):
         both = two if one is None else pd.concat([one, two], ignore_index=True)
         return both.sort_values(["q", "score", "id"], ascending=[True, False, True]).groupby("q").head(k)
 
-    return unit_rows, best, merge
+    def floors(top: pd.DataFrame, queries: int) -> np.ndarray:
+        """The k-th score of each query so far."""
+        found = np.full(queries, -np.inf)
+        last = top[top.groupby("q").cumcount() == k - 1]
+        found[last["q"].to_numpy()] = last["score"].to_numpy()
+        return found
+
+    return unit_rows, best, merge, floors
 
 
 def top_k(
@@ -104,18 +112,21 @@ def top_k(
 
 
 def _scan(first, asked, held, query_id, corpus_id, k, vector, block, cell, schema) -> DataFrame:
-    unit_rows, best, merge = _best_per_query(k)
+    unit_rows, best, merge, floors = _best_per_query(k)
     if not first:
         return held.sparkSession.createDataFrame([], schema)
     shared = held.sparkSession.sparkContext.broadcast(([r[0] for r in first], unit_rows([r[1] for r in first])))
 
     def search(frames: Iterator) -> Iterator:
         names, matrix = shared.value
-        top = None
+        top, least = None, -np.inf
         for frame in frames:
             for at in range(0, len(frame), 1000):
                 rows = frame.iloc[at : at + 1000]
-                top = merge(top, best(matrix, rows[corpus_id].to_numpy(), rows[vector]))
+                found = best(matrix, rows[corpus_id].to_numpy(), rows[vector], least)
+                if top is None or len(found):
+                    top = merge(top, found)
+                    least = floors(top, len(matrix))
         if top is not None and len(top):
             yield pd.DataFrame(
                 {query_id: [names[i] for i in top["q"]], corpus_id: top["id"].to_numpy(), "score": top["score"].to_numpy()}
@@ -125,7 +136,7 @@ def _scan(first, asked, held, query_id, corpus_id, k, vector, block, cell, schem
 
 
 def _grid(first, asked, held, query_id, corpus_id, k, vector, block, cell, schema) -> DataFrame:
-    unit_rows, best, _ = _best_per_query(k)
+    unit_rows, best, *_ = _best_per_query(k)
     # Half full on average, so that uneven hashing stays within the intended sizes.
     blocks, cells = -(-2 * asked.count() // block), max(1, -(-2 * held.count() // cell))
 

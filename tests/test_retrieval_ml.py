@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +125,44 @@ def test_registered_vector_search_near_the_exact_one(spark, small):
     assert exact.count() == found.count() and found.join(exact, ["item_id", "chunk_id"]).count() >= 0.9 * exact.count()
 
 
+def test_reranking_weighs_only_the_texts_it_is_given(spark, small, monkeypatch):
+    """The given pairs have the scores of a search over everything, without postings of other texts."""
+    corpus = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", F.col("text").alias("content"))
+    asked = spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", F.col("text").alias("content"))
+    exact = TI.text_top_k(asked, corpus, "item_id", "doc_id", k=3)
+    saved, save = {}, TI.save_scratch
+    monkeypatch.setattr(TI, "save_scratch", lambda df, label: saved.setdefault(label, save(df, label)))
+    found = TI.reranked(asked, corpus, exact.select("item_id", "doc_id"), "item_id", "doc_id", k=3).select(*exact.columns)
+    assert found.count() == exact.count() and found.exceptAll(exact).count() == 0
+    assert "blocks" not in saved
+    near = exact.select(F.col("doc_id").alias("_doc")).distinct()
+    assert near.count() < corpus.count() and saved["token-counts"].select("_doc").distinct().exceptAll(near).count() == 0
+
+
+def test_scan_of_many_slices_equals_brute_force(spark):
+    """Later slices of a task are held against the k-th score so far; equal scores go by id."""
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([rng.integers(-2, 3, (3500, 4)), np.zeros((1, 4))]).astype(np.float32)
+    corpus = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(rng.permutation(len(vectors)), vectors, strict=True)], "id int, embedding array<float>")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.integers(-2, 3, (6, 4)) + 0.5)], "q int, embedding array<float>")
+    hits = {(r.q, r["rank"]): (r.id, r.score) for r in RT.top_k(asked, corpus.coalesce(1), "q", "id", 7).collect()}
+    rows = {r.id: np.array(r.embedding) for r in corpus.collect()}
+    for r in asked.collect():
+        q = np.array(r.embedding)
+        scores = sorted((-round(float(v @ q / np.linalg.norm(v) / np.linalg.norm(q)), 10), i) for i, v in rows.items() if v.any())
+        assert [hits[r.q, n + 1][0] for n in range(7)] == [i for _, i in scores[:7]]
+    assert len(hits) == 42
+
+
+def test_vectors_of_null_and_empty_texts_in_slices(spark):
+    model = LT.TextModel(np.linspace(0.1, 1, LT.FEATURES), np.random.default_rng(3).normal(size=(LT.FEATURES, 5)).astype(np.float32))
+    tokens = pa.array([[9], None, [], [3, 3, 7], [7, 3, 3]], pa.list_(pa.int32()))
+    whole, part = model.vectors(tokens).to_pylist(), model.vectors(tokens.slice(1, 3)).to_pylist()
+    assert whole[1:4] == part and whole[1] is None and whole[2] == [0.0] * 5 and whole[3] == whole[4]
+    at, w = LT.weighed([3, 3, 7], model.idf)
+    assert whole[3] == pytest.approx((w @ model.basis[at]).tolist(), rel=1e-5)
+
+
 def test_learned_vectors_keep_the_strongest_directions(spark):
     """Against NumPy's SVD of the same matrix; vectors do not depend on partitions."""
     rng = np.random.default_rng(2)
