@@ -17,7 +17,8 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
 4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
    component. Other leaders follow, up to `rounds`, while they still join many classes and the keys
    that hold several components are large; then all pairs of a key from different components are compared. Pairs that components already
-   join are never formed, so a large group of near copies costs a multiple of its rows, not its square.
+   join are never formed, so a large group of near copies costs a multiple of its rows, not its square. Keys that hold
+   the same classes, such as those of one shared passage, form their pairs once, by the first place that the classes have one of them.
 5. Compared pairs are first held against counts per hash bucket, which bound what two sets can share,
    and those that remain are verified on their whole sets.
 
@@ -42,6 +43,8 @@ WIDTH = 3
 CELLS = 1 << 20
 CHUNK = 1 << 14
 BUCKETS, FULL = 256, 65_535
+#: How many classes a key holds, and which: keys with equal columns hold the same ones.
+SAME = ["members", "one", "two"]
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,10 +139,10 @@ def _prefixes(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(cut, "doc_id long, n int, keys array<long>, counts binary")
 
 
-def _possible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
     """The `pairs` (a, b) whose sets may link: two sets share at most what their counts per hash bucket share."""
-    left = prefixes.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("of_a"))
-    right = prefixes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("of_b"))
+    left = counts.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("counts").alias("of_a"))
+    right = counts.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("counts").alias("of_b"))
 
     def bound(it):
         for batch in batches(it):
@@ -208,8 +211,10 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)) if percent < 100 else F.col("n").cast("long")
     sized = rare.unionByName(pairs).withColumn("step", F.explode(F.array(step, step + 1)))
     sized = sized.select(F.xxhash64("key", "step").alias("key"), "doc", "n", "pos")
-    counts = written(sized.groupBy("key").count().filter("count > 1").select("key"), "key-counts")
-    return sized.join(counts, "key", "left_semi")
+    several = written(sized.groupBy("key").count().filter("count > 1").select("key"), "key-counts")
+    keys = written(sized.join(several, "key", "left_semi"), "index-keys")
+    dropped(counts, shared, several)
+    return keys
 
 
 def _near_labels(links: DataFrame) -> DataFrame:
@@ -233,9 +238,14 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     levels = spark.sparkContext.broadcast(rarity_levels(profiles))
     texts = profiles.filter("chunk IS NULL AND n > 0")
     ids = written(texts.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id")), "classes")
+    classes = written(texts.join(ids, ["n", "one", "two"]).select("doc_id", "n", "class_id"), "class-members")
+    dropped(profiles)
     prefixes = written(_prefixes(docs, levels, width, percent), "prefixes")
     owners = ids.select(F.col("class_id").alias("doc_id"))
-    keys = written(index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent), "index-keys")
+    keys = index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent)
+    # From here on only the counts are read; the keys of the prefixes are most of that table.
+    counts = written(prefixes.select("doc_id", "n", "counts"), "bucket-counts")
+    dropped(prefixes)
     labels = tested = links = None
     earlier = 0
     for turn in range(rounds + 1):
@@ -245,7 +255,8 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
             state = keys.join(own, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
         order = F.struct((F.col("pos") if turn % 2 == 0 else F.lit(0)).alias("least"), F.xxhash64("doc", F.lit(turn)).alias("mix"), "doc")
         groups = state.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(order.alias("by"), "n", "pos", "comp")).alias("lead"), F.count("*").alias("members")
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(order.alias("by"), "n", "pos", "comp")).alias("lead"), F.count("*").alias("members"),
+            *[F.bit_xor(F.xxhash64("doc", F.lit(i))).alias(name) for i, name in enumerate(SAME[1:])],
         )
         groups = written(groups.filter("low <> high"), "key-groups")
         active = written(state.join(groups, "key"), "active-keys")
@@ -257,8 +268,10 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         last = turn == rounds or (turn and (busy[1] <= 12 * busy[0] or busy[1] > 0.8 * earlier))
         earlier = busy[1]
         if last:
-            x = active.filter(apart).select("key", F.col("doc").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("comp").alias("of"))
-            rows = x.join(active.select("key", "doc", "n", "pos", "comp"), "key").filter("of <> comp")
+            met = active.groupBy(*SAME, "doc").agg(*[F.min(c).alias(c) for c in ("n", "pos", "comp", "low")])
+            met = written(met, "class-groups")
+            x = met.filter("comp <> low").select(*SAME, F.col("doc").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("comp").alias("of"))
+            rows = x.join(met.drop("low"), SAME).filter("of <> comp")
         else:
             lead = [F.col(f"lead.{c}").alias(d) for c, d in (("by.doc", "x"), ("n", "m"), ("pos", "at"), ("comp", "of"))]
             rows = active.select("doc", "n", "pos", "comp", *lead).filter("of <> comp")
@@ -268,22 +281,23 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         if tested is not None:
             rows = rows.join(tested, ["a", "b"], "left_anti")
         rows = written(rows, "pairs")
-        dropped(active, groups)
+        dropped(active, groups, *([met] if last else []))
         tested = rows if tested is None else tested.unionByName(rows)
-        near = written(_possible(rows, prefixes, percent), "possible-pairs")
-        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = written(_sets(docs.join(written(wanted, "paired"), "doc_id", "left_semi"), width), "shingle-sets")
+        near = written(_possible(rows, counts, percent), "possible-pairs")
+        wanted = written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "paired")
+        sets = written(_sets(docs.join(wanted, "doc_id", "left_semi"), width), "shingle-sets")
         checked = written(_linked(near, sets, percent), "checked-pairs")
-        dropped(sets)
+        dropped(sets, near, wanted)
         found = checked.filter("linked").select("a", "b")
         links = found if links is None else links.unionByName(found)
         if last:
             break
         labels = written(_near_labels(links), "near-labels")
-    classes = texts.join(ids, ["n", "one", "two"]).select("doc_id", "n", "class_id")
     if links is None:
         links = ids.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).limit(0)
-    return classes, components(links)
+    found = components(links)
+    dropped(*([links, tested] if tested is not None else []), keys, counts, ids)
+    return classes, found
 
 
 def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent: int = 1000) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact duplicates, repeated passages and near duplicates against brute force."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -190,6 +191,37 @@ def test_links_by_one_frequent_shingle(spark):
         assert {r["doc_id"]: r["component_id"] for r in found} == expected
 
 
+def test_keys_of_one_passage_form_their_pairs_once(spark, monkeypatch):
+    """Texts that share a passage but do not link meet once, not once per shingle of the passage."""
+    saved, write = {}, jaccard_join.written
+
+    def keep(df, label):
+        saved.setdefault(label, []).append(write(df, label).localCheckpoint())
+        return write(df, label)
+
+    monkeypatch.setattr(jaccard_join, "written", keep)
+    texts = [" ".join([f"p{g}x{i}" for i in range(30)] + [f"own{g}x{k}x{i}" for i in range(20 + k % 3)]) for g in range(3) for k in range(6)]
+    texts += [" ".join(texts[0].split()[:-4] + ["and", "then", "its", "end"]), texts[7] + " tail"]
+    expected = linked(list(enumerate(texts)), percent=60)
+    classes, labels = jaccard_join.class_links(frame(spark, texts).select("doc_id", "text"), percent=60, rounds=0)
+    own = {r["node"]: r["component"] for r in labels.collect()}
+    assert {r["doc_id"]: own.get(r["class_id"], r["class_id"]) for r in classes.collect()} == expected
+    assert len(set(expected.values())) == len(texts) - 2
+    assert saved["class-groups"][0].count() * 3 < saved["active-keys"][0].count()
+
+
+@pytest.mark.parametrize("operator", [jaccard_join.linked_components, substring_dedup.without_repeats])
+def test_tables_that_nothing_reads_any_more_are_gone(spark, operator):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} tail{k} {' '.join(f'o{k}x{i}' for i in range(3 * (k % 4)))}" for k in range(12)] + [LONG, None, ""]
+    rows = operator(frame(spark, texts).select("doc_id", "text"))
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left <= {"class-members", "near-labels", "labels", "chains", "marks"}
+    assert rows.count() == len(texts)
+
+
 def test_links_null_and_repeated_ids(spark):
     docs = frame(spark, [(None, "a b c d"), (2, "a b c d"), (2, "a b c d"), (3, "A b c d")]).select("doc_id", "text")
     found = sorted((r["doc_id"] or -1, r["component_id"]) for r in jaccard_join.linked_components(docs).collect())
