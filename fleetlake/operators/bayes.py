@@ -5,7 +5,8 @@ counts in how many texts of a class, and of the others together, a word occurs,
 odds are `odds` and `z` standard errors away from 0, and deals every text out to the classes anew by the kept
 words that it has and that it lacks. Seeds only start the first round: afterwards they weigh what the texts
 say they do, like any other word.
-Counts and scores are sums of Spark over (text, word) pairs; the model is a table of words.
+Counts and scores are sums of Spark over (text, word) pairs; the model is a table of words. Texts are kept
+as one list of words each; shares join the lists, and pairs are made from what that gives.
 """
 
 from __future__ import annotations
@@ -25,10 +26,15 @@ class BayesModel(NamedTuple):
     words: DataFrame  # token, w_0, w_1, ...: what having the word adds
 
 
-def distinct_words(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """(_id, token): the different words of every text, lower-cased."""
+def word_lists(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """(_id, words): the different words of every text, lower-cased; null for null."""
     words = F.array_distinct(F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    return df.select(F.col(row_id).alias("_id"), F.explode(words).alias("token"))
+    return df.select(F.col(row_id).alias("_id"), words.alias("words"))
+
+
+def distinct_words(lists: DataFrame, *columns: str) -> DataFrame:
+    """(_id, columns, token) of word lists."""
+    return lists.select("_id", *columns, F.explode("words").alias("token"))
 
 
 def _normalised(odds: list[Column]) -> list[Column]:
@@ -48,12 +54,14 @@ def _started(tokens: DataFrame, ids: DataFrame, seeds: list[list[str]]) -> DataF
     return ids.join(found, "_id", "left").select("_id", *shares, rest)
 
 
-def _model(tokens: DataFrame, shares: DataFrame, classes: list[str], alpha: float, z: float, odds: float, least: int) -> BayesModel:
+def _model(lists: DataFrame, shares: DataFrame, classes: list[str], alpha: float, z: float, odds: float, least: int) -> BayesModel:
     k = range(len(classes))
     n = shares.agg(*[F.coalesce(F.sum(f"r_{j}"), F.lit(0.0)).alias(f"n_{j}") for j in k], F.count(F.lit(1)).alias("n")).first()
     rows = max(n["n"], 1)
     sizes = [max(n[f"n_{j}"], 1e-9) for j in k]
-    counts = tokens.join(shares, "_id").groupBy("token").agg(F.count(F.lit(1)).alias("_df"), *[F.sum(f"r_{j}").alias(f"c_{j}") for j in k])
+    # Shares meet a text's list, one row, before its words are taken apart.
+    tokens = distinct_words(lists.join(shares, "_id"), *[f"r_{j}" for j in k])
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_df"), *[F.sum(f"r_{j}").alias(f"c_{j}") for j in k])
     columns = []
     for j in k:
         size, rest = sizes[j], max(rows - sizes[j], 1e-9)
@@ -85,19 +93,20 @@ def learn_labels(
     df: DataFrame, row_id: str, text: str, seeds: dict[str, list[str]], other: str, rounds: int = 4, alpha: float = 1.0, z: float = 4.0, odds: float = 2.0, least: int = 5
 ) -> BayesModel:
     """Fit on the texts of `df`: classes are those of `seeds`, in that order, and `other`. Row ids are unique."""
-    tokens = save_scratch(distinct_words(df, row_id, text), "words")
+    lists = save_scratch(word_lists(df, row_id, text), "word-lists")
+    tokens = distinct_words(lists)
     ids = df.select(F.col(row_id).alias("_id"))
     classes = [*seeds, other]
     shares = _started(tokens, ids, list(seeds.values()))
     model = None
     for _ in range(rounds):
-        model = _model(tokens, save_scratch(shares, "shares"), classes, alpha, z, odds, least)
+        model = _model(lists, save_scratch(shares, "shares"), classes, alpha, z, odds, least)
         shares = class_shares(model, tokens, ids)
     return model
 
 
 def labelled(model: BayesModel, df: DataFrame, row_id: str, text: str) -> DataFrame:
     """(row_id, label, probability): the likeliest class, the first of equal ones."""
-    shares = class_shares(model, distinct_words(df, row_id, text), df.select(F.col(row_id).alias("_id")))
+    shares = class_shares(model, distinct_words(word_lists(df, row_id, text)), df.select(F.col(row_id).alias("_id")))
     best = F.array_max(F.array(*[F.struct(F.col(f"r_{j}").alias("p"), F.lit(-j).alias("rank"), F.lit(c).alias("label")) for j, c in enumerate(model.classes)]))
     return shares.select(F.col("_id").alias(row_id), best["label"].alias("label"), best["p"].alias("probability"))

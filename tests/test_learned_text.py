@@ -56,6 +56,24 @@ def test_labels_equal_a_plain_version(spark):
     assert BY.labelled(model, df.limit(0), "id", "content").count() == 0
 
 
+def test_shares_meet_texts_not_pairs(spark, monkeypatch):
+    """What learning keeps and joins is one row per text; without broadcasts the labels are the same."""
+    saved, save = [], BY.save_scratch
+    monkeypatch.setattr(BY, "save_scratch", lambda df, label: saved.append(save(df, label)) or saved[-1])
+    texts = [(i, f"a{i % 7} b{i % 5} c{i % 3}" + (" awful vile" if i % 4 == 0 else " fine")) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(texts, "id long, content string")
+    found = []
+    for size in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        try:
+            model = BY.learn_labels(df, "id", "content", {"bad": ["awful"]}, "good", rounds=2, z=1.0, odds=1.0, least=2)
+            found.append({r["id"]: (r["label"], round(r["probability"], 9)) for r in BY.labelled(model, df, "id", "content").collect()})
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0] == found[1] and all(found[0][i][0] == ("bad" if i % 4 == 0 else "good") for i in range(60))
+    assert max(x.count() for x in saved) == len(texts)
+
+
 def test_abuse_is_learned_from_seed_words(spark):
     """No label is read in learning. A third of the texts that are labelled abusive hold no abusive word."""
     root = "/root/testdata/sf0.01"
