@@ -5,15 +5,17 @@ shingles (A-Z lower-cased). A text with fewer words is one shingle; one without
 
 1. Texts with equal sets are one class, represented by the lowest doc_id. Everything below is about
    classes.
-2. Shingles are ordered by how often they occur in the corpus, rarest first. Frequencies come from one
-   pass over all texts into a sketch of CELLS counters; only its 2^20 logarithms are sent out. Any
-   order gives the same links, so collisions cost time only.
+2. Shingles are ordered by how often they occur in the corpus, rarest first. They are counted in parts of
+   the hash range, by 42 bits; any order gives the same links, so collisions cost time only. Those that
+   occur once are in no two sets: they count in a prefix, but only repeated ones go back to their text.
+   So a passage that many texts share comes last, and keys are left to near copies.
 3. With this order, linked sets of n shingles share one among their first n - ceil(t n) + 1, and two
    among their first n - ceil(t n) + 2. A shingle that more than `frequent` prefixes hold is indexed
    in pairs, all others singly: a prefix that shares no rare shingle and at most one frequent one
    leaves too few for a link. Sets so small that one shared shingle links them are indexed singly too.
    For the first key two linked sets share, what follows it in either set, and one frequent shingle
-   that precedes a single key, bound what they share; pairs of a key that this rules out are never formed.
+   that precedes a single key, bound what they share; pairs of a key that this rules out are never formed, and a
+   set for which it rules out even the smallest one under a key is not indexed there.
 4. Of the classes under one key all are compared with one leader, at first the one with the fewest rarer shingles, and links join them to one
    component. Other leaders follow, up to `rounds`, while they still join many classes and the keys
    that hold several components are large; then all pairs of a key from different components are compared. Pairs that components already
@@ -29,10 +31,10 @@ Shingles are compared by 64-bit hashes of their words.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,8 @@ from fleetlake.llm.common import BASES, batches, binary_column, bound_batches, d
 from fleetlake.llm.components import components
 
 WIDTH = 3
-CELLS = 1 << 20
-CHUNK = 1 << 14
+#: Shingles are counted by parts of the hash range; a task sends those of its texts in groups of about GROUP shingles.
+PARTS, GROUP = 1 << 10, 1 << 18
 BUCKETS, FULL = 256, 65_535
 #: How many classes a key holds, and which: keys with equal columns hold the same ones.
 SAME = ["members", "one", "two"]
@@ -74,69 +76,107 @@ def _sums(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, n, one, two) for every text, and rows (chunk, cells) of each task's sketch."""
-    schema = "doc_id long, n int, one long, two long, chunk int, cells binary"
+    """(doc_id, n, one, two, counts) of every text: sums that tell its set, and how many shingles fall into
+    each of BUCKETS hash buckets."""
 
     def profile(it):
-        names = ["doc_id", "n", "one", "two", "chunk", "cells"]
-        sketch = np.zeros(CELLS, np.int64)
         for batch in batches(it):
             keys, bounds = shingle_sets(batch.column(1), width)
-            np.add.at(sketch, (keys & np.uint64(CELLS - 1)).astype(np.int64), 1)
-            rows = batch.num_rows
             one, two = (pa.array(_sums(k, bounds).view(np.int64)) for k in (keys, mixed(keys ^ np.uint64(BASES[3]))))
-            sizes = pa.array(np.diff(bounds).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, one, two, pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
-        chunks = [i for i in range(CELLS // CHUNK) if sketch[i * CHUNK : (i + 1) * CHUNK].any()]
-        cells = binary_column([zlib.compress(sketch[i * CHUNK : (i + 1) * CHUNK].tobytes(), 1) for i in chunks])
-        empty = [pa.nulls(len(chunks), t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*empty, pa.array(chunks, pa.int32()), cells], names=names)
-
-    return docs.mapInArrow(profile, schema)
-
-
-def _added(it):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches(it):
-        for chunk, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.frombuffer(zlib.decompress(cells), np.int64)
-            total[chunk] = total[chunk] + own if chunk in total else own
-    levels = [np.frexp(v.astype(float))[1].astype(np.uint8).tobytes() for v in total.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), binary_column(levels)], names=["chunk", "levels"])
-
-
-def rarity_levels(profiles: DataFrame) -> np.ndarray:
-    """For each sketch cell the bit length of its count: 2^20 bytes, whatever the corpus."""
-    rows = profiles.filter("chunk IS NOT NULL").select("chunk", "cells")
-    rows = rows.repartition("chunk").mapInArrow(_added, "chunk int, levels binary")
-    levels = np.zeros(CELLS, np.uint8)
-    for row in rows.collect():
-        levels[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["levels"], np.uint8)
-    return levels
-
-
-def _prefixes(docs: DataFrame, levels, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, keys, counts): the first n - ceil(t n) + 2 shingles, rarest first, and how many
-    shingles fall into each of BUCKETS hash buckets."""
-
-    def cut(it):
-        table = levels.value
-        for batch in batches(it):
-            keys, bounds = shingle_sets(batch.column(1), width)
             n = np.diff(bounds)
-            doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((keys, table[(keys & np.uint64(CELLS - 1)).astype(np.int64)], doc))
-            place = np.arange(len(keys)) - bounds[:-1][doc]
-            need = n - (n * percent + 99) // 100 + 2
-            take = order[place < need[doc]]
-            ends = np.concatenate([[0], np.cumsum(np.minimum(n, need))])
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys[take].view(np.int64)))
-            place = doc * BUCKETS + (keys >> np.uint64(56)).astype(np.int64)
+            place = np.repeat(np.arange(len(n)), n) * BUCKETS + (keys >> np.uint64(56)).astype(np.int64)
             counts = np.minimum(np.bincount(place, minlength=len(n) * BUCKETS), FULL).astype(np.uint16)
             counts = binary_column(packed(counts, np.arange(len(n) + 1) * BUCKETS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int32)), lists, counts], names=["doc_id", "n", "keys", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int32)), one, two, counts], names=["doc_id", "n", "one", "two", "counts"])
+
+    return docs.mapInArrow(profile, "doc_id long, n int, one long, two long, counts binary")
+
 
-    return docs.mapInArrow(cut, "doc_id long, n int, keys array<long>, counts binary")
+#: The shingles of a group of texts that lie in one part of the hash range: `cells` are 32 bits of each, in order,
+#: `owners` the numbers of their texts in the group. One part's row also has the group's ids and set sizes.
+CELLS = "grp long, part int, cells binary, owners binary, ids binary, sizes binary"
+
+
+def _cells(docs: DataFrame, width: int) -> DataFrame:
+    """The shingles of all texts as rows of CELLS. The number of a task tells its groups apart, so `docs`
+    should come from files, whose rows a repeated task meets in the same order."""
+
+    def rows(group: int, held: list) -> pa.RecordBatch:
+        sizes = np.concatenate([n for _, _, n in held])
+        keys, owner = np.concatenate([k for _, k, _ in held]), np.repeat(np.arange(len(sizes)).astype(np.uint16), sizes)
+        order = np.argsort(keys)
+        keys, owner = keys[order], owner[order]
+        ends = np.searchsorted(keys >> np.uint64(54), np.arange(PARTS + 1).astype(np.uint64))
+        with_ids = group % PARTS
+        parts = np.flatnonzero((np.diff(ends) > 0) | (np.arange(PARTS) == with_ids))
+        values = packed((keys >> np.uint64(22)).astype(np.uint32), ends), packed(owner, ends)
+        extra = np.concatenate([i for i, _, _ in held]).tobytes(), sizes.astype(np.int32).tobytes()
+        columns = [binary_column([v[i] for i in parts]) for v in values] + [binary_column([e if i == with_ids else None for i in parts]) for e in extra]
+        names = ["grp", "part", "cells", "owners", "ids", "sizes"]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), group)), pa.array(parts.astype(np.int32)), *columns], names=names)
+
+    def pack(it):
+        group, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for whole in batches(it):
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                keys, bounds = shingle_sets(batch.column(1), width)
+                held.append((np.asarray(batch.column(0)), keys, np.diff(bounds)))
+                size += len(keys)
+                if size >= GROUP or len(held) == 64:
+                    yield rows(group, held)
+                    group, held, size = group + 1, [], 0
+        if held:
+            yield rows(group, held)
+
+    return docs.mapInArrow(pack, CELLS)
+
+
+def _column(rows: pa.Table, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column, and how many each row has."""
+    read = [text_bytes(chunk) for chunk in rows.column(name).chunks]
+    data = np.concatenate([d for d, _ in read] or [np.zeros(0, np.uint8)])
+    return data.view(kind), np.concatenate([np.diff(b) for _, b in read] or [np.zeros(0, np.int64)]) // np.dtype(kind).itemsize
+
+
+def _repeated(rows: pa.Table) -> pa.Table:
+    """Of one part's rows of CELLS the shingles that occur more than once, with `times`."""
+    cells, sizes = _column(rows, "cells", np.uint32)
+    owners, _ = _column(rows, "owners", np.uint16)
+    order = np.argsort(cells, kind="stable")
+    new = np.flatnonzero(np.diff(cells[order], prepend=~cells[order[:1]]))  # the first one of each run
+    runs = np.diff(new, append=len(cells))
+    times = np.empty(len(cells), np.uint32)
+    times[order] = np.repeat(runs, runs)
+    keep = times > 1
+    ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(sizes)])]
+    columns = [binary_column(packed(v[keep], ends)) for v in (cells, owners, times)]
+    columns = [rows.column("grp"), rows.column("part"), *columns, rows.column("ids"), rows.column("sizes")]
+    table = pa.table(columns, names=["grp", "part", "cells", "owners", "times", "ids", "sizes"])
+    return table.filter(pc.or_(pa.array(np.diff(ends) > 0), pc.is_valid(table.column("ids"))))
+
+
+def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, n, alone, keys): of the first n - ceil(t n) + 2 shingles, rarest first, those that occur in
+    other texts as well, and how many of the set's occur in no other; texts without such keys are left out."""
+
+    def cut(rows: pa.Table) -> pa.Table:
+        ids, n = _column(rows, "ids", np.int64)[0], _column(rows, "sizes", np.int32)[0].astype(np.int64)
+        cells, each = _column(rows, "cells", np.uint32)
+        tokens = (np.repeat(np.asarray(rows.column("part")).astype(np.int64), each) << 32) | cells.astype(np.int64)
+        doc, times = _column(rows, "owners", np.uint16)[0].astype(np.int64), _column(rows, "times", np.uint32)[0]
+        order = np.lexsort((tokens, times, doc))
+        shared = np.bincount(doc, minlength=len(n))
+        need = np.clip(n - (n * percent + 99) // 100 + 2 - (n - shared), 0, shared)
+        place = np.arange(len(doc)) - (np.cumsum(shared) - shared)[doc[order]]
+        take = order[place < need[doc[order]]]
+        ends = np.concatenate([[0], np.cumsum(need)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[take]))
+        columns = [pa.array(ids), pa.array(n.astype(np.int32)), pa.array((n - shared).astype(np.int32)), lists]
+        return pa.table(columns, names=["doc_id", "n", "alone", "keys"]).filter(pa.array(need > 0))
+
+    met = _cells(docs, width).groupBy("part").applyInArrow(_repeated, CELLS.replace("ids", "times binary, ids"))
+    return met.groupBy("grp").applyInArrow(cut, "doc_id long, n int, alone int, keys array<long>")
 
 
 def _possible(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
@@ -194,7 +234,8 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     `pos` is how many shingles of a set cannot be shared if the key is the first that two sets share:
     those before the key's first shingle, but for one if a frequent one, which has no key alone, is among them.
     """
-    exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", F.posexplode("keys").alias("pos", "token"))
+    exploded = prefixes.select(F.col("doc_id").alias("doc"), "n", "alone", F.posexplode("keys").alias("pos", "token"))
+    exploded = exploded.select("doc", "n", (F.col("alone") + F.col("pos")).alias("pos"), "token")
     # Counts are written before they are joined: next to a plain scan Spark can split a hot key.
     counts = written(exploded.groupBy("token").count().filter("count > 1"), "token-counts")
     shared = written(exploded.join(counts, "token"), "prefix-tokens")
@@ -211,8 +252,11 @@ def index_keys(prefixes: DataFrame, frequent: int, percent: int) -> DataFrame:
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)) if percent < 100 else F.col("n").cast("long")
     sized = rare.unionByName(pairs).withColumn("step", F.explode(F.array(step, step + 1)))
     sized = sized.select(F.xxhash64("key", "step").alias("key"), "doc", "n", "pos")
-    several = written(sized.groupBy("key").count().filter("count > 1").select("key"), "key-counts")
-    keys = written(sized.join(several, "key", "left_semi"), "index-keys")
+    several = sized.groupBy("key").agg(F.count("*").alias("count"), F.min("n").alias("least")).filter("count > 1")
+    several = written(several.select("key", "least"), "key-counts")
+    # What too little follows the key in for a link even to the smallest set there forms no pair of this key.
+    able = (100 + percent) * (F.col("n") - F.col("pos")) >= percent * (F.col("n") + F.col("least"))
+    keys = written(sized.join(several, "key").filter(able).drop("least"), "index-keys")
     dropped(counts, shared, several)
     return keys
 
@@ -235,17 +279,14 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     bound_batches(spark)
     docs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     profiles = written(_profiles(docs, width), "shingle-profiles")
-    levels = spark.sparkContext.broadcast(rarity_levels(profiles))
-    texts = profiles.filter("chunk IS NULL AND n > 0")
+    texts = profiles.filter("n > 0")
     ids = written(texts.groupBy("n", "one", "two").agg(F.min("doc_id").alias("class_id")), "classes")
     classes = written(texts.join(ids, ["n", "one", "two"]).select("doc_id", "n", "class_id"), "class-members")
-    dropped(profiles)
-    prefixes = written(_prefixes(docs, levels, width, percent), "prefixes")
+    prefixes = written(_prefixes(docs, width, percent), "prefixes")
     owners = ids.select(F.col("class_id").alias("doc_id"))
     keys = index_keys(prefixes.join(owners, "doc_id", "left_semi"), frequent, percent)
-    # From here on only the counts are read; the keys of the prefixes are most of that table.
-    counts = written(prefixes.select("doc_id", "n", "counts"), "bucket-counts")
     dropped(prefixes)
+    counts = profiles.select("doc_id", "n", "counts")
     labels = tested = links = None
     earlier = 0
     for turn in range(rounds + 1):
@@ -263,7 +304,7 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
         apart = F.col("comp") != F.col("lead.comp")
         busy = active.agg(F.count("*"), F.sum(F.when(apart, F.col("members")))).first()
         if not busy[0]:
-            dropped(active)
+            dropped(active, groups)
             break
         last = turn == rounds or (turn and (busy[1] <= 12 * busy[0] or busy[1] > 0.8 * earlier))
         earlier = busy[1]
@@ -296,7 +337,7 @@ def class_links(docs: DataFrame, width: int = WIDTH, percent: int = 90, frequent
     if links is None:
         links = ids.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).limit(0)
     found = components(links)
-    dropped(*([links, tested] if tested is not None else []), keys, counts, ids)
+    dropped(*([links, tested] if tested is not None else []), keys, profiles, ids)
     return classes, found
 
 

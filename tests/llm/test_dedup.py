@@ -210,6 +210,33 @@ def test_keys_of_one_passage_form_their_pairs_once(spark, monkeypatch):
     assert saved["class-groups"][0].count() * 3 < saved["active-keys"][0].count()
 
 
+def test_shared_passages_come_behind_rarer_shingles(spark, monkeypatch):
+    """A passage of seven texts makes no keys while they hold enough shingles that occur four times."""
+    saved, write = {}, jaccard_join.written
+
+    def keep(df, label):
+        saved.setdefault(label, []).append(write(df, label).localCheckpoint())
+        return write(df, label)
+
+    monkeypatch.setattr(jaccard_join, "written", keep)
+    own = [" ".join(f"own{k}x{i}" for i in range(90)) for k in range(7)]
+    texts = [" ".join([*(f"p{i}" for i in range(30)), text]) for text in own]
+    texts += [" ".join([text, *(f"z{k}x{j}x{i}" for i in range(300))]) for k, text in enumerate(own) for j in range(3)]
+    docs = frame(spark, texts).select("doc_id", "text")
+    classes, labels = jaccard_join.class_links(docs, percent=60)
+    assert classes.count() == len(texts) and labels.count() == 0
+    assert linked(list(enumerate(texts)), percent=60) == {i: i for i in range(len(texts))}
+    assert sum(t.count() for t in saved.get("pairs", [])) == 0
+
+
+def test_sets_that_cannot_link_under_a_key_are_not_indexed_there(spark):
+    """Ten shingles of ten are too few to be shared late: only places that leave enough for the smallest set stay."""
+    rows = [(1, 10, 0, [7, 8, 9]), (2, 10, 1, [5, 6, 7]), (3, 10, 0, [8, 7, 9])]
+    prefixes = spark.createDataFrame(rows, "doc_id long, n int, alone int, keys array<long>")
+    found = {(r["doc"], r["pos"]) for r in jaccard_join.index_keys(prefixes, 1000, 90).collect()}
+    assert found == {(1, 0), (3, 0)}
+
+
 @pytest.mark.parametrize("operator", [jaccard_join.linked_components, substring_dedup.without_repeats])
 def test_tables_that_nothing_reads_any_more_are_gone(spark, operator):
     folder = spark.conf.get("spark.checkpoint.dir")
