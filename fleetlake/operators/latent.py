@@ -6,6 +6,9 @@ FEATURES by block numbers whatever the corpus holds, are added in row blocks bef
 which makes the block orthonormal. The Gram matrix of the rows in that basis, added up in the same way, turns
 it to the singular directions. A text's vector is its row times the basis: each is computed alone, so the
 same text has the same vector in any batch.
+
+Splitting and hashing a text costs more than a product with its row. `counted_tokens` does it once and writes
+the rows; document counts, all products and the vectors of the corpus itself are read from them.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.session import scratch_dir
 
@@ -31,9 +35,16 @@ class TextModel(NamedTuple):
 
     def vectors(self, rows: pa.Array) -> pa.Array:
         """One vector per list of hashed tokens; zero for a text without known tokens, null for null."""
-        flat = pa.array(_Rows.of(rows, self.idf).times(self.basis).ravel())
-        ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * self.basis.shape[1])
-        return pa.ListArray.from_arrays(ends, flat, mask=pc.is_null(rows))
+        return self._listed(_Rows.of(rows, self.idf), pc.is_null(rows))
+
+    def counted_vectors(self, at: pa.Array, n: pa.Array) -> pa.Array:
+        """The same for rows of `counted_tokens`."""
+        return self._listed(_Rows.counted(at, n, self.idf), pc.is_null(at))
+
+    def _listed(self, rows: _Rows, missing: pa.Array) -> pa.Array:
+        flat = pa.array(rows.times(self.basis).ravel())
+        ends = pa.array(np.arange(len(missing) + 1, dtype=np.int32) * self.basis.shape[1])
+        return pa.ListArray.from_arrays(ends, flat, mask=missing)
 
 
 def weighed(tokens, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,12 +61,12 @@ def hashed_tokens(text: str | Column) -> Column:
 
 
 def _summed(rows: DataFrame, add, height: int, width: int) -> np.ndarray:
-    """The sum over all tasks of what `add(rows of tokens, out)` puts into a height x width array."""
+    """The sum over all tasks of what `add(batch of rows, out)` puts into a height x width array."""
 
     def tasks(it):
         total = np.zeros((height, width), np.float32)
         for batch in it:
-            add(batch.column(0), total)
+            add(batch, total)
         for at in range(0, height, PART):
             part = total[at : at + PART]
             if part.any():
@@ -71,7 +82,7 @@ def _summed(rows: DataFrame, add, height: int, width: int) -> np.ndarray:
 
     kind = "at long, part binary"
     out = np.zeros((height, width))
-    for row in rows.mapInArrow(tasks, kind).repartition("at").mapInArrow(merge, kind).toLocalIterator():
+    for row in rows.mapInArrow(tasks, kind).repartition("at").mapInArrow(merge, kind).collect():
         part = np.frombuffer(row["part"], np.float64).reshape(-1, width)
         out[row["at"] : row["at"] + len(part)] = part
     return out
@@ -87,15 +98,21 @@ class _Rows(NamedTuple):
 
     @classmethod
     def of(cls, tokens: pa.Array, idf: np.ndarray) -> _Rows:
-        n = len(tokens)
-        sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0))
-        keys = np.repeat(np.arange(n) * FEATURES, sizes) + np.asarray(tokens.flatten())
-        keys, counts = np.unique(keys, return_counts=True)
-        row, at = keys // FEATURES, keys % FEATURES
+        return cls._weighed(*_distinct(tokens), idf)
+
+    @classmethod
+    def counted(cls, at: pa.Array, n: pa.Array, idf: np.ndarray) -> _Rows:
+        bounds = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(at), 0)))
+        return cls._weighed(np.asarray(at.flatten()), np.asarray(n.flatten()), bounds, idf)
+
+    @classmethod
+    def _weighed(cls, at: np.ndarray, counts: np.ndarray, bounds: np.ndarray, idf: np.ndarray) -> _Rows:
+        n = len(bounds) - 1
+        row = np.repeat(np.arange(n), np.diff(bounds))
         w = counts * idf[at]
         length = np.sqrt(np.bincount(row, w * w, n))
         w = (w / np.where(length > 0, length, 1.0)[row]).astype(np.float32)
-        return cls(row, at, w, np.searchsorted(row, np.arange(n + 1)))
+        return cls(row, at, w, bounds)
 
     def times(self, block: np.ndarray) -> np.ndarray:
         """Rows times a block, each row alone, so that its result does not depend on the batch."""
@@ -106,31 +123,63 @@ class _Rows(NamedTuple):
 
     def add_back(self, products: np.ndarray, total: np.ndarray) -> None:
         """Add the transposed rows times `products`; entries are taken column by column."""
-        order = np.argsort(self.at, kind="stable")
+        order = np.argsort(self.at, kind="stable")  # of two-byte numbers: by radix
         row, weight = self.row[order], self.weight[order]
-        columns, first = np.unique(self.at[order], return_index=True)
-        ends = np.append(first, len(order)).tolist()
+        sizes = np.bincount(self.at, minlength=1)
+        columns = np.flatnonzero(sizes)
+        ends = np.append(0, np.cumsum(sizes[columns])).tolist()
         for column, a, b in zip(columns.tolist(), ends, ends[1:], strict=False):
             total[column] += weight[a:b] @ products[row[a:b]]
 
 
-def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, rounds: int = 3, seed: int = 42) -> TextModel:
-    """Learn the `dims` strongest directions of the TF-IDF rows of a corpus; directions it lacks are zero."""
+def _distinct(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct columns of every row in order, how often each occurs, and where the rows begin and end."""
+    n = len(tokens)
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0))
+    keys = np.repeat(np.arange(n) * FEATURES, sizes) + np.asarray(tokens.flatten())
+    keys, counts = np.unique(keys, return_counts=True)
+    return (keys % FEATURES).astype(np.int16), counts.astype(np.int32), np.searchsorted(keys, np.arange(n + 1) * FEATURES)
+
+
+def counted_tokens(corpus: DataFrame, keep: tuple[str, ...] = (), text: str = "content") -> DataFrame:
+    """The texts as rows of the matrix, written once: the columns `keep`, the distinct hashed tokens `at` in order
+    and how often each occurs, `n`. Both are null for a null text and empty for one without tokens."""
     spark = corpus.sparkSession
+
+    def counted(it):
+        for batch in it:
+            tokens = batch.column("_tokens")
+            at, counts, bounds = _distinct(tokens)
+            ends, missing = pa.array(bounds.astype(np.int32)), pc.is_null(tokens)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(values), mask=missing) for values in (at, counts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], names=[*keep, "at", "n"])
+
+    fields = [T.StructField("at", T.ArrayType(T.ShortType())), T.StructField("n", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*(corpus.schema[c] for c in keep), *fields])
     path = scratch_dir(spark, "tokens")
-    tokens = hashed_tokens(text).alias("tokens")
-    corpus.where(F.col(text).isNotNull()).select(tokens).write.parquet(path)
-    rows = spark.read.parquet(path)
+    corpus.select(*keep, hashed_tokens(text).alias("_tokens")).mapInArrow(counted, schema).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, rounds: int = 3, seed: int = 42) -> TextModel:
+    """Learn the `dims` strongest directions of the TF-IDF rows of a corpus; directions it lacks are zero."""
+    return fit_counted(counted_tokens(corpus, text=text), dims, rounds, seed)
+
+
+def fit_counted(counted: DataFrame, dims: int = 256, rounds: int = 3, seed: int = 42) -> TextModel:
+    """The same model from the rows of `counted_tokens`; null texts do not count as documents."""
+    spark = counted.sparkSession
+    rows = counted.where(F.col("at").isNotNull()).select("at", "n")
     n, idf = rows.count(), np.zeros(FEATURES)
-    for column, df in rows.select(F.explode(F.array_distinct("tokens")).alias("t")).groupBy("t").agg(F.count(F.lit(1))).collect():
+    for column, df in rows.select(F.explode("at").alias("t")).groupBy("t").agg(F.count(F.lit(1))).collect():
         idf[column] = np.log((n + 1) / (df + 1))
     width = min(dims + EXTRA, FEATURES)
     basis, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(FEATURES, width)))
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(basis.astype(np.float32))
 
-        def back(column, total):
-            rows = _Rows.of(column, idf)
+        def back(batch, total):
+            rows = _Rows.counted(*batch.columns, idf)
             rows.add_back(rows.times(shared.value), total)  # noqa: B023
 
         product = _summed(rows, back, FEATURES, width)
@@ -138,8 +187,8 @@ def fit_text_model(corpus: DataFrame, text: str = "content", dims: int = 256, ro
         shared.unpersist()
     shared = spark.sparkContext.broadcast(basis.astype(np.float32))
 
-    def gram(column, total):
-        products = _Rows.of(column, idf).times(shared.value)
+    def gram(batch, total):
+        products = _Rows.counted(*batch.columns, idf).times(shared.value)
         total += products.T @ products
 
     strength, turn = np.linalg.eigh(_summed(rows, gram, width, width))
@@ -156,3 +205,13 @@ def embed_column(model: TextModel, text: str | Column) -> Column:
         return model.vectors(tokens)
 
     return vectors(hashed_tokens(text))
+
+
+def embed_counted(model: TextModel) -> Column:
+    """The vectors of the rows of `counted_tokens`, equal to those of their texts."""
+
+    @F.arrow_udf("array<float>")
+    def vectors(at: pa.Array, n: pa.Array) -> pa.Array:
+        return model.counted_vectors(at, n)
+
+    return vectors("at", "n")

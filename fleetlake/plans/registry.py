@@ -16,6 +16,7 @@ from fleetlake.operators import chunking as CH
 from fleetlake.operators import features as FE
 from fleetlake.operators import ivfpq as IV
 from fleetlake.operators import joins as J
+from fleetlake.operators import latent as LT
 from fleetlake.operators import ml as ML
 from fleetlake.operators import monitor as MON
 from fleetlake.operators import ranking as R
@@ -380,9 +381,11 @@ def q26_text_search(spark, root):
 def q26_vector_search(spark, root):
     """The same question over the chunks: the 50 nearest by learned vectors, ranked again by TF-IDF cosine."""
     corpus = SK.save_scratch(chunks(spark, root), "chunks")
-    model = RT.text_embedder(corpus)
+    rows = LT.counted_tokens(corpus, ("chunk_id",))
+    model = LT.fit_counted(rows)
     asked = read_table(spark, root, "benchmark").select("item_id", F.col("text").alias("content"))
-    near = RT.top_k(RT.embed(asked, model), RT.embed(corpus, model), "item_id", "chunk_id", k=50)
+    held = rows.withColumn("embedding", LT.embed_counted(model))
+    near = RT.top_k(RT.embed(asked, model), held, "item_id", "chunk_id", k=50)
     return settled(TI.reranked(asked, corpus, near, "item_id", "chunk_id", k=3))
 
 
@@ -900,12 +903,13 @@ def stream_snapshot_features(spark, root):
 def stream_document_index(spark, root):
     """An index that follows the arriving documents: one embedded row per document."""
     docs = read_table(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
-    model = RT.text_embedder(docs, dims=64)
+    rows = LT.counted_tokens(docs, ("chunk_id",))
+    model = LT.fit_counted(rows, dims=64)
     stream = read_stream(spark, root, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"))
     base, checkpoint = scratch_dir(spark, "index"), scratch_dir(spark, "index-state")
     ST.run_available(stream, checkpoint, sink=ST.index_sink(base, model))
     index = ST.read_merged(spark, base, ["chunk_id"])
-    whole = RT.build_index(docs, model).select("chunk_id", F.col("embedding").alias("_whole"))
+    whole = rows.select("chunk_id", LT.embed_counted(model).alias("_whole"))
     both = index.join(whole, "chunk_id")
     same = F.col("embedding").eqNullSafe(F.col("_whole")).alias("as_in_batch")
     return both.select("chunk_id", "content_hash", F.size("embedding").alias("dims"), same)

@@ -109,18 +109,22 @@ def index_sink(base: str, model: TextModel, key: str = "chunk_id", text: str = "
     batch numbers are read, and only for the keys of the batch.
     """
 
+    def newest(rows: DataFrame, content: Column) -> DataFrame:
+        best = F.max_by(F.struct(*[c for c in rows.columns if c != key]), content).alias("_row")
+        return rows.groupBy(key).agg(best).select(key, "_row.*")
+
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        content = F.sha2(F.col(text), 256)
-        newest = F.max_by(F.struct(*[c for c in batch.columns if c != key]), content).alias("_row")
-        fresh = batch.groupBy(key).agg(newest).select(key, "_row.*")
         if _exists(spark, base):
+            fresh = newest(batch, F.sha2(F.col(text), 256))
             log = spark.read.parquet(base).where(F.col("batch") < number).select(key, "content_hash", F.col("batch").cast("bigint"))
             own = log.join(fresh.select(key), key, "left_semi")
             known = own.groupBy(key).agg(F.max_by("content_hash", "batch").alias("content_hash"))
-            hashed = fresh.withColumn("content_hash", content)
-            fresh = hashed.join(known, [key, "content_hash"], "left_anti").drop("content_hash")
-        build_index(fresh, model, key, text).write.mode("overwrite").parquet(f"{base}/batch={number}")
+            hashed = fresh.withColumn("content_hash", F.sha2(F.col(text), 256))
+            rows = build_index(hashed.join(known, [key, "content_hash"], "left_anti"), model, key, text)
+        else:  # nothing is known, so that vectors are shuffled and not the texts
+            rows = newest(build_index(batch, model, key, text), F.col("content_hash"))
+        rows.write.mode("overwrite").parquet(f"{base}/batch={number}")
 
     return write
 

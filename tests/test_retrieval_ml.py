@@ -181,6 +181,19 @@ def test_learned_vectors_keep_the_strongest_directions(spark):
     assert one == two and one[-1][1] is None and not any(one[-2][1])
 
 
+def test_counted_rows_give_the_vectors_of_their_texts(spark):
+    texts = ["fan fan link", "", None, "...", "Fan LINK fan", "one two three four"]
+    corpus = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    rows = LT.counted_tokens(corpus, ("id",))
+    held = {r.id: (r.at, r.n) for r in rows.collect()}
+    assert held[0] == held[4] and sorted(held[0][1]) == [1, 2] and held[0][0] == sorted(set(held[0][0]))
+    assert held[1] == held[3] == ([], []) and held[2] == (None, None) and held[5][1] == [1] * len(held[5][0])
+    model, same = LT.fit_counted(rows, dims=4), LT.fit_text_model(corpus, dims=4)
+    assert np.array_equal(model.idf, same.idf) and np.allclose(model.basis @ model.basis.T[:, :50], same.basis @ same.basis.T[:, :50], atol=1e-4)
+    got = {r.id: r.v for r in rows.select("id", LT.embed_counted(model).alias("v")).collect()}
+    assert got == {r.id: r.embedding for r in RT.embed(corpus, model).collect()} and got[2] is None and any(got[0])
+
+
 def test_index_refresh_touches_only_changes(spark):
     chunks = spark.createDataFrame([(i, f"text number {i}") for i in range(6)], "chunk_id int, content string")
     model = RT.text_embedder(chunks, dims=64)

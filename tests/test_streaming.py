@@ -108,6 +108,24 @@ def test_index_follows_arriving_chunks(spark):
     assert spark.read.parquet(to).where("batch = 0").count() == 1
 
 
+def test_first_batch_shuffles_vectors_and_keeps_one_version(spark):
+    base, schema = scratch_dir(spark, "index"), "chunk_id int, content string"
+    rows = [(1, "fan failure"), (1, "fan replaced"), (2, None), (3, None), (3, "link down"), (4, ""), (1, "fan failure")]
+    batch = spark.createDataFrame(rows, schema)
+    model = RT.text_embedder(batch, dims=8)
+    ST.index_sink(base, model)(batch, 0)
+    built = RT.build_index(batch, model).collect()
+    want = {k: max((tuple(r) for r in built if r.chunk_id == k and (r.content_hash or k == 2)), key=lambda r: r[1] or "") for k in (1, 2, 3, 4)}
+    got = ST.read_merged(spark, base, ["chunk_id"]).select("chunk_id", "content_hash", "embedding").collect()
+    assert sorted(map(tuple, got)) == sorted(want.values(), key=lambda r: r[0])
+
+
+def test_batch_vectors_of_the_document_index_do_not_split_texts_again(spark, small):
+    """The rows that the model was learned from are read instead; the stream has its own."""
+    plan = registry.all_queries()["stream_document_index"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "lower(" not in plan
+
+
 def test_late_rows_for_a_side_table(spark):
     rows = spark.createDataFrame([(T0, 1), (T0 + timedelta(hours=3), 2)], "ts timestamp, k int")
     seen = spark.createDataFrame([(T0 + timedelta(hours=2),)], "seen timestamp")
