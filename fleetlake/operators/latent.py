@@ -82,7 +82,9 @@ def _summed(rows: DataFrame, add, height: int, width: int) -> np.ndarray:
 
     kind = "at long, part binary"
     out = np.zeros((height, width))
-    for row in rows.mapInArrow(tasks, kind).repartition("at").mapInArrow(merge, kind).collect():
+    # Every task passes on a whole array: as many as the cores need, not as many as the table has splits.
+    few = rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+    for row in few.mapInArrow(tasks, kind).repartition("at").mapInArrow(merge, kind).collect():
         part = np.frombuffer(row["part"], np.float64).reshape(-1, width)
         out[row["at"] : row["at"] + len(part)] = part
     return out

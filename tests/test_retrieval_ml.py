@@ -1,6 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from fleetlake.operators import ivfpq as IV
@@ -194,6 +195,14 @@ def test_counted_rows_give_the_vectors_of_their_texts(spark):
     assert got == {r.id: r.embedding for r in RT.embed(corpus, model).collect()} and got[2] is None and any(got[0])
 
 
+def test_partial_sums_do_not_grow_with_the_partitions(spark):
+    def add(batch, total):
+        total[TaskContext.get().partitionId()] += batch.num_rows
+
+    sums = LT._summed(spark.range(0, 4000, 1, 100), add, 100, 1)
+    assert sums.sum() == 4000 and np.count_nonzero(sums) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_index_refresh_touches_only_changes(spark):
     chunks = spark.createDataFrame([(i, f"text number {i}") for i in range(6)], "chunk_id int, content string")
     model = RT.text_embedder(chunks, dims=64)
