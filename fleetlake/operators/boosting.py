@@ -10,6 +10,8 @@ them trees, depend neither on partitions nor on order.
 
 Rows lie in packed blocks with their present score, written anew every REWRITE trees; a lost executor
 costs at most the passes since then. What reaches the driver is bounded by leaves x features x bins.
+A pass is a Spark job, whose fixed cost is all that a small table pays for: where rows x features stay
+within TASK_CELLS, and there are trees for it, the same trees are grown in the one task that holds the blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from fleetlake.session import scratch_dir
 
 BINS, UNIT, BLOCK_ROWS, REWRITE, FEW = 256, float(1 << 24), 65_536, 20, 8
+#: Rows times features that one task trains on, and that a task of a cached RDD passes over.
+TASK_CELLS, PASS_CELLS = 1 << 24, 1 << 24
 BLOCKS = "n long, bins binary, label binary, weight binary, held binary, score binary"
 HELD_OUT = -1
 
@@ -50,16 +54,14 @@ class Tree(NamedTuple):
 
     def places(self, columns, limits: np.ndarray) -> np.ndarray:
         """The node each row ends in; `columns[f]` is compared with the limit of the node."""
-        node = np.zeros(len(columns[0]), np.int64)
+        columns = np.asarray(columns)
+        node = np.zeros(columns.shape[1], np.int64)
         for _ in range(len(self.feature)):
             inner = np.flatnonzero(self.feature[node] >= 0)
             if not len(inner):
                 break
             own = node[inner]
-            values = np.empty(len(inner))
-            for f in np.unique(self.feature[own]):
-                of = self.feature[own] == f
-                values[of] = columns[f][inner[of]]
+            values = columns[self.feature[own], inner]
             node[inner] = np.where(values <= limits[own], self.left[own], self.right[own])
         return node
 
@@ -71,7 +73,8 @@ class Model(NamedTuple):
     losses: list  # mean held-out loss after each number of trees, from 0 on
 
     def margins(self, columns) -> np.ndarray:
-        total = np.full(len(columns[0]), self.start)
+        columns = np.asarray(columns)
+        total = np.full(columns.shape[1], self.start)
         for tree in self.trees:
             total += tree.value[tree.places(columns, tree.at)]
         return total
@@ -137,6 +140,15 @@ def _advanced(columns, score, trees) -> np.ndarray:
     return score
 
 
+def _add_cells(totals: np.ndarray, columns: np.ndarray, own: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+    """Add the rows `own`, each to the cells of its slot, to the (3, slots * features * BINS) totals."""
+    first, g, h = slot * (len(columns) * BINS), g[own], h[own]
+    for f, bins in enumerate(columns):
+        cell = first + bins[own] + f * BINS
+        for j, values in enumerate((g, h, None)):
+            totals[j] += np.bincount(cell, values, totals.shape[1]).astype(np.int64)
+
+
 def _added(parts, trees: list, tree: Tree, wanted: dict) -> list:
     """[cells, gradients, curvatures, rows] of unpacked blocks, empty without any; the loss goes by HELD_OUT."""
     table = np.full(len(tree.feature), -1)
@@ -152,10 +164,7 @@ def _added(parts, trees: list, tree: Tree, wanted: dict) -> list:
         held_rows += int(held.sum())
         slot = np.where(held, -1, table[tree.places(columns, tree.cut)])
         own = np.flatnonzero(slot >= 0)
-        for f, bins in enumerate(columns):
-            cell = (slot[own] * len(columns) + f) * BINS + bins[own]
-            for j, values in enumerate((g[own], h[own], None)):
-                totals[j] += np.bincount(cell, values, totals.shape[1]).astype(np.int64)
+        _add_cells(totals, columns, own, slot[own], g, h)
     if totals is None:
         return []
     used = np.flatnonzero(totals[2])
@@ -257,15 +266,66 @@ class Growth:
         return taken
 
 
-def grown(blocks: DataFrame | RDD, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float) -> tuple[Tree, float | None]:
+class Held:
+    """Blocks in the memory of one task: the score of every row, and its node in the tree that grows."""
+
+    def __init__(self, blocks):
+        parts = zip(*(unpacked_block(*b) for b in blocks), strict=True)
+        self.bins, self.y, self.w, self.held, self.score = (np.concatenate(c, axis=-1) for c in parts)
+
+    def begin(self) -> float | None:
+        """Start a tree; the mean loss of the held-out rows before it."""
+        self.node = np.where(self.held, -1, 0)
+        self.g, self.h, losses = gradients(self.y, self.w, self.score)
+        return int(losses[self.held].sum()) / int(self.held.sum()) / UNIT if self.held.any() else None
+
+    def histograms(self, growth: Growth, nodes: list[int]) -> dict:
+        """(features, BINS, 3) sums of every one of `nodes` over the rows not held out."""
+        table = np.full(len(growth.levels) + 1, -1)  # the last place: held-out rows, whose node is -1
+        self._descend(growth, self.node)
+        table[nodes] = np.arange(len(nodes))
+        slot = table[self.node]
+        own = np.flatnonzero(slot >= 0)
+        totals = np.zeros((3, len(nodes) * len(self.bins) * BINS), np.int64)
+        _add_cells(totals, self.bins, own, slot[own], self.g, self.h)
+        return dict(zip(nodes, totals.T.reshape(len(nodes), len(self.bins), BINS, 3), strict=True))
+
+    def _descend(self, growth: Growth, node: np.ndarray) -> None:
+        """Move rows from the nodes that have been split since, in place."""
+        splits = np.full((5, len(growth.levels) + 1), -1)
+        for parent, (_, feature, cut) in growth.split.items():
+            splits[:, parent] = (1, feature, cut, *growth.children[parent])
+        while len(inner := np.flatnonzero(splits[0][node] > 0)):
+            own = node[inner]
+            values = self.bins[splits[1][own], inner]
+            node[inner] = np.where(values <= splits[2][own], splits[3][own], splits[4][own])
+
+    def advance(self, growth: Growth, chosen: set, rate: float) -> None:
+        """Add the finished tree to the scores, the held-out rows' too."""
+        leaf = list(range(len(growth.levels)))
+        for parent, children in growth.children.items():  # parents come before their children
+            for child in children:
+                leaf[child] = child if parent in chosen else leaf[parent]
+        values = np.array([growth.value(node) * rate for node in leaf])
+        node = np.where(self.held, 0, self.node)
+        self._descend(growth, node)
+        self.score = self.score + values[node]
+
+
+def grown(blocks: DataFrame | RDD | Held, recent: list, cuts: list[np.ndarray], leaves: int, depth: int, rate: float, min_rows: int, penalty: float) -> tuple[Tree, float | None]:
     """The next tree and the held-out loss before it."""
     growth, loss, wanted = Growth(cuts, depth, min_rows, penalty), None, [0]
     pairs: list[tuple[int, int, int]] = []
+    if isinstance(blocks, Held):
+        loss = blocks.begin()
     while wanted:
-        shape, place = growth.shape()
-        sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts))
-        loss = now if loss is None else loss
-        found = {n: sums[place[n]] for n in wanted}
+        if isinstance(blocks, Held):
+            found = blocks.histograms(growth, wanted)
+        else:
+            shape, place = growth.shape()
+            sums, now = histograms(blocks, recent, shape, [place[n] for n in wanted], len(cuts))
+            loss = now if loss is None else loss
+            found = {n: sums[place[n]] for n in wanted}
         for parent, small, large in pairs:
             found[large] = growth.sums[parent] - found[small]
         before = set(growth.split)
@@ -282,7 +342,29 @@ def grown(blocks: DataFrame | RDD, recent: list, cuts: list[np.ndarray], leaves:
             small, large = (left, right) if 2 * n <= growth.sums[parent][0, :, 2].sum() else (right, left)
             pairs.append((parent, small, large))
             wanted.append(small)
-    return growth.shape(growth.chosen(leaves), rate)[0], loss
+    chosen = growth.chosen(leaves)
+    if isinstance(blocks, Held):
+        blocks.advance(growth, chosen, rate)
+    return growth.shape(chosen, rate)[0], loss
+
+
+def _ended(tree: Tree, losses: list, patience: int) -> bool:
+    """Whether the tree is no longer wanted: it has no split, or the loss has not fallen for `patience` rounds."""
+    return len(tree.feature) == 1 or bool(losses) and len(losses) - 1 - int(np.argmin(losses)) >= patience
+
+
+def _grown_in_task(held: Held, trees: int, patience: int, *setting) -> tuple[list, list]:
+    """All trees and held-out losses of `fit`."""
+    made, losses = [], []
+    while len(made) < trees:
+        tree, loss = grown(held, [], *setting)
+        losses += [] if loss is None else [loss]
+        if _ended(tree, losses, patience):
+            break
+        made.append(tree)
+    if losses and len(losses) == len(made):
+        losses.append(held.begin())
+    return made, losses
 
 
 def _rewritten(blocks: DataFrame, recent: list) -> DataFrame:
@@ -300,12 +382,24 @@ def _rewritten(blocks: DataFrame, recent: list) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path).cache()
 
 
-def _source(blocks: DataFrame) -> DataFrame | RDD:
-    """What the passes read: the blocks, or their rows as a cached RDD where few tasks hold them."""
+def _source(blocks: DataFrame, cells: int) -> DataFrame | RDD:
+    """What the passes read: the blocks, or their rows as a cached RDD where few tasks can hold them."""
     rows = blocks.rdd
+    if rows.getNumPartitions() > FEW and cells <= FEW * PASS_CELLS:
+        rows = rows.coalesce(min(FEW, blocks.sparkSession.sparkContext.defaultParallelism))
     return rows.map(tuple).cache() if rows.getNumPartitions() <= FEW else blocks
 
 
+def _moved_on(source: RDD, tree: Tree) -> RDD:
+    """The rows with the tree in their scores, so that no pass goes through a finished tree again."""
+
+    def advance(block):
+        columns, _, _, _, score = unpacked_block(*block)
+        return (*block[:-1], _advanced(columns, score, [tree]).tobytes())
+
+    return source.map(advance).cache()
+
+
 def fit(
     rows: DataFrame, features: list[str], label: str, weight: str | None = None, held_out: str | None = None, trees: int = 200, depth: int = 6,
     leaves: int = 31, rate: float = 0.05, patience: int = 20, min_rows: int = 20, penalty: float = 1e-3,
@@ -324,12 +418,29 @@ def fit(
     start = math.log(ones / (n - ones))
     cuts = cut_points(base, features)
     blocks = _rewritten(blocks_of(named, features, "_y", "_w", "_held", cuts, start), [])
-    made, recent, losses = [], [], []
-    source = _source(blocks)
+    setting = (cuts, leaves, depth, rate, min_rows, penalty)
+    cells = blocks.agg(F.sum("n")).first()[0] * len(features)
+    if trees >= REWRITE and cells <= TASK_CELLS:
+        task = blocks.coalesce(1).rdd.mapPartitions(lambda it: [_grown_in_task(Held(it), trees, patience, *setting)])
+        made, losses = task.first()
+    else:
+        made, losses = _grown_by_passes(blocks, cells, trees, patience, *setting)
+    blocks.unpersist()
+    return Model(features, start, made[: int(np.argmin(losses))] if losses else made, losses)
+
+
+def _grown_by_passes(blocks: DataFrame, cells: int, trees: int, patience: int, *setting) -> tuple[list, list]:
+    """All trees and held-out losses of `fit`, every pass over the rows being a job."""
+    first, made, recent, losses = blocks, [], [], []  # recent: trees that the scores of `blocks` lack
+    source = older = _source(blocks, cells)
     while len(made) < trees:
-        tree, loss = grown(source, recent, cuts, leaves, depth, rate, min_rows, penalty)
+        passing = [] if isinstance(source, RDD) else recent
+        tree, loss = grown(source, passing, *setting)
+        if older is not source:
+            older.unpersist()
+            older = source
         losses += [] if loss is None else [loss]
-        if len(tree.feature) == 1 or losses and len(losses) - 1 - int(np.argmin(losses)) >= patience:
+        if _ended(tree, losses, patience):
             break
         made.append(tree)
         recent.append(tree)
@@ -337,11 +448,15 @@ def fit(
             newer = _rewritten(blocks, recent)
             newer.count()
             source.unpersist()
-            blocks.unpersist()
-            blocks, source, recent = newer, _source(newer), []
+            if blocks is not first:
+                blocks.unpersist()
+            blocks, recent = newer, []
+            source = older = _source(newer, cells)
+        elif isinstance(source, RDD):
+            source = _moved_on(source, tree)
     if losses and len(losses) == len(made):
-        root = Growth(cuts, 0, min_rows, penalty).shape()[0]
-        losses.append(histograms(source, recent, root, [0], len(features))[1])
-    source.unpersist()
-    blocks.unpersist()
-    return Model(features, start, made[: int(np.argmin(losses))] if losses else made, losses)
+        root = Growth(setting[0], 0, *setting[4:]).shape()[0]
+        losses.append(histograms(source, [] if isinstance(source, RDD) else recent, root, [0], len(setting[0]))[1])
+    for held in (older, source, *([] if blocks is first else [blocks])):
+        held.unpersist()
+    return made, losses

@@ -125,3 +125,33 @@ def test_the_last_leaves_take_no_pass(spark, monkeypatch):
     monkeypatch.setattr(B, "histograms", lambda *a, **k: passes.append(1) or plain(*a, **k))
     model = B.fit(rows, ["a", "b"], "y", trees=3, depth=2, leaves=4)
     assert len(model.trees) == 3 and len(passes) == 6
+
+
+def test_a_small_table_takes_no_passes_and_large_ones_never_walk_a_finished_tree_again(spark, monkeypatch):
+    """The same model by one task, by passes over a cached RDD and by passes over a table, with a rewrite between."""
+    x, y, held = data(900, 7)
+    df = frame(spark, x, y, held).repartition(5)
+    monkeypatch.setattr(B, "REWRITE", 4)
+    passes, plain = [], B.histograms
+    monkeypatch.setattr(B, "histograms", lambda blocks, recent, *a: passes.append((type(blocks).__name__, len(recent))) or plain(blocks, recent, *a))
+    made = []
+    for cells, few in ((1 << 24, 8), (0, 3), (0, 0)):
+        monkeypatch.setattr(B, "TASK_CELLS", cells)
+        monkeypatch.setattr(B, "FEW", few)
+        made.append((B.fit(df, NAMES, "y", "w", "held", trees=10, min_rows=5, rate=0.3), passes[:]))
+        passes.clear()
+    (one, none), (two, cached), (three, table) = made
+    assert [paths(t) for t in one.trees] == [paths(t) for t in two.trees] == [paths(t) for t in three.trees] and len(one.trees) > 4
+    assert one.losses == two.losses == three.losses and one.start == two.start
+    assert none == [] and len(cached) == len(table) > 10
+    assert {n for _, n in cached} == {0} and {kind for kind, _ in cached}.isdisjoint({kind for kind, _ in table})
+    assert {n for _, n in table} == {0, 1, 2, 3}
+
+
+def test_held_out_rows_alone_stop_a_table_trained_by_one_task(spark):
+    rng = np.random.default_rng(4)
+    x, _, held = data(400, 9)
+    y = rng.integers(0, 2, 400).astype(float)
+    some, none = (B.fit(frame(spark, x, y, h), NAMES, "y", None, "held", trees=30, rate=0.5, patience=4, min_rows=5) for h in (held, held & False))
+    assert len(some.losses) - 1 - len(some.trees) == 4 and len(some.losses) < 30
+    assert none.losses == [] and len(none.trees) == 30
